@@ -93,10 +93,8 @@ class Chunk:
     def lines(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Starts and ends of the newline-separated lines, and for each text the index of its first line."""
         cuts = np.flatnonzero(self.data == 10)
-        start = np.sort(np.concatenate([self.at[:-1], cuts + 1]), kind="stable")
         counts = np.searchsorted(cuts, self.at[1:]) - np.searchsorted(cuts, self.at[:-1]) + 1
         first = np.concatenate([[0], np.cumsum(counts)])
-        # A text that ends in a newline has an empty last line, which begins where the next text begins.
         owner = np.repeat(np.arange(self.n), counts)
         rank = np.arange(len(owner)) - first[owner]
         cut_first = np.searchsorted(cuts, self.at[:-1])
