@@ -73,12 +73,12 @@ class Chunk:
         n = len(self.data) - width + 1
         return mix((self._sums[width:] - self._sums[:n]) * self._inverse[:n]) if n > 0 else np.zeros(0, np.uint64)
 
-    def words(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def words(self, separators: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Starts and ends of the words, and for each text the index of its first word (one more at the end)."""
         n = len(self.data)
         if not n:
             return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(self.n + 1, np.int64)
-        word = ~SPACE[self.data]
+        word = ~separators[self.data]
         begins = word.copy()
         begins[1:] &= ~word[:-1]
         edge = self.at[(self.at < n)]
