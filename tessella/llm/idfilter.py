@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 FILTER_BITS = 1 << 24
@@ -30,3 +31,27 @@ def bitmap(at: DataFrame) -> np.ndarray:
 
 def inside(packed: np.ndarray, at: np.ndarray) -> np.ndarray:
     return ((packed[at // 32] >> (at % 32).astype(np.uint32)) & np.uint32(1)).astype(bool)
+
+
+def maybe_in(spark: SparkSession, at: Column, keys: DataFrame) -> Column:
+    """Whether slot `at` is that of some row of `keys` (slot): always where it is one, and now and then by chance.
+
+    Only the slots go to Python; the rest of the row, such as its text, stays in the JVM.
+    """
+    packed = spark.sparkContext.broadcast(bitmap(keys))
+
+    @F.pandas_udf("boolean")
+    def look(slots_of: pd.Series) -> pd.Series:
+        return pd.Series(inside(packed.value, slots_of.to_numpy()))
+
+    return F.coalesce(look(F.coalesce(at, F.lit(0))), F.lit(False))
+
+
+def without(docs: DataFrame, key: Column, keys: DataFrame) -> DataFrame:
+    """The rows of `docs` whose `key` (a long) is not in `keys` (key).  Only rows that may be in it are shuffled."""
+    at = slot(key)
+    maybe = maybe_in(docs.sparkSession, at, keys.select(slot(F.col("key")).alias("slot")))
+    rows = docs.withColumns({"key_": key, "maybe_": maybe})
+    clear = rows.where("not maybe_ or key_ is null").drop("key_", "maybe_")
+    checked = rows.where("maybe_ and key_ is not null").join(keys.select(F.col("key").alias("key_")), "key_", "left_anti").drop("key_", "maybe_")
+    return clear.union(checked.select(docs.columns))

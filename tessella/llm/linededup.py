@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import discard, materialise, table
-from .idfilter import bitmap, inside, slot, slots
+from .idfilter import bitmap, inside, maybe_in, slot, slots
 from .words import SPACE, U, Chunk, chunks, mix
 
 SIMILARITY = (4, 5)  # at least 4/5
@@ -250,7 +250,13 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     """
     docs = docs.drop("n_lines", "n_removed")
     gone = removed_lines(docs).groupBy("doc_id").agg(F.collect_set(F.struct("line", "set_a")).alias("removed_lines_"))
-    joined = docs.join(gone.withColumnRenamed("doc_id", "removed_from_"), F.col("doc_id").cast("long") == F.col("removed_from_"), "left").drop("removed_from_")
+    gone = materialise(gone, "removed-lines")
+    key = F.col("doc_id").cast("long")
+    maybe = maybe_in(docs.sparkSession, slot(key), gone.select(slot(F.col("doc_id")).alias("slot")))
+    listed = gone.select(F.col("doc_id").alias("removed_from_"), "removed_lines_")
+    touched = docs.where(maybe).join(listed, key == F.col("removed_from_"), "left").drop("removed_from_")
+    clear = docs.where(~maybe).withColumn("removed_lines_", F.lit(None).cast(gone.schema["removed_lines_"].dataType))
+    joined = clear.union(touched)
     schema = docs.schema.add("n_lines", "long").add("n_removed", "long")
     return joined.mapInArrow(_without(docs.columns.index("text")), schema)
 

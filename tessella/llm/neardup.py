@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import connected_components, discard, materialise, table
-from .idfilter import bitmap, inside, slot, slots
+from .idfilter import maybe_in, slot
 from .words import U, chunks, mix, shingles, word_hashes
 
 TREES, DEPTH, MIN_DEPTH = 24, 5, 2
@@ -158,13 +158,8 @@ def _confirm(batches):
 def _texts_of(wanted: DataFrame, texts: DataFrame) -> DataFrame:
     """The rows of `texts` whose row_id is in `wanted`, and few others, found before anything is shuffled.  The joins that
     follow are exact."""
-    found = texts.sparkSession.sparkContext.broadcast(bitmap(wanted.select(slot(F.col("row_id")).alias("slot"))))
-
-    def keep(batches):
-        for batch in batches:
-            yield batch.filter(pa.array(inside(found.value, slots(batch.column(0).to_numpy(zero_copy_only=False)))))
-
-    return texts.where("row_id is not null").select("row_id", "text").mapInArrow(keep, "row_id long, text string")
+    maybe = maybe_in(texts.sparkSession, slot(F.col("row_id")), wanted.select(slot(F.col("row_id")).alias("slot")))
+    return texts.where("row_id is not null").where(maybe)
 
 
 def _linked(pairs: DataFrame, texts: DataFrame) -> DataFrame:

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import discard, materialise, table
-from .idfilter import bitmap, inside, slot, slots
+from .idfilter import bitmap, inside, maybe_in, slot, slots
 from .words import U, Chunk, chunks
 
 WIDTH = 100
@@ -245,21 +245,12 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("row_hash", F.xxhash64("doc_id", "text"))
     cuts = repeated_spans(rows.where("doc_id is not null and octet_length(text) >= 100"))
-    found = spark.sparkContext.broadcast(bitmap(cuts.select(slot(F.col("row_hash")).alias("slot"))))
-
-    def pick(wanted: bool):
-        def keep(batches):
-            for batch in batches:
-                yield batch.filter(pa.array(inside(found.value, slots(batch.column(2).to_numpy(zero_copy_only=False))) == wanted))
-
-        return keep
-
-    schema = "doc_id long, text string, row_hash long"
+    maybe = maybe_in(spark, slot(F.col("row_hash")), cuts.select(slot(F.col("row_hash")).alias("slot")))
     raw = F.coalesce("text", F.lit("")).cast("binary")
-    whole = rows.mapInArrow(pick(False), schema).select(
+    whole = rows.where(~maybe).select(
         "doc_id", F.length(raw).cast("long").alias("n_bytes"), F.lit(0).cast("long").alias("n_removed"), F.lit(0).cast("long").alias("n_spans"), raw.alias("kept")
     )
-    touched = rows.mapInArrow(pick(True), schema).join(cuts, "row_hash", "left").select(
+    touched = rows.where(maybe).join(cuts, "row_hash", "left").select(
         "doc_id", "text", F.coalesce("cuts", F.array().cast("array<struct<from:long,to:long>>")).alias("cuts")
     )
     return whole.union(touched.mapInArrow(_apply, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"))
