@@ -6,12 +6,24 @@ pieces between them, in order.  Each distinct piece is encoded once while it sta
 
 from __future__ import annotations
 
+import json
+import os
+from array import array
+
 import numpy as np
+import regex
 
 VOCABULARY = "word_bpe_49k.json"
 CACHE_ENTRIES = 300_000
 CACHED_PIECE = 200
 END = 1
+MARKER = "<|startoftext|>"
+#: Fixed value: the vocabulary's own pattern for the runs that it encodes apart.
+_RUN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+#: The byte-level alphabet: printable bytes stand for themselves, the others for characters from 256 on.
+_SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_BYTE_LEVEL = {b: 256 + k for k, b in enumerate(sorted(set(range(256)) - set(_SHOWN)))}
+_LATIN = "\u0250"  # below it, lower case and normal form are those of single characters
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
@@ -26,10 +38,19 @@ class TokenIds:
     _by_path: dict = {}
 
     def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self._model = Tokenizer.from_file(path)
+        self._mark = self._model.token_to_id(MARKER)
+        if self._mark is None:
+            self._model.add_tokens([MARKER])
+            self._mark = self._model.token_to_id(MARKER)
         self._cache: dict[str, bytes] = {"": b""}
+        self._runs: dict[str, bytes] = {}
+        pattern = json.loads(self._model.to_str())["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
+        if pattern != _RUN.pattern:
+            raise ValueError("this vocabulary splits texts by another pattern")
 
     @classmethod
     def open(cls, path: str | None = None) -> TokenIds:
@@ -38,21 +59,44 @@ class TokenIds:
             cls._by_path[path] = cls(path)
         return cls._by_path[path]
 
+    def _encode(self, pieces: list[str]) -> list[bytes]:
+        """Identifiers of each piece, from one call: a marker that no piece contains stands between them."""
+        whole = self._model.encode(MARKER.join(pieces), add_special_tokens=False)
+        ids = np.asarray(whole.ids, "<u4")
+        cuts = np.flatnonzero(ids == self._mark)
+        if len(cuts) != len(pieces) - 1:
+            raise ValueError("the marker isn't one token")
+        raw, begin, end = ids.tobytes(), np.r_[0, cuts + 1] * 4, np.r_[cuts, len(ids)] * 4
+        return [raw[a:b] for a, b in zip(begin.tolist(), end.tolist())]
+
+    def _learn(self, missing: list[str]) -> None:
+        for k in range(0, len(missing), 4000):
+            some = missing[k : k + 4000]
+            self._cache.update(zip(some, self._encode(some)))
+
     def of_all(self, texts: list[str]) -> list[bytes]:
         pieces = [t.replace("\n", " ").split(" ") if t else [] for t in texts]
-        cache = self._cache
-        if len(cache) > CACHE_ENTRIES:
-            cache.clear()
-            cache[""] = b""
-        missing = list({p for own in pieces for p in own if p not in cache})
-        for k in range(0, len(missing), 2000):
-            some = missing[k : k + 2000]
-            for p, e in zip(some, self._model.encode_batch_fast(some, add_special_tokens=False)):
-                cache[p] = np.asarray(e.ids, "<u4").tobytes()
-        made = [b"".join(map(cache.__getitem__, own)) for own in pieces]
+        cache, runs = self._cache, self._runs
+        missing = list(set().union(*pieces).difference(cache))
+        # Plain Latin pieces fall into the tokenizer's own runs, which recur more often; others go to it whole.
+        plain = {p: _RUN.findall(p.lower()) for p in missing if p.isprintable() and max(p) < _LATIN and "<|" not in p}
+        fresh = list({r for own in plain.values() for r in own if r not in runs})
+        merge = self._model.model.tokenize
+        for r in fresh:
+            runs[r] = array("I", [t.id for t in merge(r.encode().decode("latin-1").translate(_BYTE_LEVEL))]).tobytes()
+        for p, own in plain.items():
+            cache[p] = b"".join(map(runs.__getitem__, own))
+        self._learn([p for p in missing if p not in plain and "<|" not in p])
         for p in missing:
-            if len(p) > CACHED_PIECE:
-                del cache[p]
+            if p not in plain and "<|" in p:
+                cache[p] = np.asarray(self._model.encode(p, add_special_tokens=False).ids, "<u4").tobytes()
+        made = [b"".join(map(cache.__getitem__, own)) for own in pieces]
+        # Full caches hold what came first, and so nearly all frequent entries; later ones are for this call only.
+        for held, new, most in ((cache, missing, CACHE_ENTRIES), (runs, fresh, 2 * CACHE_ENTRIES)):
+            full = len(held) > most
+            for p in new:
+                if full or len(p) > CACHED_PIECE:
+                    del held[p]
         return made
 
 
