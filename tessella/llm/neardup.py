@@ -9,7 +9,8 @@ longest common prefix, in a sparse one those that share MIN_DEPTH values are eno
 Orders are made by a range partitioning on the whole signature, so a region of any size is spread over as many
 tasks as its rows need, and a task keeps only the last `window` rows.  Candidates are never all pairs of a
 region: first each class is held against its closest neighbours, links confirmed on the full sets join classes
-into components, and then only neighbours that are still in different components are held against each other.
+into components, which then grow by their closest pairs; at last all neighbours that are still in different
+components are held against each other.
 """
 
 from __future__ import annotations
@@ -28,6 +29,8 @@ SHINGLE = 5
 PERCENT = 75
 WINDOW = 48
 CLOSEST = 2
+#: Rounds in which each component is held against its closest other only, before all pairs left are compared.
+JOINING_ROUNDS = 2
 SKETCH_BYTES = TREES * DEPTH * 2 // 8
 #: Of the 2-bit sketches' entries, this share must agree before a pair's full sets are compared.  A pair at the
 #: threshold agrees in 0.8125 of 120 entries on average, with a deviation of 0.036.
@@ -174,6 +177,21 @@ def _linked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return links
 
 
+def _across(pairs: DataFrame, component: DataFrame) -> DataFrame:
+    """The pairs whose ends are in different components, with those (ca, cb)."""
+    of_a = component.select(F.col("node").alias("a"), F.col("component").alias("in_a"))
+    of_b = component.select(F.col("node").alias("b"), F.col("component").alias("in_b"))
+    both = pairs.select("a", "b", "same").join(of_a, "a", "left").join(of_b, "b", "left")
+    return both.select("a", "b", "same", F.coalesce("in_a", "a").alias("ca"), F.coalesce("in_b", "b").alias("cb")).where("ca != cb")
+
+
+def _closest_of_components(pairs: DataFrame) -> DataFrame:
+    """For each component its closest pair with another."""
+    pair = F.struct("same", "a", "b")
+    sides = pairs.select(F.col("ca").alias("c"), pair.alias("pair")).union(pairs.select("cb", pair))
+    return sides.groupBy("c").agg(F.max("pair").alias("pair")).select("pair.a", "pair.b").distinct()
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """One row per row of `docs` (doc_id, text): doc_id, n_shingles, component_id and kept.
 
@@ -194,13 +212,20 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     pairs = materialise(either.withColumn("place", best).where(F.col("place") <= CLOSEST).select("a", "b").distinct(), "pairs")
     links = _linked(pairs, texts)
 
-    joined = connected_components(links)
-    grown = classes.drop("component").join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    apart = materialise(_candidates(grown, WINDOW, True).join(pairs, ["a", "b"], "left_anti").select("a", "b"), "pairs")
-    more = _linked(apart, texts)
+    component = materialise(connected_components(links), "components")
+    grown = classes.drop("component").join(component, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    left = materialise(_candidates(grown, WINDOW, True).join(pairs, ["a", "b"], "left_anti"), "pairs")
+    for closest in [True] * JOINING_ROUNDS + [False]:
+        left = materialise(_across(left, component), "pairs")
+        if left.isEmpty():
+            break
+        tried = materialise(_closest_of_components(left) if closest else left.select("a", "b"), "pairs")
+        links = materialise(links.union(_linked(tried, texts)), "links")
+        component = materialise(connected_components(links), "components")
+        if closest:
+            left = left.join(tried, ["a", "b"], "left_anti").select("a", "b", "same")
 
     same_set = named.join(classes.select("set_a", "set_b", "n_shingles", "node"), ["set_a", "set_b", "n_shingles"]).select("row_id", "node").distinct()
-    component = materialise(connected_components(links.union(more)), "components")
     of_row = same_set.join(component, "node", "left").groupBy("row_id").agg(F.min(F.coalesce("component", "node")).alias("component_id"))
     return (
         made.select("row_id", "n_shingles")
