@@ -9,8 +9,7 @@ longest common prefix, in a sparse one those that share MIN_DEPTH values are eno
 Orders are made by a range partitioning on the whole signature, so a region of any size is spread over as many
 tasks as its rows need, and a task keeps only the last `window` rows.  Candidates are never all pairs of a
 region: first each class is held against its closest neighbours, links confirmed on the full sets join classes
-into components, which then grow by their closest pairs; at last all neighbours that are still in different
-components are held against each other.
+into components, and then only neighbours that are still in different components are held against each other.
 """
 
 from __future__ import annotations
@@ -29,13 +28,13 @@ SHINGLE = 5
 PERCENT = 75
 WINDOW = 48
 CLOSEST = 2
-#: Rounds in which each component is held against its closest other only, before all pairs left are compared.
-JOINING_ROUNDS = 2
-SKETCH_BYTES = TREES * DEPTH * 2 // 8
-#: Of the 2-bit sketches' entries, this share must agree before a pair's full sets are compared.  A pair at the
-#: threshold agrees in 0.8125 of 120 entries on average, with a deviation of 0.036.
-SKETCH_AGREE = 0.64
-_MULTIPLIERS = mix(np.arange(1, TREES * DEPTH + 1, dtype=np.uint64) * U(0xA0761D6478BD642F)) | U(1)
+#: Two bits of each of so many minimum hashes, the trees' among them, estimate a pair's similarity.  A pair at the
+#: threshold agrees in 0.8125 of them on average, with a deviation of 0.025; where less than SKETCH_AGREE agree, 4.5
+#: deviations below, the full sets aren't compared.
+SKETCH = 240
+SKETCH_BYTES = SKETCH // 4
+SKETCH_AGREE = 0.70
+_MULTIPLIERS = mix(np.arange(1, SKETCH + 1, dtype=np.uint64) * U(0xA0761D6478BD642F)) | U(1)
 _POPULATION = np.array([bin(k).count("1") for k in range(256)], np.uint8)
 
 
@@ -48,43 +47,43 @@ def _signatures(batches):
             count = np.diff(first)
             full = np.flatnonzero(count)
             sums = np.zeros((2, c.n), np.uint64)
-            low = np.zeros((c.n, TREES * DEPTH), ">u4")
+            low = np.zeros((c.n, SKETCH), ">u4")
             if len(full):
                 at = first[:-1][full]
                 sums[0, full] = np.add.reduceat(value, at)
                 sums[1, full] = np.add.reduceat(mix(value ^ U(0x5851F42D4C957F2D)), at)
                 for k, m in enumerate(_MULTIPLIERS):
                     low[full, k] = np.minimum.reduceat(value * m, at) >> U(32)
-            rows.append((ids[c.first : c.last], count, sums, low))
+            two = np.unpackbits(((mix(low.astype(np.uint64)) & U(3)).astype(np.uint8) << 6)[..., None], axis=2, count=2)
+            rows.append((ids[c.first : c.last], count, sums, np.ascontiguousarray(low[:, : TREES * DEPTH]), np.packbits(two.reshape(c.n, -1), axis=1)))
         if rows:
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.concatenate([r[0] for r in rows]), pa.int64()),
                     pa.array(np.concatenate([r[1] for r in rows]), pa.int64()),
                     *(pa.array(np.concatenate([r[2][k] for r in rows]).view(np.int64)) for k in range(2)),
-                    pa.array([x.tobytes() for r in rows for x in r[3]], pa.binary()),
+                    *(pa.array([x.tobytes() for r in rows for x in r[k]], pa.binary()) for k in (3, 4)),
                 ],
-                ["row_id", "n_shingles", "set_a", "set_b", "signature"],
+                ["row_id", "n_shingles", "set_a", "set_b", "signature", "sketch"],
             )
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """(row_id, n_shingles, set_a, set_b, signature) of (row_id, text); set_a and set_b identify the set."""
-    return docs.select("row_id", "text").mapInArrow(_signatures, "row_id long, n_shingles long, set_a long, set_b long, signature binary")
+    """(row_id, n_shingles, set_a, set_b, signature, sketch) of (row_id, text); set_a and set_b identify the set."""
+    schema = "row_id long, n_shingles long, set_a long, set_b long, signature binary, sketch binary"
+    return docs.select("row_id", "text").mapInArrow(_signatures, schema)
 
 
 def _explode_trees(batches):
-    """A row per tree: its number and values as one sortable key, then the id, size, component and a sketch of the signature."""
+    """A row per tree: its number and values as one sortable key, then the id, size, component and sketch."""
     for batch in batches:
         node, size, component = (batch.column(k).to_numpy(zero_copy_only=False) for k in range(3))
         low = np.stack([np.frombuffer(x.as_buffer(), ">u4") for x in batch.column(3)]) if batch.num_rows else np.zeros((0, TREES * DEPTH), ">u4")
-        two = np.unpackbits(((mix(low.astype(np.uint64)) & U(3)).astype(np.uint8) << 6)[..., None], axis=2, count=2)
-        sketch = [x.tobytes() for x in np.packbits(two.reshape(len(low), -1), axis=1)]
         for tree in range(TREES):
             own = np.ascontiguousarray(low[:, tree * DEPTH : (tree + 1) * DEPTH])
             keys = [bytes([tree]) + x.tobytes() for x in own]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(keys, pa.binary()), pa.array(node), pa.array(size), pa.array(component), pa.array(sketch, pa.binary())],
+                [pa.array(keys, pa.binary()), pa.array(node), pa.array(size), pa.array(component), batch.column(4)],
                 ["key", "node", "size", "component", "sketch"],
             )
 
@@ -135,7 +134,7 @@ def _neighbours(lags: int, apart: bool):
 
 
 def _candidates(classes: DataFrame, lags: int, apart: bool) -> DataFrame:
-    rows = classes.select("node", "n_shingles", "component", "signature").mapInArrow(
+    rows = classes.select("node", "n_shingles", "component", "signature", "sketch").mapInArrow(
         _explode_trees, "key binary, node long, size long, component long, sketch binary"
     )
     ordered = rows.repartitionByRange("key", "node").sortWithinPartitions("key", "node")
@@ -177,21 +176,6 @@ def _linked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return links
 
 
-def _across(pairs: DataFrame, component: DataFrame) -> DataFrame:
-    """The pairs whose ends are in different components, with those (ca, cb)."""
-    of_a = component.select(F.col("node").alias("a"), F.col("component").alias("in_a"))
-    of_b = component.select(F.col("node").alias("b"), F.col("component").alias("in_b"))
-    both = pairs.select("a", "b", "same").join(of_a, "a", "left").join(of_b, "b", "left")
-    return both.select("a", "b", "same", F.coalesce("in_a", "a").alias("ca"), F.coalesce("in_b", "b").alias("cb")).where("ca != cb")
-
-
-def _closest_of_components(pairs: DataFrame) -> DataFrame:
-    """For each component its closest pair with another."""
-    pair = F.struct("same", "a", "b")
-    sides = pairs.select(F.col("ca").alias("c"), pair.alias("pair")).union(pairs.select("cb", pair))
-    return sides.groupBy("c").agg(F.max("pair").alias("pair")).select("pair.a", "pair.b").distinct()
-
-
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """One row per row of `docs` (doc_id, text): doc_id, n_shingles, component_id and kept.
 
@@ -204,7 +188,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     texts = docs.select(F.col("doc_id").cast("long").alias("row_id"), F.col("text").cast("string").alias("text"))
     made = materialise(signatures(texts), "signatures")
     named = made.where("n_shingles > 0 and row_id is not null")
-    members = named.groupBy("set_a", "set_b", "n_shingles").agg(F.min("row_id").alias("node"), F.min("signature").alias("signature"))
+    members = named.groupBy("set_a", "set_b", "n_shingles").agg(F.min("row_id").alias("node"), F.min("signature").alias("signature"), F.min("sketch").alias("sketch"))
     classes = materialise(members.withColumn("component", F.col("node")), "classes")
     first = _candidates(classes, 1, False)
     either = first.select(F.col("a").alias("x"), "a", "b", "same").union(first.select(F.col("b").alias("x"), "a", "b", "same"))
@@ -212,20 +196,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     pairs = materialise(either.withColumn("place", best).where(F.col("place") <= CLOSEST).select("a", "b").distinct(), "pairs")
     links = _linked(pairs, texts)
 
-    component = materialise(connected_components(links), "components")
-    grown = classes.drop("component").join(component, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    left = materialise(_candidates(grown, WINDOW, True).join(pairs, ["a", "b"], "left_anti"), "pairs")
-    for closest in [True] * JOINING_ROUNDS + [False]:
-        left = materialise(_across(left, component), "pairs")
-        if left.isEmpty():
-            break
-        tried = materialise(_closest_of_components(left) if closest else left.select("a", "b"), "pairs")
-        links = materialise(links.union(_linked(tried, texts)), "links")
-        component = materialise(connected_components(links), "components")
-        if closest:
-            left = left.join(tried, ["a", "b"], "left_anti").select("a", "b", "same")
+    joined = connected_components(links)
+    grown = classes.drop("component").join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    apart = materialise(_candidates(grown, WINDOW, True).join(pairs, ["a", "b"], "left_anti").select("a", "b"), "pairs")
+    more = _linked(apart, texts)
 
     same_set = named.join(classes.select("set_a", "set_b", "n_shingles", "node"), ["set_a", "set_b", "n_shingles"]).select("row_id", "node").distinct()
+    component = materialise(connected_components(links.union(more)), "components")
     of_row = same_set.join(component, "node", "left").groupBy("row_id").agg(F.min(F.coalesce("component", "node")).alias("component_id"))
     return (
         made.select("row_id", "n_shingles")
