@@ -1,0 +1,148 @@
+"""The coverage plan: slots of families with domains, pairs, features and splits.
+
+A plan has a few hundred slots whatever the size of the data, and each choice depends on those before it, so it is
+made on the driver and handed over as a DataFrame.
+"""
+
+from __future__ import annotations
+
+import math
+from dataclasses import asdict, dataclass, field
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+
+class PlanError(ValueError):
+    """A plan that breaks an invariant."""
+
+
+@dataclass
+class Settings:
+    families: int = 12
+    divergence: float = 0.4
+    eval_share: float = 0.25
+    reserved_share: float = 0.0
+    counterfactual: float = 0.3
+    roles: list[str] = field(default_factory=lambda: ["private_person", "professional", "official", "bystander"])
+
+
+@dataclass
+class Slot:
+    slot_index: int
+    domain: str
+    pair: str = ""
+    divergence: bool = False
+    tradeoff: str = ""
+    role: str = ""
+    split: str = "train"
+
+
+def quotas(weights: dict[str, float], n: int) -> dict[str, int]:
+    """Largest remainder: whole shares first, then one more by falling fraction, in the order given."""
+    total = sum(weights.values()) or 1.0
+    exact = {k: w / total * n for k, w in weights.items()}
+    out = {k: math.floor(x) for k, x in exact.items()}
+    by_fraction = sorted(exact, key=lambda k: -(round(exact[k] - out[k], 9)))
+    for k in by_fraction[: n - sum(out.values())]:
+        out[k] += 1
+    return out
+
+
+def dealt(counts: dict[str, int]) -> list[str]:
+    left, out = dict(counts), []
+    while any(left.values()):
+        for k in left:
+            if left[k]:
+                out.append(k)
+                left[k] -= 1
+    return out
+
+
+def units_of(slots: list[Slot]) -> list[list[Slot]]:
+    """Pairs and single slots, which splits and intents never part."""
+    units: dict[str, list[Slot]] = {}
+    for s in slots:
+        units.setdefault(s.pair or f"#{s.slot_index}", []).append(s)
+    return sorted(units.values(), key=lambda u: u[0].slot_index)
+
+
+def draw(units: list[list[Slot]], wanted: int, offset: int = 0) -> list[list[Slot]]:
+    """Whole units of about `wanted` slots, taking domains in turn from `offset`; none overshoots but a first one."""
+    by_domain: dict[str, list[list[Slot]]] = {}
+    for u in units:
+        by_domain.setdefault(u[0].domain, []).append(u)
+    queues = [by_domain[d] for d in sorted(by_domain)]
+    chosen, size, idle, at = [], 0, 0, offset
+    while queues and size < wanted and idle < len(queues):
+        queue = queues[at % len(queues)]
+        at += 1
+        fits = next((u for u in queue if not chosen or size + len(u) <= wanted), None)
+        if fits is None:
+            idle += 1
+            continue
+        idle = 0
+        queue.remove(fits)
+        chosen.append(fits)
+        size += len(fits)
+    return chosen
+
+
+def plan(domains: dict[str, float], tradeoffs: list[str], settings: Settings) -> list[Slot]:
+    slots = [Slot(k, d) for k, d in enumerate(dealt(quotas(domains, settings.families)))]
+    by_domain: dict[str, list[Slot]] = {}
+    for s in slots:
+        by_domain.setdefault(s.domain, []).append(s)
+    pairs = round(settings.families * settings.counterfactual / 2)
+    names = sorted(by_domain, key=lambda d: (-len(by_domain[d]), d))
+    free = {d: list(by_domain[d]) for d in names}
+    made, idle = 0, 0
+    while made < pairs and idle < len(names):
+        d = names[(made + idle) % len(names)]
+        if len(free[d]) >= 2:
+            made += 1
+            idle = 0
+            for s in (free[d].pop(0), free[d].pop(0)):
+                s.pair = f"g{made}"
+        else:
+            idle += 1
+    for u in draw(units_of(slots), round(settings.families * settings.divergence)):
+        for s in u:
+            s.divergence = True
+    for k, u in enumerate(units_of(slots)):
+        for s in u:
+            s.tradeoff = tradeoffs[k % len(tradeoffs)] if tradeoffs else ""
+            s.role = settings.roles[k % len(settings.roles)]
+    wanted = max(1 if settings.families > 1 else 0, round(settings.families * settings.eval_share))
+    for stratum, offset in ((True, 2), (False, 1)):
+        own = [u for u in units_of(slots) if u[0].divergence == stratum]
+        share = round(wanted * sum(map(len, own)) / max(1, settings.families))
+        for u in draw(own, share, offset):
+            for s in u:
+                s.split = "eval"
+    if wanted and not any(s.split == "eval" for s in slots) and slots:
+        for s in units_of(slots)[-1]:
+            s.split = "eval"
+    rest = [u for u in units_of(slots) if u[0].split == "train"]
+    for u in draw(rest, round(settings.families * settings.reserved_share), 4):
+        for s in u:
+            s.split = "reserved"
+    return slots
+
+
+def as_table(spark: SparkSession, slots: list[Slot]) -> DataFrame:
+    return spark.createDataFrame([tuple(asdict(s).values()) for s in slots], "slot_index int, domain string, pair string, divergence boolean, tradeoff string, role string, split string")
+
+
+def check(slots: DataFrame) -> DataFrame:
+    """(level, rule, subject): every broken invariant of a plan table."""
+    paired = slots.where("pair != ''").groupBy("pair").agg(F.count("*").alias("n"), F.count_distinct("split").alias("splits"), F.count_distinct("domain").alias("domains"))
+    ranked = slots.agg(F.count("*").alias("n"), F.max("slot_index").alias("last"), F.count_distinct("slot_index").alias("distinct"), F.count_if(F.col("split") == "eval").alias("eval"))
+    error = F.lit("ERROR")
+    return (
+        paired.where("n != 2").select(error.alias("level"), F.lit("a pair has two slots").alias("rule"), F.col("pair").alias("subject"))
+        .union(paired.where("splits != 1").select(error, F.lit("a pair is in one split"), "pair"))
+        .union(paired.where("domains != 1").select(error, F.lit("a pair is in one domain"), "pair"))
+        .union(ranked.where("n > 0 and (last != n - 1 or distinct != n)").select(error, F.lit("slots are numbered without gaps"), F.lit("")))
+        .union(ranked.where("n > 1 and eval = 0").select(error, F.lit("a plan has eval slots"), F.lit("")))
+    )
