@@ -33,7 +33,7 @@ ROWS = 1 << 15
 FEATURES = 4
 TABLE_WORDS = 1 << 18
 PROFILE_WORDS = 64
-BATCH = 8192
+BATCH = 2048
 RATE = 0.15
 ROUNDS = 1
 ADD = 0.1
@@ -160,13 +160,13 @@ class Model:
         self.head_place[order] = np.arange(len(order)) % CLASS_WORDS
         self.class_of_shape = CLOSED + class_of_shape
         self.place_bias = np.full((CLOSED, CLASS_WORDS), -1e9, np.float32)
-        self.place_bias[self.head_class, self.head_place] = np.log(head_counts + ADD)
+        self.place_bias[self.head_class, self.head_place] = np.log((head_counts + ADD) / (head_counts + ADD).sum())
         mass = np.zeros(CLASSES)
         np.add.at(mass, self.head_class, head_counts + ADD)
         mass[CLOSED:] = open_mass + ADD
         self.mass = mass
         with np.errstate(divide="ignore"):
-            self.class_bias = np.where(mass > 0, np.log(mass), -1e9).astype(np.float32)
+            self.class_bias = np.where(mass > 0, np.log(mass / mass.sum()), -1e9).astype(np.float32)
         self.class_weights = np.zeros((ROWS, CLASSES), np.float32)
         self.word_weights = np.zeros((ROWS, CLASS_WORDS), np.float32)
 
@@ -189,46 +189,44 @@ class Model:
 
     @staticmethod
     def word_rows(features: np.ndarray, cls: np.ndarray) -> np.ndarray:
-        return ((features.astype(np.int64) * 31 + cls[:, None] * 1009) & (ROWS - 1)).astype(np.uint16)
+        return (features * np.uint16(31) + (cls * 1009).astype(np.uint16)[:, None]) & np.uint16(ROWS - 1)
 
 
 def _scores(weights: np.ndarray, rows: np.ndarray, bias: np.ndarray) -> np.ndarray:
-    total = weights[rows[:, 0]] + bias
+    """Exponents of both softmaxes' terms; biases are logarithms of shares, so only weights could make them large."""
+    total = weights.take(rows[:, 0], 0) + bias
     for k in range(1, rows.shape[1]):
-        total += weights[rows[:, k]]
-    return total
+        total += weights.take(rows[:, k], 0)
+    return np.exp(np.minimum(total, 80, out=total), out=total)
 
 
 def _log_softmax_at(z: np.ndarray, at: np.ndarray) -> np.ndarray:
-    z -= z.max(1, keepdims=True)
-    own = z[np.arange(len(z)), at]
-    return own - np.log(np.exp(z, out=z).sum(1))
+    return np.log(np.maximum(z[np.arange(len(z)), at], 1e-37) / (z @ np.ones(z.shape[1], np.float32)))
 
 
 class Trainer:
-    """AdaGrad steps on both softmaxes."""
+    """AdaGrad steps on both softmaxes, with one step size for a row of weights."""
 
     def __init__(self, model: Model):
         self.model = model
         self.weights = [model.class_weights.copy(), model.word_weights.copy()]
-        self.squares = [np.full((ROWS, w.shape[1]), 1.0, np.float32) for w in self.weights]
+        self.squares = [np.full(ROWS, 1.0, np.float32) for _ in self.weights]
         self.touched = [np.zeros(ROWS, np.int64) for _ in self.weights]
 
     def _step(self, k: int, rows: np.ndarray, bias: np.ndarray, target: np.ndarray) -> None:
         w, h = self.weights[k], self.squares[k]
         z = _scores(w, rows, bias)
-        z -= z.max(1, keepdims=True)
-        np.exp(z, out=z)
-        z /= z.sum(1, keepdims=True)
+        z /= (z @ np.ones(z.shape[1], np.float32))[:, None]
         z[np.arange(len(z)), target] -= 1
         flat = rows.ravel()
         order = np.argsort(flat, kind="stable")
         ordered = flat[order]
         head = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]])
-        gradient = np.add.reduceat(z[order // FEATURES], head, axis=0)
+        gradient = np.add.reduceat(z.take(order // FEATURES, 0), head, axis=0)
         at = ordered[head]
-        h[at] += gradient * gradient
-        w[at] -= RATE * gradient / np.sqrt(h[at])
+        h[at] += np.einsum("ij,ij->i", gradient, gradient) / gradient.shape[1]
+        gradient *= (RATE / np.sqrt(h[at]))[:, None]
+        w[at] -= gradient
         self.touched[k] += np.bincount(flat, minlength=ROWS)
 
     def learn(self, h: np.ndarray, shape: np.ndarray, first: np.ndarray, head: WordTable) -> None:
@@ -361,7 +359,12 @@ def _score(shared):
 def score_documents(docs: DataFrame, model: Model, counts: DataFrame) -> DataFrame:
     """(doc_id, n_tokens, n_known, base_score, score) of every row of `docs` (doc_id, text)."""
     spark = docs.sparkSession
-    frequent = counts.select("word", "n").orderBy(F.desc("n"), "word").limit(TABLE_WORDS).toPandas()
+    # The frequent words are those above a count that at most TABLE_WORDS words reach.
+    level = F.floor(F.log2("n") * 32)
+    levels = counts.groupBy(level.alias("level")).agg(F.count("*").alias("words")).toPandas().sort_values("level", ascending=False)
+    fitting = levels["level"][levels["words"].cumsum() <= TABLE_WORDS]
+    least = int(fitting.min()) if len(fitting) else 1 << 30
+    frequent = counts.where(level >= least).select("word", "n").toPandas().sort_values("word")
     hashes = frequent["word"].to_numpy(np.int64).view(np.uint64)
     shared = spark.sparkContext.broadcast((model, hashes, frequent["n"].to_numpy(float)))
     schema = "row long, doc_id long, n_tokens long, known long, base double, score double, rare array<long>, times array<int>"
