@@ -8,24 +8,32 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 FILTER_BITS = 1 << 24
-_FOLD = 1 << 24
+PIECE_BITS = 1 << 18
+_FOLD = 1 << 40
 
 
-def slot(key: Column, second: Column | None = None) -> Column:
+def slot(key: Column, second: Column | None = None, bits: int = FILTER_BITS) -> Column:
     """A place in the bitmap, by arithmetic that `slots` repeats in numpy."""
     at = F.pmod(key, F.lit(_FOLD)) * 1000003
-    return F.pmod(at + second * 7919 if second is not None else at, F.lit(FILTER_BITS))
+    return F.pmod(at + second * 7919 if second is not None else at, F.lit(bits))
 
 
-def slots(key: np.ndarray, second: np.ndarray | int = 0) -> np.ndarray:
-    return (np.mod(key, _FOLD) * 1000003 + np.asarray(second, np.int64) * 7919) % FILTER_BITS
+def slots(key: np.ndarray, second: np.ndarray | int = 0, bits: int = FILTER_BITS) -> np.ndarray:
+    return (np.mod(key, _FOLD) * 1000003 + np.asarray(second, np.int64) * 7919) % bits
 
 
-def bitmap(at: DataFrame) -> np.ndarray:
-    """The slots in column `slot` as a bitmap of FILTER_BITS bits, whatever the number of rows."""
-    words = at.groupBy(F.expr("slot div 32").alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(slot % 32 as int))")).alias("bits")).toPandas()
-    packed = np.zeros(FILTER_BITS // 32, np.uint32)
-    packed[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64)
+def bitmap(at: DataFrame, bits: int = FILTER_BITS) -> np.ndarray:
+    """The slots in column `slot` as a bitmap of `bits` bits, whatever the number of rows: one small row a piece reaches the driver."""
+
+    def pack(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        marks = np.zeros(PIECE_BITS, np.uint8)
+        marks[rows["slot"].to_numpy() % PIECE_BITS] = 1
+        return pd.DataFrame({"piece": [key[0]], "bits": [np.packbits(marks, bitorder="little").tobytes()]})
+
+    pieces = at.select("slot").distinct().groupBy(F.expr(f"slot div {PIECE_BITS}").alias("piece")).applyInPandas(pack, "piece long, bits binary")
+    packed = np.zeros(bits // 32, np.uint32)
+    for piece, own in pieces.collect():
+        packed[piece * PIECE_BITS // 32 : (piece + 1) * PIECE_BITS // 32] = np.frombuffer(own, "<u4")
     return packed
 
 
@@ -33,12 +41,12 @@ def inside(packed: np.ndarray, at: np.ndarray) -> np.ndarray:
     return ((packed[at // 32] >> (at % 32).astype(np.uint32)) & np.uint32(1)).astype(bool)
 
 
-def maybe_in(spark: SparkSession, at: Column, keys: DataFrame) -> Column:
+def maybe_in(spark: SparkSession, at: Column, keys: DataFrame, bits: int = FILTER_BITS) -> Column:
     """Whether slot `at` is that of some row of `keys` (slot): always where it is one, and now and then by chance.
 
     Only the slots go to Python; the rest of the row, such as its text, stays in the JVM.
     """
-    packed = spark.sparkContext.broadcast(bitmap(keys))
+    packed = spark.sparkContext.broadcast(bitmap(keys, bits))
 
     @F.pandas_udf("boolean")
     def look(slots_of: pd.Series) -> pd.Series:

@@ -6,7 +6,7 @@ suffix whose longest match with an earlier suffix reaches WIDTH.
 
 No suffix array spans the corpus.  Every WIDTH-byte string picks the least of its GRAM-byte grams as its anchor,
 so equal strings have equal anchors.  Anchors that occur once can't lie in a repeat; they are counted first, by
-hash, with a combining aggregate.  The spans around the others (all WIDTH-byte strings that share one anchor) are
+hash, with a combining aggregate; documents that copy a whole earlier one are set aside before.  The spans around the others (all WIDTH-byte strings that share one anchor) are
 grouped by content before they meet by anchor, so thousands of copies of one passage arrive as one row with
 its first place.  Under each anchor with several different spans, the suffixes that can start a match are put in
 suffix order with ties by place, and the previous smaller place in that order is the longest previous factor.
@@ -23,11 +23,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import discard, materialise, table
-from .idfilter import bitmap, inside, maybe_in, slot, slots
+from .idfilter import bitmap, inside, maybe_in, slot, slots, without
 from .words import U, Chunk, chunks
 
 WIDTH = 100
 GRAM = 24
+GRAM_FILTER_BITS = 1 << 26
+JUDGED_SPANS = 2000  # brought into suffix order together, and those of their last gram
 _GRAMS = WIDTH - GRAM + 1
 _BLOCK_BITS = 21
 _BLOCK = (1 << _BLOCK_BITS) - _GRAMS
@@ -82,19 +84,16 @@ def _spans(found):
         repeated = found.value
         for batch in batches:
             ids, rows = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 2))
-            out = []
             for c in chunks(batch.column(1), fold=False):
                 gram, first, last = anchors(c)
-                may = inside(repeated, slots(gram.view(np.int64)))
+                may = inside(repeated, slots(gram.view(np.int64), bits=GRAM_FILTER_BITS))
                 gram, first, last = gram[may], first[may], last[may]
                 text = np.searchsorted(c.at, first, side="right") - 1
                 raw = c.data.tobytes()
                 whole = [raw[a:b] for a, b in zip(first.tolist(), (last + WIDTH).tolist())]
-                out.append((gram.view(np.int64), c.span_hash(first, last + WIDTH).view(np.int64), ids[c.first + text], rows[c.first + text], first - c.at[text], whole))
-            if out:
-                columns = [np.concatenate(x) for x in list(zip(*out))[:5]]
+                columns = (gram.view(np.int64), c.span_hash(first, last + WIDTH).view(np.int64), ids[c.first + text], rows[c.first + text], first - c.at[text])
                 yield pa.RecordBatch.from_arrays(
-                    [*(pa.array(x, pa.int64()) for x in columns), pa.array([s for o in out for s in o[5]], pa.binary())],
+                    [*(pa.array(x, pa.int64()) for x in columns), pa.array(whole, pa.binary())],
                     ["gram", "span_hash", "doc_id", "row_hash", "start", "span"],
                 )
 
@@ -135,29 +134,31 @@ def _runs(marked: np.ndarray) -> list[tuple[int, int]]:
 
 
 def _repeats(batches):
-    """Of spans sorted by gram and first place: which starts of each also start in an earlier span of its gram, as runs."""
+    """Of spans sorted by gram and first place: which starts of each also start in an earlier span of its gram, as runs.
+
+    A span without such a start has no row.
+    """
     held: list[pa.RecordBatch] = []
 
     def judge(rows: pa.Table):
         gram = rows.column("gram").to_numpy()
         several = np.r_[False, gram[1:] == gram[:-1]] | np.r_[gram[1:] == gram[:-1], False]
-        runs: list[list] = [[] for _ in gram]
-        at = np.flatnonzero(several)
+        at, runs = np.flatnonzero(several), []
         if len(at):
             spans = [x.as_py() for x in rows.column("span").take(pa.array(at))]
             earlier = previous_factors(spans, gram[at])
             cut = np.concatenate([[0], np.cumsum([len(s) - WIDTH + 1 for s in spans])])
             total = np.concatenate([[0], np.cumsum(earlier)])
-            for k in np.flatnonzero(total[cut[1:]] > total[cut[:-1]]):
-                runs[at[k]] = [{"from": a, "to": b} for a, b in _runs(earlier[cut[k] : cut[k + 1]])]
+            some = np.flatnonzero(total[cut[1:]] > total[cut[:-1]])
+            runs = [[{"from": a, "to": b} for a, b in _runs(earlier[cut[k] : cut[k + 1]])] for k in some]
+            at = at[some]
+        kept = rows.take(pa.array(at))
         return pa.RecordBatch.from_arrays(
-            [*(rows.column(k).combine_chunks() for k in ("gram", "span_hash", "doc_id", "start")), pa.array(runs, pa.list_(pa.struct([("from", pa.int64()), ("to", pa.int64())])))],
-            ["gram", "span_hash", "first_doc", "first_start", "runs"],
+            [*(kept.column(k).combine_chunks() for k in ("gram", "span_hash")), pa.array(runs, pa.list_(pa.struct([("from", pa.int64()), ("to", pa.int64())])))],
+            ["gram", "span_hash", "runs"],
         )
 
-    for batch in batches:
-        if not batch.num_rows:
-            continue
+    for batch in (whole.slice(k, JUDGED_SPANS) for whole in batches for k in range(0, whole.num_rows, JUDGED_SPANS)):
         gram = batch.column(0).to_numpy()
         cut = int(np.searchsorted(gram, gram[-1]))  # the last gram may go on in the next batch
         if cut:
@@ -171,34 +172,51 @@ def _repeats(batches):
         yield judge(pa.Table.from_batches(held))
 
 
-def repeated_spans(docs: DataFrame) -> DataFrame:
-    """(row_hash, cuts): the byte ranges to remove from each row that has any."""
-    spark = docs.sparkSession
+def copied_rows(rows: DataFrame) -> DataFrame:
+    """(key, size) of the rows whose whole text stands in a smaller doc_id: every byte of theirs goes."""
+    small = rows.select("doc_id", "row_hash", F.octet_length("text").alias("size"), F.xxhash64("text").alias("h"), F.crc32("text").alias("c"))
+    firsts = small.groupBy("h", "c", "size").agg(F.min("doc_id").alias("first_doc"), F.count("*").alias("n")).where("n > 1")
+    later = small.join(firsts, ["h", "c", "size"]).where("doc_id > first_doc")
+    return later.select(F.col("row_hash").alias("key"), "size").distinct()
+
+
+def repeated_spans(rows: DataFrame) -> DataFrame:
+    """(row_hash, cuts): the byte ranges to remove from each of the rows (doc_id, text, row_hash) that has any."""
+    spark = rows.sparkSession
+    copies = materialise(copied_rows(rows), "copies")
+    docs = without(rows, F.col("row_hash"), copies)
     counted = docs.select("text").mapInArrow(_gram_hashes, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).where("n > 1")
-    found = spark.sparkContext.broadcast(bitmap(counted.select(slot(F.col("gram")).alias("slot"))))
+    found = spark.sparkContext.broadcast(bitmap(counted.select(slot(F.col("gram"), bits=GRAM_FILTER_BITS).alias("slot")), GRAM_FILTER_BITS))
     spans = materialise(
-        docs.select("doc_id", "text", "row_hash").mapInArrow(_spans(found), "gram long, span_hash long, doc_id long, row_hash long, start long, span binary"), "spans"
+        docs.mapInArrow(_spans(found), "gram long, span_hash long, doc_id long, row_hash long, start long, span binary").withColumn("size", F.octet_length("span")), "spans"
     )
-    distinct = spans.groupBy("gram", "span_hash").agg(F.min(F.struct("doc_id", "start", "span")).alias("it")).select("gram", "span_hash", "it.*")
+    # Only grams with different spans need their bytes compared.
+    several = spans.groupBy("gram").agg(F.min("span_hash").alias("low"), F.max("span_hash").alias("high")).where("low != high")
+    maybe = maybe_in(spark, slot(F.col("gram"), bits=GRAM_FILTER_BITS), several.select(slot(F.col("gram"), bits=GRAM_FILTER_BITS).alias("slot")), GRAM_FILTER_BITS)
+    compared = spans.select("gram", "span_hash", "doc_id", "start", "span").where(maybe)
+    distinct = compared.groupBy("gram", "span_hash").agg(F.min(F.struct("doc_id", "start", "span")).alias("it")).select("gram", "span_hash", "it.*")
     ordered = distinct.repartition("gram").sortWithinPartitions("gram", "doc_id", "start")
-    judged = materialise(
-        ordered.mapInArrow(_repeats, "gram long, span_hash long, first_doc long, first_start long, runs array<struct<from:long,to:long>>"), "repeats"
-    )
-    places = spans.select("gram", "span_hash", "doc_id", "row_hash", "start", F.octet_length("span").alias("size"))
-    is_first = F.expr("doc_id = first_doc and start = first_start")
+    judged = materialise(ordered.mapInArrow(_repeats, "gram long, span_hash long, runs array<struct<from:long,to:long>>"), "repeats")
+    places = spans.select("gram", "span_hash", "doc_id", "row_hash", "start", "size")
+    firsts = places.groupBy("gram", "span_hash").agg(F.min(F.struct("doc_id", "start")).alias("first"))
+    is_first = (F.col("doc_id") == F.col("first.doc_id")) & (F.col("start") == F.col("first.start"))
+    kinds = "array<struct<from:long,to:long>>"
     cuts = (
-        places.join(judged, ["gram", "span_hash"])
+        places.join(firsts, ["gram", "span_hash"])
+        .join(judged, ["gram", "span_hash"], "left")
         .select(
             "row_hash",
             F.when(is_first, F.transform("runs", lambda r: F.struct((F.col("start") + r["from"]).alias("from"), (F.col("start") + r["to"] + WIDTH - 1).alias("to"))))
             .otherwise(F.array(F.struct(F.col("start").alias("from"), (F.col("start") + F.col("size")).alias("to"))))
+            .cast(kinds)
             .alias("own"),
         )
         .where(F.size("own") > 0)
         .groupBy("row_hash")
         .agg(F.flatten(F.collect_list("own")).alias("cuts"))
     )
-    cuts = materialise(cuts, "cuts")
+    whole = copies.select(F.col("key").alias("row_hash"), F.array(F.struct(F.lit(0).cast("long").alias("from"), F.col("size").cast("long").alias("to"))).alias("cuts"))
+    cuts = materialise(cuts.union(whole), "cuts")
     discard(spans)
     discard(judged)
     return cuts
