@@ -22,7 +22,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialise, table
-from .words import U, Chunk, chunks, mix
+from .maxent import WordTable
+from .words import U, Chunk, chunks
 
 EDIT_SHARE = (1, 4)  # at most a quarter of the item's words
 MIN_ITEM_WORDS = 5
@@ -50,63 +51,78 @@ def item_words(texts: list[str | None]) -> list[np.ndarray]:
 
 
 class Sampler:
-    """The sampled strings of all segments of the items, step by step."""
+    """The sampled strings of all segments of the items, over numbers of the items' words; any other word is 0."""
 
     def __init__(self, items: list[np.ndarray], seed: int = 8):
         random = np.random.default_rng(seed)
         self.items = items
-        self.plans = []
+        self.vocabulary = np.unique(np.concatenate(items)) if items else np.zeros(0, np.uint64)
+        self.base = len(self.vocabulary) + 1
+        self.numbered = numbered = [np.searchsorted(self.vocabulary, w) + 1 for w in items]
         segments = [(i, o) for i, w in enumerate(items) for o in range(0, max(1, len(w) - LEAST_SEGMENT + 1), STRIDE)]
+        self.plans = []
         for _ in range(REPETITIONS):
-            steps = np.sort(np.r_[0, 1 + random.choice(STEPS - 1, SAMPLED - 1, replace=False)])
-            salts = random.integers(1, 1 << 62, STEPS, dtype=np.int64).astype(np.uint64)
-            keys: list[list[int]] = [[] for _ in steps]
+            steps = np.sort(np.r_[0, 1 + random.choice(STEPS - 1, SAMPLED - 1, replace=False)]).tolist()
+            moves = random.integers(0, 2, (STEPS, self.base), dtype=np.int8)
             owners: dict[int, list[tuple[int, int]]] = {}
+            pairs, starts = [], np.zeros(self.base, bool)
             for i, o in segments:
-                w, p, key, own = items[i], o, U(0), []
-                with np.errstate(over="ignore"):
-                    for t in range(int(steps[-1]) + 1):
-                        if p >= len(w):
-                            own = []
-                            break
-                        if t in steps:
-                            key = mix(np.array([key * U(31) + w[p]]))[0]
-                            own.append(int(key))
-                        p += int(mix(np.array([w[p] ^ salts[t]]))[0] & U(1))
-                if len(own) == len(steps):
-                    for k, x in enumerate(own):
-                        keys[k].append(x)
-                    owners.setdefault(own[-1], []).append((i, o))
-            self.plans.append((steps, salts, [np.unique(np.array(k, np.uint64)) for k in keys], owners))
-
-    def candidates(self, h: np.ndarray, text_end: np.ndarray) -> set[tuple[int, int]]:
-        """(start of the item's window, item) over the words `h`; `text_end[k]`: where the text of word k ends."""
-        found = set()
-        for steps, salts, keys, owners in self.plans:
-            if not owners:
-                continue
-            at = np.arange(len(h))
-            p, key, stage = at, np.zeros(len(at), np.uint64), 0
-            for t in range(int(steps[-1]) + 1):
-                word = h[p]
-                if t == steps[stage]:
-                    key = mix(key * U(31) + word)
-                    place = np.minimum(np.searchsorted(keys[stage], key), len(keys[stage]) - 1)
-                    live = keys[stage][place] == key
-                    at, p, key, word = at[live], p[live], key[live], word[live]
-                    stage += 1
-                    if stage == len(steps):
+                w, p, keys = numbered[i], o, []
+                for t in range(steps[-1] + 1):
+                    if p >= len(w):
                         break
-                p = p + (mix(word ^ salts[t]) & U(1)).astype(np.int64)
-                live = p < text_end[at]
-                if not live.all():
-                    at, p, key = at[live], p[live], key[live]
-                if not len(at):
-                    break
-            if stage == len(steps):
-                for a, k in zip(at.tolist(), key.tolist()):
-                    found.update((a - o, i) for i, o in owners.get(k, ()))
-        return found
+                    if t in steps:
+                        keys.append((keys[-1] if keys else 0) * self.base + int(w[p]))
+                    p += int(moves[t, w[p]])
+                if len(keys) == SAMPLED:
+                    starts[keys[0]] = True
+                    pairs.append(keys[1])
+                    owners.setdefault(keys[-1], []).append((i, o))
+            last = sorted(owners)
+            listed = np.array([own for k in last for own in owners[k]], np.int64).reshape(-1, 2)
+            first = np.cumsum([0] + [len(owners[k]) for k in last])
+            self.plans.append((steps, moves, starts, self._marks(np.array(pairs, np.int64)), np.array(last, np.int64), first, listed[:, 0], listed[:, 1]))
+
+    @staticmethod
+    def _place(key: np.ndarray) -> np.ndarray:
+        return ((key.astype(np.uint64) * U(0x9E3779B97F4A7C15)) >> U(42)).astype(np.int64)
+
+    @classmethod
+    def _marks(cls, keys: np.ndarray) -> np.ndarray:
+        marks = np.zeros(1 << 22, bool)
+        marks[cls._place(keys)] = True
+        return marks
+
+    def candidates(self, own: np.ndarray, text_end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct (item, start of its window) over word numbers `own`; `text_end[k]`: where the text of word k ends."""
+        items, windows = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        n = len(own)
+        own = np.r_[own, np.zeros(STEPS, np.int64)]
+        for steps, moves, starts, marks, last, first, item, offset in self.plans:
+            at = np.flatnonzero(starts[own[:n]])
+            p, key = at, np.zeros(len(at), np.int64)
+            for t in range(steps[-1] + 1):
+                word = own[p]
+                if t in steps:
+                    key = key * self.base + word
+                    if t == steps[-1]:
+                        live = np.isin(key, last)
+                    elif t > 0:
+                        live = marks[self._place(key)]
+                    else:
+                        live = None
+                    if live is not None:
+                        live &= (word > 0) & (p < text_end[at])
+                        at, p, key, word = at[live], p[live], key[live], word[live]
+                p = p + moves[t].take(word)
+            k = np.searchsorted(last, key)
+            per = first[k + 1] - first[k]
+            entry = np.repeat(first[k], per) + np.arange(per.sum()) - np.repeat(np.cumsum(per) - per, per)
+            items.append(item[entry])
+            windows.append(np.repeat(at, per) - offset[entry])
+        # A window may begin before the first word, by fewer words than an item has.
+        both = np.unique((np.concatenate(items) << 40) + np.concatenate(windows) + (1 << 32))
+        return both >> 40, (both & ((1 << 40) - 1)) - (1 << 32)
 
 
 def best_alignment(item: np.ndarray, window: np.ndarray) -> tuple[int, int]:
@@ -140,25 +156,42 @@ def limit_of(n_words: int) -> int:
 
 def _search(sampler: Sampler, item_ids: list[int]):
     """(row, item, distance, end word) of every verified match in a text column."""
+    table = WordTable(sampler.vocabulary)
+    sizes = np.array([len(w) for w in sampler.items])
+
+    def plausible(own: np.ndarray, i: int, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """Windows that hold enough of the item's distinct words: an edit loses one of them at most."""
+        distinct = np.unique(sampler.numbered[i])[:64]
+        bit = np.zeros(sampler.base, np.uint64)
+        bit[distinct] = U(1) << np.arange(len(distinct), dtype=np.uint64)
+        at = low[:, None] + np.arange(int((high - low).max(initial=0)))
+        held = bit[own[np.minimum(at, len(own) - 1)]]
+        held[at >= high[:, None]] = 0
+        return np.bitwise_count(np.bitwise_or.reduce(held, axis=1)) >= len(distinct) - limit_of(int(sizes[i]))
 
     def search(column):
         for c in chunks(column):
             h, first = words_of(c)
-            if not len(h):
+            if not len(h) or not len(sizes):
                 continue
+            own = table.of(h) + 1
             text = np.repeat(np.arange(c.n), np.diff(first))
+            items, starts = sampler.candidates(own, first[1:][text])
             best: dict[tuple[int, int], tuple[int, int]] = {}
-            for start, i in sorted(sampler.candidates(h, first[1:][text])):
-                item = sampler.items[i]
-                slack = limit_of(len(item))
+            cuts = np.searchsorted(items, np.arange(len(sizes) + 1))
+            for i in np.flatnonzero(np.diff(cuts)).tolist():
+                item, slack = sampler.items[i], limit_of(int(sizes[i]))
+                start = starts[cuts[i] : cuts[i + 1]]
                 # Edits move a window's ends, so either end may lie in a neighbouring text.
-                for k in {int(text[min(max(at, 0), len(h) - 1)]) for at in (start, start + len(item) - 1)}:
+                ends = np.clip(np.concatenate([start, start + sizes[i] - 1]), 0, len(h) - 1)
+                k, start = text[ends], np.concatenate([start, start])
+                low, high = np.maximum(first[k], start - slack), np.minimum(first[k + 1], start + sizes[i] + slack)
+                enough = high - low >= sizes[i] - slack
+                k, low, high = k[enough], low[enough], high[enough]
+                enough = plausible(own, i, low, high)
+                for k, low, high in sorted(set(zip(k[enough].tolist(), low[enough].tolist(), high[enough].tolist()))):
                     if best.get((k, i), (1, 0))[0] == 0:
                         continue
-                    low = max(int(first[k]), start - slack)
-                    high = min(int(first[k + 1]), start + len(item) + slack)
-                    if high - low < len(item) - slack:
-                        continue
                     distance, end = best_alignment(item, h[low:high])
                     if distance <= slack and distance < best.get((k, i), (slack + 1, 0))[0]:
                         best[k, i] = distance, low + end - int(first[k])
