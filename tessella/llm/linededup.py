@@ -20,11 +20,24 @@ from pyspark.sql import functions as F
 
 from .common import discard, materialise, table
 from .idfilter import bitmap, inside, maybe_in, slot, slots
-from .words import SPACE, U, Chunk, chunks, mix
+from .words import U, Chunk, chunks, mix
 
 SIMILARITY = (4, 5)  # at least 4/5
 MIN_WORDS = 5
 SKETCH_SLOTS = 1 << 22
+MAX_RANK = 32767  # a rank kept too low only lets a pair through to its verification
+
+
+def _by_line(h: np.ndarray, line: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes sorted within their lines, which are in order already: one sort of line and hash packed together."""
+    packed = (line.astype(np.uint64) << U(40)) | (h >> U(24))
+    order = np.argsort(packed, kind="stable")
+    ordered = packed[order]
+    h = h[order]
+    if ((ordered[1:] == ordered[:-1]) & (h[1:] != h[:-1])).any() or (len(line) and int(line[-1]) >> 24):
+        order = np.lexsort((h, line[order]))
+        h = h[order]
+    return h, line
 
 
 def _line_sets(c: Chunk) -> tuple[np.ndarray, ...]:
@@ -34,8 +47,7 @@ def _line_sets(c: Chunk) -> tuple[np.ndarray, ...]:
     h = c.span_hash(start, end)
     # Lines are in text order and a text's lines begin where it begins, so the last line begun at a word is its own.
     line = np.searchsorted(ls, start, side="right") - 1
-    order = np.lexsort((h, line))
-    h, line = h[order], line[order]
+    h, line = _by_line(h, line)
     fresh = np.ones(len(h), bool)
     fresh[1:] = (h[1:] != h[:-1]) | (line[1:] != line[:-1])
     h, line = h[fresh], line[fresh]
@@ -81,7 +93,8 @@ def _prefix_lines(sketch):
                 if not len(h):
                     continue
                 level = levels[(h & U(SKETCH_SLOTS - 1)).astype(np.int64)]
-                order = np.lexsort((h, level, line))
+                # Words are in the order of their hashes already, so a stable sort by line and level keeps it.
+                order = np.argsort((line << 8) | level, kind="stable")
                 text, place, h, line, level = (x[order] for x in (text, place, h, line, level))
                 head = np.flatnonzero(np.r_[True, line[1:] != line[:-1]])
                 size = np.diff(np.r_[head, len(h)])
@@ -107,7 +120,7 @@ def _prefix_lines(sketch):
                         pa.array(a.view(np.int64)),
                         pa.array(b.view(np.int64)),
                         pa.ListArray.from_arrays(cuts, pa.array(words.view(np.int64))),
-                        pa.ListArray.from_arrays(cuts, pa.array(ranks, pa.int32())),
+                        pa.ListArray.from_arrays(cuts, pa.array(np.minimum(ranks, MAX_RANK), pa.int16())),
                     ],
                     ["doc_id", "line", "size", "set_a", "set_b", "words", "ranks"],
                 )
@@ -146,10 +159,11 @@ def _sets(column) -> tuple[list[np.ndarray], np.ndarray]:
 def _verify(batches):
     num, den = SIMILARITY
     for batch in batches:
-        left, right = (_sets(batch.column(k))[0] for k in (3, 4))
+        (left, left_sums), (right, right_sums) = (_sets(batch.column(k)) for k in (3, 4))
         shared = np.array([len(np.intersect1d(x, y, assume_unique=True)) for x, y in zip(left, right)], np.int64)
         union = np.array([len(x) + len(y) for x, y in zip(left, right)], np.int64) - shared
-        mine = np.array([y.sum(dtype=np.uint64) for y in right], np.uint64).view(np.int64) == batch.column(2).to_numpy()
+        # Rows that repeat a doc_id share a place: only the texts that the pair is about count.
+        mine = (left_sums.view(np.int64) == batch.column(5).to_numpy()) & (right_sums.view(np.int64) == batch.column(2).to_numpy())
         similar = pa.array((den * shared >= num * union) & mine)
         yield pa.RecordBatch.from_arrays([batch.column(k).filter(similar) for k in (0, 1, 2)], ["doc_id", "line", "set_a"])
 
@@ -160,39 +174,48 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("doc_id is not null and text is not null")
     sketch = spark.sparkContext.broadcast(rarity_sketch(texts))
     lines = materialise(
-        texts.mapInArrow(_prefix_lines(sketch), "doc_id long, line int, size int, set_a long, set_b long, words array<long>, ranks array<int>"), "lines"
+        texts.mapInArrow(_prefix_lines(sketch), "doc_id long, line int, size int, set_a long, set_b long, words array<long>, ranks array<smallint>"), "lines"
     )
     keys = ["set_a", "set_b", "size"]
-    classes = materialise(lines.groupBy(*keys).agg(F.min(F.struct("doc_id", "line", "words", "ranks")).alias("it")).select(*keys, "it.*"), "line-classes")
+    classes = lines.groupBy(*keys).agg(F.min(F.struct("doc_id", "line", "words", "ranks")).alias("it")).select(*keys, "it.*")
+    classes = materialise(classes.withColumn("id", F.monotonically_increasing_id()), "line-classes")
     num, den = SIMILARITY
-    posting = classes.select("doc_id", "line", "size", "set_a", F.explode(F.arrays_zip("words", "ranks")).alias("p")).select(
-        "doc_id", "line", "size", "set_a", F.col("p.words").alias("word"), F.col("p.ranks").alias("rank")
+    posting = classes.select("id", "size", F.explode(F.arrays_zip("words", "ranks")).alias("p")).select(
+        F.col("p.words").alias("word"), "id", "size", F.col("p.ranks").alias("rank")
     )
     x, y = posting.alias("x"), posting.alias("y")
     need = F.expr(f"ceil({num} * (x.size + y.size) / ({num} + {den}))")
-    pairs = (
+    matched = (
         x.join(
             y,
             (F.col("x.word") == F.col("y.word"))
-            & F.expr("x.doc_id < y.doc_id or (x.doc_id = y.doc_id and x.line < y.line)")
+            & F.expr("x.id < y.id")
             & F.expr(f"{den} * least(x.size, y.size) >= {num} * greatest(x.size, y.size)")
-            & (F.expr("1 + least(x.size - x.rank, y.size - y.rank) - 1") >= need),
-        )
-        .select(
-            F.col("x.doc_id").alias("a_doc"), F.col("x.line").alias("a_line"), F.col("y.doc_id").alias("doc_id"), F.col("y.line").alias("line"), F.col("y.set_a").alias("set_a")
+            & (F.expr("least(x.size - x.rank, y.size - y.rank)") >= need),
         )
+        .select(F.col("x.id").alias("i"), F.col("y.id").alias("j"))
         .distinct()
     )
-    pairs = materialise(pairs, "line-pairs")
-    ends = pairs.select(F.col("a_doc").alias("d"), F.col("a_line").alias("l")).union(pairs.select("doc_id", "line"))
-    found = spark.sparkContext.broadcast(bitmap(ends.select(slot(F.col("d"), F.col("l").cast("long")).alias("slot"))))
-    some = materialise(texts.mapInArrow(_wanted_lines(found), "doc_id long, line int, words string"), "line-texts")
-    left = some.select(F.col("doc_id").alias("a_doc"), F.col("line").alias("a_line"), F.col("words").alias("a_words"))
-    right = some.select("doc_id", "line", F.col("words").alias("b_words"))
+    pairs = materialise(matched, "line-pairs")
+    ends = pairs.select(F.col("i").alias("id")).union(pairs.select("j")).distinct()
+    wanted = materialise(classes.select("id", "doc_id", "line", "set_a").join(ends, "id", "left_semi"), "wanted-lines")
+    found = spark.sparkContext.broadcast(bitmap(wanted.select(slot(F.col("doc_id"), F.col("line").cast("long")).alias("slot"))))
+    some = texts.mapInArrow(_wanted_lines(found), "doc_id long, line int, words string").join(wanted, ["doc_id", "line"])
+    some = materialise(some.select("id", F.struct("doc_id", "line", "set_a").alias("it"), "words"), "line-texts")
+    left = some.select(F.col("id").alias("i"), F.col("it").alias("p"), F.col("words").alias("p_words"))
+    right = some.select(F.col("id").alias("j"), F.col("it").alias("q"), F.col("words").alias("q_words"))
+    earlier = F.least("p", "q")
     similar = (
-        pairs.join(left, ["a_doc", "a_line"])
-        .join(right, ["doc_id", "line"])
-        .select("doc_id", "line", "set_a", "a_words", "b_words")
+        pairs.join(left, "i")
+        .join(right, "j")
+        .where("p.doc_id != q.doc_id or p.line != q.line")
+        .select(
+            F.greatest("p", "q").alias("it"),
+            earlier["set_a"].alias("a_set"),
+            F.when(earlier == F.col("p"), F.col("p_words")).otherwise(F.col("q_words")).alias("a_words"),
+            F.when(earlier == F.col("p"), F.col("q_words")).otherwise(F.col("p_words")).alias("b_words"),
+        )
+        .select("it.doc_id", "it.line", "it.set_a", "a_words", "b_words", "a_set")
         .mapInArrow(_verify, "doc_id long, line int, set_a long")
         .distinct()
     )
