@@ -40,7 +40,6 @@ _POPULATION = np.array([bin(k).count("1") for k in range(256)], np.uint8)
 
 def _signatures(batches):
     for batch in batches:
-        ids = batch.column(0).to_numpy(zero_copy_only=False)
         rows = []
         for c in chunks(batch.column(1)):
             value, first = shingles(*word_hashes(c), SHINGLE)
@@ -55,14 +54,14 @@ def _signatures(batches):
                 for k, m in enumerate(_MULTIPLIERS):
                     low[full, k] = np.minimum.reduceat(value * m, at) >> U(32)
             two = np.unpackbits(((mix(low.astype(np.uint64)) & U(3)).astype(np.uint8) << 6)[..., None], axis=2, count=2)
-            rows.append((ids[c.first : c.last], count, sums, np.ascontiguousarray(low[:, : TREES * DEPTH]), np.packbits(two.reshape(c.n, -1), axis=1)))
+            rows.append((count, sums, np.ascontiguousarray(low[:, : TREES * DEPTH]), np.packbits(two.reshape(c.n, -1), axis=1)))
         if rows:
             yield pa.RecordBatch.from_arrays(
                 [
+                    batch.column(0),
                     pa.array(np.concatenate([r[0] for r in rows]), pa.int64()),
-                    pa.array(np.concatenate([r[1] for r in rows]), pa.int64()),
-                    *(pa.array(np.concatenate([r[2][k] for r in rows]).view(np.int64)) for k in range(2)),
-                    *(pa.array([x.tobytes() for r in rows for x in r[k]], pa.binary()) for k in (3, 4)),
+                    *(pa.array(np.concatenate([r[1][k] for r in rows]).view(np.int64)) for k in range(2)),
+                    *(pa.array([x.tobytes() for r in rows for x in r[k]], pa.binary()) for k in (2, 3)),
                 ],
                 ["row_id", "n_shingles", "set_a", "set_b", "signature", "sketch"],
             )

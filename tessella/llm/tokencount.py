@@ -113,7 +113,7 @@ def count_tokens(blocks: DataFrame, eod: int = END_OF_DOCUMENT, block: int = BLO
     manifest = "doc_ids" in blocks.columns
     found = materialise(_separators(blocks, eod, block), "separators")
     small = found.select(
-        "file", "block", F.floor(F.col("block") / SPAN).alias("span"), F.element_at("separators", -1).alias("last"), F.size("separators").alias("n"), "n_tokens"
+        "file", "block", F.floor(F.col("block") / SPAN).alias("span"), F.try_element_at("separators", F.lit(-1)).alias("last"), F.size("separators").alias("n"), "n_tokens"
     )
     spans = small.groupBy("file", "span").agg(F.max("last").alias("span_last"), F.sum("n").alias("span_n"), F.max(F.col("block") * block + F.col("n_tokens")).alias("span_end"))
     earlier = Window.partitionBy("file").orderBy("span").rowsBetween(Window.unboundedPreceding, -1)
