@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 
-def _fields(spec: str) -> T.StructType:
-    return T.StructType.fromDDL(spec)
+def schema_of(kind: str) -> T.StructType:
+    """The type of a record kind; parsing it needs a session."""
+    return T.StructType.fromDDL(SCHEMAS[kind])
 
 
 _SCORES = (
@@ -15,33 +16,33 @@ _SCORES = (
 )
 _HIDDEN = "struct<principles_applied:array<string>,source_passages:array<string>,source_passage_notes:map<string,string>,intended_divergence_note:string,hypothesis_id:string>"
 
-SCHEMAS: dict[str, T.StructType] = {
-    "family": _fields(
+SCHEMAS: dict[str, str] = {
+    "family": (
         "family_id string, target_id string, domain string, tradeoff_ids array<string>, principle_ids array<string>, case_type_intent string, "
         "seed_situation string, why_it_is_hard string, split string, source_passage_ids array<string>, generator_model string, spec_version string, "
         "counterfactual_group_id string, varied_fact string, varied_axis string, situation_features map<string,string>, reserved_reason string, "
         "mode string, slot_index int, divergence_hypothesis_id string, asker_stance string, institution string, layers_generated array<string>"
     ),
-    "prompt": _fields("prompt_id string, family_id string, variant string, text string, case_type string, mode string, register string, question_kind string"),
-    "response": _fields(
+    "prompt": ("prompt_id string, family_id string, variant string, text string, case_type string, mode string, register string, question_kind string"),
+    "response": (
         f"response_id string, prompt_id string, deliberation string, answer string, hidden {_HIDDEN}, generator_model string, usage string, "
         "revise_rounds int, mode string, expected_actions string, varied_fact_effect string"
     ),
-    "review": _fields(
+    "review": (
         f"review_id string, response_id string, reviewer_model string, scores {_SCORES}, issues array<string>, verdict string, rationale string, "
         "judgment_evidence_quote string, judgment_move string, signature_moves_present array<string>, notes array<string>"
     ),
-    "baseline": _fields("prompt_id string, base_model string, text string, usage string, kind string, finish_reason string"),
-    "verdict": _fields(
+    "baseline": ("prompt_id string, base_model string, text string, usage string, kind string, finish_reason string"),
+    "verdict": (
         "prompt_id string, judge_model string, diverges boolean, kind string, explanation string, presented_first string, candidate_action string, "
         "base_action string, generic_action string, closer_to string, diverges_vs_base boolean, diverges_vs_generic boolean, generic_differs_from_base boolean, "
         "value_named string, generic_echo string, generic_makes_same_claim boolean, label_order string, divergence_source string, hypothesis_id string, unverified_reason string"
     ),
-    "decision": _fields(
+    "decision": (
         "response_id string, keep boolean, reasons array<string>, final_case_type string, duplicate_of string, max_leakage double, divergence_status string, "
         "divergence_kind string, divergence_source string, soft_cue_hits array<string>"
     ),
-    "usage": _fields(
+    "usage": (
         "stage string, role string, model string, record_id string, request_id string, prompt_tokens bigint, completion_tokens bigint, reasoning_tokens bigint, "
         "cost_usd double, latency_s double, finish_reason string"
     ),

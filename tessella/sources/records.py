@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..schema import DEFAULTS, SCHEMAS
+from ..schema import DEFAULTS, schema_of
 
 
 class RecordError(ValueError):
@@ -31,7 +31,7 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
 
 def read_records(spark: SparkSession, path: str, kind: str) -> DataFrame:
     """A typed table: known fields with their defaults, unknown ones dropped; malformed lines fail the read."""
-    schema = SCHEMAS[kind]
+    schema = schema_of(kind)
     own = T.StructType([T.StructField(f.name, f.dataType, True) for f in schema])
     parsed = read_lines(spark, path).withColumn("it", F.from_json("value", own, {"mode": "FAILFAST"}))
     return parsed.select("ordinal", *(_default(F.col(f"it.{f.name}"), kind, f).alias(f.name) for f in schema))
@@ -80,7 +80,7 @@ def parse_passages(texts: DataFrame) -> DataFrame:
         "place",
         F.trim(F.get(cut, F.lit(0))).alias("passage_id"),
         F.trim(F.coalesce(F.get(cut, F.lit(1)), F.lit(""))).alias("title"),
-        F.trim(F.regexp_replace("block", r"^[^\n]*\n?", "")).alias("body"),
+        F.regexp_replace("block", r"^[^\n]*\n?\s*|\s+$", "").alias("body"),
     )
 
 
