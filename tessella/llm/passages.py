@@ -29,6 +29,7 @@ from .words import U, Chunk, chunks
 WIDTH = 100
 GRAM = 24
 GRAM_FILTER_BITS = 1 << 26
+SLICE_BYTES = 1 << 18
 JUDGED_SPANS = 2000  # brought into suffix order together, and those of their last gram
 _GRAMS = WIDTH - GRAM + 1
 _BLOCK_BITS = 21
@@ -72,7 +73,7 @@ def anchors(c: Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def _gram_hashes(batches):
     for batch in batches:
-        found = [anchors(c)[0] for c in chunks(batch.column(0), fold=False)]
+        found = [anchors(c)[0] for c in chunks(batch.column(0), fold=False, size=SLICE_BYTES)]
         gram, n = np.unique(np.concatenate(found) if found else np.zeros(0, np.uint64), return_counts=True)
         yield pa.RecordBatch.from_arrays([pa.array(gram.view(np.int64)), pa.array(n)], ["gram", "n"])
 
@@ -84,7 +85,7 @@ def _spans(found):
         repeated = found.value
         for batch in batches:
             ids, rows = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 2))
-            for c in chunks(batch.column(1), fold=False):
+            for c in chunks(batch.column(1), fold=False, size=SLICE_BYTES):
                 gram, first, last = anchors(c)
                 may = inside(repeated, slots(gram.view(np.int64), bits=GRAM_FILTER_BITS))
                 gram, first, last = gram[may], first[may], last[may]
@@ -184,13 +185,14 @@ def repeated_spans(rows: DataFrame) -> DataFrame:
     """(row_hash, cuts): the byte ranges to remove from each of the rows (doc_id, text, row_hash) that has any."""
     spark = rows.sparkSession
     copies = materialise(copied_rows(rows), "copies")
-    docs = without(rows, F.col("row_hash"), copies)
+    docs = materialise(without(rows, F.col("row_hash"), copies), "distinct-texts")
     counted = docs.select("text").mapInArrow(_gram_hashes, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).where("n > 1")
     found = spark.sparkContext.broadcast(bitmap(counted.select(slot(F.col("gram"), bits=GRAM_FILTER_BITS).alias("slot")), GRAM_FILTER_BITS))
     spans = materialise(
         docs.mapInArrow(_spans(found), "gram long, span_hash long, doc_id long, row_hash long, start long, span binary").withColumn("size", F.octet_length("span")), "spans"
     )
     # Only grams with different spans need their bytes compared.
+    discard(docs)
     several = spans.groupBy("gram").agg(F.min("span_hash").alias("low"), F.max("span_hash").alias("high")).where("low != high")
     maybe = maybe_in(spark, slot(F.col("gram"), bits=GRAM_FILTER_BITS), several.select(slot(F.col("gram"), bits=GRAM_FILTER_BITS).alias("slot")), GRAM_FILTER_BITS)
     compared = spans.select("gram", "span_hash", "doc_id", "start", "span").where(maybe)
