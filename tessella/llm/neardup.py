@@ -9,7 +9,8 @@ longest common prefix, in a sparse one those that share MIN_DEPTH values are eno
 Orders are made by a range partitioning on the whole signature, so a region of any size is spread over as many
 tasks as its rows need, and a task keeps only the last `window` rows.  Candidates are never all pairs of a
 region: first each class is held against its closest neighbours, links confirmed on the full sets join classes
-into components, and then only neighbours that are still in different components are held against each other.
+into components, then against the closest of other components, and then only neighbours that are still in
+different components are held against each other.
 """
 
 from __future__ import annotations
@@ -87,10 +88,10 @@ def _explode_trees(batches):
             )
 
 
-def _neighbours(lags: int, apart: bool):
+def _neighbours(lags: int, apart: bool, nearest: bool):
     """Candidate pairs among rows in key order: within `lags` rows, MIN_DEPTH leading values shared, sizes and sketches near.
 
-    With `apart`, only pairs of different components.
+    With `apart`, only pairs of different components; with `nearest`, only the first such of each row.
     """
     width = 1 + 4 * DEPTH
 
@@ -107,7 +108,7 @@ def _neighbours(lags: int, apart: bool):
                 fresh = len(kept[0])
                 key, sketch, node, size, component = (np.concatenate(x) for x in zip(kept, (key, sketch, node, size, component)))
             prefix = np.ascontiguousarray(key[:, : 1 + 4 * MIN_DEPTH]).view(f"V{1 + 4 * MIN_DEPTH}").ravel()
-            out = []
+            out, done = [], np.zeros(len(node), bool)
             for lag in range(1, min(lags, len(node) - 1) + 1):
                 later = np.arange(max(lag, fresh), len(node))
                 later = later[prefix[later] == prefix[later - lag]]
@@ -123,6 +124,9 @@ def _neighbours(lags: int, apart: bool):
                 differ = _POPULATION[(differ | (differ >> 1)) & 0x55].sum(1)
                 same = 1 - differ / (4 * SKETCH_BYTES)
                 close = same >= SKETCH_AGREE
+                if nearest:
+                    close &= ~done[b]
+                    done[b[close]] = True
                 out.append((node[a[close]], node[b[close]], same[close]))
             kept = [x[-lags:].copy() for x in (key, sketch, node, size, component)]
             if out:
@@ -132,12 +136,12 @@ def _neighbours(lags: int, apart: bool):
     return near
 
 
-def _candidates(classes: DataFrame, lags: int, apart: bool) -> DataFrame:
+def _candidates(classes: DataFrame, lags: int, apart: bool, nearest: bool = False) -> DataFrame:
     rows = classes.select("node", "n_shingles", "component", "signature", "sketch").mapInArrow(
         _explode_trees, "key binary, node long, size long, component long, sketch binary"
     )
     ordered = rows.repartitionByRange("key", "node").sortWithinPartitions("key", "node")
-    return ordered.mapInArrow(_neighbours(lags, apart), "a long, b long, same double").groupBy("a", "b").agg(F.max("same").alias("same"))
+    return ordered.mapInArrow(_neighbours(lags, apart, nearest), "a long, b long, same double").groupBy("a", "b").agg(F.max("same").alias("same"))
 
 
 def _confirm(batches):
@@ -175,6 +179,13 @@ def _linked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return links
 
 
+def _closest(pairs: DataFrame) -> DataFrame:
+    """The CLOSEST pairs of each class."""
+    either = pairs.select(F.col("a").alias("x"), "a", "b", "same").union(pairs.select(F.col("b").alias("x"), "a", "b", "same"))
+    best = F.row_number().over(Window.partitionBy("x").orderBy(F.desc("same"), "a", "b"))
+    return either.withColumn("place", best).where(F.col("place") <= CLOSEST).select("a", "b").distinct()
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """One row per row of `docs` (doc_id, text): doc_id, n_shingles, component_id and kept.
 
@@ -189,19 +200,22 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     named = made.where("n_shingles > 0 and row_id is not null")
     members = named.groupBy("set_a", "set_b", "n_shingles").agg(F.min("row_id").alias("node"), F.min("signature").alias("signature"), F.min("sketch").alias("sketch"))
     classes = materialise(members.withColumn("component", F.col("node")), "classes")
-    first = _candidates(classes, 1, False)
-    either = first.select(F.col("a").alias("x"), "a", "b", "same").union(first.select(F.col("b").alias("x"), "a", "b", "same"))
-    best = F.row_number().over(Window.partitionBy("x").orderBy(F.desc("same"), "a", "b"))
-    pairs = materialise(either.withColumn("place", best).where(F.col("place") <= CLOSEST).select("a", "b").distinct(), "pairs")
-    links = _linked(pairs, texts)
-
-    joined = connected_components(links)
-    grown = classes.drop("component").join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    apart = materialise(_candidates(grown, WINDOW, True).join(pairs, ["a", "b"], "left_anti").select("a", "b"), "pairs")
-    more = _linked(apart, texts)
+    grown, links, tried, component = classes, None, None, None
+    # Each round's candidates: the closest rows, then the closest of another component, then all of other components.
+    for lags, apart, nearest in ((1, False, True), (WINDOW, True, True), (WINDOW, True, False)):
+        pairs = _candidates(grown, lags, apart, nearest)
+        if nearest:
+            pairs = _closest(pairs)
+        if tried is not None:
+            pairs = pairs.join(tried, ["a", "b"], "left_anti")
+        pairs = materialise(pairs.select("a", "b"), "pairs")
+        found = _linked(pairs, texts)
+        links = found if links is None else links.union(found)
+        tried = pairs if tried is None else tried.union(pairs)
+        component = materialise(connected_components(links), "components")
+        grown = classes.drop("component").join(component, "node", "left").withColumn("component", F.coalesce("component", "node"))
 
     same_set = named.join(classes.select("set_a", "set_b", "n_shingles", "node"), ["set_a", "set_b", "n_shingles"]).select("row_id", "node").distinct()
-    component = materialise(connected_components(links.union(more)), "components")
     of_row = same_set.join(component, "node", "left").groupBy("row_id").agg(F.min(F.coalesce("component", "node")).alias("component_id"))
     return (
         made.select("row_id", "n_shingles")
