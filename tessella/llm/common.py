@@ -2,13 +2,30 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def tidy(function):
+    """`function` over batches, after which its worker gives back what its libraries hold: workers outlive their tasks."""
+
+    def run(batches):
+        try:
+            yield from function(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            with contextlib.suppress(OSError, AttributeError):  # where there is no glibc
+                ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+    return run
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

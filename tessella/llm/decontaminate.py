@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, table
+from .common import materialise, table, tidy
 from .maxent import WordTable
 from .words import U, Chunk, chunks
 
@@ -218,7 +218,7 @@ def find_items(docs: DataFrame, items: list[tuple[int, str | None]]) -> DataFram
             )
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.xxhash64("doc_id", "text").alias("row_hash"))
-    return texts.mapInArrow(match, "doc_id long, row_hash long, item_id long, distance long, end_word long")
+    return texts.mapInArrow(tidy(match), "doc_id long, row_hash long, item_id long, distance long, end_word long")
 
 
 def benchmark_matches(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, materialise, table
+from .common import discard, materialise, table, tidy
 from .idfilter import bitmap, inside, maybe_in, slot, slots
 from .words import U, Chunk, chunks, mix
 
@@ -68,7 +68,7 @@ def _count_words(batches):
 
 def rarity_sketch(texts: DataFrame) -> np.ndarray:
     """SKETCH_SLOTS levels: 0 where no word of the slot stands in two lines, else growing with the most frequent's lines."""
-    counts = texts.select("text").mapInArrow(_count_words, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    counts = texts.select("text").mapInArrow(tidy(_count_words), "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
     level = F.least(F.lit(255), F.floor(F.log2("n") * 6) + 1).cast("long")
     at = F.pmod("word", F.lit(SKETCH_SLOTS))
     slot_levels = counts.where("n > 1").groupBy(at.alias("at")).agg(F.max(level).alias("level"))
@@ -174,7 +174,7 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("doc_id is not null and text is not null")
     sketch = spark.sparkContext.broadcast(rarity_sketch(texts))
     lines = materialise(
-        texts.mapInArrow(_prefix_lines(sketch), "doc_id long, line int, size int, set_a long, set_b long, words array<long>, ranks array<smallint>"), "lines"
+        texts.mapInArrow(tidy(_prefix_lines(sketch)), "doc_id long, line int, size int, set_a long, set_b long, words array<long>, ranks array<smallint>"), "lines"
     )
     keys = ["set_a", "set_b", "size"]
     classes = lines.groupBy(*keys).agg(F.min(F.struct("doc_id", "line", "words", "ranks")).alias("it")).select(*keys, "it.*")
@@ -200,7 +200,7 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     ends = pairs.select(F.col("i").alias("id")).union(pairs.select("j")).distinct()
     wanted = materialise(classes.select("id", "doc_id", "line", "set_a").join(ends, "id", "left_semi"), "wanted-lines")
     found = spark.sparkContext.broadcast(bitmap(wanted.select(slot(F.col("doc_id"), F.col("line").cast("long")).alias("slot"))))
-    some = texts.mapInArrow(_wanted_lines(found), "doc_id long, line int, words string").join(wanted, ["doc_id", "line"])
+    some = texts.mapInArrow(tidy(_wanted_lines(found)), "doc_id long, line int, words string").join(wanted, ["doc_id", "line"])
     some = materialise(some.select("id", F.struct("doc_id", "line", "set_a").alias("it"), "words"), "line-texts")
     left = some.select(F.col("id").alias("i"), F.col("it").alias("p"), F.col("words").alias("p_words"))
     right = some.select(F.col("id").alias("j"), F.col("it").alias("q"), F.col("words").alias("q_words"))
@@ -216,7 +216,7 @@ def removed_lines(docs: DataFrame) -> DataFrame:
             F.when(earlier == F.col("p"), F.col("q_words")).otherwise(F.col("p_words")).alias("b_words"),
         )
         .select("it.doc_id", "it.line", "it.set_a", "a_words", "b_words", "a_set")
-        .mapInArrow(_verify, "doc_id long, line int, set_a long")
+        .mapInArrow(tidy(_verify), "doc_id long, line int, set_a long")
         .distinct()
     )
     similar = materialise(similar, "similar-lines")
@@ -281,7 +281,7 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     clear = docs.where(~maybe).withColumn("removed_lines_", F.lit(None).cast(gone.schema["removed_lines_"].dataType))
     joined = clear.union(touched)
     schema = docs.schema.add("n_lines", "long").add("n_removed", "long")
-    return joined.mapInArrow(_without(docs.columns.index("text")), schema)
+    return joined.mapInArrow(tidy(_without(docs.columns.index("text"))), schema)
 
 
 def op7_line_dedup(spark, sf_dir):

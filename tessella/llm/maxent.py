@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, table
+from .common import materialise, table, tidy
 from .words import U, Chunk, chunks, mix
 
 CLOSED, CLASS_WORDS, OPEN = 16, 32, 16
@@ -263,7 +263,7 @@ def _train(shared):
 def word_counts(texts: DataFrame) -> DataFrame:
     """(word, shape, n) of the tokens of `texts` (text); word is a 64-bit hash."""
     return materialise(
-        texts.mapInArrow(_count, "word long, shape int, n long").groupBy("word", "shape").agg(F.sum("n").alias("n")), "word-counts"
+        texts.mapInArrow(tidy(_count), "word long, shape int, n long").groupBy("word", "shape").agg(F.sum("n").alias("n")), "word-counts"
     )
 
 
@@ -274,7 +274,7 @@ def train(texts: DataFrame, counts: DataFrame, rounds: int = ROUNDS) -> Model:
     hashes = head["word"].to_numpy(np.int64).view(np.uint64)
     head_counts = head["n"].to_numpy(float)
     width = PROFILE_WORDS + 1
-    found = texts.mapInArrow(_profile(hashes), "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).toPandas()
+    found = texts.mapInArrow(tidy(_profile(hashes)), "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).toPandas()
     profile = np.zeros((HEAD_WORDS + SHAPES) * width)
     profile[found["at"].to_numpy(np.int64)] = found["n"]
     profile = profile.reshape(-1, width)
@@ -289,7 +289,7 @@ def train(texts: DataFrame, counts: DataFrame, rounds: int = ROUNDS) -> Model:
     for _ in range(rounds):
         shared = texts.sparkSession.sparkContext.broadcast(model)
         schema = "at long, n long, " + ", ".join(f"w{k} double" for k in range(CLASSES))
-        changes = texts.mapInArrow(_train(shared), schema).groupBy("at").agg(F.sum("n").alias("n"), *(F.sum(f"w{k}").alias(f"w{k}") for k in range(CLASSES))).toPandas()
+        changes = texts.mapInArrow(tidy(_train(shared)), schema).groupBy("at").agg(F.sum("n").alias("n"), *(F.sum(f"w{k}").alias(f"w{k}") for k in range(CLASSES))).toPandas()
         shared.unpersist()
         at, change = changes["at"].to_numpy(np.int64), (changes.iloc[:, 2:].to_numpy() / changes[["n"]].to_numpy()).astype(np.float32)
         model.class_weights[at[at < ROWS]] += change[at < ROWS]
@@ -368,7 +368,7 @@ def score_documents(docs: DataFrame, model: Model, counts: DataFrame) -> DataFra
     hashes = frequent["word"].to_numpy(np.int64).view(np.uint64)
     shared = spark.sparkContext.broadcast((model, hashes, frequent["n"].to_numpy(float)))
     schema = "row long, doc_id long, n_tokens long, known long, base double, score double, rare array<long>, times array<int>"
-    scored = materialise(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(_score(shared), schema), "scored")
+    scored = materialise(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(tidy(_score(shared)), schema), "scored")
     rare = scored.select("row", F.explode(F.arrays_zip("rare", "times")).alias("it")).select("row", F.col("it.rare").alias("word"), F.col("it.times").alias("times"))
     log_count = F.log10(F.coalesce("n", F.lit(0)) + ADD)
     sums = (

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import connected_components, discard, materialise, table
+from .common import connected_components, discard, materialise, table, tidy
 from .idfilter import maybe_in, slot
 from .words import U, chunks, mix, shingles, word_hashes
 
@@ -71,7 +71,7 @@ def _signatures(batches):
 def signatures(docs: DataFrame) -> DataFrame:
     """(row_id, n_shingles, set_a, set_b, signature, sketch) of (row_id, text); set_a and set_b identify the set."""
     schema = "row_id long, n_shingles long, set_a long, set_b long, signature binary, sketch binary"
-    return docs.select("row_id", "text").mapInArrow(_signatures, schema)
+    return docs.select("row_id", "text").mapInArrow(tidy(_signatures), schema)
 
 
 def _explode_trees(batches):
@@ -137,11 +137,10 @@ def _neighbours(lags: int, apart: bool, nearest: bool):
 
 
 def _candidates(classes: DataFrame, lags: int, apart: bool, nearest: bool = False) -> DataFrame:
-    rows = classes.select("node", "n_shingles", "component", "signature", "sketch").mapInArrow(
-        _explode_trees, "key binary, node long, size long, component long, sketch binary"
+    rows = classes.select("node", "n_shingles", "component", "signature", "sketch").mapInArrow(tidy(_explode_trees), "key binary, node long, size long, component long, sketch binary"
     )
     ordered = rows.repartitionByRange("key", "node").sortWithinPartitions("key", "node")
-    return ordered.mapInArrow(_neighbours(lags, apart, nearest), "a long, b long, same double").groupBy("a", "b").agg(F.max("same").alias("same"))
+    return ordered.mapInArrow(tidy(_neighbours(lags, apart, nearest)), "a long, b long, same double").groupBy("a", "b").agg(F.max("same").alias("same"))
 
 
 def _confirm(batches):
@@ -173,7 +172,7 @@ def _linked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     some = materialise(_texts_of(wanted, texts), "pair-texts")
     left = some.select(F.col("row_id").alias("a"), F.col("text").alias("text_a"))
     right = some.select(F.col("row_id").alias("b"), F.col("text").alias("text_b"))
-    links = pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b").mapInArrow(_confirm, "src long, dst long")
+    links = pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b").mapInArrow(tidy(_confirm), "src long, dst long")
     links = materialise(links, "links")
     discard(some)
     return links

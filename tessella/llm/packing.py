@@ -16,7 +16,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, table
+from .common import materialise, table, tidy
 from .tokens import END, TokenIds, in_slices
 
 LENGTH = 4096
@@ -81,7 +81,7 @@ def token_pieces(docs: DataFrame, length: int = LENGTH, vocabulary: str | None =
             kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds)], ["doc_id", "piece", "start", "length", "ids_crc32"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(cut, PIECES)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(tidy(cut), PIECES)
 
 
 def pack(pieces: DataFrame, length: int = LENGTH, open_bins: int = OPEN_BINS, packer_tokens: int = PACKER_TOKENS) -> DataFrame:
@@ -100,7 +100,7 @@ def pack(pieces: DataFrame, length: int = LENGTH, open_bins: int = OPEN_BINS, pa
 
     order = ["doc_id", "piece", "ids_crc32", "length"]
     dealt = pieces.repartitionByRange(packers, *order).sortWithinPartitions(*order)
-    return dealt.mapInArrow(fill, f"{PIECES}, sequence_id long, offset long")
+    return dealt.mapInArrow(tidy(fill), f"{PIECES}, sequence_id long, offset long")
 
 
 def pack_documents(docs: DataFrame, length: int = LENGTH, vocabulary: str | None = None, **bins) -> DataFrame:

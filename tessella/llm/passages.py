@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, materialise, table
+from .common import discard, materialise, table, tidy
 from .idfilter import bitmap, inside, maybe_in, slot, slots, without
 from .words import U, Chunk, chunks
 
@@ -186,10 +186,10 @@ def repeated_spans(rows: DataFrame) -> DataFrame:
     spark = rows.sparkSession
     copies = materialise(copied_rows(rows), "copies")
     docs = materialise(without(rows, F.col("row_hash"), copies), "distinct-texts")
-    counted = docs.select("text").mapInArrow(_gram_hashes, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).where("n > 1")
+    counted = docs.select("text").mapInArrow(tidy(_gram_hashes), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).where("n > 1")
     found = spark.sparkContext.broadcast(bitmap(counted.select(slot(F.col("gram"), bits=GRAM_FILTER_BITS).alias("slot")), GRAM_FILTER_BITS))
     spans = materialise(
-        docs.mapInArrow(_spans(found), "gram long, span_hash long, doc_id long, row_hash long, start long, span binary").withColumn("size", F.octet_length("span")), "spans"
+        docs.mapInArrow(tidy(_spans(found)), "gram long, span_hash long, doc_id long, row_hash long, start long, span binary").withColumn("size", F.octet_length("span")), "spans"
     )
     # Only grams with different spans need their bytes compared.
     discard(docs)
@@ -198,7 +198,7 @@ def repeated_spans(rows: DataFrame) -> DataFrame:
     compared = spans.select("gram", "span_hash", "doc_id", "start", "span").where(maybe)
     distinct = compared.groupBy("gram", "span_hash").agg(F.min(F.struct("doc_id", "start", "span")).alias("it")).select("gram", "span_hash", "it.*")
     ordered = distinct.repartition("gram").sortWithinPartitions("gram", "doc_id", "start")
-    judged = materialise(ordered.mapInArrow(_repeats, "gram long, span_hash long, runs array<struct<from:long,to:long>>"), "repeats")
+    judged = materialise(ordered.mapInArrow(tidy(_repeats), "gram long, span_hash long, runs array<struct<from:long,to:long>>"), "repeats")
     places = spans.select("gram", "span_hash", "doc_id", "row_hash", "start", "size")
     firsts = places.groupBy("gram", "span_hash").agg(F.min(F.struct("doc_id", "start")).alias("first"))
     is_first = (F.col("doc_id") == F.col("first.doc_id")) & (F.col("start") == F.col("first.start"))
@@ -273,7 +273,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     touched = rows.where(maybe).join(cuts, "row_hash", "left").select(
         "doc_id", "text", F.coalesce("cuts", F.array().cast("array<struct<from:long,to:long>>")).alias("cuts")
     )
-    return whole.union(touched.mapInArrow(_apply, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"))
+    return whole.union(touched.mapInArrow(tidy(_apply), "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"))
 
 
 def op9_suffix_dedup(spark, sf_dir):

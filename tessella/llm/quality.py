@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import table, tidy
 from .trees import Forest, fit
 from .words import SPACE, U, Chunk, chunks, mix
 
@@ -127,7 +127,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, sample: int = LABEL_SAMP
         docs.select("doc_id", "text")
         .join(F.broadcast(chosen), "doc_id")
         .select(F.col("quality").cast("int").alias("quality"), "text")
-        .mapInArrow(measure, "quality int, " + ", ".join(f"{f} double" for f in FEATURES))
+        .mapInArrow(tidy(measure), "quality int, " + ", ".join(f"{f} double" for f in FEATURES))
         .toPandas()
     )
     return rows[FEATURES].to_numpy(float).reshape(-1, len(FEATURES)), rows["quality"].to_numpy(float)
@@ -166,7 +166,7 @@ def judge_quality(docs: DataFrame, forest: Forest, keep_at: float = KEEP_AT) ->
             made = [*(pa.array(counts[:, k]) for k in range(len(COUNTS))), pa.array(score), pa.array(failed), pa.array(~failed & (score >= keep_at))]
             yield pa.RecordBatch.from_arrays([*batch.columns, *made], [*batch.schema.names, *names])
 
-    return docs.select(carried).mapInArrow(judge, schema)
+    return docs.select(carried).mapInArrow(tidy(judge), schema)
 
 
 def op5_quality_rules(spark, sf_dir):

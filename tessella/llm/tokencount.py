@@ -15,7 +15,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import materialise, table
+from .common import materialise, table, tidy
 from .tokens import TokenIds, in_slices
 
 BLOCK = 1 << 18  # tokens
@@ -65,8 +65,7 @@ def token_blocks(docs: DataFrame, vocabulary: str | None = None, eod: int = END_
         if size:
             yield row(np.concatenate(held), [d for d, _ in ended])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(
-        write, "file long, block long, payload binary, doc_ids array<long>"
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(tidy(write), "file long, block long, payload binary, doc_ids array<long>"
     )
 
 
@@ -102,7 +101,7 @@ def _separators(blocks: DataFrame, eod: int, block: int) -> DataFrame:
     schema = "file long, block long, separators array<long>, n_tokens long"
     if "doc_ids" in blocks.columns:
         schema += ", doc_ids array<long>"
-    return blocks.mapInArrow(scan, schema)
+    return blocks.mapInArrow(tidy(scan), schema)
 
 
 def count_tokens(blocks: DataFrame, eod: int = END_OF_DOCUMENT, block: int = BLOCK) -> DataFrame:
