@@ -3,12 +3,14 @@
 A line is the set of its distinct lower-cased words.  Words are put in a fixed order, rarest first; two lines
 whose Jaccard similarity reaches the threshold must then share a word among their first few (the prefix
 filter), have near sizes (the length filter), and have enough words left after the shared one (the positional
-filter).  What passes is verified on the full sets.  A line is removed if an earlier line, by document and
-place, is similar enough.
-
-Rarity comes from the line frequency of every word, folded into a sketch of SKETCH_SLOTS levels.  The sketch
-only orders words, and any order gives the same result, so its size can stay fixed.  Words known to stand in
-one line only need no posting at all.  Lines with equal sets are one class, represented by the earliest.
+filter).  Parities of the sets, which bound their difference from below, drop most of what is left, and the
+rest is verified on the full sets.  A line is removed if an earlier line, by document and place, is similar
+enough: one such line is enough, so each line is first held against the nearest few that pass the filters
+under every word, and only a line that none of those removes is held against all.
+
+Rarity comes from the frequency of every word, folded into a sketch of SKETCH_SLOTS levels.  The sketch only
+orders words, and any order gives the same result, so its size can stay fixed.  Words known to stand in one
+line only need no posting at all.  Lines with equal sets are one class, represented by the earliest.
 """
 
 from __future__ import annotations
@@ -20,54 +22,60 @@ from pyspark.sql import functions as F
 
 from .common import discard, materialise, table, tidy
 from .idfilter import bitmap, inside, maybe_in, slot, slots
-from .words import U, Chunk, chunks, mix
+from .words import U, Chunk, chunks
 
 SIMILARITY = (4, 5)  # at least 4/5
 MIN_WORDS = 5
 SKETCH_SLOTS = 1 << 22
 MAX_RANK = 32767  # a rank kept too low only lets a pair through to its verification
+HELD_WORDS = 1 << 22
+HELD_POSTINGS = 1 << 17
+FIRST_PARTNERS = 4  # tried first under a word; a line that none of them removes is then held against all
 
 
-def _by_line(h: np.ndarray, line: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes sorted within their lines, which are in order already: one sort of line and hash packed together."""
-    packed = (line.astype(np.uint64) << U(40)) | (h >> U(24))
-    order = np.argsort(packed, kind="stable")
-    ordered = packed[order]
-    h = h[order]
-    if ((ordered[1:] == ordered[:-1]) & (h[1:] != h[:-1])).any() or (len(line) and int(line[-1]) >> 24):
-        order = np.lexsort((h, line[order]))
-        h = h[order]
-    return h, line
+def _count_words(batches):
+    held, n = [], 0
+    for batch in batches:
+        for c in chunks(batch.column(0)):
+            start, end, _ = c.words()
+            held.append(c.span_hash(start, end))
+            n += len(start)
+            if n >= HELD_WORDS:
+                yield _counted(held)
+                held, n = [], 0
+    yield _counted(held)
 
 
-def _line_sets(c: Chunk) -> tuple[np.ndarray, ...]:
-    """(text, line, hash) of each distinct word of each line, sorted by text and line, without order within one."""
-    start, end, first = c.words()
+def _counted(held: list[np.ndarray]) -> pa.RecordBatch:
+    word, n = np.unique(np.concatenate(held) if held else np.zeros(0, np.uint64), return_counts=True)
+    return pa.RecordBatch.from_arrays([pa.array(word.view(np.int64)), pa.array(n)], ["word", "n"])
+
+
+def _line_sets(c: Chunk, levels: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(text, place, line, hash, level) of each distinct word of each line, by line and then rarest first."""
+    start, end, _ = c.words()
     ls, _, lfirst = c.lines()
     h = c.span_hash(start, end)
     # Lines are in text order and a text's lines begin where it begins, so the last line begun at a word is its own.
     line = np.searchsorted(ls, start, side="right") - 1
-    h, line = _by_line(h, line)
+    level = levels[(h & U(SKETCH_SLOTS - 1)).astype(np.int64)]
+    packed = (line.astype(np.uint64) << U(40)) | (level.astype(np.uint64) << U(32)) | (h >> U(32))
+    order = np.argsort(packed)
+    packed, h, line, level = packed[order], h[order], line[order], level[order]
+    same = packed[1:] == packed[:-1]
+    if (same & (h[1:] != h[:-1])).any() or (len(line) and int(line.max()) >> 24):
+        order = np.lexsort((h, level, line))
+        h, line, level = h[order], line[order], level[order]
+        same = (h[1:] == h[:-1]) & (line[1:] == line[:-1])
     fresh = np.ones(len(h), bool)
-    fresh[1:] = (h[1:] != h[:-1]) | (line[1:] != line[:-1])
-    h, line = h[fresh], line[fresh]
+    fresh[1:] = ~same
+    h, line, level = h[fresh], line[fresh], level[fresh]
     text = np.searchsorted(lfirst, line, side="right") - 1
-    return text, line - lfirst[text], h, line
-
-
-def _count_words(batches):
-    for batch in batches:
-        found = []
-        for c in chunks(batch.column(0)):
-            _, _, h, line = _line_sets(c)
-            size = np.bincount(line) if len(line) else np.zeros(0, int)
-            found.append(h[size[line] >= MIN_WORDS])
-        word, n = np.unique(np.concatenate(found) if found else np.zeros(0, np.uint64), return_counts=True)
-        yield pa.RecordBatch.from_arrays([pa.array(word.view(np.int64)), pa.array(n)], ["word", "n"])
+    return text, line - lfirst[text], line, h, level
 
 
 def rarity_sketch(texts: DataFrame) -> np.ndarray:
-    """SKETCH_SLOTS levels: 0 where no word of the slot stands in two lines, else growing with the most frequent's lines."""
+    """SKETCH_SLOTS levels: 0 where no word of the slot stands twice in the texts, else growing with the most frequent's count."""
     counts = texts.select("text").mapInArrow(tidy(_count_words), "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
     level = F.least(F.lit(255), F.floor(F.log2("n") * 6) + 1).cast("long")
     at = F.pmod("word", F.lit(SKETCH_SLOTS))
@@ -79,6 +87,11 @@ def rarity_sketch(texts: DataFrame) -> np.ndarray:
     return sketch.ravel()
 
 
+def parity(h: np.ndarray, head: np.ndarray) -> np.ndarray:
+    """64 bits a set, each the parity of its words there: two sets differ in at least as many words as bits."""
+    return np.bitwise_xor.reduceat(U(1) << (h >> U(22) & U(63)), head)
+
+
 def _prefix_lines(sketch):
     """A row per line of at least MIN_WORDS words: its place, its set and the postings of its prefix."""
     num, den = SIMILARITY
@@ -89,13 +102,9 @@ def _prefix_lines(sketch):
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             rows = []
             for c in chunks(batch.column(1)):
-                text, place, h, line = _line_sets(c)
+                text, place, line, h, level = _line_sets(c, levels)
                 if not len(h):
                     continue
-                level = levels[(h & U(SKETCH_SLOTS - 1)).astype(np.int64)]
-                # Words are in the order of their hashes already, so a stable sort by line and level keeps it.
-                order = np.argsort((line << 8) | level, kind="stable")
-                text, place, h, line, level = (x[order] for x in (text, place, h, line, level))
                 head = np.flatnonzero(np.r_[True, line[1:] != line[:-1]])
                 size = np.diff(np.r_[head, len(h)])
                 rank = np.arange(len(h)) - np.repeat(head, size)
@@ -107,7 +116,7 @@ def _prefix_lines(sketch):
                 at, per = head[wide], (upto[head + size] - upto[head])[wide]
                 posted &= np.repeat(wide, size)
                 a = np.add.reduceat(h, head)[wide]
-                b = np.add.reduceat(mix(h ^ U(0x5851F42D4C957F2D)), head)[wide]
+                b = parity(h, head)[wide]
                 rows.append((ids[c.first + text[at]], place[at], size[wide], a, b, per, h[posted], rank[posted]))
             if rows:
                 doc, place, size, a, b, per, words, ranks = (np.concatenate(x) for x in zip(*rows))
@@ -119,7 +128,7 @@ def _prefix_lines(sketch):
                         pa.array(size, pa.int32()),
                         pa.array(a.view(np.int64)),
                         pa.array(b.view(np.int64)),
-                        pa.ListArray.from_arrays(cuts, pa.array(words.view(np.int64))),
+                        pa.ListArray.from_arrays(cuts, pa.array((words >> U(24)).view(np.int64))),
                         pa.ListArray.from_arrays(cuts, pa.array(np.minimum(ranks, MAX_RANK), pa.int16())),
                     ],
                     ["doc_id", "line", "size", "set_a", "set_b", "words", "ranks"],
@@ -145,6 +154,53 @@ def _wanted_lines(found):
     return pick
 
 
+def _partners(batches):
+    """Postings (word, doc_id, line, parity, size, rank), in order, to pairs of an earlier and a later line.
+
+    Under each word a line is held against those before it, the nearest first, by length, position and parity,
+    until FIRST_PARTNERS fit; `more` says that others were left.  Memory holds one word's postings at a time.
+    """
+    held, n = [], 0
+    for batch in batches:
+        columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+        held.append(columns)
+        n += len(columns[0])
+        if n >= HELD_POSTINGS and held[0][0][0] != columns[0][-1]:
+            postings = [np.concatenate(x) for x in zip(*held)]
+            cut = int(np.searchsorted(postings[0], postings[0][-1]))
+            yield _paired([x[:cut] for x in postings])
+            held, n = [[x[cut:] for x in postings]], len(postings[0]) - cut
+    if n:
+        yield _paired([np.concatenate(x) for x in zip(*held)])
+
+
+def _paired(postings: list[np.ndarray]) -> pa.RecordBatch:
+    num, den = SIMILARITY
+    word, doc, line, bits, size, rank = postings
+    bits, size, rank = bits.view(np.uint64), size.astype(np.int64), rank.astype(np.int64)
+    left = size - rank
+    head = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
+    at = np.arange(len(word)) - np.repeat(head, np.diff(np.r_[head, len(word)]))
+    found = np.zeros(len(word), np.int64)
+    later, earlier, back = np.flatnonzero(at > 0), [], 0
+    pairs = []
+    while len(later):
+        back += 1
+        earlier = later - back
+        total = size[later] + size[earlier]
+        need = -(-num * total // (num + den))
+        fits = np.minimum(left[later], left[earlier]) >= need
+        fits &= den * np.minimum(size[later], size[earlier]) >= num * np.maximum(size[later], size[earlier])
+        fits &= np.bitwise_count(bits[later] ^ bits[earlier]) <= total - 2 * need
+        fits &= (doc[later] != doc[earlier]) | (line[later] != line[earlier])
+        found[later[fits]] += 1
+        pairs.append((earlier[fits], later[fits]))
+        later = later[(at[later] > back) & (found[later] < FIRST_PARTNERS)]
+    p, q = (np.concatenate(x) for x in zip(*pairs)) if pairs else (np.zeros(0, np.int64),) * 2
+    columns = [doc[p], line[p], doc[q], line[q], found[q] >= FIRST_PARTNERS]
+    return pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["p_doc", "p_line", "q_doc", "q_line", "more"])
+
+
 def _sets(column) -> tuple[list[np.ndarray], np.ndarray]:
     own, first_sums = [], []
     for c in chunks(column):
@@ -159,13 +215,45 @@ def _sets(column) -> tuple[list[np.ndarray], np.ndarray]:
 def _verify(batches):
     num, den = SIMILARITY
     for batch in batches:
-        (left, left_sums), (right, right_sums) = (_sets(batch.column(k)) for k in (3, 4))
+        (left, _), (right, sums) = (_sets(batch.column(k)) for k in (2, 3))
         shared = np.array([len(np.intersect1d(x, y, assume_unique=True)) for x, y in zip(left, right)], np.int64)
-        union = np.array([len(x) + len(y) for x, y in zip(left, right)], np.int64) - shared
-        # Rows that repeat a doc_id share a place: only the texts that the pair is about count.
-        mine = (left_sums.view(np.int64) == batch.column(5).to_numpy()) & (right_sums.view(np.int64) == batch.column(2).to_numpy())
-        similar = pa.array((den * shared >= num * union) & mine)
-        yield pa.RecordBatch.from_arrays([batch.column(k).filter(similar) for k in (0, 1, 2)], ["doc_id", "line", "set_a"])
+        sizes = np.array([(len(x), len(y)) for x, y in zip(left, right)], np.int64).reshape(-1, 2)
+        # Rows that repeat a doc_id share a place, which may hold short lines too.
+        similar = pa.array((den * shared >= num * (sizes.sum(axis=1) - shared)) & (sizes >= MIN_WORDS).all(axis=1))
+        kept = [batch.column(0), batch.column(1), pa.array(sums.view(np.int64))]
+        yield pa.RecordBatch.from_arrays([x.filter(similar) for x in kept], ["doc_id", "line", "set_a"])
+
+
+def _similar(texts: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(doc_id, line, set_a) of the later lines of `pairs` that are similar to the earlier one, on their full sets."""
+    p, q = (F.struct(F.col(f"{x}_doc").alias("doc_id"), F.col(f"{x}_line").alias("line")) for x in "pq")
+    places = pairs.select(F.explode(F.array(p, q)).alias("at")).select("at.*")
+    found = texts.sparkSession.sparkContext.broadcast(bitmap(places.select(slot(F.col("doc_id"), F.col("line").cast("long")).alias("slot"))))
+    some = texts.mapInArrow(tidy(_wanted_lines(found)), "doc_id long, line int, words string")
+    some = materialise(some.join(places.distinct(), ["doc_id", "line"], "left_semi"), "line-texts")
+    left = some.select(F.col("doc_id").alias("p_doc"), F.col("line").alias("p_line"), F.col("words").alias("p_words"))
+    right = some.select(F.col("doc_id").alias("q_doc"), F.col("line").alias("q_line"), F.col("words").alias("q_words"))
+    both = pairs.join(left, ["p_doc", "p_line"]).join(right, ["q_doc", "q_line"]).select("q_doc", "q_line", "p_words", "q_words")
+    similar = materialise(both.mapInArrow(tidy(_verify), "doc_id long, line int, set_a long").distinct(), "similar-lines")
+    discard(some)
+    return similar
+
+
+def _all_partners(posting: DataFrame, later: DataFrame) -> DataFrame:
+    """Pairs of each line of `later` (doc_id, line) and every earlier line that the filters let through."""
+    num, den = SIMILARITY
+    x, y = posting.alias("x"), posting.join(later, ["doc_id", "line"], "left_semi").alias("y")
+    need = f"ceil({num} * (x.size + y.size) / ({num} + {den}))"
+    found = x.join(
+        y,
+        (F.col("x.word") == F.col("y.word"))
+        & F.expr("(x.doc_id < y.doc_id or (x.doc_id = y.doc_id and x.line < y.line))")
+        & F.expr(f"{den} * least(x.size, y.size) >= {num} * greatest(x.size, y.size)")
+        & F.expr(f"least(x.size - x.rank, y.size - y.rank) >= {need}")
+        & F.expr(f"bit_count(x.bits ^ y.bits) <= x.size + y.size - 2 * {need}"),
+    )
+    names = {"p_doc": "x.doc_id", "p_line": "x.line", "q_doc": "y.doc_id", "q_line": "y.line"}
+    return materialise(found.select(*(F.col(v).alias(k) for k, v in names.items())).distinct(), "line-pairs")
 
 
 def removed_lines(docs: DataFrame) -> DataFrame:
@@ -178,49 +266,20 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     )
     keys = ["set_a", "set_b", "size"]
     classes = lines.groupBy(*keys).agg(F.min(F.struct("doc_id", "line", "words", "ranks")).alias("it")).select(*keys, "it.*")
-    classes = materialise(classes.withColumn("id", F.monotonically_increasing_id()), "line-classes")
-    num, den = SIMILARITY
-    posting = classes.select("id", "size", F.explode(F.arrays_zip("words", "ranks")).alias("p")).select(
-        F.col("p.words").alias("word"), "id", "size", F.col("p.ranks").alias("rank")
+    classes = materialise(classes, "line-classes")
+    posting = classes.select("doc_id", "line", F.col("set_b").alias("bits"), "size", F.explode(F.arrays_zip("words", "ranks")).alias("p")).select(
+        F.col("p.words").alias("word"), "doc_id", "line", "bits", "size", F.col("p.ranks").alias("rank")
     )
-    x, y = posting.alias("x"), posting.alias("y")
-    need = F.expr(f"ceil({num} * (x.size + y.size) / ({num} + {den}))")
-    matched = (
-        x.join(
-            y,
-            (F.col("x.word") == F.col("y.word"))
-            & F.expr("x.id < y.id")
-            & F.expr(f"{den} * least(x.size, y.size) >= {num} * greatest(x.size, y.size)")
-            & (F.expr("least(x.size - x.rank, y.size - y.rank)") >= need),
-        )
-        .select(F.col("x.id").alias("i"), F.col("y.id").alias("j"))
-        .distinct()
-    )
-    pairs = materialise(matched, "line-pairs")
-    ends = pairs.select(F.col("i").alias("id")).union(pairs.select("j")).distinct()
-    wanted = materialise(classes.select("id", "doc_id", "line", "set_a").join(ends, "id", "left_semi"), "wanted-lines")
-    found = spark.sparkContext.broadcast(bitmap(wanted.select(slot(F.col("doc_id"), F.col("line").cast("long")).alias("slot"))))
-    some = texts.mapInArrow(tidy(_wanted_lines(found)), "doc_id long, line int, words string").join(wanted, ["doc_id", "line"])
-    some = materialise(some.select("id", F.struct("doc_id", "line", "set_a").alias("it"), "words"), "line-texts")
-    left = some.select(F.col("id").alias("i"), F.col("it").alias("p"), F.col("words").alias("p_words"))
-    right = some.select(F.col("id").alias("j"), F.col("it").alias("q"), F.col("words").alias("q_words"))
-    earlier = F.least("p", "q")
-    similar = (
-        pairs.join(left, "i")
-        .join(right, "j")
-        .where("p.doc_id != q.doc_id or p.line != q.line")
-        .select(
-            F.greatest("p", "q").alias("it"),
-            earlier["set_a"].alias("a_set"),
-            F.when(earlier == F.col("p"), F.col("p_words")).otherwise(F.col("q_words")).alias("a_words"),
-            F.when(earlier == F.col("p"), F.col("q_words")).otherwise(F.col("p_words")).alias("b_words"),
-        )
-        .select("it.doc_id", "it.line", "it.set_a", "a_words", "b_words", "a_set")
-        .mapInArrow(tidy(_verify), "doc_id long, line int, set_a long")
-        .distinct()
-    )
-    similar = materialise(similar, "similar-lines")
-    discard(some)
+    places = ["p_doc", "p_line", "q_doc", "q_line"]
+    pairs = posting.repartition("word").sortWithinPartitions("word", "doc_id", "line")
+    pairs = pairs.mapInArrow(tidy(_partners), "p_doc long, p_line int, q_doc long, q_line int, more boolean")
+    pairs = materialise(pairs.groupBy(*places).agg(F.max("more").alias("more")), "line-pairs")
+    similar = _similar(texts, pairs.drop("more"))
+    crowded = pairs.where("more").select(F.col("q_doc").alias("doc_id"), F.col("q_line").alias("line")).distinct()
+    open_lines = classes.select("doc_id", "line", "set_a").join(crowded, ["doc_id", "line"], "left_semi").join(similar, ["doc_id", "line", "set_a"], "left_anti")
+    open_lines = materialise(open_lines.select("doc_id", "line").distinct(), "open-lines")
+    if not open_lines.isEmpty():
+        similar = similar.union(_similar(texts, _all_partners(posting, open_lines)))
     first = classes.select(*keys, F.col("doc_id").alias("first_doc"), F.col("line").alias("first_line"))
     copies = lines.select("doc_id", "line", *keys).join(first, keys).where("first_doc < doc_id or (first_doc = doc_id and first_line < line)")
     return copies.select("doc_id", "line", "set_a").union(similar).distinct()

@@ -60,16 +60,23 @@ class Chunk:
     def __init__(self, first: int, data: np.ndarray, at: np.ndarray, fold: bool = True):
         self.first, self.n, self.data, self.at = first, len(at) - 1, data, at
         self.last = first + self.n
-        power, self._inverse = _upto(len(data) + 1)
-        self._sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum((_FOLDED if fold else _RAW)[data] * power[: len(data)], out=self._sums[1:])
+        self._fold, self._sums = fold, None
+
+    def _sum(self) -> None:
+        """The running sums, made when a hash is first asked for."""
+        if self._sums is None:
+            power, self._inverse = _upto(len(self.data) + 1)
+            self._sums = np.zeros(len(self.data) + 1, np.uint64)
+            np.cumsum((_FOLDED if self._fold else _RAW)[self.data] * power[: len(self.data)], out=self._sums[1:])
 
     def span_hash(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        self._sum()
         h = (self._sums[end] - self._sums[start]) * self._inverse[start]
         return mix(h ^ ((end - start).astype(np.uint64) * U(0xD6E8FEB86659FD93)))
 
     def windows(self, width: int) -> np.ndarray:
         """Raw hash of every `width` bytes; those across texts are the caller's to drop."""
+        self._sum()
         n = len(self.data) - width + 1
         return mix((self._sums[width:] - self._sums[:n]) * self._inverse[:n]) if n > 0 else np.zeros(0, np.uint64)
 
