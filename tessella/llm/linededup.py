@@ -10,7 +10,7 @@ under every word, and only a line that none of those removes is held against all
 
 Rarity comes from the frequency of every word, folded into a sketch of SKETCH_SLOTS levels.  The sketch only
 orders words, and any order gives the same result, so its size can stay fixed.  Words known to stand in one
-line only need no posting at all.  Lines with equal sets are one class, represented by the earliest.
+line only need no posting at all.  Of lines with equal sets the earliest speaks for all; later ones go at once.
 """
 
 from __future__ import annotations
@@ -22,12 +22,16 @@ from pyspark.sql import functions as F
 
 from .common import discard, materialise, table, tidy
 from .idfilter import bitmap, inside, maybe_in, slot, slots
-from .words import U, Chunk, chunks
+from .words import U, Chunk, chunks, mix
 
 SIMILARITY = (4, 5)  # at least 4/5
 MIN_WORDS = 5
 SKETCH_SLOTS = 1 << 22
 MAX_RANK = 32767  # a rank kept too low only lets a pair through to its verification
+FIRST = 1 << 16
+COPY = -1
+PLACES = ["p_doc", "p_line", "q_doc", "q_line"]
+PAIR = "p_doc long, p_line int, q_doc long, q_line int, q_set long, more boolean, sure boolean"
 HELD_WORDS = 1 << 22
 HELD_POSTINGS = 1 << 17
 FIRST_PARTNERS = 4  # tried first under a word; a line that none of them removes is then held against all
@@ -92,15 +96,22 @@ def parity(h: np.ndarray, head: np.ndarray) -> np.ndarray:
     return np.bitwise_xor.reduceat(U(1) << (h >> U(22) & U(63)), head)
 
 
-def _prefix_lines(sketch):
-    """A row per line of at least MIN_WORDS words: its place, its set and the postings of its prefix."""
+POSTING = "word long, doc_id long, line int, set_a long, bits long, size int, rank int"
+
+
+def _postings(sketch):
+    """POSTING rows of the prefix of each line of at least MIN_WORDS words.
+
+    Of equal sets in a batch only the earliest line is posted; a later one becomes one row with rank COPY, so
+    that a line copied all over the corpus is posted once a batch.  A line's first posting is marked FIRST.
+    """
     num, den = SIMILARITY
 
-    def lines(batches):
+    def rows(batches):
         levels = sketch.value
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
-            rows = []
+            made = []
             for c in chunks(batch.column(1)):
                 text, place, line, h, level = _line_sets(c, levels)
                 if not len(h):
@@ -109,32 +120,41 @@ def _prefix_lines(sketch):
                 size = np.diff(np.r_[head, len(h)])
                 rank = np.arange(len(h)) - np.repeat(head, size)
                 sizes = np.repeat(size, size)
-                prefix = sizes - -(-num * sizes // den) + 1
-                posted = (rank < prefix) & (level > 0)
+                posted = (rank < sizes - -(-num * sizes // den) + 1) & (level > 0) & (sizes >= MIN_WORDS)
                 upto = np.concatenate([[0], np.cumsum(posted)])
                 wide = size >= MIN_WORDS
                 at, per = head[wide], (upto[head + size] - upto[head])[wide]
-                posted &= np.repeat(wide, size)
                 a = np.add.reduceat(h, head)[wide]
-                b = parity(h, head)[wide]
-                rows.append((ids[c.first + text[at]], place[at], size[wide], a, b, per, h[posted], rank[posted]))
-            if rows:
-                doc, place, size, a, b, per, words, ranks = (np.concatenate(x) for x in zip(*rows))
-                cuts = pa.array(np.r_[0, np.cumsum(per)], pa.int32())
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(doc, pa.int64()),
-                        pa.array(place, pa.int32()),
-                        pa.array(size, pa.int32()),
-                        pa.array(a.view(np.int64)),
-                        pa.array(b.view(np.int64)),
-                        pa.ListArray.from_arrays(cuts, pa.array((words >> U(24)).view(np.int64))),
-                        pa.ListArray.from_arrays(cuts, pa.array(np.minimum(ranks, MAX_RANK), pa.int16())),
-                    ],
-                    ["doc_id", "line", "size", "set_a", "set_b", "words", "ranks"],
-                )
-
-    return lines
+                made.append((ids[c.first + text[at]], place[at], a, parity(h, head)[wide], size[wide], per, h[posted] >> U(24), rank[posted]))
+            if not made:
+                continue
+            doc, place, a, bits, size, per, word, rank = (np.concatenate(x) for x in zip(*made))
+            order = np.lexsort((place, doc, size, bits, a))
+            fresh = np.ones(len(order), bool)
+            before, after = order[:-1], order[1:]
+            fresh[1:] = (a[before] != a[after]) | (bits[before] != bits[after]) | (size[before] != size[after])
+            lead = np.empty(len(order), np.int64)
+            lead[order] = order[np.maximum.accumulate(np.where(fresh, np.arange(len(order)), 0))]
+            own = lead == np.arange(len(order))
+            copy = np.flatnonzero(~own & ((doc != doc[lead]) | (place != place[lead])))
+            owner = np.repeat(np.arange(len(per)), per)
+            mark = np.r_[True, owner[1:] != owner[:-1]][: len(owner)]
+            rank = np.minimum(rank, MAX_RANK) + np.where(mark, FIRST, 0)
+            of = np.concatenate([owner[own[owner]], copy])
+            anywhere = mix(a[copy] ^ mix(doc[copy].astype(np.int64).view(np.uint64) + place[copy].astype(np.uint64)))
+            columns = [
+                np.concatenate([word[own[owner]], anywhere >> U(24)]).view(np.int64),
+                doc[of],
+                place[of].astype(np.int32),
+                a[of].view(np.int64),
+                bits[of].view(np.int64),
+                size[of].astype(np.int32),
+                np.concatenate([rank[own[owner]], np.full(len(copy), COPY)]).astype(np.int32),
+            ]
+            names = ["word", "doc_id", "line", "set_a", "bits", "size", "rank"]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names)
+
+    return rows
 
 
 def _wanted_lines(found):
@@ -155,13 +175,16 @@ def _wanted_lines(found):
 
 
 def _partners(batches):
-    """Postings (word, doc_id, line, parity, size, rank), in order, to pairs of an earlier and a later line.
+    """POSTING rows, in order, to pairs of an earlier and a later line (PAIR).
 
-    Under each word a line is held against those before it, the nearest first, by length, position and parity,
-    until FIRST_PARTNERS fit; `more` says that others were left.  Memory holds one word's postings at a time.
+    Lines with an equal set before them are `sure`.  Any other is held against those before it under the same
+    word, the nearest first, by length, position and parity, until FIRST_PARTNERS fit; `more` says that others
+    were left.  Memory holds one word's postings at a time.
     """
     held, n = [], 0
     for batch in batches:
+        if not batch.num_rows:
+            continue
         columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
         held.append(columns)
         n += len(columns[0])
@@ -176,14 +199,30 @@ def _partners(batches):
 
 def _paired(postings: list[np.ndarray]) -> pa.RecordBatch:
     num, den = SIMILARITY
-    word, doc, line, bits, size, rank = postings
-    bits, size, rank = bits.view(np.uint64), size.astype(np.int64), rank.astype(np.int64)
-    left = size - rank
-    head = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
+    copy = postings[6] == COPY
+    copies = [x[copy] for x in postings[1:4]]
+    postings = [x[~copy] for x in postings]
+    word, doc, line, own, bits, size, rank = postings
+    key = own ^ (word * 0x2545F4914F6CDD1D)
+    order = np.argsort(key, kind="stable")
+    before, after = order[:-1], order[1:]
+    equal = key[before] == key[after]
+    for x in (word, own, bits, size):
+        equal &= x[before] == x[after]
+    elsewhere = (doc[before] != doc[after]) | (line[before] != line[after])
+    repeated = after[equal & elsewhere & (rank[after] >= FIRST)]
+    copies = [np.concatenate([x, y[repeated]]) for x, y in zip(copies, (doc, line, own))]
+    single = np.ones(len(word), bool)
+    single[after[equal]] = False
+    word, doc, line, own, bits, size, rank = (x[single] for x in postings)
+
+    bits, size = bits.view(np.uint64), size.astype(np.int64)
+    left = size - (rank & (FIRST - 1))
+    head = np.flatnonzero(np.r_[True, word[1:] != word[:-1]][: len(word)])
     at = np.arange(len(word)) - np.repeat(head, np.diff(np.r_[head, len(word)]))
     found = np.zeros(len(word), np.int64)
-    later, earlier, back = np.flatnonzero(at > 0), [], 0
-    pairs = []
+    later, back = np.flatnonzero(at > 0), 0
+    pairs = [(np.zeros(0, np.int64),) * 2]
     while len(later):
         back += 1
         earlier = later - back
@@ -196,9 +235,11 @@ def _paired(postings: list[np.ndarray]) -> pa.RecordBatch:
         found[later[fits]] += 1
         pairs.append((earlier[fits], later[fits]))
         later = later[(at[later] > back) & (found[later] < FIRST_PARTNERS)]
-    p, q = (np.concatenate(x) for x in zip(*pairs)) if pairs else (np.zeros(0, np.int64),) * 2
-    columns = [doc[p], line[p], doc[q], line[q], found[q] >= FIRST_PARTNERS]
-    return pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["p_doc", "p_line", "q_doc", "q_line", "more"])
+    p, q = (np.concatenate(x) for x in zip(*pairs))
+    sure = np.arange(len(p) + len(copies[0])) >= len(p)
+    more = np.concatenate([found[q] >= FIRST_PARTNERS, np.zeros(len(copies[0]), bool)])
+    columns = [pa.array(np.concatenate([x, y])) for x, y in ((doc[p], copies[0]), (line[p], copies[1]), (doc[q], copies[0]), (line[q], copies[1]), (own[q], copies[2]))]
+    return pa.RecordBatch.from_arrays([*columns, pa.array(more), pa.array(sure)], [*PLACES, "q_set", "more", "sure"])
 
 
 def _sets(column) -> tuple[list[np.ndarray], np.ndarray]:
@@ -244,12 +285,13 @@ def _all_partners(posting: DataFrame, later: DataFrame) -> DataFrame:
     num, den = SIMILARITY
     x, y = posting.alias("x"), posting.join(later, ["doc_id", "line"], "left_semi").alias("y")
     need = f"ceil({num} * (x.size + y.size) / ({num} + {den}))"
+    left = [f"{side}.size - ({side}.rank & {FIRST - 1})" for side in "xy"]
     found = x.join(
         y,
         (F.col("x.word") == F.col("y.word"))
         & F.expr("(x.doc_id < y.doc_id or (x.doc_id = y.doc_id and x.line < y.line))")
         & F.expr(f"{den} * least(x.size, y.size) >= {num} * greatest(x.size, y.size)")
-        & F.expr(f"least(x.size - x.rank, y.size - y.rank) >= {need}")
+        & F.expr(f"least({left[0]}, {left[1]}) >= {need}")
         & F.expr(f"bit_count(x.bits ^ y.bits) <= x.size + y.size - 2 * {need}"),
     )
     names = {"p_doc": "x.doc_id", "p_line": "x.line", "q_doc": "y.doc_id", "q_line": "y.line"}
@@ -261,28 +303,18 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("doc_id is not null and text is not null")
     sketch = spark.sparkContext.broadcast(rarity_sketch(texts))
-    lines = materialise(
-        texts.mapInArrow(tidy(_prefix_lines(sketch)), "doc_id long, line int, size int, set_a long, set_b long, words array<long>, ranks array<smallint>"), "lines"
-    )
-    keys = ["set_a", "set_b", "size"]
-    classes = lines.groupBy(*keys).agg(F.min(F.struct("doc_id", "line", "words", "ranks")).alias("it")).select(*keys, "it.*")
-    classes = materialise(classes, "line-classes")
-    posting = classes.select("doc_id", "line", F.col("set_b").alias("bits"), "size", F.explode(F.arrays_zip("words", "ranks")).alias("p")).select(
-        F.col("p.words").alias("word"), "doc_id", "line", "bits", "size", F.col("p.ranks").alias("rank")
-    )
-    places = ["p_doc", "p_line", "q_doc", "q_line"]
-    pairs = posting.repartition("word").sortWithinPartitions("word", "doc_id", "line")
-    pairs = pairs.mapInArrow(tidy(_partners), "p_doc long, p_line int, q_doc long, q_line int, more boolean")
-    pairs = materialise(pairs.groupBy(*places).agg(F.max("more").alias("more")), "line-pairs")
-    similar = _similar(texts, pairs.drop("more"))
-    crowded = pairs.where("more").select(F.col("q_doc").alias("doc_id"), F.col("q_line").alias("line")).distinct()
-    open_lines = classes.select("doc_id", "line", "set_a").join(crowded, ["doc_id", "line"], "left_semi").join(similar, ["doc_id", "line", "set_a"], "left_anti")
-    open_lines = materialise(open_lines.select("doc_id", "line").distinct(), "open-lines")
+    posting = texts.mapInArrow(tidy(_postings(sketch)), POSTING)
+    pairs = posting.repartition("word").sortWithinPartitions("word", "doc_id", "line").mapInArrow(tidy(_partners), PAIR)
+    pairs = materialise(pairs.groupBy(*PLACES, "q_set", "sure").agg(F.max("more").alias("more")), "line-pairs")
+    later = [F.col("q_doc").alias("doc_id"), F.col("q_line").alias("line"), F.col("q_set").alias("set_a")]
+    copies = pairs.where("sure").select(later)
+    candidates = pairs.where("not sure")
+    similar = _similar(texts, candidates.select(PLACES).distinct())
+    crowded = candidates.where("more").select(later).distinct()
+    open_lines = materialise(crowded.join(similar.union(copies), ["doc_id", "line", "set_a"], "left_anti").select("doc_id", "line").distinct(), "open-lines")
     if not open_lines.isEmpty():
-        similar = similar.union(_similar(texts, _all_partners(posting, open_lines)))
-    first = classes.select(*keys, F.col("doc_id").alias("first_doc"), F.col("line").alias("first_line"))
-    copies = lines.select("doc_id", "line", *keys).join(first, keys).where("first_doc < doc_id or (first_doc = doc_id and first_line < line)")
-    return copies.select("doc_id", "line", "set_a").union(similar).distinct()
+        similar = similar.union(_similar(texts, _all_partners(posting.where(f"rank != {COPY}"), open_lines)))
+    return copies.union(similar).distinct()
 
 
 def _without(at: int):
