@@ -11,17 +11,24 @@ tasks as its rows need, and a task keeps only the last `window` rows.  Candidate
 region: first each class is held against its closest neighbours, links confirmed on the full sets join classes
 into components, then against the closest of other components, and then only neighbours that are still in
 different components are held against each other.
+
+A window holds WINDOW rows, so where more share MIN_DEPTH values it may miss links.  The rows of such regions are
+crowded: those of different components are then joined exactly, whatever the size of the region.  Shingles are put
+in order, rarest among the crowded first; two sets that reach the threshold share one of their first few (the
+prefix filter), have near sizes and enough shingles left after it (the positional filter).  What a template's copies
+have in common comes last in that order, so texts just under the threshold to each other make few candidates.
 """
 
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import connected_components, discard, materialise, table, tidy
-from .idfilter import maybe_in, slot
+from .idfilter import PIECE_BITS, maybe_in, slot
 from .words import U, chunks, mix, shingles, word_hashes
 
 TREES, DEPTH, MIN_DEPTH = 24, 5, 2
@@ -35,6 +42,7 @@ CLOSEST = 2
 SKETCH = 240
 SKETCH_BYTES = SKETCH // 4
 SKETCH_AGREE = 0.70
+RARITY_SLOTS = 1 << 22  # levels that only order shingles: any order gives the same result
 _MULTIPLIERS = mix(np.arange(1, SKETCH + 1, dtype=np.uint64) * U(0xA0761D6478BD642F)) | U(1)
 _POPULATION = np.array([bin(k).count("1") for k in range(256)], np.uint8)
 
@@ -185,6 +193,99 @@ def _closest(pairs: DataFrame) -> DataFrame:
     return either.withColumn("place", best).where(F.col("place") <= CLOSEST).select("a", "b").distinct()
 
 
+def _regions(batches):
+    """A row per tree: a hash of its number and MIN_DEPTH leading values, and the class."""
+    for batch in batches:
+        low = np.stack([np.frombuffer(x.as_buffer(), ">u4") for x in batch.column(1)]) if batch.num_rows else np.zeros((0, TREES * DEPTH), ">u4")
+        for tree in range(TREES):
+            region = np.full(len(low), U(tree + 1))
+            for k in range(MIN_DEPTH):
+                region = mix(region * U(0xC2B2AE3D27D4EB4F) + low[:, tree * DEPTH + k].astype(np.uint64))
+            yield pa.RecordBatch.from_arrays([pa.array(region.view(np.int64)), batch.column(0)], ["region", "node"])
+
+
+def _crowded(classes: DataFrame) -> DataFrame:
+    """(node) of the classes of every region that a window does not cover, and of few others."""
+    regions = classes.select("node", "signature").mapInArrow(tidy(_regions), "region long, node long")
+    full = regions.groupBy("region").count().where(F.col("count") > WINDOW)
+    at = slot(F.col("region"))
+    return regions.where(maybe_in(classes.sparkSession, at, full.select(at.alias("slot")))).select("node").distinct()
+
+
+def _count_shingles(batches):
+    for batch in batches:
+        for c in chunks(batch.column(0)):
+            value, n = np.unique(shingles(*word_hashes(c), SHINGLE)[0], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(value.view(np.int64)), pa.array(n)], ["shingle", "n"])
+
+
+def _rarity(texts: DataFrame) -> np.ndarray:
+    """RARITY_SLOTS levels: 0 where no shingle of the slot is in two texts, else growing with the most frequent's count."""
+    counts = texts.select("text").mapInArrow(tidy(_count_shingles), "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
+    level = F.least(F.lit(255), F.floor(F.log2("n") * 6) + 1).cast("long")
+    levels = counts.where("n > 1").groupBy(F.pmod("shingle", F.lit(RARITY_SLOTS)).alias("slot")).agg(F.max(level).alias("level"))
+
+    def pack(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        own = np.zeros(PIECE_BITS, np.uint8)
+        own[rows["slot"].to_numpy() % PIECE_BITS] = rows["level"].to_numpy()
+        return pd.DataFrame({"piece": [key[0]], "levels": [own.tobytes()]})
+
+    found = np.zeros(RARITY_SLOTS, np.uint8)
+    for piece, own in levels.groupBy(F.expr(f"slot div {PIECE_BITS}").alias("piece")).applyInPandas(pack, "piece long, levels binary").collect():
+        found[piece * PIECE_BITS : (piece + 1) * PIECE_BITS] = np.frombuffer(own, np.uint8)
+    return found
+
+
+def _prefixes(rarity):
+    """The first shingles of each set (node, component, text), rarest first: as many as a partner at the threshold cannot all lack."""
+
+    def rows(batches):
+        levels = rarity.value
+        for batch in batches:
+            node, component = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1))
+            for c in chunks(batch.column(2)):
+                value, first = shingles(*word_hashes(c), SHINGLE)
+                size = np.diff(first)
+                text = np.repeat(np.arange(c.n), size)
+                level = levels[(value & U(RARITY_SLOTS - 1)).astype(np.int64)]
+                order = np.lexsort((value, level, text))
+                value, level = value[order], level[order]
+                rank, sizes = np.arange(len(value)) - first[text], size[text]
+                posted = np.flatnonzero((rank < sizes - -(-PERCENT * sizes // 100) + 1) & (level > 0))
+                of = c.first + text[posted]
+                columns = [value[posted].view(np.int64), node[of], component[of], sizes[posted], rank[posted]]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["shingle", "node", "component", "size", "rank"])
+
+    return rows
+
+
+def _crowded_pairs(classes: DataFrame, texts: DataFrame) -> DataFrame:
+    """Every pair (a, b) of crowded classes of different components that the exact filters let through."""
+    spark = classes.sparkSession
+    nodes = materialise(classes.select("node", "component").distinct().join(_crowded(classes), "node", "left_semi"), "crowded")
+    own = nodes.select(F.col("node").alias("row_id"), "component")
+    some = materialise(_texts_of(own.select("row_id"), texts).join(own, "row_id").select("row_id", "component", "text"), "crowded-texts")
+    rarity = spark.sparkContext.broadcast(_rarity(some))
+    schema = "shingle long, node long, component long, size long, rank long"
+    posting = materialise(some.mapInArrow(tidy(_prefixes(rarity)), schema), "crowded-postings")
+    # Most shingles that many rows post are of one component, so nothing of theirs is left to join.
+    mixed = posting.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low != high")
+    at = slot(F.col("shingle"))
+    posting = posting.where(maybe_in(spark, at, mixed.select(at.alias("slot"))))
+    x, y = posting.alias("x"), posting.alias("y")
+    need = f"ceil({PERCENT} * (x.size + y.size) / (100 + {PERCENT}))"
+    found = x.join(
+        y,
+        (F.col("x.shingle") == F.col("y.shingle"))
+        & F.expr("x.node < y.node and x.component != y.component")
+        & F.expr(f"100 * least(x.size, y.size) >= {PERCENT} * greatest(x.size, y.size)")
+        & F.expr(f"least(x.size - x.rank, y.size - y.rank) >= {need}"),
+    )
+    pairs = materialise(found.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct(), "pairs")
+    discard(some)
+    return pairs
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """One row per row of `docs` (doc_id, text): doc_id, n_shingles, component_id and kept.
 
@@ -200,14 +301,17 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     members = named.groupBy("set_a", "set_b", "n_shingles").agg(F.min("row_id").alias("node"), F.min("signature").alias("signature"), F.min("sketch").alias("sketch"))
     classes = materialise(members.withColumn("component", F.col("node")), "classes")
     grown, links, tried, component = classes, None, None, None
-    # Each round's candidates: the closest rows, then the closest of another component, then all of other components.
-    for lags, apart, nearest in ((1, False, True), (WINDOW, True, True), (WINDOW, True, False)):
-        pairs = _candidates(grown, lags, apart, nearest)
+    # Each round's candidates: the closest rows, then the closest of another component, then all of other components
+    # within the window, then all of other components in the regions that are larger.
+    for lags, apart, nearest in ((1, False, True), (WINDOW, True, True), (WINDOW, True, False), (None, True, False)):
+        pairs = _candidates(grown, lags, apart, nearest) if lags else _crowded_pairs(grown, texts)
         if nearest:
             pairs = _closest(pairs)
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = materialise(pairs.select("a", "b"), "pairs")
+        if lags is None and pairs.isEmpty():
+            break
         found = _linked(pairs, texts)
         links = found if links is None else links.union(found)
         tried = pairs if tried is None else tried.union(pairs)

@@ -111,6 +111,21 @@ def test_near_duplicates(spark, rows):
     assert got == {d: (len(sets[d]), find(d), find(d) == d) for d in sets}
 
 
+def test_near_duplicates_in_a_crowd(spark):
+    """Texts at 0.72 to each other, more than a window holds, and among them pairs at 0.76."""
+    core = [f"core{k}" for k in range(184)]
+    rows, pairs = [], 100
+    for k in range(1500):
+        own = [f"w{k}x{j}" for j in range(35)]
+        if k >= 1500 - pairs:
+            own[:6] = [f"w{k - 1500 + pairs}x{j}" for j in range(6)]
+        rows.append((k, " ".join(core + own)))
+    got = {r.doc_id: r.component_id for r in neardup.near_duplicates(frame(spark, rows)).collect()}
+    missed = [k for k in range(1500 - pairs, 1500) if got[k] != k - 1500 + pairs]
+    assert not missed, f"{len(missed)} of {pairs} pairs missed"
+    assert all(got[k] == k for k in range(1500 - pairs))
+
+
 def test_packing(spark, rows):
     from tokenizers import Tokenizer
 
