@@ -10,8 +10,10 @@ nearly all positions take a step or two.
 
 A pair at the largest distance keeps a given word with chance 3/4; with a repetition's other steps agreeing
 in about a third of the walks, REPETITIONS of them find a segment in 0.75 * (1 - 0.65**6) = 0.69 of the cases, and
-an item of 15 words has three segments or more: recall 0.97 at the limit, nearly 1 below.  Candidates are verified by the exact
-edit distance between the item and the best-aligned window, with a bit-parallel column per word.
+an item of EXACT_WORDS or more has four segments or more: recall 0.99 at the limit, nearly 1 below.  Shorter items are
+not sampled but found exactly: cut into one piece more than edits are allowed, an item keeps a piece whole, so every
+window around a whole piece is a candidate.  Candidates are verified by the exact edit distance between the item and
+the best-aligned window, with a bit-parallel column per word.
 """
 
 from __future__ import annotations
@@ -23,10 +25,10 @@ from pyspark.sql import functions as F
 
 from .common import materialise, table, tidy
 from .maxent import WordTable
-from .words import U, Chunk, chunks
+from .words import U, Chunk, chunks, mix
 
 EDIT_SHARE = (1, 4)  # at most a quarter of the item's words
-MIN_ITEM_WORDS = 5
+EXACT_WORDS = 16  # items of fewer words are found by whole pieces
 STEPS = 16
 SAMPLED = 3
 REPETITIONS = 6
@@ -50,6 +52,15 @@ def item_words(texts: list[str | None]) -> list[np.ndarray]:
     return found
 
 
+def _runs(own: np.ndarray, length: int) -> np.ndarray:
+    """A hash of each run of `length` word numbers."""
+    n = len(own) - length + 1
+    key = np.zeros(max(n, 0), np.uint64)
+    for k in range(length):
+        key = mix(key * U(0xC2B2AE3D27D4EB4F) + own[k : n + k].astype(np.uint64) + U(1))
+    return key
+
+
 class Sampler:
     """The sampled strings of all segments of the items, over numbers of the items' words; any other word is 0."""
 
@@ -59,7 +70,8 @@ class Sampler:
         self.vocabulary = np.unique(np.concatenate(items)) if items else np.zeros(0, np.uint64)
         self.base = len(self.vocabulary) + 1
         self.numbered = numbered = [np.searchsorted(self.vocabulary, w) + 1 for w in items]
-        segments = [(i, o) for i, w in enumerate(items) for o in range(0, max(1, len(w) - LEAST_SEGMENT + 1), STRIDE)]
+        segments = [(i, o) for i, w in enumerate(items) if len(w) >= EXACT_WORDS for o in range(0, len(w) - LEAST_SEGMENT + 1, STRIDE)]
+        self.pieces = self._pieces()
         self.plans = []
         for _ in range(REPETITIONS):
             steps = np.sort(np.r_[0, 1 + random.choice(STEPS - 1, SAMPLED - 1, replace=False)]).tolist()
@@ -83,6 +95,41 @@ class Sampler:
             first = np.cumsum([0] + [len(owners[k]) for k in last])
             self.plans.append((steps, moves, starts, self._marks(np.array(pairs, np.int64)), np.array(last, np.int64), first, listed[:, 0], listed[:, 1]))
 
+    def _pieces(self) -> list[tuple]:
+        """(length, first words, keys, where each key's begin, items, offsets) of the pieces of the short items, by length."""
+        owners: dict[int, dict[int, list[tuple[int, int]]]] = {}
+        for i, w in enumerate(self.numbered):
+            if 0 < len(w) < EXACT_WORDS:
+                parts = limit_of(len(w)) + 1
+                cuts = [len(w) * k // parts for k in range(parts + 1)]
+                for low, high in zip(cuts, cuts[1:]):
+                    key = int(_runs(w[low:high].astype(np.int64), high - low)[0])
+                    owners.setdefault(high - low, {}).setdefault(key, []).append((i, low))
+        made = []
+        for length, own in sorted(owners.items()):
+            keys = sorted(own)
+            listed = np.array([x for k in keys for x in own[k]], np.int64).reshape(-1, 2)
+            starts = np.zeros(self.base, bool)
+            starts[[self.numbered[i][o] for i, o in listed.tolist()]] = True
+            made.append((length, starts, np.array(keys, np.uint64), np.cumsum([0] + [len(own[k]) for k in keys]), listed[:, 0], listed[:, 1]))
+        return made
+
+    def whole_pieces(self, own: np.ndarray, text_end: np.ndarray) -> tuple[np.ndarray, ...]:
+        """(item, start of its window, word of the piece) of every piece of a short item that stands in a text."""
+        found = [(np.zeros(0, np.int64),) * 3]
+        for length, starts, keys, first, item, offset in self.pieces:
+            at = np.flatnonzero(starts[own])
+            at = at[at + length <= text_end[at]]
+            key = _runs(own, length)[at] if len(at) else np.zeros(0, np.uint64)
+            k = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+            at, k = at[keys[k] == key], k[keys[k] == key]
+            per = first[k + 1] - first[k]
+            entry = np.repeat(first[k], per) + np.arange(per.sum()) - np.repeat(np.cumsum(per) - per, per)
+            found.append((item[entry], np.repeat(at, per) - offset[entry], np.repeat(at, per)))
+        items, windows, at = (np.concatenate(x) for x in zip(*found))
+        order = np.argsort(items, kind="stable")
+        return items[order], windows[order], at[order]
+
     @staticmethod
     def _place(key: np.ndarray) -> np.ndarray:
         return ((key.astype(np.uint64) * U(0x9E3779B97F4A7C15)) >> U(42)).astype(np.int64)
@@ -179,12 +226,18 @@ def _search(sampler: Sampler, item_ids: list[int]):
             items, starts = sampler.candidates(own, first[1:][text])
             best: dict[tuple[int, int], tuple[int, int]] = {}
             cuts = np.searchsorted(items, np.arange(len(sizes) + 1))
-            for i in np.flatnonzero(np.diff(cuts)).tolist():
+            short, short_starts, anchors = sampler.whole_pieces(own, first[1:][text])
+            short_cuts = np.searchsorted(short, np.arange(len(sizes) + 1))
+            for i in np.flatnonzero(np.diff(cuts) + np.diff(short_cuts)).tolist():
                 item, slack = sampler.items[i], limit_of(int(sizes[i]))
-                start = starts[cuts[i] : cuts[i + 1]]
-                # Edits move a window's ends, so either end may lie in a neighbouring text.
-                ends = np.clip(np.concatenate([start, start + sizes[i] - 1]), 0, len(h) - 1)
-                k, start = text[ends], np.concatenate([start, start])
+                if sizes[i] < EXACT_WORDS:
+                    own_rows = slice(short_cuts[i], short_cuts[i + 1])
+                    k, start = text[anchors[own_rows]], short_starts[own_rows]
+                else:
+                    start = starts[cuts[i] : cuts[i + 1]]
+                    # Edits move a window's ends, so either end may lie in a neighbouring text.
+                    ends = np.clip(np.concatenate([start, start + sizes[i] - 1]), 0, len(h) - 1)
+                    k, start = text[ends], np.concatenate([start, start])
                 low, high = np.maximum(first[k], start - slack), np.minimum(first[k + 1], start + sizes[i] + slack)
                 enough = high - low >= sizes[i] - slack
                 k, low, high = k[enough], low[enough], high[enough]
@@ -204,7 +257,7 @@ def _search(sampler: Sampler, item_ids: list[int]):
 def find_items(docs: DataFrame, items: list[tuple[int, str | None]]) -> DataFrame:
     """(doc_id, row_hash, item_id, distance, end_word) for every document and item found in it; one block of items."""
     ids, texts = [i for i, _ in items], [t for _, t in items]
-    own = [(i, w) for i, w in zip(ids, item_words(texts)) if len(w) >= MIN_ITEM_WORDS]
+    own = [(i, w) for i, w in zip(ids, item_words(texts)) if len(w)]
     sampler = docs.sparkSession.sparkContext.broadcast((Sampler([w for _, w in own]), [i for i, _ in own]))
 
     def match(batches):
@@ -240,8 +293,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """`docs` with item_ids (sorted), n_items, best_distance and contaminated.
 
     A document is contaminated if an item of `benchmark` (item_id, text) lies within an edit distance of a quarter of
-    its words (rounded down) to some part of the text.  A null or empty text matches nothing, nor does an item of
-    fewer than 5 words; items that repeat are each reported; a null doc_id is judged by its text; repeated
+    its words (rounded down) to some part of the text.  A null or empty text matches nothing, nor does an item
+    without words; an item of fewer than 4 words has to stand there unchanged; items that repeat are each reported; a null doc_id is judged by its text; repeated
     rows are judged alike; very long texts are read whole; empty tables match nothing.  Columns of `docs` that
     clash with a result's are replaced.
     """

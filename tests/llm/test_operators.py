@@ -281,6 +281,33 @@ def test_decontamination(spark):
     assert {(r[0], r[1]) for r in blocks} == planted
 
 
+def test_short_items_at_their_full_distance():
+    """Items of 1 to 15 words, each alone between other texts, with as many edits as are allowed."""
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    items, docs = [], []
+    for n in range(1, 16):
+        for _ in range(30):
+            item = [word() for _ in range(n)]
+            passage = list(item)
+            for at in sorted(rng.sample(range(n), n // 4), reverse=True):
+                passage[at : at + 1] = rng.choice([[], [word()], [passage[at], word()]])
+            items.append(item)
+            around = rng.randrange(0, 4)
+            docs.append([word() for _ in range(around)] + passage + [word() for _ in range(around)])
+    hashed = decontaminate.item_words([" ".join(x) for x in items])
+    search = decontaminate._search(decontaminate.Sampler(hashed), list(range(len(items))))
+    found = {(row, item) for row, item, _, _ in search(pa.array([" ".join(x) for x in docs]))}
+    missed = [len(items[k]) for k in range(len(items)) if (k, k) not in found]
+    assert not missed, collections.Counter(missed)
+
+
+def test_items_of_few_words(spark):
+    bench = spark.createDataFrame([(1, "Paris"), (2, "forty two"), (3, "...")], "item_id long, text string")
+    docs = frame(spark, [(1, "in Paris, once"), (2, "forty-two"), (3, "forty or two"), (4, "...")])
+    assert {r.doc_id: r.item_ids for r in decontaminate.decontaminate(docs, bench).collect()} == {1: [1], 2: [2], 3: [], 4: []}
+
+
 def test_repeated_passages(spark, rows):
     rng = random.Random(6)
     many = [(d, t) for d, t in rows if d < 900] + [r for r in rows if r[0] >= 900]
