@@ -11,6 +11,7 @@ from ..functions.text import tokens
 
 SIGMAS, FLOOR, CEILING = 3.0, 0.0, 0.98
 BLOCK_ROWS = 1024
+FEW_EDGES = 1 << 17
 
 
 def token_scores(left: DataFrame, right: DataFrame) -> DataFrame:
@@ -79,12 +80,13 @@ def robust_threshold(scores: DataFrame, zeros: int = 0, sigmas: float = SIGMAS,
     return spark.createDataFrame([(int(n), float(centre), float(width), float(cut))], "n long, centre double, spread double, cut double")
 
 
-def greedy_duplicates(nodes: DataFrame, edges: DataFrame, max_rounds: int = 200) -> DataFrame:
+def greedy_duplicates(nodes: DataFrame, edges: DataFrame, few_edges: int = FEW_EDGES) -> DataFrame:
     """(id, duplicate_of, score) of nodes (id): as if rows came one by one and each was held against the kept ones.
 
     `edges` (a_id, b_id, score), a_id before b_id, are the pairs over their threshold.  A row is a duplicate once an
     earlier neighbour is kept, and kept once all earlier neighbours are duplicates; every round settles at least
-    the first open row of each chain.  duplicate_of is the kept earlier neighbour of the best score, the earliest of equals.
+    the first open row of each chain, and rounds go on until no row is open.  Once at most `few_edges` edges lead to open
+rows, one pass in order settles them, so a long chain doesn't cost a round a row.  duplicate_of is the kept earlier neighbour of the best score, the earliest of equals.
     """
     from .shared import settled_table
 
@@ -92,17 +94,28 @@ def greedy_duplicates(nodes: DataFrame, edges: DataFrame, max_rounds: int = 200)
     state = settled_table(edges.select(F.col("b_id").alias("id")).distinct().withColumn("kept", F.lit(None).cast("boolean")), "state")
     first = edges.select(F.col("a_id").alias("id")).distinct().join(state.select("id"), "id", "left_anti").withColumn("kept", F.lit(True))
     state = settled_table(state.union(first), "state")
-    for _ in range(max_rounds):
-        if state.where("kept is null").isEmpty():
-            break
-        around = edges.join(state.select(F.col("id").alias("a_id"), F.col("kept").alias("a_kept")), "a_id")
-        seen = around.groupBy("b_id").agg(F.max(F.coalesce("a_kept", F.lit(False))).alias("by_kept"), F.min(F.col("a_kept").isNotNull()).alias("all_known")).withColumnRenamed("b_id", "id")
-        state = settled_table(
-            state.join(seen, "id", "left").select(
-                "id", F.coalesce("kept", F.when(F.col("by_kept"), F.lit(False)).when(F.col("all_known"), F.lit(True))).alias("kept")
-            ),
-            "state",
-        )
+    left = state.where("kept is null").count()
+    while left:
+        opened = edges.join(state.where("kept is null").select(F.col("id").alias("b_id")), "b_id")
+        around = opened.join(state.select(F.col("id").alias("a_id"), F.col("kept").alias("a_kept")), "a_id").select("a_id", "b_id", "a_kept")
+        if len(rows := around.take(few_edges + 1)) <= few_edges:
+            known = {r["b_id"]: True for r in rows}
+            for r in sorted(rows, key=lambda r: (r["b_id"], r["a_id"])):
+                if known[r["b_id"]]:
+                    known[r["b_id"]] = not (r["a_kept"] if r["a_kept"] is not None else known[r["a_id"]])
+            passed = state.sparkSession.createDataFrame(list(known.items()), "id long, passed boolean")
+            state = settled_table(state.join(passed, "id", "left").select("id", F.coalesce("kept", "passed").alias("kept")), "state")
+        else:
+            seen = around.groupBy(F.col("b_id").alias("id")).agg(F.max(F.coalesce("a_kept", F.lit(False))).alias("by_kept"), F.min(F.col("a_kept").isNotNull()).alias("all_known"))
+            state = settled_table(
+                state.join(seen, "id", "left").select(
+                    "id", F.coalesce("kept", F.when(F.col("by_kept"), F.lit(False)).when(F.col("all_known"), F.lit(True))).alias("kept")
+                ),
+                "state",
+            )
+        before, left = left, state.where("kept is null").count()
+        if left == before:
+            raise RuntimeError("the duplicates did not settle: an edge leads to an earlier row")
     kept = state.where("kept").select(F.col("id").alias("a_id"))
     lost = state.where("not kept").select(F.col("id").alias("b_id"))
     best = edges.join(kept, "a_id").join(lost, "b_id").groupBy("b_id").agg(F.max(F.struct("score", (-F.col("a_id")).alias("earlier"))).alias("it"))

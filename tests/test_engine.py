@@ -63,6 +63,14 @@ def test_greedy_duplicates_against_a_fold(spark):
     assert {r.id: r.duplicate_of for r in got.collect()} == expected
 
 
+@pytest.mark.parametrize("n, few", [(450, similarity.FEW_EDGES), (9, 3)])
+def test_greedy_duplicates_along_a_chain(spark, n, few):
+    nodes = spark.range(n)
+    edges = spark.range(n - 1).selectExpr("id as a_id", "id + 1 as b_id", "0.9D as score")
+    got = {r.id: r.duplicate_of for r in similarity.greedy_duplicates(nodes, edges, few).collect()}
+    assert got == {k: k - 1 if k % 2 else None for k in range(n)}
+
+
 def test_family_rates(spark):
     rows = [("both", "value"), ("both", "value"), ("one", "value"), ("one", "capability"), ("none", "capability"), ("none", "capability")]
     r = decisions.family_rates(spark.createDataFrame(rows, "family string, source string")).first()
