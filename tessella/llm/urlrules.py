@@ -47,8 +47,38 @@ def _key(url: Column) -> Column:
     return F.when(host != "", F.concat(host, path, query))
 
 
+def _without_dots(path: Column) -> Column:
+    """A path without its `.` and `..` segments."""
+    parts = F.split(path, "/")
+    up = lambda found: F.slice(found, 1, F.greatest(F.size(found) - 1, F.lit(1)))
+    kept = F.aggregate(parts, F.array().cast("array<string>"), lambda found, x: F.when(x == ".", found).when(x == "..", up(found)).otherwise(F.array_append(found, x)))
+    whole = F.concat(F.array_join(kept, "/"), F.when(F.element_at(parts, -1).isin(".", ".."), "/").otherwise(""))
+    return F.when(path.rlike(r"(^|/)\.\.?(/|$)"), whole).otherwise(path)
+
+
+def resolved(target: Column, base: Column) -> Column:
+    """The URL that a link `target` names on a page of URL `base`; null where it names none of a host."""
+    scheme = F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.\-]*)://", 1)
+    host, path = host_and_path(base)
+    query = F.regexp_extract(base, r"^[^?#]*(\?[^#]*)", 1)
+    root = F.concat(scheme, F.lit("://"), host)
+    own = F.regexp_extract(target, r"^[^?#]*", 0)
+    rest = F.substr(target, F.length(own) + 1)
+    folder = F.when(path == "", "/").otherwise(F.regexp_extract(path, r"^.*/", 0))
+    return (
+        F.when(target.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*://"), target)
+        .when(target.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*:"), F.lit(None).cast("string"))
+        .when((scheme == "") | (host == ""), F.lit(None).cast("string"))
+        .when(target.startswith("//"), F.concat(scheme, F.lit(":"), target))
+        .when(target.startswith("/"), F.concat(root, _without_dots(own), rest))
+        .when((target == "") | target.startswith("#"), F.concat(root, path, query))
+        .when(target.startswith("?"), F.concat(root, path, target))
+        .otherwise(F.concat(root, _without_dots(F.concat(folder, own)), rest))
+    )
+
+
 def link_edges(pages: DataFrame) -> DataFrame:
-    """(src_url, dst_url): each page's canonical link and meta refresh, where they are absolute."""
+    """(src_url, dst_url): each page's canonical link and meta refresh, resolved against its `<base>` or its URL."""
     tags = F.regexp_extract_all("html", F.lit(r"(?is)(<(?:link|meta)\b[^>]*>)"), 1)
     canonical = F.filter(tags, lambda t: t.rlike(r"(?is)^<link\b[^>]*\brel\s*=\s*[\"']?canonical\b"))
     refresh = F.filter(tags, lambda t: t.rlike(r"(?is)^<meta\b[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b"))
@@ -56,9 +86,11 @@ def link_edges(pages: DataFrame) -> DataFrame:
         F.transform(canonical, lambda t: F.regexp_extract(t, r"(?is)\bhref\s*=\s*[\"']?([^\"'\s>]+)", 1)),
         F.transform(refresh, lambda t: F.regexp_extract(t, r"(?is)\burl\s*=\s*[\"']?([^\"'\s>;]+)", 1)),
     )
-    return pages.where(F.col("html").rlike(r"(?i)canonical|http-equiv")).select(
-        F.col("url").alias("src_url"), F.explode(targets).alias("dst_url")
+    based = F.regexp_extract("html", r"(?is)<base\b[^>]*\bhref\s*=\s*[\"']?([^\"'\s>]+)", 1)
+    found = pages.where(F.col("html").rlike(r"(?i)canonical|http-equiv")).select(
+        F.col("url").alias("src_url"), F.coalesce(resolved(based, F.col("url")), "url").alias("base"), F.explode(targets).alias("target")
     )
+    return found.where("target != ''").select("src_url", resolved(F.col("target"), F.col("base")).alias("dst_url"))
 
 
 def judge_urls(pages: DataFrame, redirects: DataFrame | None = None, rules=RULES) -> DataFrame:
@@ -74,7 +106,8 @@ def judge_urls(pages: DataFrame, redirects: DataFrame | None = None, rules=RULES
         .withColumn("fit", rule_for(F.col("host"), F.col("path"), rules))
         .withColumn("node", F.xxhash64(_key(F.col("url"))))
     )
-    edges = link_edges(pages)
+    # Written before they become keys: a filter on the keys would else repeat the whole resolution in its plan.
+    edges = materialise(link_edges(pages), "page-links")
     if redirects is not None:
         edges = edges.union(redirects.select("src_url", "dst_url"))
     edges = edges.select("src_url", "dst_url", _key(F.col("src_url")).alias("s"), _key(F.col("dst_url")).alias("d"))

@@ -385,6 +385,25 @@ def test_url_rules(spark):
     assert got[5].host == got[6].path == ""
 
 
+def test_relative_links(spark):
+    link = '<html><link rel="canonical" href="%s">'
+    rows = [
+        (1, "http://a.org/x/1?q=/z", link % "/de/x"),
+        (2, "http://a.org/de/x", link % "//bad.net/y"),
+        (3, "http://a.org/x/y/2", link % "../1?q=/z"),
+        (4, "http://a.org/x/y/3", "<meta http-equiv=refresh content='0; url=2'>"),
+        (5, "http://a.org/x/y/3?page=2", link % "3"),
+        (6, "http://b.org/q", link % "go?to=http://bad.net/y"),
+        (7, "http://b.org/r", link % "mailto:a@b?u=http://bad.net/y"),
+        (8, "http://b.org/s", "<base href='//bad.net/t/'>" + link % "u"),
+        (9, "no-scheme", link % "/de/x"),
+        (10, "http://c.org", link % "."),
+        (11, "http://c.org/", link % "//bad.net/y"),
+    ]
+    got = {r.page_id: r.verdict for r in urlrules.judge_urls(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert {k for k, v in got.items() if v == "block"} == {1, 2, 3, 4, 5, 8, 10, 11}
+
+
 def test_empty_tables(spark):
     none = spark.createDataFrame([], SCHEMA)
     bench = spark.createDataFrame([], "item_id long, text string")
