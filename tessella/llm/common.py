@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import contextlib
 import ctypes
+import re
 import tempfile
 import uuid
 
@@ -31,9 +32,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: `spark.checkpoint.dir`, or a temporary one where that is unset (tests)."""
+    """The folder that all executors share: `spark.checkpoint.dir`.  Where that is unset, a temporary one, but only if
+    everything runs in this process (tests): executors elsewhere would not see it."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not named:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         named = tempfile.mkdtemp(prefix="tessella-")
         spark.conf.set("spark.checkpoint.dir", named)
     return named.rstrip("/")
@@ -51,15 +55,23 @@ def materialise(df: DataFrame, what: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def discard(df: DataFrame) -> None:
-    """Delete a table written by `materialise` that no later plan reads."""
-    spark = df.sparkSession
+def discard(*tables: DataFrame) -> None:
+    """Delete tables written by `materialise` that no later plan reads."""
+    spark = tables[0].sparkSession
     jvm = spark.sparkContext._jvm
-    for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+    for path in {f.rsplit("/", 1)[0] for df in tables for f in df.inputFiles()}:
         p = jvm.org.apache.hadoop.fs.Path(path)
         p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """`name`, with underscores added until no column of `df` has it in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """(node, component) for every node of `edges` (src, dst); component is the smallest node reachable.
 

@@ -7,11 +7,18 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import unused
+
 FILTER_BITS = 1 << 24
 PIECE_BITS = 1 << 18
 _FOLD = 1 << 40
 
 
+def bits_for(n: int) -> int:
+    """Bits of a filter of `n` keys, at most 128 MB: about a sixteenth of the other keys pass; beyond that, more."""
+    return min(max(PIECE_BITS, 1 << max(0, 16 * n - 1).bit_length()), 1 << 30)
+
+
 def slot(key: Column, second: Column | None = None, bits: int = FILTER_BITS) -> Column:
     """A place in the bitmap, by arithmetic that `slots` repeats in numpy."""
     at = F.pmod(key, F.lit(_FOLD)) * 1000003
@@ -41,6 +48,11 @@ def inside(packed: np.ndarray, at: np.ndarray) -> np.ndarray:
     return ((packed[at // 32] >> (at % 32).astype(np.uint32)) & np.uint32(1)).astype(bool)
 
 
+def held(packed: np.ndarray, key: np.ndarray, second: np.ndarray | int = 0) -> np.ndarray:
+    """Whether the bitmap has the keys' slots."""
+    return inside(packed, slots(key, second, 32 * len(packed)))
+
+
 def maybe_in(spark: SparkSession, at: Column, keys: DataFrame, bits: int = FILTER_BITS) -> Column:
     """Whether slot `at` is that of some row of `keys` (slot): always where it is one, and now and then by chance.
 
@@ -57,9 +69,10 @@ def maybe_in(spark: SparkSession, at: Column, keys: DataFrame, bits: int = FILTE
 
 def without(docs: DataFrame, key: Column, keys: DataFrame) -> DataFrame:
     """The rows of `docs` whose `key` (a long) is not in `keys` (key).  Only rows that may be in it are shuffled."""
-    at = slot(key)
-    maybe = maybe_in(docs.sparkSession, at, keys.select(slot(F.col("key")).alias("slot")))
-    rows = docs.withColumns({"key_": key, "maybe_": maybe})
-    clear = rows.where("not maybe_ or key_ is null").drop("key_", "maybe_")
-    checked = rows.where("maybe_ and key_ is not null").join(keys.select(F.col("key").alias("key_")), "key_", "left_anti").drop("key_", "maybe_")
-    return clear.union(checked.select(docs.columns))
+    own, may = unused(docs, "own_key"), unused(docs, "may_go")
+    bits = bits_for(keys.count())
+    maybe = maybe_in(docs.sparkSession, slot(key, bits=bits), keys.select(slot(F.col("key"), bits=bits).alias("slot")), bits)
+    rows = docs.withColumns({own: key, may: maybe})
+    likely = F.col(may) & F.col(own).isNotNull()
+    checked = rows.where(likely).join(keys.select(F.col("key").alias(own)), own, "left_anti")
+    return rows.where(~likely).select(docs.columns).union(checked.select(docs.columns))

@@ -8,303 +8,308 @@ rest is verified on the full sets.  A line is removed if an earlier line, by doc
 enough: one such line is enough, so each line is first held against the nearest few that pass the filters
 under every word, and only a line that none of those removes is held against all.
 
-Rarity comes from the frequency of every word, folded into a sketch of SKETCH_SLOTS levels.  The sketch only
-orders words, and any order gives the same result, so its size can stay fixed.  Words known to stand in one
-line only need no posting at all.  Of lines with equal sets the earliest speaks for all; later ones go at once.
+No word gathers a large group.  Lines post their rare words one by one; of frequent words they post the pairs among
+one word more of the prefix, of which two similar lines share one too.  Lines of many words, which would post too many
+pairs, post frequent words alone, but meet only other such lines; lines between the two kinds post both.  Lines of up
+to three words are similar only to equal ones and post their whole set.  Of lines with equal sets in one batch the
+earliest speaks for all; later ones go at once.
+
+Postings are shuffled as packed blocks, a row for each batch and bucket of keys, and rarity comes from a sketch of
+fixed size.  A word is known by 50 bits of its hash.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, materialise, table, tidy
-from .idfilter import bitmap, inside, maybe_in, slot, slots
-from .words import U, Chunk, chunks, mix
+from . import sketch
+from .blocks import pack, unpack
+from .common import discard, materialise, table, tidy, unused
+from .idfilter import bitmap, bits_for, held, maybe_in, slot
+from .words import U, Chunk, chunks, mix, word_hashes
 
 SIMILARITY = (4, 5)  # at least 4/5
-MIN_WORDS = 5
-SKETCH_SLOTS = 1 << 22
-MAX_RANK = 32767  # a rank kept too low only lets a pair through to its verification
-FIRST = 1 << 16
+WHOLE = 3  # lines of so many words have no similar line but equal ones
+FREQUENT = 128  # words that occur so often are posted in pairs
+LONG = 96  # lines of so many words post frequent words alone; those of up to a quarter more post pairs too
+WORD_BITS = 50
+HELD_POSTINGS = 1 << 18  # in a task before it packs them
+PARTITION_POSTINGS = 500_000  # that one task pairs, about
 COPY = -1
+FIRST_PARTNERS = 2  # tried first under a key; a line that none of them removes is then held against all
+_WORDS = U((1 << WORD_BITS) - 1)
 PLACES = ["p_doc", "p_line", "q_doc", "q_line"]
-PAIR = "p_doc long, p_line int, q_doc long, q_line int, q_set long, more boolean, sure boolean"
-HELD_WORDS = 1 << 22
-HELD_POSTINGS = 1 << 17
-FIRST_PARTNERS = 4  # tried first under a word; a line that none of them removes is then held against all
-
-
-def _count_words(batches):
-    held, n = [], 0
-    for batch in batches:
-        for c in chunks(batch.column(0)):
-            start, end, _ = c.words()
-            held.append(c.span_hash(start, end))
-            n += len(start)
-            if n >= HELD_WORDS:
-                yield _counted(held)
-                held, n = [], 0
-    yield _counted(held)
-
-
-def _counted(held: list[np.ndarray]) -> pa.RecordBatch:
-    word, n = np.unique(np.concatenate(held) if held else np.zeros(0, np.uint64), return_counts=True)
-    return pa.RecordBatch.from_arrays([pa.array(word.view(np.int64)), pa.array(n)], ["word", "n"])
-
-
-def _line_sets(c: Chunk, levels: np.ndarray) -> tuple[np.ndarray, ...]:
-    """(text, place, line, hash, level) of each distinct word of each line, by line and then rarest first."""
-    start, end, _ = c.words()
-    ls, _, lfirst = c.lines()
-    h = c.span_hash(start, end)
-    # Lines are in text order and a text's lines begin where it begins, so the last line begun at a word is its own.
-    line = np.searchsorted(ls, start, side="right") - 1
-    level = levels[(h & U(SKETCH_SLOTS - 1)).astype(np.int64)]
-    packed = (line.astype(np.uint64) << U(40)) | (level.astype(np.uint64) << U(32)) | (h >> U(32))
-    order = np.argsort(packed)
-    packed, h, line, level = packed[order], h[order], line[order], level[order]
-    same = packed[1:] == packed[:-1]
-    if (same & (h[1:] != h[:-1])).any() or (len(line) and int(line.max()) >> 24):
-        order = np.lexsort((h, level, line))
-        h, line, level = h[order], line[order], level[order]
-        same = (h[1:] == h[:-1]) & (line[1:] == line[:-1])
-    fresh = np.ones(len(h), bool)
-    fresh[1:] = ~same
-    h, line, level = h[fresh], line[fresh], level[fresh]
-    text = np.searchsorted(lfirst, line, side="right") - 1
-    return text, line - lfirst[text], line, h, level
-
-
-def rarity_sketch(texts: DataFrame) -> np.ndarray:
-    """SKETCH_SLOTS levels: 0 where no word of the slot stands twice in the texts, else growing with the most frequent's count."""
-    counts = texts.select("text").mapInArrow(tidy(_count_words), "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    level = F.least(F.lit(255), F.floor(F.log2("n") * 6) + 1).cast("long")
-    at = F.pmod("word", F.lit(SKETCH_SLOTS))
-    slot_levels = counts.where("n > 1").groupBy(at.alias("at")).agg(F.max(level).alias("level"))
-    eight = [F.coalesce(F.max(F.when(F.col("at") % 8 == k, F.col("level"))), F.lit(0)).cast("short").alias(f"l{k}") for k in range(8)]
-    rows = slot_levels.groupBy(F.expr("at div 8").alias("row")).agg(*eight).toPandas()
-    sketch = np.zeros((SKETCH_SLOTS // 8, 8), np.uint8)
-    sketch[rows["row"].to_numpy(np.int64)] = rows[[f"l{k}" for k in range(8)]].to_numpy(np.uint8)
-    return sketch.ravel()
-
-
-def parity(h: np.ndarray, head: np.ndarray) -> np.ndarray:
-    """64 bits a set, each the parity of its words there: two sets differ in at least as many words as bits."""
-    return np.bitwise_xor.reduceat(U(1) << (h >> U(22) & U(63)), head)
-
-
-POSTING = "word long, doc_id long, line int, set_a long, bits long, size int, rank int"
-
-
-def _postings(sketch):
-    """POSTING rows of the prefix of each line of at least MIN_WORDS words.
-
-    Of equal sets in a batch only the earliest line is posted; a later one becomes one row with rank COPY, so
-    that a line copied all over the corpus is posted once a batch.  A line's first posting is marked FIRST.
+PAIR = "p_doc long, p_line long, q_doc long, q_line long, q_set long, more boolean, sure boolean"
+
+
+class LineWords:
+    """The distinct words of each line of a chunk that has any, by line and then rarest first."""
+
+    def __init__(self, c: Chunk, levels: np.ndarray):
+        start, end, _ = c.words()
+        begin, _, first_line = c.lines()
+        first = np.searchsorted(start, begin)
+        count = np.diff(np.r_[first, len(start)])
+        line = np.repeat(np.arange(len(begin)), count)
+        h = c.span_hash(start, end)
+        packed = (levels[(h & U(sketch.SLOTS - 1)).astype(np.int64)].astype(np.uint64) << U(WORD_BITS)) | (h >> U(64 - WORD_BITS))
+        packed |= (line & 255).astype(np.uint64) << U(56)
+        # 256 lines are sorted together: a plain sort of numbers is many times faster than one of places.
+        cuts = np.r_[first[::256], len(start)].tolist()
+        for low, high in zip(cuts, cuts[1:]):
+            packed[low:high].sort()
+        fresh = np.ones(len(packed), bool)
+        fresh[1:] = (packed[1:] != packed[:-1]) | (line[1:] != line[:-1])
+        packed, line = packed[fresh], line[fresh]
+        self.word, self.level = packed & _WORDS, (packed >> U(WORD_BITS) & U(63)).astype(np.int64)
+        self.head = np.flatnonzero(np.r_[True, line[1:] != line[:-1]][: len(line)])
+        self.size = np.diff(np.r_[self.head, len(line)])
+        own = line[self.head]
+        self.text = np.searchsorted(first_line, own, side="right") - 1
+        self.place = own - first_line[self.text]
+        self.owner = np.repeat(np.arange(len(own)), self.size)
+        self.rank = np.arange(len(line)) - np.repeat(self.head, self.size)
+
+    def set_hashes(self) -> np.ndarray:
+        return np.add.reduceat(mix(self.word), self.head) if len(self.head) else np.zeros(0, np.uint64)
+
+    def parities(self) -> tuple[np.ndarray, np.ndarray]:
+        """128 bits a set, each the parity of its words there: two sets differ in at least as many words as bits."""
+        bit, side = U(1) << (self.word >> U(5) & U(63)), (self.word >> U(11) & U(1)).astype(bool)
+        return np.bitwise_xor.reduceat(np.where(side, U(0), bit), self.head), np.bitwise_xor.reduceat(np.where(side, bit, U(0)), self.head)
+
+    def postings(self, own_set: np.ndarray, frequent: int = FREQUENT, long: int = LONG) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(line, key, left): what each line is posted under, and how many words it can share with a line that it
+        meets there first."""
+        num, den = SIMILARITY
+        size = self.size[self.owner]
+        prefix = size - -(-num * size // den) + 1
+        frequent = int(sketch.level_of(frequent))
+        many = (size > WHOLE) & (self.level >= frequent)
+        single = (size > WHOLE) & (self.level > 0) & (self.level < frequent) & (self.rank < prefix)
+        alone = many & (size >= long) & (self.rank < prefix)
+        whole = np.flatnonzero((self.size <= WHOLE) & (self.level[self.head] > 0))
+        lines = [whole, self.owner[single], self.owner[alone]]
+        keys = [mix(own_set[whole] + U(3)), mix(self.word[single]), mix(self.word[alone] ^ U(0x51ED270B35AE3D1B))]
+        left = [self.size[whole], (size - self.rank)[single], (size - self.rank)[alone]]
+        # The frequent words of a line's prefix stand together at its end.
+        at = np.flatnonzero(many & (4 * size < 5 * long) & (self.rank <= prefix))
+        for far in range(1, len(at)):
+            both = self.owner[at[:-far]] == self.owner[at[far:]]
+            if not both.any():
+                break
+            a, b = at[:-far][both], at[far:][both]
+            lines.append(self.owner[a])
+            keys.append(mix(self.word[a] * U(0x9E3779B97F4A7C15) + self.word[b]))
+            left.append((size - self.rank)[b] + 1)
+        return np.concatenate(lines), np.concatenate(keys), np.concatenate(left)
+
+
+def _posted(levels, buckets: int):
+    """Rows (bucket, block) of a block's columns: key, document, line, set, two parities, size and mark.
+
+    mark is COPY for a line whose set an earlier line of the same batch has, which is posted nowhere; else twice
+    `left`, and one more at the line's least key.
     """
-    num, den = SIMILARITY
+
+    def flush(made):
+        doc, place, own, p0, p1, size = (np.concatenate([x[k] for x in made]) for k in range(6))
+        n = np.cumsum([0] + [len(x[0]) for x in made])
+        of = np.concatenate([x[6] + at for x, at in zip(made, n)])
+        key, left = (np.concatenate([x[k] for x in made]) for k in (7, 8))
+        order = np.lexsort((place, doc, own))
+        before, after = order[:-1], order[1:]
+        fresh = np.ones(len(order), bool)
+        fresh[1:] = (own[before] != own[after]) | (p0[before] != p0[after]) | (p1[before] != p1[after]) | (size[before] != size[after])
+        lead = np.empty(len(order), np.int64)
+        lead[order] = order[np.maximum.accumulate(np.where(fresh, np.arange(len(order)), 0))]
+        leads = lead == np.arange(len(order))
+        copy = np.flatnonzero(~leads & ((doc != doc[lead]) | (place != place[lead])))
+        least = np.full(len(doc), np.iinfo(np.uint64).max)
+        np.minimum.at(least, of, key)
+        kept = leads[of]
+        of, key, left = of[kept], key[kept], left[kept]
+        mark = 2 * left + (key == least[of])
+        of = np.concatenate([of, copy])
+        key = np.concatenate([key, mix(own[copy] ^ mix(doc[copy].view(np.uint64) + place[copy].view(np.uint64)))])
+        mark = np.concatenate([mark, np.full(len(copy), COPY)])
+        bucket = (key >> U(40)) % U(buckets)
+        order = np.argsort(bucket.astype(np.uint16 if buckets <= 1 << 16 else np.int64), kind="stable")
+        columns = [x[order] for x in (key & U(0xFFFFFFFF), doc[of], place[of], own[of], p0[of], p1[of], size[of], mark)]
+        bucket = bucket[order].astype(np.int64)
+        cuts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]][: len(bucket)])
+        ends = np.r_[cuts[1:], len(bucket)]
+        blocks = [pack([x[a:b] for x in columns]) for a, b in zip(cuts.tolist(), ends.tolist())]
+        return pa.RecordBatch.from_arrays([pa.array(bucket[cuts], pa.int64()), pa.array(blocks, pa.binary())], ["bucket", "block"])
 
     def rows(batches):
-        levels = sketch.value
+        made, n = [], 0
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
-            made = []
             for c in chunks(batch.column(1)):
-                text, place, line, h, level = _line_sets(c, levels)
-                if not len(h):
+                lines = LineWords(c, levels.value)
+                if not len(lines.size):
                     continue
-                head = np.flatnonzero(np.r_[True, line[1:] != line[:-1]])
-                size = np.diff(np.r_[head, len(h)])
-                rank = np.arange(len(h)) - np.repeat(head, size)
-                sizes = np.repeat(size, size)
-                posted = (rank < sizes - -(-num * sizes // den) + 1) & (level > 0) & (sizes >= MIN_WORDS)
-                upto = np.concatenate([[0], np.cumsum(posted)])
-                wide = size >= MIN_WORDS
-                at, per = head[wide], (upto[head + size] - upto[head])[wide]
-                a = np.add.reduceat(h, head)[wide]
-                made.append((ids[c.first + text[at]], place[at], a, parity(h, head)[wide], size[wide], per, h[posted] >> U(24), rank[posted]))
-            if not made:
-                continue
-            doc, place, a, bits, size, per, word, rank = (np.concatenate(x) for x in zip(*made))
-            order = np.lexsort((place, doc, size, bits, a))
-            fresh = np.ones(len(order), bool)
-            before, after = order[:-1], order[1:]
-            fresh[1:] = (a[before] != a[after]) | (bits[before] != bits[after]) | (size[before] != size[after])
-            lead = np.empty(len(order), np.int64)
-            lead[order] = order[np.maximum.accumulate(np.where(fresh, np.arange(len(order)), 0))]
-            own = lead == np.arange(len(order))
-            copy = np.flatnonzero(~own & ((doc != doc[lead]) | (place != place[lead])))
-            owner = np.repeat(np.arange(len(per)), per)
-            mark = np.r_[True, owner[1:] != owner[:-1]][: len(owner)]
-            rank = np.minimum(rank, MAX_RANK) + np.where(mark, FIRST, 0)
-            of = np.concatenate([owner[own[owner]], copy])
-            anywhere = mix(a[copy] ^ mix(doc[copy].astype(np.int64).view(np.uint64) + place[copy].astype(np.uint64)))
-            columns = [
-                np.concatenate([word[own[owner]], anywhere >> U(24)]).view(np.int64),
-                doc[of],
-                place[of].astype(np.int32),
-                a[of].view(np.int64),
-                bits[of].view(np.int64),
-                size[of].astype(np.int32),
-                np.concatenate([rank[own[owner]], np.full(len(copy), COPY)]).astype(np.int32),
-            ]
-            names = ["word", "doc_id", "line", "set_a", "bits", "size", "rank"]
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names)
+                own = lines.set_hashes()
+                made.append((ids[c.first + lines.text], lines.place, own, *lines.parities(), lines.size, *lines.postings(own)))
+                n += len(made[-1][6])
+                if n >= HELD_POSTINGS:
+                    yield flush(made)
+                    made, n = [], 0
+        if made:
+            yield flush(made)
 
     return rows
 
 
-def _wanted_lines(found):
-    def pick(batches):
-        for batch in batches:
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
-            rows = []
-            for c in chunks(batch.column(1)):
-                start, end, first = c.lines()
-                text = np.repeat(np.arange(c.n), np.diff(first))
-                place = np.arange(len(start)) - first[text]
-                for k in np.flatnonzero(inside(found.value, slots(ids[c.first + text], place))):
-                    rows.append((ids[c.first + text[k]], place[k], c.data[start[k] : end[k]].tobytes().decode()))
-            doc, place, line = zip(*rows) if rows else ((), (), ())
-            yield pa.RecordBatch.from_arrays([pa.array(doc, pa.int64()), pa.array(place, pa.int32()), pa.array(line, pa.string())], ["doc_id", "line", "words"])
+def _partners(wanted=None):
+    """Blocks in the order of their buckets to pairs of an earlier and a later line (PAIR).
 
-    return pick
+    Lines with an equal set before them are `sure`.  Any other is held against those before it under the same key,
+    the nearest first, by length, position and parity, until FIRST_PARTNERS fit; `more` says that others were
+    left.  With `wanted`, only the later lines in that bitmap are held against others, and against all.
+    """
+
+    def pairs(batches):
+        bucket, blocks = None, []
+        for batch in batches:
+            for own, block in zip(batch.column(0).to_pylist(), batch.column(1)):
+                if blocks and own != bucket:
+                    yield _paired(blocks, wanted and wanted.value)
+                    blocks = []
+                bucket = own
+                blocks.append(unpack(block.as_buffer()))
+        if blocks:
+            yield _paired(blocks, wanted and wanted.value)
 
+    return pairs
 
-def _partners(batches):
-    """POSTING rows, in order, to pairs of an earlier and a later line (PAIR).
 
-    Lines with an equal set before them are `sure`.  Any other is held against those before it under the same
-    word, the nearest first, by length, position and parity, until FIRST_PARTNERS fit; `more` says that others
-    were left.  Memory holds one word's postings at a time.
-    """
-    held, n = [], 0
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
-        held.append(columns)
-        n += len(columns[0])
-        if n >= HELD_POSTINGS and held[0][0][0] != columns[0][-1]:
-            postings = [np.concatenate(x) for x in zip(*held)]
-            cut = int(np.searchsorted(postings[0], postings[0][-1]))
-            yield _paired([x[:cut] for x in postings])
-            held, n = [[x[cut:] for x in postings]], len(postings[0]) - cut
-    if n:
-        yield _paired([np.concatenate(x) for x in zip(*held)])
-
-
-def _paired(postings: list[np.ndarray]) -> pa.RecordBatch:
+def _paired(blocks: list[list[np.ndarray]], wanted=None, most: int = FIRST_PARTNERS) -> pa.RecordBatch:
     num, den = SIMILARITY
-    copy = postings[6] == COPY
-    copies = [x[copy] for x in postings[1:4]]
-    postings = [x[~copy] for x in postings]
-    word, doc, line, own, bits, size, rank = postings
-    key = own ^ (word * 0x2545F4914F6CDD1D)
-    order = np.argsort(key, kind="stable")
+    columns = [np.concatenate(x) for x in zip(*blocks)]
+    copy = columns[7] == COPY
+    copies = [x[copy] for x in columns[1:4]]
+    columns = [x[~copy] for x in columns]
+    order = np.lexsort((columns[2], columns[1], columns[0]))
+    columns = [x[order] for x in columns]
+    key, doc, line, own, p0, p1, size, mark = columns
+    order = np.argsort((key << U(32)) ^ (own >> U(32)), kind="stable")
     before, after = order[:-1], order[1:]
-    equal = key[before] == key[after]
-    for x in (word, own, bits, size):
+    equal = np.ones(len(before), bool)
+    for x in (key, own, p0, p1, size):
         equal &= x[before] == x[after]
     elsewhere = (doc[before] != doc[after]) | (line[before] != line[after])
-    repeated = after[equal & elsewhere & (rank[after] >= FIRST)]
+    repeated = after[equal & elsewhere & (mark[after] & 1 == 1)]
     copies = [np.concatenate([x, y[repeated]]) for x, y in zip(copies, (doc, line, own))]
-    single = np.ones(len(word), bool)
+    single = np.ones(len(key), bool)
     single[after[equal]] = False
-    word, doc, line, own, bits, size, rank = (x[single] for x in postings)
-
-    bits, size = bits.view(np.uint64), size.astype(np.int64)
-    left = size - (rank & (FIRST - 1))
-    head = np.flatnonzero(np.r_[True, word[1:] != word[:-1]][: len(word)])
-    at = np.arange(len(word)) - np.repeat(head, np.diff(np.r_[head, len(word)]))
-    found = np.zeros(len(word), np.int64)
-    later, back = np.flatnonzero(at > 0), 0
+    key, doc, line, own, p0, p1, size, mark = (x[single] for x in columns)
+    left = mark >> 1
+
+    head = np.flatnonzero(np.r_[True, key[1:] != key[:-1]][: len(key)])
+    at = np.arange(len(key)) - np.repeat(head, np.diff(np.r_[head, len(key)]))
+    asked = at > 0
+    if wanted is not None:
+        asked &= held(wanted, doc, line)
+    found = np.zeros(len(key), np.int64)
+    most = most if wanted is None else len(key) + 1
+    later, back = np.flatnonzero(asked), 0
     pairs = [(np.zeros(0, np.int64),) * 2]
     while len(later):
         back += 1
         earlier = later - back
-        total = size[later] + size[earlier]
-        need = -(-num * total // (num + den))
-        fits = np.minimum(left[later], left[earlier]) >= need
-        fits &= den * np.minimum(size[later], size[earlier]) >= num * np.maximum(size[later], size[earlier])
-        fits &= np.bitwise_count(bits[later] ^ bits[earlier]) <= total - 2 * need
-        fits &= (doc[later] != doc[earlier]) | (line[later] != line[earlier])
-        found[later[fits]] += 1
-        pairs.append((earlier[fits], later[fits]))
-        later = later[(at[later] > back) & (found[later] < FIRST_PARTNERS)]
+        fits = den * np.minimum(size[later], size[earlier]) >= num * np.maximum(size[later], size[earlier])
+        q, p = later[fits], earlier[fits]
+        need = -(-num * (size[q] + size[p]) // (num + den))
+        fits = np.minimum(left[q], left[p]) >= need
+        q, p, need = q[fits], p[fits], need[fits]
+        fits = np.bitwise_count(p0[q] ^ p0[p]).astype(np.int64) + np.bitwise_count(p1[q] ^ p1[p]) <= size[q] + size[p] - 2 * need
+        fits &= (doc[q] != doc[p]) | (line[q] != line[p])
+        q, p = q[fits], p[fits]
+        found[q] += 1
+        pairs.append((p, q))
+        later = later[(at[later] > back) & (found[later] < most)]
     p, q = (np.concatenate(x) for x in zip(*pairs))
     sure = np.arange(len(p) + len(copies[0])) >= len(p)
-    more = np.concatenate([found[q] >= FIRST_PARTNERS, np.zeros(len(copies[0]), bool)])
-    columns = [pa.array(np.concatenate([x, y])) for x, y in ((doc[p], copies[0]), (line[p], copies[1]), (doc[q], copies[0]), (line[q], copies[1]), (own[q], copies[2]))]
+    more = np.concatenate([found[q] >= most, np.zeros(len(copies[0]), bool)])
+    columns = [pa.array(np.concatenate([x, y])) for x, y in ((doc[p], copies[0]), (line[p], copies[1]), (doc[q], copies[0]), (line[q], copies[1]), (own[q].view(np.int64), copies[2].view(np.int64)))]
     return pa.RecordBatch.from_arrays([*columns, pa.array(more), pa.array(sure)], [*PLACES, "q_set", "more", "sure"])
 
 
-def _sets(column) -> tuple[list[np.ndarray], np.ndarray]:
-    own, first_sums = [], []
-    for c in chunks(column):
-        start, end, first = c.words()
-        h = c.span_hash(start, end)
-        for k in range(c.n):
-            own.append(np.unique(h[first[k] : first[k + 1]]))
-            first_sums.append(own[-1].sum(dtype=np.uint64))
-    return own, np.array(first_sums, np.uint64)
+def _wanted_sets(found):
+    """(doc_id, line, set_a, words) of the lines in the bitmaps `found` of documents and of lines, and of few others."""
+
+    def pick(batches):
+        documents, lines = found.value
+        for batch in batches:
+            batch = batch.filter(pa.array(held(documents, batch.column(0).to_numpy(zero_copy_only=False))))
+            ids = batch.column(0).to_numpy(zero_copy_only=False)
+            for c in chunks(batch.column(1)):
+                start, end, first = c.lines()
+                text = np.repeat(np.arange(c.n), np.diff(first))
+                place = np.arange(len(start)) - first[text]
+                some = np.flatnonzero(held(lines, ids[c.first + text], place))
+                if not len(some):
+                    continue
+                parts = [c.data[a:b] for a, b in zip(start[some].tolist(), end[some].tolist())]
+                own = LineWords(Chunk(0, np.concatenate(parts), np.r_[0, np.cumsum([len(x) for x in parts])]), np.zeros(sketch.SLOTS, np.uint8))
+                at, cuts = some[own.text], np.r_[own.head, len(own.word)].tolist()
+                sets = [own.word[a:b].tobytes() for a, b in zip(cuts, cuts[1:])]
+                columns = [pa.array(ids[c.first + text[at]]), pa.array(place[at]), pa.array(own.set_hashes().view(np.int64)), pa.array(sets, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "line", "set_a", "words"])
+
+    return pick
 
 
 def _verify(batches):
+    """Pairs of sets, each as sorted words: where they reach the threshold, the later one's place."""
     num, den = SIMILARITY
-    for batch in batches:
-        (left, _), (right, sums) = (_sets(batch.column(k)) for k in (2, 3))
-        shared = np.array([len(np.intersect1d(x, y, assume_unique=True)) for x, y in zip(left, right)], np.int64)
-        sizes = np.array([(len(x), len(y)) for x, y in zip(left, right)], np.int64).reshape(-1, 2)
-        # Rows that repeat a doc_id share a place, which may hold short lines too.
-        similar = pa.array((den * shared >= num * (sizes.sum(axis=1) - shared)) & (sizes >= MIN_WORDS).all(axis=1))
-        kept = [batch.column(0), batch.column(1), pa.array(sums.view(np.int64))]
-        yield pa.RecordBatch.from_arrays([x.filter(similar) for x in kept], ["doc_id", "line", "set_a"])
+    at_once = 1 << (64 - WORD_BITS)
+    for whole in batches:
+        for batch in (whole.slice(k, at_once) for k in range(0, whole.num_rows, at_once)):  # none of an empty batch
+            sides = [[np.frombuffer(x.as_buffer(), np.uint64) for x in batch.column(k)] for k in (3, 4)]
+            sizes = [np.array([len(x) for x in side], np.int64) for side in sides]
+            pair = np.arange(batch.num_rows, dtype=np.uint64) << U(WORD_BITS)
+            both = np.sort(np.concatenate([np.concatenate(side) | np.repeat(pair, n) for side, n in zip(sides, sizes)]))
+            shared = np.bincount((both[1:][both[1:] == both[:-1]] >> U(WORD_BITS)).astype(np.int64), minlength=batch.num_rows)
+            similar = pa.array(den * shared >= num * (sizes[0] + sizes[1] - shared))
+            yield pa.RecordBatch.from_arrays([batch.column(k).filter(similar) for k in range(3)], ["doc_id", "line", "set_a"])
 
 
 def _similar(texts: DataFrame, pairs: DataFrame) -> DataFrame:
     """(doc_id, line, set_a) of the later lines of `pairs` that are similar to the earlier one, on their full sets."""
+    spark = texts.sparkSession
     p, q = (F.struct(F.col(f"{x}_doc").alias("doc_id"), F.col(f"{x}_line").alias("line")) for x in "pq")
-    places = pairs.select(F.explode(F.array(p, q)).alias("at")).select("at.*")
-    found = texts.sparkSession.sparkContext.broadcast(bitmap(places.select(slot(F.col("doc_id"), F.col("line").cast("long")).alias("slot"))))
-    some = texts.mapInArrow(tidy(_wanted_lines(found)), "doc_id long, line int, words string")
-    some = materialise(some.join(places.distinct(), ["doc_id", "line"], "left_semi"), "line-texts")
+    places = materialise(pairs.select(F.explode(F.array(p, q)).alias("at")).select("at.*").distinct(), "places")
+    lines = bitmap(places.select(slot(F.col("doc_id"), F.col("line"), bits=(bits := bits_for(places.count()))).alias("slot")), bits)
+    documents = bitmap(places.select(slot(F.col("doc_id"), bits=bits).alias("slot")), bits)
+    found = spark.sparkContext.broadcast((documents, lines))
+    some = texts.mapInArrow(tidy(_wanted_sets(found)), "doc_id long, line long, set_a long, words binary")
+    some = materialise(some.join(places, ["doc_id", "line"], "left_semi"), "line-sets")
+    found.destroy()
     left = some.select(F.col("doc_id").alias("p_doc"), F.col("line").alias("p_line"), F.col("words").alias("p_words"))
-    right = some.select(F.col("doc_id").alias("q_doc"), F.col("line").alias("q_line"), F.col("words").alias("q_words"))
-    both = pairs.join(left, ["p_doc", "p_line"]).join(right, ["q_doc", "q_line"]).select("q_doc", "q_line", "p_words", "q_words")
-    similar = materialise(both.mapInArrow(tidy(_verify), "doc_id long, line int, set_a long").distinct(), "similar-lines")
-    discard(some)
+    right = some.select(F.col("doc_id").alias("q_doc"), F.col("line").alias("q_line"), "set_a", F.col("words").alias("q_words"))
+    both = pairs.join(left, ["p_doc", "p_line"]).join(right, ["q_doc", "q_line"]).select("q_doc", "q_line", "set_a", "p_words", "q_words")
+    similar = materialise(both.mapInArrow(tidy(_verify), "doc_id long, line long, set_a long").distinct(), "similar-lines")
+    discard(some, places)
     return similar
 
 
-def _all_partners(posting: DataFrame, later: DataFrame) -> DataFrame:
-    """Pairs of each line of `later` (doc_id, line) and every earlier line that the filters let through."""
-    num, den = SIMILARITY
-    x, y = posting.alias("x"), posting.join(later, ["doc_id", "line"], "left_semi").alias("y")
-    need = f"ceil({num} * (x.size + y.size) / ({num} + {den}))"
-    left = [f"{side}.size - ({side}.rank & {FIRST - 1})" for side in "xy"]
-    found = x.join(
-        y,
-        (F.col("x.word") == F.col("y.word"))
-        & F.expr("(x.doc_id < y.doc_id or (x.doc_id = y.doc_id and x.line < y.line))")
-        & F.expr(f"{den} * least(x.size, y.size) >= {num} * greatest(x.size, y.size)")
-        & F.expr(f"least({left[0]}, {left[1]}) >= {need}")
-        & F.expr(f"bit_count(x.bits ^ y.bits) <= x.size + y.size - 2 * {need}"),
-    )
-    names = {"p_doc": "x.doc_id", "p_line": "x.line", "q_doc": "y.doc_id", "q_line": "y.line"}
-    return materialise(found.select(*(F.col(v).alias(k) for k, v in names.items())).distinct(), "line-pairs")
-
-
 def removed_lines(docs: DataFrame) -> DataFrame:
     """(doc_id, line, set_a) of every line that an earlier one is similar to; `set_a` tells apart rows that repeat a doc_id."""
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("doc_id is not null and text is not null")
-    sketch = spark.sparkContext.broadcast(rarity_sketch(texts))
-    posting = texts.mapInArrow(tidy(_postings(sketch)), POSTING)
-    pairs = posting.repartition("word").sortWithinPartitions("word", "doc_id", "line").mapInArrow(tidy(_partners), PAIR)
+    found, total = sketch.rarity_levels(texts, lambda c: word_hashes(c)[0])
+    levels = spark.sparkContext.broadcast(found)
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), total // (5 * PARTITION_POSTINGS))
+    blocks = texts.mapInArrow(tidy(_posted(levels, 8 * parts)), "bucket long, block binary")
+    dealt = blocks.repartition(parts, "bucket").sortWithinPartitions("bucket")
+    pairs = dealt.mapInArrow(tidy(_partners()), PAIR)
     pairs = materialise(pairs.groupBy(*PLACES, "q_set", "sure").agg(F.max("more").alias("more")), "line-pairs")
     later = [F.col("q_doc").alias("doc_id"), F.col("q_line").alias("line"), F.col("q_set").alias("set_a")]
     copies = pairs.where("sure").select(later)
@@ -312,8 +317,13 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     similar = _similar(texts, candidates.select(PLACES).distinct())
     crowded = candidates.where("more").select(later).distinct()
     open_lines = materialise(crowded.join(similar.union(copies), ["doc_id", "line", "set_a"], "left_anti").select("doc_id", "line").distinct(), "open-lines")
-    if not open_lines.isEmpty():
-        similar = similar.union(_similar(texts, _all_partners(posting.where(f"rank != {COPY}"), open_lines)))
+    if n := open_lines.count():
+        wanted = spark.sparkContext.broadcast(bitmap(open_lines.select(slot(F.col("doc_id"), F.col("line")).alias("slot"))))
+        rest = dealt.mapInArrow(tidy(_partners(wanted)), PAIR).where("not sure").select(PLACES).distinct()
+        similar = similar.union(_similar(texts, materialise(rest, "line-pairs")))
+        wanted.destroy()
+    levels.destroy()
+    discard(open_lines)
     return copies.union(similar).distinct()
 
 
@@ -321,34 +331,41 @@ def _without(at: int):
     """Texts without their removed lines; the removed column (array of struct(line, set_a)) is the last."""
 
     def rebuild(batches):
+        no_levels = np.zeros(sketch.SLOTS, np.uint8)
         for batch in batches:
-            removed = batch.column(batch.num_columns - 1).to_pylist()
-            source = batch.column(at).to_pylist()
-            made, total, gone = [None] * len(source), [0] * len(source), [0] * len(source)
-            for c in chunks(batch.column(at)):
-                start, end, first = c.lines()
-                for k in range(c.n):
-                    row = c.first + k
-                    if source[row] is None:
-                        continue
-                    total[row] = int(first[k + 1] - first[k])
-                    if not removed[row]:
-                        made[row] = source[row]
-                        continue
-                    drop = {}
-                    for r in removed[row]:
-                        drop.setdefault(r["line"], set()).add(r["set_a"])
-                    kept = []
-                    for place, line in enumerate(source[row].split("\n")):
-                        own = drop.get(place)
-                        if own is not None and _sets(pa.array([line]))[1].view(np.int64)[0] in own:
-                            gone[row] += 1
-                        else:
-                            kept.append(line)
-                    made[row] = "\n".join(kept)
+            listed, source = batch.column(batch.num_columns - 1), batch.column(at)
+            per = np.asarray(pc.fill_null(pc.list_value_length(listed), 0))
+            touched = np.flatnonzero((per > 0) & np.asarray(source.is_valid()))
+            entries = listed.take(pa.array(touched)).flatten()
+            row = np.repeat(np.arange(len(touched)), per[touched])
+            entry_line, entry_set = (np.asarray(entries.field(k)).astype(np.int64) for k in (0, 1))
+            gone, made = np.zeros(len(source), np.int64), source.to_pylist() if len(touched) else None
+            for c in chunks(source.take(pa.array(touched))):
+                lines, (start, end, first) = LineWords(c, no_levels), c.lines()
+                own = lines.set_hashes().view(np.int64)
+                key = first[lines.text] + lines.place
+                mine = (row >= c.first) & (row < c.last)
+                # A place past the text's last line, of another row with its doc_id, is nothing here.
+                text = row[mine] - c.first
+                fits = entry_line[mine] < np.diff(first)[text]
+                wanted, sets = first[text[fits]] + entry_line[mine][fits], entry_set[mine][fits]
+                k = np.minimum(np.searchsorted(key, wanted), max(len(key) - 1, 0))
+                same = (key[k] == wanted) & (own[k] == sets) if len(key) else np.zeros(len(wanted), bool)
+                drop = np.zeros(len(start), bool)
+                drop[wanted[same]] = True
+                raw, cuts = c.data.tobytes(), first.tolist()
+                start, end = start.tolist(), end.tolist()
+                for t in np.unique(text):
+                    span = range(cuts[t], cuts[t + 1])
+                    to = touched[c.first + t]
+                    gone[to] = drop[cuts[t] : cuts[t + 1]].sum()
+                    if gone[to]:
+                        made[to] = b"\n".join([raw[start[j] : end[j]] for j in span if not drop[j]]).decode()
             columns = list(batch.columns[:-1])
-            columns[at] = pa.array(made, pa.string())
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(total, pa.int64()), pa.array(gone, pa.int64())], [*batch.schema.names[:-1], "n_lines", "n_removed"])
+            if made is not None:
+                columns[at] = pa.array(made, pa.string())
+            total = pc.fill_null(pc.add(pc.count_substring(source, "\n"), 1), 0).cast(pa.int64())
+            yield pa.RecordBatch.from_arrays([*columns, total, pa.array(gone)], [*batch.schema.names[:-1], "n_lines", "n_removed"])
 
     return rebuild
 
@@ -358,18 +375,21 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
 
     Lines are split at newlines and compared as sets of lower-cased words; one is removed if the Jaccard
     similarity with a line of a smaller doc_id, or an earlier one of its own document, is 0.8 or more.  Lines
-    of fewer than 5 distinct words stay.  A null text stays null with 0 lines, an empty one has one line; a row
-    without doc_id is left as it is; rows that repeat a doc_id stand at the same place, so neither is the
-    earlier; an empty table gives an empty one.  Columns named n_lines or n_removed are replaced.
+    without words stay.  A null text stays null with 0 lines, an empty one has one line; a row without doc_id is
+    left as it is; rows that repeat a doc_id stand at the same place, so neither is the earlier, and each loses its
+    own lines; very long texts are read whole; an empty table gives an empty one.  Columns named n_lines or
+    n_removed are replaced, others are carried whatever their names.
     """
     docs = docs.drop("n_lines", "n_removed")
-    gone = removed_lines(docs).groupBy("doc_id").agg(F.collect_set(F.struct("line", "set_a")).alias("removed_lines_"))
+    source, listed_as = unused(docs, "removed_from"), unused(docs, "removed_lines")
+    gone = removed_lines(docs).groupBy("doc_id").agg(F.collect_set(F.struct("line", "set_a")).alias(listed_as))
     gone = materialise(gone, "removed-lines")
     key = F.col("doc_id").cast("long")
-    maybe = maybe_in(docs.sparkSession, slot(key), gone.select(slot(F.col("doc_id")).alias("slot")))
-    listed = gone.select(F.col("doc_id").alias("removed_from_"), "removed_lines_")
-    touched = docs.where(maybe).join(listed, key == F.col("removed_from_"), "left").drop("removed_from_")
-    clear = docs.where(~maybe).withColumn("removed_lines_", F.lit(None).cast(gone.schema["removed_lines_"].dataType))
+    bits = bits_for(gone.count())
+    maybe = maybe_in(docs.sparkSession, slot(key, bits=bits), gone.select(slot(F.col("doc_id"), bits=bits).alias("slot")), bits)
+    listed = gone.select(F.col("doc_id").alias(source), listed_as)
+    touched = docs.where(maybe).join(listed, key == F.col(source), "left").drop(source)
+    clear = docs.where(~maybe).withColumn(listed_as, F.lit(None).cast(gone.schema[listed_as].dataType))
     joined = clear.union(touched)
     schema = docs.schema.add("n_lines", "long").add("n_removed", "long")
     return joined.mapInArrow(tidy(_without(docs.columns.index("text"))), schema)
@@ -390,7 +410,7 @@ with lines as (
   select doc_id, u.line - 1 as line,
          list_distinct(regexp_extract_all(translate(u.content, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+')) as w
   from documents, unnest(string_split(text, chr(10))) with ordinality as u(content, line)),
-wide as (select doc_id, line, list_sort(w) as w from lines where len(w) >= 5),
+wide as (select doc_id, line, list_sort(w) as w from lines where len(w) > 0),
 classes as (select w, min((doc_id, line)) as first from wide group by w),
 numbered as (select row_number() over () as id, w, first from classes),
 words as (select id, first, len(w) as size, unnest(w) as word from numbered),

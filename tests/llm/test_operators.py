@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from tessella.llm import decontaminate, linededup, maxent, neardup, packing, passages, quality, sharding, tokencount, urlrules, words
+from tessella.llm import blocks, decontaminate, linededup, maxent, neardup, packing, passages, quality, sharding, sketch, tokencount, urlrules, words
 from tessella.llm.common import connected_components
 from tessella.llm.tokens import TokenIds
 from tessella.llm.trees import fit
@@ -221,19 +221,88 @@ def test_token_counts(spark, rows, tmp_path):
     assert got == [(0, 2, True), (1, 0, True), (2, 1, True), (3, 2, False)]
 
 
+def similar_later_lines(rows):
+    """(row, line) of every line with words that a line of an earlier document or place is similar to."""
+    lines = [(k, d, j, frozenset(split(x))) for k, (d, t) in enumerate(rows) if t is not None and d is not None for j, x in enumerate(t.split("\n"))]
+    lines = [x for x in lines if x[3]]
+    return {(k, j) for k, d, j, s in lines if any((e, i) < (d, j) and 5 * len(s & o) >= 4 * len(s | o) for _, e, i, o in lines)}
+
+
 def test_line_dedup(spark, rows):
-    lines = [(d, k, frozenset(split(x))) for d, t in rows if t is not None for k, x in enumerate(t.split("\n"))]
-    lines = [x for x in lines if len(x[2]) >= 5]
-    gone = collections.defaultdict(set)
-    for i, (d, k, s) in enumerate(lines):
-        if any((e, j) < (d, k) and 5 * len(s & o) >= 4 * len(s | o) for e, j, o in lines):
-            gone[d].add(k)
-    assert gone
+    gone = similar_later_lines(rows)
+    assert len(gone) > 20
     got = {r.doc_id: r for r in linededup.dedup_lines(frame(spark, rows + [(None, rows[0][1])])).collect()}
     assert got[None].text == rows[0][1]
-    for d, t in rows:
-        kept = None if t is None else "\n".join(x for k, x in enumerate(t.split("\n")) if k not in gone[d])
-        assert (got[d].text, got[d].n_removed) == (kept, len(gone[d]))
+    for k, (d, t) in enumerate(rows):
+        own = [j for i, j in gone if i == k]
+        kept = None if t is None else "\n".join(x for j, x in enumerate(t.split("\n")) if j not in own)
+        assert (got[d].text, got[d].n_lines, got[d].n_removed) == (kept, 0 if t is None else len(t.split("\n")), len(own))
+
+
+def test_line_dedup_of_repeated_ids_and_short_lines(spark):
+    rows = [(5, "one\ntwo three four five\n\nsix"), (1, "one"), (2, "two three four five six\nSIX\nsix"), (5, "alone here\ntwo five four three"), (5, "alone here"), (7, "\n \nalone here")]
+    schema = "doc_id long, text string, removed_from string, Removed_Lines string, n_lines string"
+    docs = spark.createDataFrame([(d, t, "x", str(k), "y") for k, (d, t) in enumerate(rows)], schema)
+    got = {int(r.Removed_Lines): r for r in linededup.dedup_lines(docs).collect()}
+    gone = similar_later_lines(rows)
+    assert gone == {(0, 0), (0, 1), (0, 3), (2, 2), (3, 1), (5, 2)}
+    for k, (_, t) in enumerate(rows):
+        assert got[k].text == "\n".join(x for j, x in enumerate(t.split("\n")) if (k, j) not in gone)
+        assert got[k].removed_from == "x" and got[k].n_removed == sum(i == k for i, _ in gone)
+
+
+@pytest.mark.parametrize("frequent, long", [(1 << 30, 1 << 30), (2, 1 << 30), (2, 2), (8, 12), (40, 20)])
+def test_similar_lines_meet(frequent, long):
+    """Every two similar lines meet under a key at which the filters let them through, whatever is frequent or long."""
+    rng = random.Random(frequent + long)
+    names = [f"w{k}" for k in range(60)]
+    lines = []
+    for _ in range(300):
+        own = [rng.choice(names[: rng.choice([5, 20, 60])]) for _ in range(rng.randrange(1, 30))]
+        if lines and rng.random() < 0.5:
+            own = rng.choice(lines).split()
+            for _ in range(rng.randrange(0, 3)):
+                own[rng.randrange(len(own))] = rng.choice(names)
+            rng.shuffle(own)
+        lines.append(" ".join(own))
+    c = next(words.chunks(pa.array(lines)))
+    start, end, _ = c.words()
+    counts = np.bincount((c.span_hash(start, end) & np.uint64(sketch.SLOTS - 1)).astype(np.int64), minlength=sketch.SLOTS)
+    own = linededup.LineWords(c, sketch.level_of(counts))
+    hashes, (p0, p1) = own.set_hashes(), own.parities()
+    of, key, left = own.postings(hashes, frequent, long)
+    ids, zero = np.arange(len(lines)), np.zeros(len(of), np.int64)
+    block = [key, ids[of], zero, hashes[of], p0[of], p1[of], own.size[of], 2 * left]
+    found = linededup._paired([block], most=1 << 30)
+    met = {(p, q) for p, q in zip(found.column("p_doc").to_pylist(), found.column("q_doc").to_pylist())}
+    sets = [frozenset(x.split()) for x in lines]
+    assert (own.size == [len(s) for s in sets]).all()
+    seen = set()
+    for q, s in enumerate(sets):
+        for p, o in enumerate(sets[:q]):
+            if 5 * len(s & o) >= 4 * len(s | o) and s != o and s not in seen and o not in sets[:p]:
+                assert (p, q) in met, (lines[p], lines[q])
+        seen.add(s)
+
+
+def test_blocks_of_numbers():
+    rng = np.random.default_rng(4)
+    columns = [rng.integers(0, 1 << 63, 50, dtype=np.uint64), rng.integers(-(1 << 62), 1 << 62, 50), np.full(50, 7), np.arange(50) + (1 << 40), np.array([-(1 << 63), (1 << 63) - 1] * 25)]
+    got = blocks.unpack(blocks.pack(columns))
+    assert all((x == y).all() and x.dtype == y.dtype for x, y in zip(columns, got))
+    assert [len(x) for x in blocks.unpack(blocks.pack([x[:0] for x in columns]))] == [0] * 5
+
+
+def test_rarity(spark, rows):
+    found, total = sketch.rarity_levels(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), lambda c: words.word_hashes(c)[0])
+    counts = collections.Counter()
+    for c in words.chunks(pa.array([t for _, t in rows])):
+        counts.update((words.word_hashes(c)[0] & np.uint64(sketch.SLOTS - 1)).tolist())
+    expected = np.zeros(sketch.SLOTS, np.uint64)
+    expected[list(counts)] = list(counts.values())
+    exact = expected < 16
+    assert (found[exact] == sketch.level_of(expected)[exact]).all() and abs(found[~exact].astype(int) - sketch.level_of(expected)[~exact]).max() <= 1
+    assert abs(total - sum(counts.values())) < 0.1 * total
 
 
 def test_edit_distance():
