@@ -30,17 +30,18 @@ from . import sketch
 from .blocks import pack, unpack
 from .common import discard, materialise, table, tidy, unused
 from .idfilter import bitmap, bits_for, held, maybe_in, slot
+from .sets import BITS, pair_overlaps
 from .words import U, Chunk, chunks, mix, word_hashes
 
 SIMILARITY = (4, 5)  # at least 4/5
 WHOLE = 3  # lines of so many words have no similar line but equal ones
 FREQUENT = 128  # words that occur so often are posted in pairs
 LONG = 96  # lines of so many words post frequent words alone; those of up to a quarter more post pairs too
-WORD_BITS = 50
+WORD_BITS = BITS
 HELD_POSTINGS = 1 << 18  # in a task before it packs them
 PARTITION_POSTINGS = 500_000  # that one task pairs, about
 COPY = -1
-FIRST_PARTNERS = 2  # tried first under a key; a line that none of them removes is then held against all
+CLOSE_PARTNERS, FIRST_PARTNERS = 2, 32  # tried first under a key; a line that none of them removes is then held against all
 _WORDS = U((1 << WORD_BITS) - 1)
 PLACES = ["p_doc", "p_line", "q_doc", "q_line"]
 PAIR = "p_doc long, p_line long, q_doc long, q_line long, q_set long, more boolean, sure boolean"
@@ -170,8 +171,8 @@ def _partners(wanted=None):
     """Blocks in the order of their buckets to pairs of an earlier and a later line (PAIR).
 
     Lines with an equal set before them are `sure`.  Any other is held against those before it under the same key,
-    the nearest first, by length, position and parity, until FIRST_PARTNERS fit; `more` says that others were
-    left.  With `wanted`, only the later lines in that bitmap are held against others, and against all.
+    the nearest first, by length, position and parity, until FIRST_PARTNERS fit or CLOSE_PARTNERS are close, with
+    half the difference that is allowed; `more` says that others were left.  With `wanted`, only the later lines in that bitmap are held against others, and against all.
     """
 
     def pairs(batches):
@@ -216,8 +217,8 @@ def _paired(blocks: list[list[np.ndarray]], wanted=None, most: int = FIRST_PARTN
     asked = at > 0
     if wanted is not None:
         asked &= held(wanted, doc, line)
-    found = np.zeros(len(key), np.int64)
-    most = most if wanted is None else len(key) + 1
+    found, close = np.zeros(len(key), np.int64), np.zeros(len(key), np.int64)
+    most, near = (most, CLOSE_PARTNERS) if wanted is None else (len(key) + 1, len(key) + 1)
     later, back = np.flatnonzero(asked), 0
     pairs = [(np.zeros(0, np.int64),) * 2]
     while len(later):
@@ -228,15 +229,17 @@ def _paired(blocks: list[list[np.ndarray]], wanted=None, most: int = FIRST_PARTN
         need = -(-num * (size[q] + size[p]) // (num + den))
         fits = np.minimum(left[q], left[p]) >= need
         q, p, need = q[fits], p[fits], need[fits]
-        fits = np.bitwise_count(p0[q] ^ p0[p]).astype(np.int64) + np.bitwise_count(p1[q] ^ p1[p]) <= size[q] + size[p] - 2 * need
-        fits &= (doc[q] != doc[p]) | (line[q] != line[p])
-        q, p = q[fits], p[fits]
+        differ, allowed = np.bitwise_count(p0[q] ^ p0[p]).astype(np.int64) + np.bitwise_count(p1[q] ^ p1[p]), size[q] + size[p] - 2 * need
+        fits = (differ <= allowed) & ((doc[q] != doc[p]) | (line[q] != line[p]))
+        q, p, differ, allowed = q[fits], p[fits], differ[fits], allowed[fits]
         found[q] += 1
+        # Parities of very different long sets agree in half of the bits, so a larger difference says nothing.
+        close[q] += 2 * differ <= np.minimum(allowed, 32)
         pairs.append((p, q))
-        later = later[(at[later] > back) & (found[later] < most)]
+        later = later[(at[later] > back) & (found[later] < most) & (close[later] < near)]
     p, q = (np.concatenate(x) for x in zip(*pairs))
     sure = np.arange(len(p) + len(copies[0])) >= len(p)
-    more = np.concatenate([found[q] >= most, np.zeros(len(copies[0]), bool)])
+    more = np.concatenate([(found[q] >= most) | (close[q] >= near), np.zeros(len(copies[0]), bool)])
     columns = [pa.array(np.concatenate([x, y])) for x, y in ((doc[p], copies[0]), (line[p], copies[1]), (doc[q], copies[0]), (line[q], copies[1]), (own[q].view(np.int64), copies[2].view(np.int64)))]
     return pa.RecordBatch.from_arrays([*columns, pa.array(more), pa.array(sure)], [*PLACES, "q_set", "more", "sure"])
 
@@ -269,16 +272,10 @@ def _wanted_sets(found):
 def _verify(batches):
     """Pairs of sets, each as sorted words: where they reach the threshold, the later one's place."""
     num, den = SIMILARITY
-    at_once = 1 << (64 - WORD_BITS)
-    for whole in batches:
-        for batch in (whole.slice(k, at_once) for k in range(0, whole.num_rows, at_once)):  # none of an empty batch
-            sides = [[np.frombuffer(x.as_buffer(), np.uint64) for x in batch.column(k)] for k in (3, 4)]
-            sizes = [np.array([len(x) for x in side], np.int64) for side in sides]
-            pair = np.arange(batch.num_rows, dtype=np.uint64) << U(WORD_BITS)
-            both = np.sort(np.concatenate([np.concatenate(side) | np.repeat(pair, n) for side, n in zip(sides, sizes)]))
-            shared = np.bincount((both[1:][both[1:] == both[:-1]] >> U(WORD_BITS)).astype(np.int64), minlength=batch.num_rows)
-            similar = pa.array(den * shared >= num * (sizes[0] + sizes[1] - shared))
-            yield pa.RecordBatch.from_arrays([batch.column(k).filter(similar) for k in range(3)], ["doc_id", "line", "set_a"])
+    for batch in batches:
+        for first, last, m, n, shared in pair_overlaps(batch.column(3), batch.column(4)):
+            similar = pa.array(den * shared >= num * (m + n - shared))
+            yield pa.RecordBatch.from_arrays([batch.column(k)[first:last].filter(similar) for k in range(3)], ["doc_id", "line", "set_a"])
 
 
 def _similar(texts: DataFrame, pairs: DataFrame) -> DataFrame:
