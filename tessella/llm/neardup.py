@@ -12,9 +12,9 @@ region: first each class is held against its closest neighbours, links confirmed
 into components, then against the closest of other components, and then only neighbours that are still in
 different components are held against each other.
 
-A window holds WINDOW rows, so where more share MIN_DEPTH values it may miss links.  The rows of such regions are
-crowded: those of different components are then joined exactly, whatever the size of the region.  Shingles are put
-in order, rarest among the crowded first; two sets that reach the threshold share one of their first few (the
+A window holds WINDOW rows, so where more share MIN_DEPTH values it may miss links, and so may the edge between two
+tasks' rows.  Rows that share MIN_DEPTH values with one outside their window or their task are crowded: those of
+different components are then joined exactly, whatever the size of the region.  Shingles are put in order, rarest among the crowded first; two sets that reach the threshold share one of their first few (the
 prefix filter), have near sizes and enough shingles left after it (the positional filter).  What a template's copies
 have in common comes last in that order, so texts just under the threshold to each other make few candidates.
 """
@@ -22,13 +22,15 @@ have in common comes last in that order, so texts just under the threshold to ea
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import sketch
 from .common import connected_components, discard, materialise, table, tidy
-from .idfilter import PIECE_BITS, maybe_in, slot
+from .idfilter import bits_for, maybe_in, slot
+from .sets import BITS, pair_overlaps
+from .sketch import rarity_levels
 from .words import U, chunks, mix, shingles, word_hashes
 
 TREES, DEPTH, MIN_DEPTH = 24, 5, 2
@@ -42,7 +44,6 @@ CLOSEST = 2
 SKETCH = 240
 SKETCH_BYTES = SKETCH // 4
 SKETCH_AGREE = 0.70
-RARITY_SLOTS = 1 << 22  # levels that only order shingles: any order gives the same result
 _MULTIPLIERS = mix(np.arange(1, SKETCH + 1, dtype=np.uint64) * U(0xA0761D6478BD642F)) | U(1)
 _POPULATION = np.array([bin(k).count("1") for k in range(256)], np.uint8)
 
@@ -99,12 +100,13 @@ def _explode_trees(batches):
 def _neighbours(lags: int, apart: bool, nearest: bool):
     """Candidate pairs among rows in key order: within `lags` rows, MIN_DEPTH leading values shared, sizes and sketches near.
 
-    With `apart`, only pairs of different components; with `nearest`, only the first such of each row.
+    With `apart`, only pairs of different components; with `nearest`, only the first such of each row.  A row that
+    shares MIN_DEPTH values with one out of reach, further away or in another task, is paired with itself.
     """
     width = 1 + 4 * DEPTH
 
     def near(batches):
-        kept = None
+        kept, opening = None, None
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -117,12 +119,17 @@ def _neighbours(lags: int, apart: bool, nearest: bool):
                 key, sketch, node, size, component = (np.concatenate(x) for x in zip(kept, (key, sketch, node, size, component)))
             prefix = np.ascontiguousarray(key[:, : 1 + 4 * MIN_DEPTH]).view(f"V{1 + 4 * MIN_DEPTH}").ravel()
             out, done = [], np.zeros(len(node), bool)
+            if opening is None:
+                opening = prefix[0]
+            crowded = [node[fresh:][prefix[fresh:] == opening]]
             for lag in range(1, min(lags, len(node) - 1) + 1):
                 later = np.arange(max(lag, fresh), len(node))
                 later = later[prefix[later] == prefix[later - lag]]
                 if not len(later):
                     break  # equal prefixes stand together: none this far apart, none further
                 a, b = later - lag, later
+                if lag == lags:
+                    crowded += [node[a], node[b]]
                 fits = node[a] != node[b]
                 fits &= 100 * np.minimum(size[a], size[b]) >= PERCENT * np.maximum(size[a], size[b])
                 if apart:
@@ -136,10 +143,17 @@ def _neighbours(lags: int, apart: bool, nearest: bool):
                     close &= ~done[b]
                     done[b[close]] = True
                 out.append((node[a[close]], node[b[close]], same[close]))
-            kept = [x[-lags:].copy() for x in (key, sketch, node, size, component)]
-            if out:
-                a, b, same = (np.concatenate(x) for x in zip(*out))
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(same)], ["a", "b", "same"])
+            kept, closing = [x[-lags:].copy() for x in (key, sketch, node, size, component)], (prefix[-lags:] == prefix[-1]).copy()
+            alone = np.unique(np.concatenate(crowded))
+            out.append((alone, alone, np.ones(len(alone))))
+            yield listed(out)
+        if kept is not None:
+            alone = kept[2][closing]
+            yield listed([(alone, alone, np.ones(len(alone)))])
+
+    def listed(out):
+        a, b, same = (np.concatenate(x) for x in zip(*out))
+        return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(same)], ["a", "b", "same"])
 
     return near
 
@@ -151,38 +165,41 @@ def _candidates(classes: DataFrame, lags: int, apart: bool, nearest: bool = Fals
     return ordered.mapInArrow(tidy(_neighbours(lags, apart, nearest)), "a long, b long, same double").groupBy("a", "b").agg(F.max("same").alias("same"))
 
 
+def _sets(batches):
+    for batch in batches:
+        made = []
+        for c in chunks(batch.column(1)):
+            value, first = shingles(*word_hashes(c), SHINGLE)
+            value, cuts = value >> U(64 - BITS), first.tolist()
+            made += [value[x:y].tobytes() for x, y in zip(cuts, cuts[1:])]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.binary())], ["row_id", "members"])
+
+
 def _confirm(batches):
     for batch in batches:
-        a, b = batch.column(0), batch.column(1)
-        sets = []
-        for side in (2, 3):
-            own = []
-            for c in chunks(batch.column(side)):
-                value, first = shingles(*word_hashes(c), SHINGLE)
-                own += [value[first[k] : first[k + 1]] for k in range(c.n)]
-            sets.append(own)
-        shared = np.array([len(np.intersect1d(x, y, assume_unique=True)) for x, y in zip(*sets)], np.int64)
-        union = np.array([len(x) + len(y) for x, y in zip(*sets)], np.int64) - shared
-        linked = pa.array((100 * shared >= PERCENT * union) & (union > 0))
-        yield pa.RecordBatch.from_arrays([a.filter(linked), b.filter(linked)], ["src", "dst"])
+        for first, last, m, n, shared in pair_overlaps(batch.column(2), batch.column(3)):
+            union = m + n - shared
+            linked = pa.array((100 * shared >= PERCENT * union) & (union > 0))
+            yield pa.RecordBatch.from_arrays([batch.column(k)[first:last].filter(linked) for k in (0, 1)], ["src", "dst"])
 
 
 def _texts_of(wanted: DataFrame, texts: DataFrame) -> DataFrame:
-    """The rows of `texts` whose row_id is in `wanted`, and few others, found before anything is shuffled.  The joins that
-    follow are exact."""
-    maybe = maybe_in(texts.sparkSession, slot(F.col("row_id")), wanted.select(slot(F.col("row_id")).alias("slot")))
+    """The rows of `texts` whose row_id is in the table `wanted`, and few others, found before anything is shuffled.
+    The joins that follow are exact."""
+    bits = bits_for(wanted.count())
+    maybe = maybe_in(texts.sparkSession, slot(F.col("row_id"), bits=bits), wanted.select(slot(F.col("row_id"), bits=bits).alias("slot")), bits)
     return texts.where("row_id is not null").where(maybe)
 
 
 def _linked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose full shingle sets reach the threshold.  Only texts of paired classes are shuffled."""
-    wanted = pairs.select(F.col("a").alias("row_id")).union(pairs.select("b")).distinct()
-    some = materialise(_texts_of(wanted, texts), "pair-texts")
-    left = some.select(F.col("row_id").alias("a"), F.col("text").alias("text_a"))
-    right = some.select(F.col("row_id").alias("b"), F.col("text").alias("text_b"))
-    links = pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b").mapInArrow(tidy(_confirm), "src long, dst long")
+    """The pairs (a, b) whose full shingle sets reach the threshold.  Only sets of paired classes are shuffled."""
+    wanted = materialise(pairs.select(F.col("a").alias("row_id")).union(pairs.select("b")).distinct(), "paired")
+    some = materialise(_texts_of(wanted, texts).mapInArrow(tidy(_sets), "row_id long, members binary"), "pair-sets")
+    left = some.select(F.col("row_id").alias("a"), F.col("members").alias("members_a"))
+    right = some.select(F.col("row_id").alias("b"), F.col("members").alias("members_b"))
+    links = pairs.join(left, "a").join(right, "b").select("a", "b", "members_a", "members_b").mapInArrow(tidy(_confirm), "src long, dst long")
     links = materialise(links, "links")
-    discard(some)
+    discard(some, wanted)
     return links
 
 
@@ -193,49 +210,6 @@ def _closest(pairs: DataFrame) -> DataFrame:
     return either.withColumn("place", best).where(F.col("place") <= CLOSEST).select("a", "b").distinct()
 
 
-def _regions(batches):
-    """A row per tree: a hash of its number and MIN_DEPTH leading values, and the class."""
-    for batch in batches:
-        low = np.stack([np.frombuffer(x.as_buffer(), ">u4") for x in batch.column(1)]) if batch.num_rows else np.zeros((0, TREES * DEPTH), ">u4")
-        for tree in range(TREES):
-            region = np.full(len(low), U(tree + 1))
-            for k in range(MIN_DEPTH):
-                region = mix(region * U(0xC2B2AE3D27D4EB4F) + low[:, tree * DEPTH + k].astype(np.uint64))
-            yield pa.RecordBatch.from_arrays([pa.array(region.view(np.int64)), batch.column(0)], ["region", "node"])
-
-
-def _crowded(classes: DataFrame) -> DataFrame:
-    """(node) of the classes of every region that a window does not cover, and of few others."""
-    regions = classes.select("node", "signature").mapInArrow(tidy(_regions), "region long, node long")
-    full = regions.groupBy("region").count().where(F.col("count") > WINDOW)
-    at = slot(F.col("region"))
-    return regions.where(maybe_in(classes.sparkSession, at, full.select(at.alias("slot")))).select("node").distinct()
-
-
-def _count_shingles(batches):
-    for batch in batches:
-        for c in chunks(batch.column(0)):
-            value, n = np.unique(shingles(*word_hashes(c), SHINGLE)[0], return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(value.view(np.int64)), pa.array(n)], ["shingle", "n"])
-
-
-def _rarity(texts: DataFrame) -> np.ndarray:
-    """RARITY_SLOTS levels: 0 where no shingle of the slot is in two texts, else growing with the most frequent's count."""
-    counts = texts.select("text").mapInArrow(tidy(_count_shingles), "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
-    level = F.least(F.lit(255), F.floor(F.log2("n") * 6) + 1).cast("long")
-    levels = counts.where("n > 1").groupBy(F.pmod("shingle", F.lit(RARITY_SLOTS)).alias("slot")).agg(F.max(level).alias("level"))
-
-    def pack(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        own = np.zeros(PIECE_BITS, np.uint8)
-        own[rows["slot"].to_numpy() % PIECE_BITS] = rows["level"].to_numpy()
-        return pd.DataFrame({"piece": [key[0]], "levels": [own.tobytes()]})
-
-    found = np.zeros(RARITY_SLOTS, np.uint8)
-    for piece, own in levels.groupBy(F.expr(f"slot div {PIECE_BITS}").alias("piece")).applyInPandas(pack, "piece long, levels binary").collect():
-        found[piece * PIECE_BITS : (piece + 1) * PIECE_BITS] = np.frombuffer(own, np.uint8)
-    return found
-
-
 def _prefixes(rarity):
     """The first shingles of each set (node, component, text), rarest first: as many as a partner at the threshold cannot all lack."""
 
@@ -247,7 +221,7 @@ def _prefixes(rarity):
                 value, first = shingles(*word_hashes(c), SHINGLE)
                 size = np.diff(first)
                 text = np.repeat(np.arange(c.n), size)
-                level = levels[(value & U(RARITY_SLOTS - 1)).astype(np.int64)]
+                level = levels[(value & U(sketch.SLOTS - 1)).astype(np.int64)]
                 order = np.lexsort((value, level, text))
                 value, level = value[order], level[order]
                 rank, sizes = np.arange(len(value)) - first[text], size[text]
@@ -259,19 +233,20 @@ def _prefixes(rarity):
     return rows
 
 
-def _crowded_pairs(classes: DataFrame, texts: DataFrame) -> DataFrame:
-    """Every pair (a, b) of crowded classes of different components that the exact filters let through."""
+def _crowded_pairs(crowded: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
+    """Every pair (a, b) of `crowded` classes (node) of different components that the exact filters let through."""
     spark = classes.sparkSession
-    nodes = materialise(classes.select("node", "component").distinct().join(_crowded(classes), "node", "left_semi"), "crowded")
-    own = nodes.select(F.col("node").alias("row_id"), "component")
+    own = materialise(classes.select(F.col("node").alias("row_id"), "component").distinct().join(crowded.select(F.col("node").alias("row_id")), "row_id", "left_semi"), "crowded")
     some = materialise(_texts_of(own.select("row_id"), texts).join(own, "row_id").select("row_id", "component", "text"), "crowded-texts")
-    rarity = spark.sparkContext.broadcast(_rarity(some))
+    rarity = spark.sparkContext.broadcast(rarity_levels(some, lambda c: shingles(*word_hashes(c), SHINGLE)[0])[0])
     schema = "shingle long, node long, component long, size long, rank long"
-    posting = materialise(some.mapInArrow(tidy(_prefixes(rarity)), schema), "crowded-postings")
+    posting = all_postings = materialise(some.mapInArrow(tidy(_prefixes(rarity)), schema), "crowded-postings")
+    rarity.destroy()
     # Most shingles that many rows post are of one component, so nothing of theirs is left to join.
-    mixed = posting.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low != high")
-    at = slot(F.col("shingle"))
-    posting = posting.where(maybe_in(spark, at, mixed.select(at.alias("slot"))))
+    mixed = materialise(posting.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low != high").select("shingle"), "mixed")
+    bits = bits_for(mixed.count())
+    at = slot(F.col("shingle"), bits=bits)
+    posting = posting.where(maybe_in(spark, at, mixed.select(at.alias("slot")), bits))
     x, y = posting.alias("x"), posting.alias("y")
     need = f"ceil({PERCENT} * (x.size + y.size) / (100 + {PERCENT}))"
     found = x.join(
@@ -282,7 +257,7 @@ def _crowded_pairs(classes: DataFrame, texts: DataFrame) -> DataFrame:
         & F.expr(f"least(x.size - x.rank, y.size - y.rank) >= {need}"),
     )
     pairs = materialise(found.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct(), "pairs")
-    discard(some)
+    discard(some, own, all_postings, mixed)
     return pairs
 
 
@@ -292,33 +267,40 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     Links join documents whose shingle sets satisfy 100 * intersection >= 75 * union; a component is what
     links reach, named by its smallest doc_id, whose document alone is kept.  A null or empty text, or one
     without words, has no shingles and is linked with nothing; fewer than five words are one shingle.  doc_id
-    identifies a document: rows that repeat it are one document, linked where any of their texts is.  A row without doc_id is compared with nothing, has a null component and is
-    kept.  Very long texts are read whole; an empty table gives an empty one; other columns are ignored.
+    identifies a document: rows that repeat it are one document, linked where any of their texts is.  A row without
+    doc_id is compared with nothing, has a null component and is kept.  Very long texts are read whole; an empty table gives an empty one; other columns are ignored.
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("row_id"), F.col("text").cast("string").alias("text"))
     made = materialise(signatures(texts), "signatures")
     named = made.where("n_shingles > 0 and row_id is not null")
     members = named.groupBy("set_a", "set_b", "n_shingles").agg(F.min("row_id").alias("node"), F.min("signature").alias("signature"), F.min("sketch").alias("sketch"))
     classes = materialise(members.withColumn("component", F.col("node")), "classes")
-    grown, links, tried, component = classes, None, None, None
+    same_set = named.join(classes.select("set_a", "set_b", "n_shingles", "node"), ["set_a", "set_b", "n_shingles"]).select("row_id", "node").distinct()
+    same_set = materialise(same_set, "members")
+    # The sets of rows that repeat a doc_id are one document's.
+    repeated = same_set.groupBy("row_id").agg(F.min("node").alias("src"), F.max("node").alias("last")).where("src != last")
+    links = same_set.join(repeated, "row_id").where("node != src").select("src", F.col("node").alias("dst"))
+    grown, tried, crowded, component = classes, None, None, None
     # Each round's candidates: the closest rows, then the closest of another component, then all of other components
-    # within the window, then all of other components in the regions that are larger.
+    # within the window, then all of other components among those that the window does not cover.
     for lags, apart, nearest in ((1, False, True), (WINDOW, True, True), (WINDOW, True, False), (None, True, False)):
-        pairs = _candidates(grown, lags, apart, nearest) if lags else _crowded_pairs(grown, texts)
-        if nearest:
-            pairs = _closest(pairs)
+        if lags:
+            found = materialise(_candidates(grown, lags, apart, nearest), "candidates")
+            pairs, crowded = found.where("a < b"), found.where("a = b").select(F.col("a").alias("node"))
+            if nearest:
+                pairs = _closest(pairs)
+        else:
+            pairs = found = _crowded_pairs(crowded, grown, texts)
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = materialise(pairs.select("a", "b"), "pairs")
         if lags is None and pairs.isEmpty():
             break
-        found = _linked(pairs, texts)
-        links = found if links is None else links.union(found)
+        links = links.union(_linked(pairs, texts))
         tried = pairs if tried is None else tried.union(pairs)
         component = materialise(connected_components(links), "components")
         grown = classes.drop("component").join(component, "node", "left").withColumn("component", F.coalesce("component", "node"))
 
-    same_set = named.join(classes.select("set_a", "set_b", "n_shingles", "node"), ["set_a", "set_b", "n_shingles"]).select("row_id", "node").distinct()
     of_row = same_set.join(component, "node", "left").groupBy("row_id").agg(F.min(F.coalesce("component", "node")).alias("component_id"))
     return (
         made.select("row_id", "n_shingles")
@@ -326,7 +308,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         .select(
             F.col("row_id").alias("doc_id"),
             "n_shingles",
-            F.when(F.col("row_id").isNotNull(), F.when(F.col("n_shingles") > 0, F.coalesce("component_id", "row_id")).otherwise(F.col("row_id"))).alias("component_id"),
+            F.when(F.col("row_id").isNotNull(), F.coalesce("component_id", "row_id")).alias("component_id"),
         )
         .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
     )

@@ -11,6 +11,7 @@ import pyarrow as pa
 import pytest
 
 from tessella.llm import blocks, decontaminate, linededup, maxent, neardup, packing, passages, quality, sharding, sketch, tokencount, urlrules, words
+from tessella.llm import sets as sets_module
 from tessella.llm.common import connected_components
 from tessella.llm.tokens import TokenIds
 from tessella.llm.trees import fit
@@ -126,6 +127,32 @@ def test_near_duplicates_in_a_crowd(spark):
     assert all(got[k] == k for k in range(1500 - pairs))
 
 
+def test_near_duplicates_of_one_original(spark):
+    """One original and 4,000 copies, each with 5 of 200 words changed: at 0.77 to the original, not to each other."""
+    rng = random.Random(12)
+    words_of = [f"o{k}" for k in range(200)]
+    rows = [(0, " ".join(words_of))]
+    for k in range(1, 4001):
+        own = list(words_of)
+        for at in rng.sample(range(0, 200, 6), 5):
+            own[at] = f"c{k}x{at}"
+        rows.append((k, " ".join(own)))
+    links = [k for k, t in rows[1:] if 4 * len(shingle_set(t) & shingle_set(rows[0][1])) >= 3 * len(shingle_set(t) | shingle_set(rows[0][1]))]
+    got = {r.doc_id: r.component_id for r in neardup.near_duplicates(frame(spark, rows)).collect()}
+    assert len(links) > 3900 and all(got[k] == 0 for k in links)
+
+
+def shingle_set(text):
+    w = split(text)
+    return {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if w else set()
+
+
+def test_near_duplicates_of_repeated_ids(spark):
+    a, b, c = ("a b c d e f g", "h i j k l m n", "q r s t u v w")
+    got = sorted((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in neardup.near_duplicates(frame(spark, [(1, a), (3, b), (5, a), (5, b), (5, None), (7, c), (8, c)])).collect())
+    assert got == [(1, 3, 1, True), (3, 3, 1, False), (5, 0, 1, False), (5, 3, 1, False), (5, 3, 1, False), (7, 3, 7, True), (8, 3, 7, False)]
+
+
 def test_packing(spark, rows):
     from tokenizers import Tokenizer
 
@@ -273,7 +300,7 @@ def test_similar_lines_meet(frequent, long):
     of, key, left = own.postings(hashes, frequent, long)
     ids, zero = np.arange(len(lines)), np.zeros(len(of), np.int64)
     block = [key, ids[of], zero, hashes[of], p0[of], p1[of], own.size[of], 2 * left]
-    found = linededup._paired([block], most=1 << 30)
+    found = linededup._paired([block], wanted=np.full(4, 0xFFFFFFFF, np.uint32))
     met = {(p, q) for p, q in zip(found.column("p_doc").to_pylist(), found.column("q_doc").to_pylist())}
     sets = [frozenset(x.split()) for x in lines]
     assert (own.size == [len(s) for s in sets]).all()
@@ -285,6 +312,17 @@ def test_similar_lines_meet(frequent, long):
         seen.add(s)
 
 
+def test_overlaps_of_sets():
+    rng = np.random.default_rng(6)
+    sets = [[np.unique(rng.integers(0, 400, rng.integers(0, 300), dtype=np.uint64) << np.uint64(40)) for _ in range(500)] for _ in range(2)]
+    columns = [pa.array([b"x", *(x.tobytes() for x in side)], pa.binary())[1:] for side in sets]
+    for size in (1, 700, 1 << 20):
+        sets_module.MEMBERS = size
+        got = [(k + first, *x) for first, _, m, n, shared in sets_module.pair_overlaps(*columns) for k, x in enumerate(zip(m, n, shared))]
+        assert got == [(k, len(x), len(y), len(np.intersect1d(x, y))) for k, (x, y) in enumerate(zip(*sets))]
+    assert list(sets_module.pair_overlaps(columns[0][:0], columns[1][:0])) == []
+
+
 def test_blocks_of_numbers():
     rng = np.random.default_rng(4)
     columns = [rng.integers(0, 1 << 63, 50, dtype=np.uint64), rng.integers(-(1 << 62), 1 << 62, 50), np.full(50, 7), np.arange(50) + (1 << 40), np.array([-(1 << 63), (1 << 63) - 1] * 25)]
