@@ -8,11 +8,12 @@ rest is verified on the full sets.  A line is removed if an earlier line, by doc
 enough: one such line is enough, so each line is first held against the nearest few that pass the filters
 under every word, and only a line that none of those removes is held against all.
 
-No word gathers a large group.  Lines post their rare words one by one; of frequent words they post the pairs among
+No word gathers a large group.  Lines post their words one by one, but of the most frequent they post the pairs among
 one word more of the prefix, of which two similar lines share one too.  Lines of many words, which would post too many
-pairs, post frequent words alone, but meet only other such lines; lines between the two kinds post both.  Lines of up
+pairs, post those words alone, but meet only other such lines; lines between the two kinds post both.  Lines of up
 to three words are similar only to equal ones and post their whole set.  Of lines with equal sets in one batch the
-earliest speaks for all; later ones go at once.
+earliest speaks for all; later ones go at once.  Lines under one key stand in the order of their sizes, so each is
+held against those of near size alone.
 
 Postings are shuffled as packed blocks, a row for each batch and bucket of keys, and rarity comes from a sketch of
 fixed size.  A word is known by 50 bits of its hash.
@@ -35,7 +36,7 @@ from .words import U, Chunk, chunks, mix, word_hashes
 
 SIMILARITY = (4, 5)  # at least 4/5
 WHOLE = 3  # lines of so many words have no similar line but equal ones
-FREQUENT = 128  # words that occur so often are posted in pairs
+FREQUENT, FREQUENT_SHARE = 128, 1 << 18  # words that occur so often, and make up more than one in so many, are posted in pairs
 LONG = 96  # lines of so many words post frequent words alone; those of up to a quarter more post pairs too
 WORD_BITS = BITS
 HELD_POSTINGS = 1 << 18  # in a task before it packs them
@@ -48,19 +49,25 @@ PAIR = "p_doc long, p_line long, q_doc long, q_line long, q_set long, more boole
 
 
 class LineWords:
-    """The distinct words of each line of a chunk that has any, by line and then rarest first."""
+    """The distinct words of each line of a chunk that has any, by line and then rarest first.
 
-    def __init__(self, c: Chunk, levels: np.ndarray):
+    With `only`, a bitmap of words, of the lines that have one of those.
+    """
+
+    def __init__(self, c: Chunk, levels: np.ndarray, only: np.ndarray | None = None):
         start, end, _ = c.words()
         begin, _, first_line = c.lines()
-        first = np.searchsorted(start, begin)
-        count = np.diff(np.r_[first, len(start)])
+        count = np.diff(np.r_[np.searchsorted(start, begin), len(start)])
         line = np.repeat(np.arange(len(begin)), count)
-        h = c.span_hash(start, end)
-        packed = (levels[(h & U(sketch.SLOTS - 1)).astype(np.int64)].astype(np.uint64) << U(WORD_BITS)) | (h >> U(64 - WORD_BITS))
-        packed |= (line & 255).astype(np.uint64) << U(56)
+        word = c.span_hash(start, end) >> U(64 - WORD_BITS)
+        if only is not None:
+            some = np.zeros(len(begin), bool)
+            some[line[held(only, word.view(np.int64))]] = True
+            word, line = word[some[line]], line[some[line]]
+        packed = levels[(word & U(sketch.SLOTS - 1)).astype(np.int64)].astype(np.uint64) << U(WORD_BITS)
+        packed |= word | (line & 255).astype(np.uint64) << U(56)
         # 256 lines are sorted together: a plain sort of numbers is many times faster than one of places.
-        cuts = np.r_[first[::256], len(start)].tolist()
+        cuts = np.r_[np.searchsorted(line, np.arange(0, len(begin), 256)), len(line)].tolist()
         for low, high in zip(cuts, cuts[1:]):
             packed[low:high].sort()
         fresh = np.ones(len(packed), bool)
@@ -110,11 +117,11 @@ class LineWords:
         return np.concatenate(lines), np.concatenate(keys), np.concatenate(left)
 
 
-def _posted(levels, buckets: int):
+def _posted(levels, buckets: int, frequent: int, only=None):
     """Rows (bucket, block) of a block's columns: key, document, line, set, two parities, size and mark.
 
     mark is COPY for a line whose set an earlier line of the same batch has, which is posted nowhere; else twice
-    `left`, and one more at the line's least key.
+    `left`, and one more at the line's least key.  With `only`, a bitmap, lines without a word in it are left out.
     """
 
     def flush(made):
@@ -152,11 +159,11 @@ def _posted(levels, buckets: int):
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             for c in chunks(batch.column(1)):
-                lines = LineWords(c, levels.value)
+                lines = LineWords(c, levels.value, only and only.value)
                 if not len(lines.size):
                     continue
                 own = lines.set_hashes()
-                made.append((ids[c.first + lines.text], lines.place, own, *lines.parities(), lines.size, *lines.postings(own)))
+                made.append((ids[c.first + lines.text], lines.place, own, *lines.parities(), lines.size, *lines.postings(own, frequent)))
                 n += len(made[-1][6])
                 if n >= HELD_POSTINGS:
                     yield flush(made)
@@ -190,53 +197,68 @@ def _partners(wanted=None):
     return pairs
 
 
+def _in_order(doc: np.ndarray, line: np.ndarray) -> np.ndarray:
+    """Numbers in the order of (doc, line), equal where both are."""
+    if not len(doc):
+        return doc
+    base = int(doc.min())
+    if int(doc.max()) - base < 1 << 40 and int(line.max()) < 1 << 23:
+        return (doc - base) << 23 | line
+    order = np.lexsort((line, doc))
+    place = np.empty(len(doc), np.int64)
+    place[order] = np.cumsum(np.r_[False, (doc[order][1:] != doc[order][:-1]) | (line[order][1:] != line[order][:-1])])
+    return place
+
+
 def _paired(blocks: list[list[np.ndarray]], wanted=None, most: int = FIRST_PARTNERS) -> pa.RecordBatch:
     num, den = SIMILARITY
     columns = [np.concatenate(x) for x in zip(*blocks)]
     copy = columns[7] == COPY
     copies = [x[copy] for x in columns[1:4]]
     columns = [x[~copy] for x in columns]
-    order = np.lexsort((columns[2], columns[1], columns[0]))
-    columns = [x[order] for x in columns]
+    place = _in_order(columns[1], columns[2])
+    order = np.lexsort((place, (columns[0] << U(32)) ^ (columns[3] >> U(32))))
     key, doc, line, own, p0, p1, size, mark = columns
-    order = np.argsort((key << U(32)) ^ (own >> U(32)), kind="stable")
     before, after = order[:-1], order[1:]
     equal = np.ones(len(before), bool)
     for x in (key, own, p0, p1, size):
         equal &= x[before] == x[after]
-    elsewhere = (doc[before] != doc[after]) | (line[before] != line[after])
-    repeated = after[equal & elsewhere & (mark[after] & 1 == 1)]
+    repeated = after[equal & (place[before] != place[after]) & (mark[after] & 1 == 1)]
     copies = [np.concatenate([x, y[repeated]]) for x, y in zip(copies, (doc, line, own))]
-    single = np.ones(len(key), bool)
-    single[after[equal]] = False
-    key, doc, line, own, p0, p1, size, mark = (x[single] for x in columns)
+    order = order[~np.r_[False, equal][: len(order)]]
+    order = order[np.argsort(key[order] << U(32) | size[order].astype(np.uint64), kind="stable")]
+    key, doc, line, own, p0, p1, size, mark, place = (x[order] for x in (key, doc, line, own, p0, p1, size, mark, place))
     left = mark >> 1
 
     head = np.flatnonzero(np.r_[True, key[1:] != key[:-1]][: len(key)])
-    at = np.arange(len(key)) - np.repeat(head, np.diff(np.r_[head, len(key)]))
-    asked = at > 0
+    length = np.diff(np.r_[head, len(key)])
+    low, high = np.repeat(head, length), np.repeat(head + length, length)
+    asked = high - low > 1
     if wanted is not None:
         asked &= held(wanted, doc, line)
     found, close = np.zeros(len(key), np.int64), np.zeros(len(key), np.int64)
     most, near = (most, CLOSE_PARTNERS) if wanted is None else (len(key) + 1, len(key) + 1)
-    later, back = np.flatnonzero(asked), 0
+    # Lines to be held against the next smaller and the next larger, until those are of no near size.
+    sides, far = [np.flatnonzero(asked)] * 2, 0
     pairs = [(np.zeros(0, np.int64),) * 2]
-    while len(later):
-        back += 1
-        earlier = later - back
-        fits = den * np.minimum(size[later], size[earlier]) >= num * np.maximum(size[later], size[earlier])
-        q, p = later[fits], earlier[fits]
-        need = -(-num * (size[q] + size[p]) // (num + den))
-        fits = np.minimum(left[q], left[p]) >= need
-        q, p, need = q[fits], p[fits], need[fits]
-        differ, allowed = np.bitwise_count(p0[q] ^ p0[p]).astype(np.int64) + np.bitwise_count(p1[q] ^ p1[p]), size[q] + size[p] - 2 * need
-        fits = (differ <= allowed) & ((doc[q] != doc[p]) | (line[q] != line[p]))
-        q, p, differ, allowed = q[fits], p[fits], differ[fits], allowed[fits]
-        found[q] += 1
-        # Parities of very different long sets agree in half of the bits, so a larger difference says nothing.
-        close[q] += 2 * differ <= np.minimum(allowed, 32)
-        pairs.append((p, q))
-        later = later[(at[later] > back) & (found[later] < most) & (close[later] < near)]
+    while len(sides[0]) or len(sides[1]):
+        far += 1
+        for k, step in enumerate((-far, far)):
+            q = sides[k]
+            q = q[(q + step >= low[q]) & (q + step < high[q])]
+            sides[k] = q = q[(den * size[q + step] >= num * size[q]) & (num * size[q + step] <= den * size[q])]
+            q = q[place[q + step] < place[q]]
+            p, need = q + step, -(-num * (size[q] + size[q + step]) // (num + den))
+            fits = np.minimum(left[q], left[p]) >= need
+            q, p, allowed = q[fits], p[fits], (size[q] + size[p] - 2 * need)[fits]
+            differ = np.bitwise_count(p0[q] ^ p0[p]).astype(np.int64) + np.bitwise_count(p1[q] ^ p1[p])
+            fits = differ <= allowed
+            q, p, differ, allowed = q[fits], p[fits], differ[fits], allowed[fits]
+            found[q] += 1
+            # Parities of very different long sets agree in half of the bits, so a larger difference says nothing.
+            close[q] += 2 * differ <= np.minimum(allowed, 32)
+            pairs.append((p, q))
+        sides = [q[(found[q] < most) & (close[q] < near)] for q in sides]
     p, q = (np.concatenate(x) for x in zip(*pairs))
     sure = np.arange(len(p) + len(copies[0])) >= len(p)
     more = np.concatenate([(found[q] >= most) | (close[q] >= near), np.zeros(len(copies[0]), bool)])
@@ -278,8 +300,9 @@ def _verify(batches):
             yield pa.RecordBatch.from_arrays([batch.column(k)[first:last].filter(similar) for k in range(3)], ["doc_id", "line", "set_a"])
 
 
-def _similar(texts: DataFrame, pairs: DataFrame) -> DataFrame:
-    """(doc_id, line, set_a) of the later lines of `pairs` that are similar to the earlier one, on their full sets."""
+def _similar(texts: DataFrame, pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, line, set_a) of the later lines of `pairs` that are similar to the earlier one, on their full sets; and
+    the table of those sets."""
     spark = texts.sparkSession
     p, q = (F.struct(F.col(f"{x}_doc").alias("doc_id"), F.col(f"{x}_line").alias("line")) for x in "pq")
     places = materialise(pairs.select(F.explode(F.array(p, q)).alias("at")).select("at.*").distinct(), "places")
@@ -293,34 +316,59 @@ def _similar(texts: DataFrame, pairs: DataFrame) -> DataFrame:
     right = some.select(F.col("doc_id").alias("q_doc"), F.col("line").alias("q_line"), "set_a", F.col("words").alias("q_words"))
     both = pairs.join(left, ["p_doc", "p_line"]).join(right, ["q_doc", "q_line"]).select("q_doc", "q_line", "set_a", "p_words", "q_words")
     similar = materialise(both.mapInArrow(tidy(_verify), "doc_id long, line long, set_a long").distinct(), "similar-lines")
-    discard(some, places)
-    return similar
+    discard(places)
+    return similar, some
+
+
+def _prefix_words(levels):
+    """The words of each set that it is posted under, or may be."""
+    num, den = SIMILARITY
+
+    def pick(batches):
+        for batch in batches:
+            found = [np.zeros(0, np.uint64)]
+            for x in batch.column(0):
+                own = np.frombuffer(x.as_buffer(), np.uint64)
+                own = own[np.argsort(levels.value[(own & U(sketch.SLOTS - 1)).astype(np.int64)], kind="stable")]
+                found.append(own[: len(own) - -(-num * len(own) // den) + 2])
+            yield pa.RecordBatch.from_arrays([pa.array(np.unique(np.concatenate(found)).view(np.int64))], ["word"])
+
+    return pick
 
 
 def removed_lines(docs: DataFrame) -> DataFrame:
     """(doc_id, line, set_a) of every line that an earlier one is similar to; `set_a` tells apart rows that repeat a doc_id."""
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("doc_id is not null and text is not null")
-    found, total = sketch.rarity_levels(texts, lambda c: word_hashes(c)[0])
-    levels = spark.sparkContext.broadcast(found)
+    found, total = sketch.rarity_levels(texts, lambda c: word_hashes(c)[0] >> U(64 - WORD_BITS))
+    levels, frequent = spark.sparkContext.broadcast(found), max(FREQUENT, total // FREQUENT_SHARE)
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), total // (5 * PARTITION_POSTINGS))
-    blocks = texts.mapInArrow(tidy(_posted(levels, 8 * parts)), "bucket long, block binary")
-    dealt = blocks.repartition(parts, "bucket").sortWithinPartitions("bucket")
-    pairs = dealt.mapInArrow(tidy(_partners()), PAIR)
-    pairs = materialise(pairs.groupBy(*PLACES, "q_set", "sure").agg(F.max("more").alias("more")), "line-pairs")
+
+    def pairs_of(wanted=None, only=None) -> DataFrame:
+        blocks = texts.mapInArrow(tidy(_posted(levels, 8 * parts, frequent, only)), "bucket long, block binary")
+        return blocks.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(tidy(_partners(wanted)), PAIR)
+
+    pairs = materialise(pairs_of().groupBy(*PLACES, "q_set", "sure").agg(F.max("more").alias("more")), "line-pairs")
     later = [F.col("q_doc").alias("doc_id"), F.col("q_line").alias("line"), F.col("q_set").alias("set_a")]
     copies = pairs.where("sure").select(later)
     candidates = pairs.where("not sure")
-    similar = _similar(texts, candidates.select(PLACES).distinct())
+    similar, sets = _similar(texts, candidates.select(PLACES).distinct())
     crowded = candidates.where("more").select(later).distinct()
     open_lines = materialise(crowded.join(similar.union(copies), ["doc_id", "line", "set_a"], "left_anti").select("doc_id", "line").distinct(), "open-lines")
     if n := open_lines.count():
-        wanted = spark.sparkContext.broadcast(bitmap(open_lines.select(slot(F.col("doc_id"), F.col("line")).alias("slot"))))
-        rest = dealt.mapInArrow(tidy(_partners(wanted)), PAIR).where("not sure").select(PLACES).distinct()
-        similar = similar.union(_similar(texts, materialise(rest, "line-pairs")))
+        wanted = spark.sparkContext.broadcast(bitmap(open_lines.select(slot(F.col("doc_id"), F.col("line"), bits=bits_for(n)).alias("slot")), bits_for(n)))
+        words = sets.join(open_lines, ["doc_id", "line"], "left_semi").select("words").mapInArrow(tidy(_prefix_words(levels)), "word long").distinct()
+        words = materialise(words, "open-words")
+        bits = bits_for(words.count())
+        only = spark.sparkContext.broadcast(bitmap(words.select(slot(F.col("word"), bits=bits).alias("slot")), bits))
+        rest = materialise(pairs_of(wanted, only).where("not sure").select(PLACES).distinct(), "line-pairs")
+        more, more_sets = _similar(texts, rest)
+        similar = similar.union(more)
         wanted.destroy()
+        only.destroy()
+        discard(words, rest, more_sets)
     levels.destroy()
-    discard(open_lines)
+    discard(open_lines, sets)
     return copies.union(similar).distinct()
 
 

@@ -294,7 +294,7 @@ def test_similar_lines_meet(frequent, long):
         lines.append(" ".join(own))
     c = next(words.chunks(pa.array(lines)))
     start, end, _ = c.words()
-    counts = np.bincount((c.span_hash(start, end) & np.uint64(sketch.SLOTS - 1)).astype(np.int64), minlength=sketch.SLOTS)
+    counts = np.bincount((c.span_hash(start, end) >> np.uint64(14) & np.uint64(sketch.SLOTS - 1)).astype(np.int64), minlength=sketch.SLOTS)
     own = linededup.LineWords(c, sketch.level_of(counts))
     hashes, (p0, p1) = own.set_hashes(), own.parities()
     of, key, left = own.postings(hashes, frequent, long)
