@@ -67,12 +67,15 @@ def maybe_in(spark: SparkSession, at: Column, keys: DataFrame, bits: int = FILTE
     return F.coalesce(look(F.coalesce(at, F.lit(0))), F.lit(False))
 
 
-def without(docs: DataFrame, key: Column, keys: DataFrame) -> DataFrame:
-    """The rows of `docs` whose `key` (a long) is not in `keys` (key).  Only rows that may be in it are shuffled."""
+def without(docs: DataFrame, key: Column, keys: DataFrame, also: str | None = None) -> DataFrame:
+    """The rows of `docs` whose `key` (a long), and column `also` if one is named, are not in `keys` (key, also).
+
+    Only rows that may be in it are shuffled.  A key that is a hash of a row should come with a column of the row.
+    """
     own, may = unused(docs, "own_key"), unused(docs, "may_go")
     bits = bits_for(keys.count())
     maybe = maybe_in(docs.sparkSession, slot(key, bits=bits), keys.select(slot(F.col("key"), bits=bits).alias("slot")), bits)
     rows = docs.withColumns({own: key, may: maybe})
     likely = F.col(may) & F.col(own).isNotNull()
-    checked = rows.where(likely).join(keys.select(F.col("key").alias(own)), own, "left_anti")
+    checked = rows.where(likely).join(keys.select(F.col("key").alias(own), *([also] if also else [])), [own, *([also] if also else [])], "left_anti")
     return rows.where(~likely).select(docs.columns).union(checked.select(docs.columns))

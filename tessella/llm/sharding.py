@@ -4,13 +4,16 @@ Rows are shuffled by a seeded digest within their source; the row of rank r amon
 (r - 1/2) / n of the whole; all rows are laid out in that order and cut into equal shards.  Every shard then
 holds each source in the corpus's proportion, to within one row of each source.
 
-No rank comes from one large window.  Rows fall into `buckets` slices of the digest (or of the fraction),
-slice counts are summed before the shuffle, their running sums give each slice its first rank, and only the
+No rank comes from one large window.  Rows fall into slices of the digest (or of the fraction), the square root of
+their number in all, so that neither a slice nor the list of slices grows with the table as a whole; slice
+counts are summed before the shuffle, their running sums give each slice its first rank, and only the
 rows of one slice are sorted together.  A source that holds a third of all rows is spread over all slices.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,7 +21,6 @@ from .common import table
 
 SEED = "tessella-shards"
 N_SHARDS = 40
-BUCKETS = 1024
 
 
 def _ranked(rows: DataFrame, keys: list[str], bucket: str, order: list, name: str) -> DataFrame:
@@ -38,13 +40,14 @@ def _ranked(rows: DataFrame, keys: list[str], bucket: str, order: list, name: st
     )
 
 
-def interleaved_shards(docs: DataFrame, n_shards: int = N_SHARDS, seed: str = SEED, buckets: int = BUCKETS) -> DataFrame:
+def interleaved_shards(docs: DataFrame, n_shards: int = N_SHARDS, seed: str = SEED, buckets: int | None = None) -> DataFrame:
     """One row per row of `docs` (doc_id, text, source): its size, shard and slot.
 
     Law `rows`: shard sizes differ by one row at most.  A null text has size 16 and checksum 0; a null source
     is a source of its own; a null doc_id sorts as an empty one; repeated rows are rows like any other; an
     empty table gives an empty one; other columns are ignored.
     """
+    buckets = buckets or max(1, math.isqrt(docs.count()))
     base = docs.select(
         "doc_id",
         (F.coalesce(F.octet_length("text"), F.lit(0)) + 16).cast("long").alias("size"),

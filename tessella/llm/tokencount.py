@@ -20,17 +20,16 @@ from .tokens import TokenIds, in_slices
 
 BLOCK = 1 << 18  # tokens
 SPAN = 1024  # blocks scanned together
-PAD = 0xFFFF
 END_OF_DOCUMENT = 49407
-VOCABULARY_SIZE = 49408
+VOCABULARY_SIZE = SPELLED_OUT = 49408
 
 
 def token_blocks(docs: DataFrame, vocabulary: str | None = None, eod: int = END_OF_DOCUMENT, block: int = BLOCK) -> DataFrame:
     """Tokenise `docs` into flat files, one per task, as rows (file, block, payload, doc_ids).
 
     doc_ids are the documents whose separators lie in the block, in order: a manifest of identity, with no
-    offsets or lengths.  An end-of-document identifier that a text itself spells out is left out of the file,
-    where it would read as a separator.
+    offsets or lengths.  An end-of-document identifier that a text itself spells out would read as a separator; it is
+    written as SPELLED_OUT, an identifier that the vocabulary doesn't have, and counts as the one token that it is.
     """
 
     def write(batches):
@@ -49,7 +48,7 @@ def token_blocks(docs: DataFrame, vocabulary: str | None = None, eod: int = END_
             for first, own in in_slices(texts):
                 for k, tokens in enumerate(ids_of.of_all(own), first):
                     part = np.frombuffer(tokens, "<u4").astype("<u2")
-                    part = part[part != eod]
+                    part[part == eod] = SPELLED_OUT
                     held += [part, end]
                     size += len(part) + 1
                     ended.append((ids[k], size))  # the separator is the token before this count
@@ -70,16 +69,14 @@ def token_blocks(docs: DataFrame, vocabulary: str | None = None, eod: int = END_
 
 
 def read_token_files(spark: SparkSession, path: str, block: int = BLOCK) -> DataFrame:
-    """Flat token files as (file, block, payload), read in splits by Spark's own file system.
+    """Flat token files, of any length, as (file, block, payload), by one scan with Spark's own file system.
 
-    Files are in the order of their names.  The last block of a file must be padded with 0xFFFF.
+    Spark reads a file as one row, of 2 GB at most, and cuts it into blocks where it stands: write tokens in parts below
+    that.  A file is named by its path; an empty one has no block, and a last odd byte is no token.
     """
-    rows = spark.read.format("binaryFile").load(path).select("path", "length").orderBy("path").collect()
-    parts = []
-    for k, (name, _) in enumerate(rows):
-        records = spark.sparkContext.binaryRecords(name, 2 * block).zipWithIndex()
-        parts.append(records.map(lambda r, k=k: (k, r[1], bytearray(r[0]))))
-    return spark.createDataFrame(spark.sparkContext.union(parts), "file long, block long, payload binary")
+    whole = spark.read.format("binaryFile").load(path).select("path", "length", "content").where("length > 1")
+    cut = whole.select(F.col("path").alias("file"), "content", F.explode(F.sequence(F.lit(0), F.floor((F.col("length") - 1) / (2 * block)))).alias("block"))
+    return cut.select("file", F.col("block").cast("long").alias("block"), F.expr(f"substring(content, cast(block * {2 * block} as int) + 1, {2 * block})").alias("payload"))
 
 
 def _separators(blocks: DataFrame, eod: int, block: int) -> DataFrame:
@@ -89,8 +86,8 @@ def _separators(blocks: DataFrame, eod: int, block: int) -> DataFrame:
         for batch in batches:
             found, sizes = [], []
             for number, payload in zip(batch.column(1).to_pylist(), batch.column(2)):
-                tokens = np.frombuffer(payload.as_buffer(), "<u2")
-                sizes.append(int((tokens != PAD).sum()))
+                tokens = np.frombuffer(payload.as_buffer(), "<u2", len(payload.as_buffer()) // 2)
+                sizes.append(len(tokens))
                 found.append(np.flatnonzero(tokens == eod) + number * block)
             arrays = [batch.column(0), batch.column(1), pa.array(found, pa.list_(pa.int64())), pa.array(sizes, pa.int64())]
             names = ["file", "block", "separators", "n_tokens"]
@@ -98,7 +95,7 @@ def _separators(blocks: DataFrame, eod: int, block: int) -> DataFrame:
                 arrays, names = [*arrays, batch.column(3)], [*names, "doc_ids"]
             yield pa.RecordBatch.from_arrays(arrays, names)
 
-    schema = "file long, block long, separators array<long>, n_tokens long"
+    schema = f"file {blocks.schema['file'].dataType.simpleString()}, block long, separators array<long>, n_tokens long"
     if "doc_ids" in blocks.columns:
         schema += ", doc_ids array<long>"
     return blocks.mapInArrow(tidy(scan), schema)

@@ -183,7 +183,7 @@ def test_best_fit_closes_the_fullest():
 
 
 def test_sharding(spark, rows):
-    got = sharding.interleaved_shards(frame(spark, rows + [(None, "x"), (3, rows[3][1])]), n_shards=7, buckets=8).collect()
+    got = sharding.interleaved_shards(frame(spark, rows + [(None, "x"), (3, rows[3][1])]), n_shards=7).collect()
     assert len(got) == len(rows) + 2
     sizes = collections.Counter(r.shard for r in got)
     assert max(sizes.values()) - min(sizes.values()) <= 1
@@ -192,6 +192,18 @@ def test_sharding(spark, rows):
     for r in got:
         if r.doc_id == 900:
             assert (r["size"], r.text_crc32) == (16, 0)
+    # By brute force: rank within the source by digest, order by fractional rank, cut into equal shards.
+    digest = lambda r: hashlib.md5(f"{sharding.SEED}:{'' if r.doc_id is None else r.doc_id}".encode()).hexdigest()
+    ties = lambda r: (r.doc_id is not None, r.doc_id or 0, r.text_crc32, r["size"])
+    placed = []
+    for source in {r.source for r in got}:
+        own = sorted((r for r in got if r.source == source), key=lambda r: (digest(r), ties(r)))
+        placed += [((k + 0.5) / len(own), "" if source is None else "=" + source, ties(r), r) for k, r in enumerate(own)]
+    expected = []
+    for place, (*_, r) in enumerate(sorted(placed, key=lambda x: x[:3])):
+        shard = place * 7 // len(placed)
+        expected.append((str(r.doc_id), r.text_crc32, shard, place - -(-shard * len(placed) // 7)))
+    assert sorted(expected) == sorted((str(r.doc_id), r.text_crc32, r.shard, r.slot) for r in got)
     for source in {r.source for r in got}:
         share = [sum(r.shard == s and r.source == source for r in got) for s in sizes]
         assert max(share) - min(share) <= 2
@@ -240,12 +252,18 @@ def test_token_counts(spark, rows, tmp_path):
     for block in (16, 1 << 10):
         got = tokencount.count_document_tokens(frame(spark, rows), block=block).collect()
         assert {r.doc_id: r.n_tokens for r in got} == expected and all(r.terminated for r in got)
-    flat = np.array([5, 6, 9, 9, 7, 9, 8, 8], "<u2")
-    flat = np.r_[flat, np.full(4, tokencount.PAD, "<u2")].astype("<u2")
-    (tmp_path / "a.bin").write_bytes(flat.tobytes())
+    files = {"a": [5, 6, 9, 9, 7, 9, 8, 8], "b": [9], "c": [65535, 3, 9, 4, 4, 4, 4, 4, 4, 4, 4, 9], "d": [], "e": [1]}
+    for name, own in files.items():
+        (tmp_path / f"{name}.bin").write_bytes(np.array(own, "<u2").tobytes() + b"x" * (name == "e"))
     read = tokencount.read_token_files(spark, str(tmp_path), block=4)
-    got = sorted((r.ordinal, r.n_tokens, r.terminated) for r in tokencount.count_tokens(read, eod=9, block=4).collect())
-    assert got == [(0, 2, True), (1, 0, True), (2, 1, True), (3, 2, False)]
+    got = sorted((r.file[-5:-4], r.ordinal, r.n_tokens, r.terminated) for r in tokencount.count_tokens(read, eod=9, block=4).collect())
+    assert got == [("a", 0, 2, True), ("a", 1, 0, True), ("a", 2, 1, True), ("a", 3, 2, False), ("b", 0, 0, True), ("c", 0, 2, True), ("c", 1, 8, True), ("e", 0, 1, False)]
+    spelled = frame(spark, [(1, "a <|endoftext|> b"), (2, "<|endoftext|>")])
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(__import__("public_tokenizers").path("word_bpe_49k.json"))
+    sizes = {d: len(plain.encode(t, add_special_tokens=False).ids) for d, t in ((1, "a <|endoftext|> b"), (2, "<|endoftext|>"))}
+    assert {r.doc_id: r.n_tokens for r in tokencount.count_document_tokens(spelled).collect()} == sizes
 
 
 def similar_later_lines(rows):
@@ -437,6 +455,22 @@ def test_repeated_passages(spark, rows):
     assert total > 1000
 
 
+def test_longest_previous_factors():
+    rng = random.Random(8)
+    for width, letters in ((12, "ab"), (9, "abc"), (20, "a")):
+        spans = ["".join(rng.choice(letters) for _ in range(rng.randrange(width, 60))).encode() for _ in range(40)]
+        group = np.array(sorted(rng.randrange(6) for _ in spans))
+        got, at = passages.previous_factors(spans, group, width), 0
+        for k, s in enumerate(spans):
+            for start in range(len(s) - width + 1):
+                earlier = [(j, i) for j in range(k + 1) if group[j] == group[k] for i in range(len(spans[j]) - width + 1) if (j, i) < (k, start)]
+                own = s[start : start + width]
+                best = max((next((n for n in range(width) if spans[j][i + n] != own[n]), width) for j, i in earlier), default=0)
+                assert got[at] == best
+                at += 1
+    assert len(passages.previous_factors([], np.zeros(0, np.int64))) == 0
+
+
 def test_lm_scores(spark, rows):
     got = {r.doc_id: r for r in maxent.score_corpus(frame(spark, rows)).collect()}
     counts, tokens = collections.Counter(), {}
@@ -511,6 +545,68 @@ def test_relative_links(spark):
     assert {k for k, v in got.items() if v == "block"} == {1, 2, 3, 4, 5, 8, 10, 11}
 
 
+def test_aliases_by_brute_force(spark):
+    """Components over random links against a union-find over links that the standard library resolves."""
+    from urllib.parse import urldefrag, urljoin
+
+    rng = random.Random(11)
+    hosts = ["a.org", "b.example.com", "bad.net", "c.io", "d.io", "e.io"]
+    urls = [f"http://{rng.choice(hosts)}/{rng.choice(['fr/', 'de/', 'x/', ''])}{k}" for k in range(120)]
+    links = {u: rng.choice([rng.choice(urls), "//bad.net/q", "../up", "side", "/fr/z", "?p=1", "./here#part"]) for u in urls if rng.random() < 0.5}
+    pages = spark.createDataFrame([(k, u, f'<link href="{links[u]}" rel=canonical>' if u in links else "<p>") for k, u in enumerate(urls)], "page_id long, url string, html string")
+    got = {r.page_id: r.verdict for r in urlrules.judge_urls(pages).collect()}
+
+    def verdict(url):
+        host, _, path = url.split("://")[1].partition("/")
+        fits = [(len(h + p), a) for a, h, p in urlrules.RULES if (host == h or host.endswith("." + h)) and ("/" + path).startswith(p)]
+        return max(fits)[1] if fits else None
+
+    root = {}
+
+    def find(x):
+        while root.setdefault(x, x) != x:
+            x = root[x]
+        return x
+
+    for u, to in links.items():
+        root[find(urldefrag(urljoin(u, to))[0])] = find(u)
+    members = collections.defaultdict(set)
+    for u in root:
+        members[find(u)].add(verdict(u))
+    for k, u in enumerate(urls):
+        own = members[find(u)]
+        assert got[k] == (verdict(u) or ("block" if "block" in own and "allow" not in own else "allow")), u
+
+
+def test_decontamination_by_brute_force():
+    """Every document against every item, by the plain edit distance: what is found, by length of item, at up to its full distance."""
+    rng = random.Random(21)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(4))
+    items = [[word() for _ in range(n)] for n in (1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 16, 18, 20, 25, 30, 40, 50, 60) for _ in range(12)]
+    docs = []
+    for item in items:
+        passage = list(item)
+        for at in sorted(rng.sample(range(len(item)), rng.choice([0, len(item) // 8, len(item) // 4])), reverse=True):
+            passage[at : at + 1] = rng.choice([[], [word()], [passage[at], word()]])
+        docs.append([word() for _ in range(30)] + passage + [word() for _ in range(30)])
+    hashed, texts = decontaminate.item_words([" ".join(x) for x in items]), decontaminate.item_words([" ".join(x) for x in docs])
+    search = decontaminate._search(decontaminate.Sampler(hashed), list(range(len(items))))
+    found = {(row, item): distance for row, item, distance, _ in search(pa.array([" ".join(x) for x in docs]))}
+    true = {}
+    for i, item in enumerate(hashed):
+        known = set(item.tolist())
+        for d, text in enumerate(texts):
+            if len(known & set(text.tolist())) >= len(known) - decontaminate.limit_of(len(item)):
+                distance = decontaminate.best_alignment(item, text)[0]
+                if distance <= decontaminate.limit_of(len(item)):
+                    true[d, i] = distance
+    assert set(found) <= set(true) and all(found[k] == true[k] for k in found)
+    by_size = collections.Counter(len(items[i]) for _, i in true)
+    missed = collections.Counter(len(items[i]) for _, i in set(true) - set(found))
+    print("missed", dict(missed), "of", dict(by_size))
+    assert sum(missed.values()) <= 0.03 * len(true) and not [n for n in missed if n < decontaminate.EXACT_WORDS]
+
+
 def test_empty_tables(spark):
     none = spark.createDataFrame([], SCHEMA)
     bench = spark.createDataFrame([], "item_id long, text string")
