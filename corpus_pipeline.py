@@ -14,39 +14,70 @@ from tessella.llm.idfilter import without
 from tessella.llm.linededup import dedup_lines
 from tessella.llm.neardup import near_duplicates
 from tessella.llm.packing import pack_documents
-from tessella.llm.quality import fit_quality, judge_quality
+from tessella.llm.quality import COUNTS, fit_quality, judge_quality
 
 ORACLE_SQL = None
 
 
+def _free(docs, names):
+    """The operators replace columns of these names, which a stage couldn't return."""
+    if taken := sorted({c for c in docs.columns if c.lower() in names}):
+        raise ValueError(f"rename the columns {taken} before this stage")
+
+
 def quality_rules(spark, docs, sf_dir):
-    """Documents that the fixed limits and the trees keep.  The trees learn from the labelled rows of `docs`."""
+    """Documents that the fixed limits and the trees keep.  The trees learn from the labelled rows of `docs`.
+
+    A null or empty text goes, having no words; repeated rows are judged alike; a null doc_id is judged by its text;
+    an empty table stays empty; columns of any name are carried, but one named as a statistic or verdict of the operator
+    is an error, for the stage returns its input's columns.
+    """
+    _free(docs, [*COUNTS, "quality_score", "base_failed", "kept"])
     forest = fit_quality(docs, table(spark, sf_dir, "labels"))
     return judge_quality(docs, forest).where("kept").select(docs.columns)
 
 
 def line_dedup(spark, docs, sf_dir):
-    """Texts without the lines that an earlier line is similar to; a document with no word left goes."""
+    """Texts without the lines that an earlier line is similar to; a document with no word left goes.
+
+    n_chars, where there is one, follows the text.  A null or empty text is as it was, as is a row without doc_id; of
+    equal lines that of the smaller doc_id stays, and rows that repeat a doc_id take nothing from each other; an empty
+    table stays empty.
+    """
+    _free(docs, ["n_lines", "n_removed"])
     cut = dedup_lines(docs).where(r"n_removed = 0 or text rlike '[^\\x20\\x09-\\x0D]'")
-    changed = F.col("n_removed") > 0
-    return cut.withColumn("n_chars", F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(docs.columns)
+    if "n_chars" in docs.columns:
+        size = F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars"))
+        cut = cut.withColumn("n_chars", size.cast(docs.schema["n_chars"].dataType))
+    return cut.select(docs.columns)
 
 
 def near_dedup(spark, docs, sf_dir):
-    """The document with the smallest doc_id of each near-duplicate group."""
+    """The document with the smallest doc_id of each near-duplicate group.
+
+    Rows that repeat a doc_id are one document, kept or dropped together; texts without words and rows without doc_id are
+    kept; an empty table stays empty.
+    """
     dropped = near_duplicates(docs).where("not kept").select(F.col("doc_id").alias("key")).distinct()
     return without(docs, F.col("doc_id").cast("long"), materialise(dropped, "dropped"))
 
 
 def decontamination(spark, docs, sf_dir):
-    """Documents in which no benchmark item is found."""
+    """Documents in which no benchmark item is found.
+
+    A null or empty text holds none; a null doc_id is judged by its text, repeated rows alike; without items or
+    documents nothing changes.
+    """
     matches = benchmark_matches(docs, table(spark, sf_dir, "benchmark"))
     found = materialise(matches.select(F.col("row_hash").alias("key")).distinct(), "contaminated")
     return without(docs, F.xxhash64("doc_id", "text"), found)
 
 
 def packing(spark, docs, sf_dir):
-    """Every kept document's pieces and their places in sequences."""
+    """Every kept document's pieces and their places in sequences.
+
+    A null or empty text is one end token; repeated rows are packed each; an empty table gives an empty one.
+    """
     return pack_documents(docs)
 
 
