@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .functions import text as X
 from .functions.loose_json import loose_json
 from .operators import coverage, decisions, export, gateway, similarity, style, usage
+from .operators.pairs import TokenScores, VectorScores
 from .plans import planner
 from .sources import records
 from .streaming import ledger
@@ -49,11 +50,15 @@ def both(name: str, sql: str) -> None:
 
 
 def queries():
-    return dict(_QUERIES)
+    from . import catalog_runs  # registers its queries here
+
+    return {**_QUERIES, **catalog_runs.QUERIES}
 
 
 def oracle_sql():
-    return dict(_SQL)
+    from . import catalog_runs
+
+    return {**_SQL, **catalog_runs.SQL}
 
 
 # --- similarity -------------------------------------------------------------------------------------------------
@@ -70,10 +75,9 @@ best as (select item_id, max(struct_pack(s := score, m := -doc_id)) as it from s
 matched as (select b.item_id, -it.m as best_doc_id, coalesce(it.s, 0.0) as score from b left join best using (item_id))"""
 
 
-def _cross_scores(spark, sf_dir):
+def _cross(spark, sf_dir):
     left = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("id"), "text")
-    right = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text")
-    return left, right, similarity.token_scores(left, right)
+    return left, TokenScores(left, table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text"))
 
 
 def flagship(spark, sf_dir):
@@ -82,7 +86,7 @@ def flagship(spark, sf_dir):
 
 @query(f"with {_CROSS}, {_BEST} select item_id, best_doc_id, round(score, 6) as score from matched")
 def max_leakage(spark, sf_dir):
-    left, _, scores = _cross_scores(spark, sf_dir)
+    left, scores = _cross(spark, sf_dir)
     return similarity.best_match(scores, left).select(F.col("id").alias("item_id"), F.col("best_id").alias("best_doc_id"), F.round("score", 6).alias("score"))
 
 
@@ -95,14 +99,10 @@ cut as (select least(greatest(m + 3 * w, 0.35), 0.98) as cut from c, s)
 select item_id, best_doc_id, round(score, 6) as score, round(cut, 6) as cut, score >= cut as flagged from matched, cut"""
 )
 def leakage_flagged(spark, sf_dir):
-    from .operators.shared import settled_table
-
-    left, right, scores = _cross_scores(spark, sf_dir)
-    scores = settled_table(scores, "scores")
-    zeros = left.count() * right.count() - scores.count()
-    cut = similarity.robust_threshold(scores, zeros, floor=0.35).select("cut")
-    return similarity.best_match(scores, left).join(F.broadcast(cut), how="cross").select(
-        F.col("id").alias("item_id"), F.col("best_id").alias("best_doc_id"), F.round("score", 6).alias("score"), F.round("cut", 6).alias("cut"), (F.col("score") >= F.col("cut")).alias("flagged")
+    left, scores = _cross(spark, sf_dir)
+    cut = similarity.calibrate(scores, floor=0.35)["cut"]
+    return similarity.best_match(scores, left).select(
+        F.col("id").alias("item_id"), F.col("best_id").alias("best_doc_id"), F.round("score", 6).alias("score"), F.lit(round(cut, 6)).alias("cut"), (F.col("score") >= cut).alias("flagged")
     )
 
 
@@ -113,8 +113,7 @@ def token_stats(spark, sf_dir):
 
 @query(f"with {_CROSS} select item_id, doc_id, round(score, 6) as score from scores where score >= 0.25")
 def jaccard_pairs(spark, sf_dir):
-    _, _, scores = _cross_scores(spark, sf_dir)
-    return scores.where("score >= 0.25").select(F.col("a_id").alias("item_id"), F.col("b_id").alias("doc_id"), F.round("score", 6).alias("score"))
+    return _cross(spark, sf_dir)[1].at_least(0.25).select(F.col("a_id").alias("item_id"), F.col("b_id").alias("doc_id"), F.round("score", 6).alias("score"))
 
 
 _PAIRS = """v as (select vec_id, list_transform(embedding, lambda e: cast(e as double)) as e, label from embeddings),
@@ -127,37 +126,37 @@ def _vectors(spark, sf_dir):
     return table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"))
 
 
-def _vector_edges(spark, sf_dir):
-    from .operators.shared import settled_table
+def _calibrated(spark, sf_dir):
+    scores = similarity.scores_of(_vectors(spark, sf_dir), vectors=True)[0]
+    return scores, similarity.calibrate(scores)
+
 
-    scores = settled_table(similarity.vector_scores(_vectors(spark, sf_dir)), "scores")
-    return scores, similarity.robust_threshold(scores)
+def _rounded(pairs):
+    return pairs.select("a_id", "b_id", F.round("score", 6).alias("score"))
 
 
 @query(f"with {_PAIRS} select a_id, b_id, round(score, 6) as score from pairs order by pairs.score desc, a_id desc, b_id desc limit 50")
 def cosine_top50(spark, sf_dir):
-    return similarity.vector_scores(_vectors(spark, sf_dir)).orderBy(F.desc("score"), F.desc("a_id"), F.desc("b_id")).limit(50).select("a_id", "b_id", F.round("score", 6).alias("score"))
+    return _rounded(VectorScores(_vectors(spark, sf_dir)).top(50))
 
 
 @query(f"with {_PAIRS} select (select count(*) from pairs) as n, round(m, 6) as centre, round(w, 6) as spread, round(cut, 6) as cut from c, s, cut")
 def robust_threshold(spark, sf_dir):
-    cut = _vector_edges(spark, sf_dir)[1]
+    cut = similarity.calibration_row(spark, _calibrated(spark, sf_dir)[1])
     return cut.select("n", *(F.round(c, 6).alias(c) for c in ("centre", "spread", "cut")))
 
 
 @query(f"with {_PAIRS} select a_id, b_id, round(score, 6) as score from pairs, cut where score >= cut")
 def dup_edges(spark, sf_dir):
-    scores, cut = _vector_edges(spark, sf_dir)
-    return scores.join(F.broadcast(cut.select("cut")), F.col("score") >= F.col("cut")).select("a_id", "b_id", F.round("score", 6).alias("score"))
+    scores, found = _calibrated(spark, sf_dir)
+    return _rounded(similarity.duplicate_edges(scores, found["cut"]))
 
 
 @query(f"with {_PAIRS} select a_id, b_id, round(score, 6) as score from pairs, cut where score >= case when la = lb then greatest(cut, 0.5) else cut end")
 def dup_edges_grouped(spark, sf_dir):
-    scores, cut = _vector_edges(spark, sf_dir)
-    of = table(spark, sf_dir, "embeddings").select("vec_id", "label")
-    labelled = scores.join(of.withColumnsRenamed({"vec_id": "a_id", "label": "la"}), "a_id").join(of.withColumnsRenamed({"vec_id": "b_id", "label": "lb"}), "b_id")
-    least = F.when(F.col("la") == F.col("lb"), F.greatest("cut", F.lit(0.5))).otherwise(F.col("cut"))
-    return labelled.join(F.broadcast(cut.select("cut")), F.col("score") >= least).select("a_id", "b_id", F.round("score", 6).alias("score"))
+    scores, found = _calibrated(spark, sf_dir)
+    groups = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.col("label").alias("group"), F.lit(None).cast("string").alias("never"))
+    return _rounded(similarity.duplicate_edges(scores, found["cut"], groups, max(found["cut"], 0.5)))
 
 
 @query(
@@ -173,10 +172,9 @@ best as (select b_id, max(struct_pack(s := score, m := -a_id)) as it from edges
 select vec_id, -it.m as duplicate_of, round(it.s, 6) as score from v left join best on b_id = vec_id"""
 )
 def near_dup_greedy(spark, sf_dir):
-    scores, cut = _vector_edges(spark, sf_dir)
-    edges = scores.join(F.broadcast(cut.select("cut")), F.col("score") >= F.col("cut")).drop("cut")
-    found = similarity.greedy_duplicates(_vectors(spark, sf_dir).select("id"), edges)
-    return found.select(F.col("id").alias("vec_id"), "duplicate_of", F.round("score", 6).alias("score"))
+    scores, found = _calibrated(spark, sf_dir)
+    kept = similarity.greedy_duplicates(_vectors(spark, sf_dir).select("id"), similarity.duplicate_edges(scores, found["cut"]))
+    return kept.select(F.col("id").alias("vec_id"), "duplicate_of", F.round("score", 6).alias("score"))
 
 
 @query(
@@ -186,8 +184,8 @@ l as (select 'leakage' as kind, item_id as a_id, doc_id as b_id, round(score, 4)
 select * from a union all select * from l"""
 )
 def similarity_pairs(spark, sf_dir):
-    top = lambda df, kind: df.orderBy(F.desc("score"), F.desc("a_id"), F.desc("b_id")).limit(50).select(F.lit(kind).alias("kind"), "a_id", "b_id", F.round("score", 4).alias("score"))
-    return top(similarity.vector_scores(_vectors(spark, sf_dir)), "dedupe").union(top(_cross_scores(spark, sf_dir)[2], "leakage"))
+    top = lambda scores, kind: scores.top(50).select(F.lit(kind).alias("kind"), "a_id", "b_id", F.round("score", 4).alias("score"))
+    return top(VectorScores(_vectors(spark, sf_dir)), "dedupe").union(top(_cross(spark, sf_dir)[1], "leakage"))
 
 
 @query(
@@ -382,11 +380,11 @@ def mean_scores(spark, sf_dir):
     return _reviews(spark, sf_dir).agg(F.round(F.avg("fidelity"), 6).alias("fidelity"), F.round(F.avg("judgment"), 6).alias("judgment"), F.round(F.avg(F.col("leak").cast("int")), 6).alias("leak_rate"))
 
 
-@query(f"with {_REVIEWS}, a as (select id, fidelity as s, case when fidelity >= 4 then 'keep' else 'revise' end as v from r), b as (select id, judgment as s, case when judgment >= 4 then 'keep' else 'revise' end as v from r where id % 2 = 0) select count(*) as n, round(avg(a.s), 6) as mean_first, round(avg(b.s), 6) as mean_second, count(*) filter (a.s = b.s) as exact, count(*) filter (abs(a.s - b.s) <= 1) as within_one, count(*) filter (a.v = b.v) as same_verdict from a join b using (id)")
+@query(f"with {_REVIEWS}, a as (select id, fidelity as s, case when fidelity >= 4 then 'keep' else 'revise' end as v from r), b as (select id, judgment as s, case when judgment >= 4 then 'keep' else 'revise' end as v from r) select count(*) as n, round(avg(a.s), 6) as mean_first, round(avg(b.s), 6) as mean_second, count(*) filter (a.s = b.s) as exact, count(*) filter (abs(a.s - b.s) <= 1) as within_one, count(*) filter (a.v = b.v) as same_verdict from a join b using (id)")
 def reviewer_agreement(spark, sf_dir):
     r = _reviews(spark, sf_dir)
     side = lambda c: r.select("id", F.col(c).alias("score"), F.when(F.col(c) >= 4, "keep").otherwise("revise").alias("verdict"))
-    return decisions.agreement(side("fidelity"), side("judgment").where("id % 2 = 0"))
+    return decisions.agreement(side("fidelity"), side("judgment"))
 
 
 @query("""with j as (select doc_id, case when quality = 1 then 'VALUE' when toxic = 1 then 'capability' else 'odd' end as raw, doc_id % 7 = 0 as same_claim, case when doc_id % 3 = 0 then '' else 'named' end as value_named from labels),
@@ -467,11 +465,17 @@ def coverage_cycle(spark, sf_dir):
     return coverage.coverage_cycle(table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("slot")), pool).select("slot", "key")
 
 
-@query("""with r as (select p_partkey as key, p_size as stratum, count(*) over (partition by p_size) as n, row_number() over (partition by p_size order by p_partkey) - 1 as k from part),
-w as (select *, round_even(n * 0.25, 0) as wanted from r) select key, stratum from w where wanted > 0 and floor((k + 0.5) * wanted / n) > floor((k - 0.5) * wanted / n)""")
+@query("""with r as (select p_partkey as key, p_size as stratum, row_number() over (partition by p_size order by p_partkey) - 1 as k from part),
+s as (select stratum, count(*) as n, count(*) * 55.0 / (select count(*) from part) as exact from r group by 1),
+q as (select stratum, n, cast(floor(exact) + case when row_number() over (order by round(exact - floor(exact), 9) desc, stratum) <= 55 - (select sum(floor(exact)) from s) then 1 else 0 end as bigint) as quota from s),
+spots as (select stratum, least(n - 1, cast(floor(0.3 * n / quota + j * n / quota) as bigint)) as k from q, range(60) t(j) where j < quota),
+hit as (select distinct stratum, k from spots),
+m as (select r.*, q.quota, h.k is not null as hit from r join q using (stratum) left join hit h on h.stratum = r.stratum and h.k = r.k),
+c as (select *, quota - count(*) filter (hit) over (partition by stratum) as lacking, row_number() over (partition by stratum order by hit, k) as missed from m)
+select key, stratum from c where hit or missed <= lacking""")
 def stratified_pick(spark, sf_dir):
     rows = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("key"), F.col("p_size").alias("stratum"), F.col("p_partkey").alias("place"))
-    return coverage.stratified_pick(rows, 0.25).select("key", "stratum")
+    return coverage.stratified_pick(rows, 55, 0.3).select("key", "stratum")
 
 
 @query("select doc_id, source, cast(floor((row_number() over (partition by source order by doc_id) - 1) / 6) as bigint) as batch from documents")
@@ -488,17 +492,20 @@ def running_budget(spark, sf_dir):
 
 def _toy_plan(spark, sf_dir):
     domains = {r[0]: float(r[1]) for r in table(spark, sf_dir, "customer").groupBy("c_mktsegment").count().orderBy("c_mktsegment").collect()}
-    return planner.as_table(spark, planner.plan(domains, ["speed", "candour", "care"], planner.Settings(families=240)))
+    target = planner.Target("toy", domains, ["speed", "candour", "care", "promise"], ["candour", "promise"], ["which_heir"], ["h1", "h2", "h3"], {"trade": ["a depot", "a yard"], "town": ["a library"]})
+    settings = planner.Settings(families=240, divergence=0.4, eval_share=0.25, reserved_share=0.05, counterfactual=0.3, explicit=0.1, held_out=1)
+    return target, settings
 
 
 @query()
 def full_plan(spark, sf_dir):
-    return _toy_plan(spark, sf_dir)
+    return planner.checked_plan(spark, *_toy_plan(spark, sf_dir))
 
 
 @query()
 def plan_check(spark, sf_dir):
-    return planner.check(_toy_plan(spark, sf_dir))
+    target, settings = _toy_plan(spark, sf_dir)
+    return planner.check(planner.as_table(spark, planner.plan(target, settings)), target, settings)
 
 
 # --- runs, export -------------------------------------------------------------------------------------------------
@@ -599,10 +606,11 @@ def lenient_json(spark, sf_dir):
 @query()
 def gateway_stub(spark, sf_dir):
     prompts = table(spark, sf_dir, "benchmark").select(F.col("item_id").cast("string").alias("record_id"), F.col("text").alias("prompt"))
-    return gateway.complete_all(prompts, "stub-model")
+    replies = gateway.ask_all(prompts.withColumn("system", F.lit("")), gateway.Role("writer", "stub-model"), "items")
+    return replies.select("record_id", "reply", "finish_reason", F.get("usage", F.lit(0))["prompt_tokens"].alias("prompt_tokens"))
 
 
 @query()
 def gateway_embeddings(spark, sf_dir):
     texts = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("id"), "text")
-    return gateway.embed_all(texts, "stub-embedding").select("id", F.size("vector").alias("n"), F.round(F.get("vector", F.lit(0)), 6).alias("first"))
+    return gateway.embed_all(texts, gateway.Role("embeddings", "stub-embedding")).select("id", F.size("vector").alias("n"), F.round(F.get("vector", F.lit(0)), 6).alias("first"))

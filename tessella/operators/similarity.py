@@ -1,83 +1,75 @@
-"""Pair scores, the robust threshold, order-preserving near-duplicates and leakage."""
+"""The robust threshold, order-preserving near-duplicates and leakage over pair scores."""
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import tokens
+from .pairs import ListedScores, Scores, TokenScores, VectorScores
 
 SIGMAS, FLOOR, CEILING = 3.0, 0.0, 0.98
-BLOCK_ROWS = 1024
+SAME_GROUP = 0.985
 FEW_EDGES = 1 << 17
 
 
-def token_scores(left: DataFrame, right: DataFrame) -> DataFrame:
-    """(a_id, b_id, score): Jaccard similarity of every pair of (id, text) rows that shares a token.
+def calibrate(scores: Scores, sigmas: float = SIGMAS, floor: float = FLOOR, ceiling: float = CEILING) -> dict:
+    """n, centre, spread, cut and the statistic's text: median + sigmas * 1.4826 * MAD, held between floor and ceiling.
 
-    An inverted index: rows meet only under a shared token, and shared counts combine before their shuffle.
+    Without spread, the least gap between neighbouring scores stands in; with fewer than two scores the cut is that of a
+    score of 1.
     """
-    a = left.select(F.col("id").alias("a_id"), tokens(F.col("text")).alias("t"))
-    b = right.select(F.col("id").alias("b_id"), tokens(F.col("text")).alias("t"))
-    x = a.select("a_id", F.size("t").alias("na"), F.explode("t").alias("w"))
-    y = b.select("b_id", F.size("t").alias("nb"), F.explode("t").alias("w"))
-    shared = x.join(y, "w").groupBy("a_id", "b_id", "na", "nb").agg(F.count("*").alias("s"))
-    return shared.select("a_id", "b_id", (F.col("s") / (F.col("na") + F.col("nb") - F.col("s"))).alias("score"))
-
+    n = scores.count()
+    centre = spread = 0.0
+    if n:
+        middle = ((n - 1) // 2, n // 2) if n % 2 == 0 else (n // 2,)
+        low, high = -1.0 - 1e-9, 1.0 + 1e-9
+        found = scores.at_ranks(middle, low, high)
+        centre = sum(found) / len(found)
+    cut = 1.0
+    if n > 1:
+        away = scores.at_ranks(middle, 0.0, 2.0 + 1e-9, centre)
+        spread = 1.4826 * sum(away) / len(away)
+        spread = spread if spread > 0 else scores.least_gap()
+        cut = centre + sigmas * spread
+    return {"n": n, "centre": centre, "spread": spread, "cut": min(max(cut, floor), ceiling), "sigmas": sigmas, "statistic": f"median + {sigmas:g} x robust_sd"}
+
+
+def calibration_row(spark: SparkSession, found: dict) -> DataFrame:
+    """The record of a calibration that a report prints."""
+    return spark.createDataFrame(
+        [(found["n"], found["centre"], found["spread"], found["cut"], found["sigmas"], found["statistic"])],
+        "n long, centre double, spread double, cut double, sigmas double, statistic string",
+    )
 
-def vector_scores(vectors: DataFrame, block_rows: int = BLOCK_ROWS, least: float | None = None) -> DataFrame:
-    """(a_id, b_id, score), a_id < b_id: cosine similarity of every pair of (id, vector), or of those of at least `least`.
 
-    Rows are dealt into blocks, and each pair of blocks is one matrix product in one task.
-    """
-    n = vectors.count()
-    blocks = max(1, -(-n // block_rows))
-    dealt = vectors.select("id", "vector", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int").alias("own"))
-    others = F.sequence(F.lit(0), F.lit(blocks - 1))
-    pairs = dealt.select("id", "vector", "own", F.explode(others).alias("other")).select(
-        "id", "vector", "own", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high")
-    )
+def robust_threshold(scores: DataFrame, zeros: int = 0, sigmas: float = SIGMAS, floor: float = FLOOR, ceiling: float = CEILING) -> DataFrame:
+    """`calibrate` over column `score` of a table, with `zeros` further scores of 0."""
+    return calibration_row(scores.sparkSession, calibrate(ListedScores(scores, zeros), sigmas, floor, ceiling))
 
-    def score(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        low, high = key
-        x = np.stack(rows["vector"].to_numpy()).astype(float)
-        norm = np.linalg.norm(x, axis=1, keepdims=True)
-        x = np.divide(x, norm, out=np.zeros_like(x), where=norm > 0)
-        ids, own = rows["id"].to_numpy(), rows["own"].to_numpy()
-        i, j = np.flatnonzero(own == low), np.flatnonzero(own == high)
-        product = x[i] @ x[j].T
-        keep = np.ones(product.shape, bool) if least is None else product >= least
-        keep &= ids[i][:, None] < ids[j][None] if low == high else True
-        a, b = np.nonzero(keep)
-        first, second = ids[i][a], ids[j][b]
-        return pd.DataFrame({"a_id": np.minimum(first, second), "b_id": np.maximum(first, second), "score": product[a, b]})
 
-    return pairs.groupBy("low", "high").applyInPandas(score, "a_id long, b_id long, score double")
+def scores_of(rows: DataFrame, vectors: bool) -> tuple[Scores, str]:
+    """The pair scores of `rows` (id, vector or text) by the method at hand, and its name: cosines where there are
+    vectors, else Jaccard similarities of token sets."""
+    if vectors:
+        return VectorScores(rows), "embeddings"
+    return TokenScores(rows, rows, within=True), "jaccard"
 
 
-def robust_threshold(scores: DataFrame, zeros: int = 0, sigmas: float = SIGMAS, floor: float = FLOOR, ceiling: float = CEILING) -> DataFrame:
-    """One row (n, centre, spread, cut): median + sigmas * 1.4826 * MAD of column `score`, held between floor and ceiling.
+def duplicate_edges(scores: Scores, cut: float, groups: DataFrame | None = None, same_group: float | None = SAME_GROUP) -> DataFrame:
+    """(a_id, b_id, score) of the pairs that count as near-duplicates, a_id before b_id.
 
-    `zeros` further scores of 0 count without being rows.  Without spread, the least gap between neighbouring
-    values stands in; with fewer than two scores the cut is the ceiling.  Medians come from value counts, which
-    combine before the shuffle, so equal scores cost one entry.
+    With `groups` (id, group, never), rows of one group are held against `same_group` instead of `cut` (None: never
+    compared), and rows with an equal `never` are not compared at all.
     """
-    spark = scores.sparkSession
-    counts = scores.groupBy("score").agg(F.count("*").alias("n"))
-    if zeros:
-        counts = counts.union(spark.createDataFrame([(0.0, zeros)], "score double, n long")).groupBy("score").agg(F.sum("n").alias("n"))
-    middle = counts.agg(F.sum("n").alias("n"), F.expr("percentile(score, 0.5, n)").alias("centre"))
-    spread = counts.join(F.broadcast(middle.select("centre")), how="cross").agg(F.expr("percentile(abs(score - centre), 0.5, n)").alias("mad"))
-    gap = counts.select((F.lead("score").over(Window.orderBy("score")) - F.col("score")).alias("gap")).agg(F.min("gap").alias("gap"))
-    row = middle.join(spread, how="cross").join(gap, how="cross").first()
-    n, centre = row["n"] or 0, row["centre"] or 0.0
-    width = 1.4826 * (row["mad"] or 0.0)
-    if width <= 0:
-        width = (row["gap"] or 0.0) if n > 1 else 0.0
-    cut = min(max(centre + sigmas * width, floor), ceiling) if n > 1 else min(max(1.0, floor), ceiling)
-    return spark.createDataFrame([(int(n), float(centre), float(width), float(cut))], "n long, centre double, spread double, cut double")
+    least = cut if groups is None or same_group is None else min(cut, same_group)
+    found = scores.at_least(least).where("a_id < b_id")
+    if groups is None:
+        return found
+    sides = [groups.select(F.col("id").alias(f"{x}_id"), F.col("group").alias(f"{x}_group"), F.col("never").alias(f"{x}_never")) for x in "ab"]
+    joined = found.join(sides[0], "a_id").join(sides[1], "b_id")
+    bar = F.when(F.col("a_group") == F.col("b_group"), F.lit(same_group).cast("double")).otherwise(F.lit(cut))
+    apart = F.coalesce(F.col("a_never") != F.col("b_never"), F.lit(True))
+    return joined.where(apart & (F.col("score") >= bar)).select("a_id", "b_id", "score")
 
 
 def greedy_duplicates(nodes: DataFrame, edges: DataFrame, few_edges: int = FEW_EDGES) -> DataFrame:
@@ -86,7 +78,8 @@ def greedy_duplicates(nodes: DataFrame, edges: DataFrame, few_edges: int = FEW_E
     `edges` (a_id, b_id, score), a_id before b_id, are the pairs over their threshold.  A row is a duplicate once an
     earlier neighbour is kept, and kept once all earlier neighbours are duplicates; every round settles at least
     the first open row of each chain, and rounds go on until no row is open.  Once at most `few_edges` edges lead to open
-rows, one pass in order settles them, so a long chain doesn't cost a round a row.  duplicate_of is the kept earlier neighbour of the best score, the earliest of equals.
+    rows, one pass in order settles them, so a long chain doesn't cost a round a row.  duplicate_of is the kept earlier
+    neighbour of the best score, the earliest of equals.
     """
     from .shared import settled_table
 
@@ -123,8 +116,14 @@ rows, one pass in order settles them, so a long chain doesn't cost a round a row
     return nodes.select("id").join(found, "id", "left")
 
 
-def best_match(scores: DataFrame, items: DataFrame, item: Column | str = "a_id") -> DataFrame:
+def best_match(scores: Scores, items: DataFrame) -> DataFrame:
     """(id, best_id, score) of every item (id): the match of the highest score, the lowest id of equals; 0.0 and null without any."""
-    top = scores.where("score > 0").groupBy(F.col("a_id").alias("id")).agg(F.max(F.struct("score", (-F.col("b_id")).alias("m"))).alias("it"))
-    joined = items.select("id").join(top, "id", "left")
-    return joined.select("id", (-F.col("it.m")).alias("best_id"), F.coalesce("it.score", F.lit(0.0)).alias("score"))
+    top = scores.best().withColumnRenamed("a_id", "id")
+    return items.select("id").join(top, "id", "left").select("id", F.col("b_id").alias("best_id"), F.coalesce("score", F.lit(0.0)).alias("score"))
+
+
+def duplicate_clusters(found: DataFrame, order: Column | str = "id") -> DataFrame:
+    """(duplicate_of, members): what each representative of `greedy_duplicates` absorbs, in order."""
+    lost = found.where("duplicate_of is not null")
+    members = F.transform(F.array_sort(F.collect_list(F.struct(F.expr(order).alias("at") if isinstance(order, str) else order.alias("at"), F.col("id")))), lambda x: x["id"])
+    return lost.groupBy("duplicate_of").agg(members.alias("members"))

@@ -1,30 +1,64 @@
-"""The coverage plan: slots of families with domains, pairs, features and splits.
+"""The coverage plan: slots of families with domains, pairs, tradeoffs, hypotheses, features and splits.
 
 A plan has a few hundred slots whatever the size of the data, and each choice depends on those before it, so it is
-made on the driver and handed over as a DataFrame.
+made on the driver and handed over as a DataFrame.  Everything is decided for units, a contrastive pair being one, and
+then given to both members, so that pairing never undoes coverage.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
+from collections import Counter, defaultdict
 from dataclasses import asdict, dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..schema import ASKER_STANCE_MIX, AXES, HARM_SEVERITY, PUBLIC_OR_PRIVATE, ROLE_TYPE_MIX, URGENCY
+
+DIVERGENCE = "divergence"
+#: Where each draw begins its round, so that two draws don't fall on the same units.
+OFFSETS = {"divergence": 0, "eval_divergence": 2, "eval_ordinary": 1, "reserved": 4}
+UNRESOLVED_OFFSET, EXPLICIT_OFFSET = 0.3, 0.4
+#: What both members of a pair have alike, but for the one axis that they vary.
+SHARED = ["tradeoff", "intent", "hypothesis", "choice", "mode", "institution", *AXES]
+FLOOR_FROM = 100  # families from which a coverage floor is binding
+
 
 class PlanError(ValueError):
-    """A plan that breaks an invariant."""
+    """A plan that can't be built as asked for."""
 
 
 @dataclass
 class Settings:
     families: int = 12
-    divergence: float = 0.4
-    eval_share: float = 0.25
+    divergence: float = 0.35
+    eval_share: float = 0.0
     reserved_share: float = 0.0
-    counterfactual: float = 0.3
-    roles: list[str] = field(default_factory=lambda: ["private_person", "professional", "official", "bystander"])
+    counterfactual: float = 0.0
+    unresolved: float = 0.25
+    explicit: float = 0.0
+    held_out: int = 0
+    floor_per_hundred: float = 1.0
+
+
+@dataclass
+class Target:
+    """What of a specification a plan covers.  Weights of domains needn't sum to 1."""
+
+    target_id: str
+    domains: dict[str, float]
+    tradeoffs: list[str] = field(default_factory=list)
+    unresolved: list[str] = field(default_factory=list)
+    choices: list[str] = field(default_factory=list)
+    hypotheses: list[str] = field(default_factory=list)
+    institutions: dict[str, list[str]] = field(default_factory=dict)
+
+    def shares(self) -> dict[str, float]:
+        """The domains' weights, made to sum to 1."""
+        total = sum(self.domains.values()) or 1.0
+        return {d: w / total for d, w in self.domains.items()}
 
 
 @dataclass
@@ -32,117 +66,347 @@ class Slot:
     slot_index: int
     domain: str
     pair: str = ""
-    divergence: bool = False
+    varied_axis: str = ""
+    intent: str = "ordinary"
     tradeoff: str = ""
-    role: str = ""
+    choice: str = ""
+    hypothesis: str = ""
+    mode: str = "neutral"
+    institution: str = ""
+    harm_severity: str = ""
+    role_type: str = ""
+    public_or_private: str = ""
+    urgency: str = ""
+    asker_stance: str = ""
     split: str = "train"
 
+    @property
+    def structural_key(self) -> str:
+        return "|".join((self.tradeoff, self.role_type, self.harm_severity, self.domain))
 
-def quotas(weights: dict[str, float], n: int) -> dict[str, int]:
-    """Largest remainder: whole shares first, then one more by falling fraction, in the order given."""
-    total = sum(weights.values()) or 1.0
-    exact = {k: w / total * n for k, w in weights.items()}
+
+Unit = list[Slot]
+
+
+def quotas(shares: dict[str, float], n: int, total: float = 1.0, most: dict[str, int] | None = None) -> dict[str, int]:
+    """Largest remainder: whole shares of `total` first, then one more by falling fraction, in the order given, up to `most`."""
+    exact = {k: w * n / total for k, w in shares.items()}
     out = {k: math.floor(x) for k, x in exact.items()}
-    by_fraction = sorted(exact, key=lambda k: -(round(exact[k] - out[k], 9)))
-    for k in by_fraction[: n - sum(out.values())]:
-        out[k] += 1
+    left = n - sum(out.values())
+    for k in sorted(exact, key=lambda k: exact[k] - out[k], reverse=True):
+        if left > 0 and (most is None or out[k] < most[k]):
+            out[k] += 1
+            left -= 1
     return out
 
 
 def dealt(counts: dict[str, int]) -> list[str]:
-    left, out = dict(counts), []
-    while any(left.values()):
-        for k in left:
-            if left[k]:
-                out.append(k)
-                left[k] -= 1
-    return out
+    """Each key as often as it counts, one of every key that is left in turn."""
+    return [k for turn in range(max(counts.values(), default=0)) for k, n in counts.items() if turn < n]
+
+
+def mixed(mix: dict[str, float], n: int) -> list[str]:
+    """n labels in the proportions of a mix, the commonest label first in every turn."""
+    own = quotas(mix, n)
+    return dealt({k: own[k] for k in sorted(mix, key=lambda k: -mix[k])})
+
 
+def spread(slots: list[Slot], count: int, offset: float = 0.0) -> list[int]:
+    """`count` positions among `slots`, shared out over domains by their sizes and evenly spaced in each."""
+    by_domain: dict[str, list[int]] = defaultdict(list)
+    for at, s in enumerate(slots):
+        by_domain[s.domain].append(at)
+    sizes = {d: len(by_domain[d]) for d in sorted(by_domain)}
+    count = min(count, len(slots))
+    if count <= 0:
+        return []
+    chosen: set[int] = set()
+    for d, wanted in quotas(sizes, count, len(slots), sizes).items():
+        own, step = by_domain[d], sizes[d] / max(wanted, 1)
+        picked = dict.fromkeys(own[min(len(own) - 1, int(offset * step + k * step))] for k in range(wanted))
+        chosen.update([*picked, *(x for x in own if x not in picked)][:wanted])
+    return sorted(chosen)
 
-def units_of(slots: list[Slot]) -> list[list[Slot]]:
-    """Pairs and single slots, which splits and intents never part."""
-    units: dict[str, list[Slot]] = {}
+
+def rounds(pool: list[str]):
+    """The members of a pool, over and over."""
+    while pool:
+        yield from pool
+
+
+def units_of(slots: list[Slot]) -> list[Unit]:
+    """Pairs and single slots, which splits and intents never part, by their first slots."""
+    units: dict[str, Unit] = {}
     for s in slots:
         units.setdefault(s.pair or f"#{s.slot_index}", []).append(s)
     return sorted(units.values(), key=lambda u: u[0].slot_index)
 
 
-def draw(units: list[list[Slot]], wanted: int, offset: int = 0) -> list[list[Slot]]:
-    """Whole units of about `wanted` slots, taking domains in turn from `offset`; none overshoots but a first one."""
-    by_domain: dict[str, list[list[Slot]]] = {}
+def draw(units: list[Unit], wanted: int, offset: int = 0) -> list[Unit]:
+    """Whole units of `wanted` slots or just fewer, a domain at a time, the largest domain first.
+
+    Every domain's round begins at `offset`.  A unit that would overshoot is passed over, unless it is the first.
+    """
+    pools: dict[str, list[Unit]] = defaultdict(list)
     for u in units:
-        by_domain.setdefault(u[0].domain, []).append(u)
-    queues = [by_domain[d] for d in sorted(by_domain)]
-    chosen, size, idle, at = [], 0, 0, offset
-    while queues and size < wanted and idle < len(queues):
-        queue = queues[at % len(queues)]
-        at += 1
-        fits = next((u for u in queue if not chosen or size + len(u) <= wanted), None)
-        if fits is None:
-            idle += 1
-            continue
-        idle = 0
-        queue.remove(fits)
-        chosen.append(fits)
-        size += len(fits)
+        pools[u[0].domain].append(u)
+    rounds_left = {d: pool[offset % len(pool) :] + pool[: offset % len(pool)] for d, pool in pools.items()}
+    order = sorted(pools, key=lambda d: (-len(pools[d]), d))
+    chosen, size, moved = [], 0, True
+    while size < wanted and moved:
+        moved = False
+        for d in order:
+            if size >= wanted:
+                break
+            own = rounds_left[d]
+            at = next((k for k, u in enumerate(own) if not size or size + len(u) <= wanted), None)
+            if at is not None:
+                unit = own[at]
+                # What was passed over comes round again after the rest.
+                rounds_left[d] = own[at + 1 :] + own[:at]
+                chosen.append(unit)
+                size += len(unit)
+                moved = True
     return chosen
 
 
-def plan(domains: dict[str, float], tradeoffs: list[str], settings: Settings) -> list[Slot]:
-    slots = [Slot(k, d) for k, d in enumerate(dealt(quotas(domains, settings.families)))]
-    by_domain: dict[str, list[Slot]] = {}
+def make_pairs(slots: list[Slot], wanted: int) -> None:
+    """Pairs of neighbouring slots of one domain, `wanted` slots or one fewer in all, the largest domains first in turn."""
+    own: dict[str, Unit] = defaultdict(list)
+    for s in slots:
+        own[s.domain].append(s)
+    largest = sorted(own, key=lambda d: -len(own[d]))
+    room = dealt({d: len(own[d]) // 2 for d in largest})[: max(0, wanted // 2)]
+    number = 0
+    for d, n in sorted(Counter(room).items()):
+        taken: set[int] = set()
+        for k in range(n):
+            at = int(k * (len(own[d]) / n))
+            while at + 1 < len(own[d]) and {at, at + 1} & taken:
+                at += 1
+            if at + 1 < len(own[d]):
+                number += 1
+                taken |= {at, at + 1}
+                own[d][at].pair = own[d][at + 1].pair = f"g{number}"
+
+
+def assign_tradeoffs(target: Target, slots: list[Slot], settings: Settings) -> None:
+    """A tradeoff for every slot, none twice while another of its kind is unused; unresolved ones get their share, more
+    where that doesn't reach each of them once, but not over half of the slots for that."""
+    if not target.tradeoffs:
+        return
+    open_ones = [t for t in target.tradeoffs if t in target.unresolved]
+    settled = [t for t in target.tradeoffs if t not in target.unresolved]
+    wanted = round(len(slots) * settings.unresolved)
+    if open_ones:
+        wanted = max(wanted, min(len(open_ones), len(slots) // 2))
+    wanted = min(wanted, len(slots) - bool(settled))
+    # Positions are looked up by slot index, which differs from the place among units once there are pairs.
+    marked = set(spread(slots, wanted, UNRESOLVED_OFFSET))
+    kinds = [rounds(own) for own in (settled, open_ones) if own]
     for s in slots:
-        by_domain.setdefault(s.domain, []).append(s)
-    pairs = round(settings.families * settings.counterfactual / 2)
-    names = sorted(by_domain, key=lambda d: (-len(by_domain[d]), d))
-    free = {d: list(by_domain[d]) for d in names}
-    made, idle = 0, 0
-    while made < pairs and idle < len(names):
-        d = names[(made + idle) % len(names)]
-        if len(free[d]) >= 2:
-            made += 1
-            idle = 0
-            for s in (free[d].pop(0), free[d].pop(0)):
-                s.pair = f"g{made}"
-        else:
-            idle += 1
-    for u in draw(units_of(slots), round(settings.families * settings.divergence)):
-        for s in u:
-            s.divergence = True
-    for k, u in enumerate(units_of(slots)):
-        for s in u:
-            s.tradeoff = tradeoffs[k % len(tradeoffs)] if tradeoffs else ""
-            s.role = settings.roles[k % len(settings.roles)]
-    wanted = max(1 if settings.families > 1 else 0, round(settings.families * settings.eval_share))
-    for stratum, offset in ((True, 2), (False, 1)):
-        own = [u for u in units_of(slots) if u[0].divergence == stratum]
-        share = round(wanted * sum(map(len, own)) / max(1, settings.families))
-        for u in draw(own, share, offset):
-            for s in u:
-                s.split = "eval"
-    if wanted and not any(s.split == "eval" for s in slots) and slots:
-        for s in units_of(slots)[-1]:
-            s.split = "eval"
-    rest = [u for u in units_of(slots) if u[0].split == "train"]
-    for u in draw(rest, round(settings.families * settings.reserved_share), 4):
-        for s in u:
-            s.split = "reserved"
+        s.tradeoff = next(kinds[-1 if s.slot_index in marked else 0])
+    if target.choices:
+        carriers = [s for s in slots if s.tradeoff in target.unresolved] or slots
+        for at, choice in zip(spread(carriers, min(len(target.choices), len(carriers))), rounds(target.choices)):
+            carriers[at].choice = choice
+    for s, hypothesis in zip((s for s in slots if s.intent == DIVERGENCE), rounds(target.hypotheses)):
+        s.hypothesis = hypothesis
+
+
+def assign_features(slots: list[Slot]) -> None:
+    """Stances and roles by their mixes, urgency and publicity in turn, and for each slot the first harm, beginning with
+    its own turn, that keeps (tradeoff, role, harm) unique in its domain."""
+    stances, roles = mixed(ASKER_STANCE_MIX, len(slots)), mixed(ROLE_TYPE_MIX, len(slots))
+    seen: dict[str, list[tuple]] = defaultdict(list)
+    for k, s in enumerate(slots):
+        s.asker_stance, s.role_type = stances[k], roles[k]
+        s.urgency, s.public_or_private = URGENCY[k % len(URGENCY)], PUBLIC_OR_PRIVATE[k // 2 % len(PUBLIC_OR_PRIVATE)]
+        turn = len(seen[s.domain])
+        in_turn = [HARM_SEVERITY[(turn + d) % len(HARM_SEVERITY)] for d in range(len(HARM_SEVERITY))]
+        fresh = [h for h in in_turn if (s.tradeoff, s.role_type, h) not in seen[s.domain]]
+        s.harm_severity = (fresh or in_turn[-1:])[0]
+        seen[s.domain].append((s.tradeoff, s.role_type, s.harm_severity))
+
+
+def assign_institutions(slots: list[Slot], target: Target) -> None:
+    """An institution for every slot, sectors in turn from a start that the target's name fixes."""
+    sectors = sorted(target.institutions)
+    start = int(hashlib.sha256(target.target_id.encode()).hexdigest()[:8], 16) if target.target_id else 0
+    for k, s in enumerate(slots if sectors else []):
+        names = target.institutions[sectors[(start + k) % len(sectors)]]
+        s.institution = names[(start // len(sectors) + k // len(sectors)) % len(names)]
+
+
+def contrast(axis: str, value: str) -> str:
+    """The end of an axis that is away from a value."""
+    ends = AXES[axis]
+    return ends[-1] if value == ends[0] else ends[0]
+
+
+def share_in_pairs(units: list[Unit]) -> None:
+    """The first member's decisions for its partner, except on one axis, which changes from pair to pair."""
+    axes = rounds(list(AXES))
+    for first, second in (u for u in units if len(u) == 2):
+        first.varied_axis = second.varied_axis = axis = next(axes)
+        for name in SHARED:
+            setattr(second, name, getattr(first, name))
+        setattr(second, axis, contrast(axis, getattr(first, axis)))
+
+
+def held_out_tradeoffs(slots: list[Slot], k: int) -> set[str]:
+    """The k least used tradeoffs, all of whose families go to eval; none where that would be all there are."""
+    used = Counter(s.tradeoff for s in slots if s.tradeoff)
+    return set(sorted(used, key=lambda t: (used[t], t))[:k]) if 0 < k < len(used) else set()
+
+
+def wanted_eval(slots: list[Slot], settings: Settings) -> int:
+    """The families that eval should hold: its share, and one at least wherever there is more than one family."""
+    return max(int(len(slots) > 1), round(len(slots) * settings.eval_share))
+
+
+def assign_splits(slots: list[Slot], settings: Settings) -> None:
+    """Eval: units of held-out tradeoffs first, which count towards it, then divergence and ordinary units apart, each by
+    its share; reserved from what is left.  Of pairs, the first half, rounded up, may leave train."""
+    units = units_of(slots)
+    pairs = [u for u in units if len(u) > 1]
+    bound = pairs[math.ceil(len(pairs) / 2) :]
+    held = held_out_tradeoffs(slots, settings.held_out)
+    chosen = [u for u in units if any(s.tradeoff in held for s in u)]
+    size = lambda own: sum(map(len, own))
+    wanted = wanted_eval(slots, settings)
+    left = max(0, wanted - size(chosen))
+    of_divergence = max(0, round(wanted * settings.divergence) - sum(s.intent == DIVERGENCE for u in chosen for s in u))
+    free = lambda: [u for u in units if u not in bound and u not in chosen]
+    drawn = draw([u for u in free() if u[0].intent == DIVERGENCE], of_divergence, OFFSETS["eval_divergence"])
+    drawn += draw([u for u in free() if u[0].intent != DIVERGENCE], left - size(drawn), OFFSETS["eval_ordinary"])
+    chosen += drawn
+    reserved = draw(free(), round(len(slots) * settings.reserved_share), OFFSETS["reserved"])
+    for own, split in ((chosen, "eval"), (reserved, "reserved")):
+        for s in (s for u in own for s in u):
+            s.split = split
+
+
+def plan(target: Target, settings: Settings) -> list[Slot]:
+    """The whole plan; a plan that breaks an invariant is an error."""
+    if settings.families <= 0:
+        raise PlanError(f"a plan of {settings.families} families")
+    slots = [Slot(k, d) for k, d in enumerate(dealt(quotas(target.shares(), settings.families)))]
+    make_pairs(slots, round(settings.families * settings.counterfactual))
+    units = units_of(slots)
+    for s in (s for u in draw(units, round(len(slots) * settings.divergence), OFFSETS["divergence"]) for s in u):
+        s.intent = DIVERGENCE
+    firsts = [u[0] for u in units]
+    assign_tradeoffs(target, firsts, settings)
+    for at in spread(firsts, round(len(firsts) * settings.explicit), EXPLICIT_OFFSET):
+        firsts[at].mode = "explicit"
+    assign_features(firsts)
+    assign_institutions(firsts, target)
+    share_in_pairs(units)
+    assign_splits(slots, settings)
     return slots
 
 
+def checked_plan(spark: SparkSession, target: Target, settings: Settings) -> DataFrame:
+    """The plan as a table, refused where `check` finds an ERROR."""
+    table = as_table(spark, plan(target, settings))
+    errors = check(table, target, settings).where("level = 'ERROR'").orderBy("rule", "subject").collect()
+    if errors:
+        raise PlanError("; ".join(f"{r.rule}: {r.subject}" for r in errors))
+    return table
+
+
 def as_table(spark: SparkSession, slots: list[Slot]) -> DataFrame:
-    return spark.createDataFrame([tuple(asdict(s).values()) for s in slots], "slot_index int, domain string, pair string, divergence boolean, tradeoff string, role string, split string")
-
-
-def check(slots: DataFrame) -> DataFrame:
-    """(level, rule, subject): every broken invariant of a plan table."""
-    paired = slots.where("pair != ''").groupBy("pair").agg(F.count("*").alias("n"), F.count_distinct("split").alias("splits"), F.count_distinct("domain").alias("domains"))
-    ranked = slots.agg(F.count("*").alias("n"), F.max("slot_index").alias("last"), F.count_distinct("slot_index").alias("distinct"), F.count_if(F.col("split") == "eval").alias("eval"))
-    error = F.lit("ERROR")
-    return (
-        paired.where("n != 2").select(error.alias("level"), F.lit("a pair has two slots").alias("rule"), F.col("pair").alias("subject"))
-        .union(paired.where("splits != 1").select(error, F.lit("a pair is in one split"), "pair"))
-        .union(paired.where("domains != 1").select(error, F.lit("a pair is in one domain"), "pair"))
-        .union(ranked.where("n > 0 and (last != n - 1 or distinct != n)").select(error, F.lit("slots are numbered without gaps"), F.lit("")))
-        .union(ranked.where("n > 1 and eval = 0").select(error, F.lit("a plan has eval slots"), F.lit("")))
+    kinds = ", ".join(f"{k} {'int' if k == 'slot_index' else 'string'}" for k in Slot.__dataclass_fields__)
+    return spark.createDataFrame([tuple(asdict(s).values()) for s in slots], kinds)
+
+
+def structural(slots: DataFrame) -> DataFrame:
+    return slots.withColumn("structural_key", F.concat_ws("|", "tradeoff", "role_type", "harm_severity", "domain"))
+
+
+def check(slots: DataFrame, target: Target, settings: Settings) -> DataFrame:
+    """(level, rule, subject): every broken invariant of a plan table.  Only an ERROR makes a plan unusable."""
+    spark = slots.sparkSession
+    some = slots.agg(F.count("*").alias("n"), F.max("slot_index").alias("last"), F.min("slot_index").alias("first"), F.count_distinct("slot_index").alias("distinct"), F.count_if(F.col("split") == "eval").alias("eval")).first()
+    n, binding = some.n, some.n >= FLOOR_FROM and some.n * settings.floor_per_hundred / 100 >= 1
+    wanted = max(int(n > 1), round(n * settings.eval_share))
+    used = slots.where("tradeoff != ''").groupBy("tradeoff").agg(F.count("*").alias("uses"), F.count_if(F.col("split") != "eval").alias("outside"))
+    ranked = used.withColumn("k", F.row_number().over(Window.orderBy("uses", "tradeoff")))
+    held = ranked.where(F.col("k") <= settings.held_out) if settings.held_out < used.count() else ranked.limit(0)
+    of_held = held.agg(F.coalesce(F.sum("uses"), F.lit(0))).first()[0]
+    pairs = slots.where("pair != ''").groupBy("pair").agg(
+        F.count("*").alias("n"), F.count_distinct("split").alias("splits"), F.count_distinct("domain").alias("domains"), F.max(F.col("split") == "train").alias("in_train")
+    )
+    found: list[tuple[str, str, str]] = []
+    if of_held > wanted:
+        found.append(("WARN", "held-out tradeoffs outgrow eval", f"{of_held} of {wanted}"))
+    elif abs(some.eval - wanted) > 1:
+        found.append(("ERROR", "eval has its share of families", f"{some.eval} of {wanted}"))
+    if n and (some.last != n - 1 or some.first != 0 or some.distinct != n):
+        found.append(("ERROR", "slots are numbered without gaps", ""))
+    intents = slots.where("split = 'eval'").agg(F.count("*").alias("n"), F.count_if(F.col("intent") == DIVERGENCE).alias("d")).first()
+    if intents.n and abs(intents.d - round(intents.n * settings.divergence)) > 1:
+        found.append(("WARN", "eval has its share of divergence", f"{intents.d} of {intents.n}"))
+    in_train = pairs.agg(F.count("*").alias("n"), F.count_if("in_train").alias("t")).first()
+    if in_train.n > 1 and not in_train.t:
+        found.append(("WARN", "some pair is in train", ""))
+    level = "ERROR" if binding else "WARN"
+    for rule, ids, column in (("every unresolved tradeoff has a family", target.unresolved, "tradeoff"), ("every hypothesis has a family", target.hypotheses, "hypothesis")):
+        have = {r[0] for r in slots.select(column).distinct().collect()}
+        found += [(level, rule, x) for x in ids if x not in have]
+    least = max(1, round(n * settings.floor_per_hundred / 100))
+    thin = slots.where("hypothesis != ''").groupBy("hypothesis").agg(F.count("*").alias("uses")).where(F.col("uses") < least)
+    keyed = structural(slots.where("role_type != '' or harm_severity != ''")).groupBy("structural_key").agg(
+        F.count("*").alias("uses"), ((F.count_distinct("pair") == 1) & (F.min("pair") != "")).alias("one_pair")
     )
+
+    def rows(df: DataFrame, level: str, rule: str, subject: str) -> DataFrame:
+        return df.select(F.lit(level).alias("level"), F.lit(rule).alias("rule"), F.col(subject).cast("string").alias("subject"))
+
+    out = spark.createDataFrame(found, "level string, rule string, subject string")
+    for own in (
+        rows(pairs.where("n != 2"), "ERROR", "a pair has two slots", "pair"),
+        rows(pairs.where("splits != 1"), "ERROR", "a pair is in one split", "pair"),
+        rows(pairs.where("domains != 1"), "ERROR", "a pair is in one domain", "pair"),
+        rows(held.where("outside > 0"), "ERROR", "a held-out tradeoff is in eval alone", "tradeoff"),
+        rows(keyed.where("uses > 1 and not one_pair"), "WARN", "a structural key is unique outside its pair", "structural_key"),
+        rows(slots.where((F.col("intent") == DIVERGENCE) & (F.col("hypothesis") == "") & F.lit(bool(target.hypotheses))), "ERROR", "a divergence slot has a hypothesis", "slot_index"),
+        rows(thin, "WARN", "a hypothesis has its floor of families", "hypothesis") if binding else None,
+    ):
+        out = out if own is None else out.union(own)
+    return out
+
+
+def align_groups(families: DataFrame) -> DataFrame:
+    """`families` (counterfactual_group_id, split, reserved_reason) with every pair in one split: reserved before eval
+    before train.  A family that follows its pair into reserved says so."""
+    own = Window.partitionBy("counterfactual_group_id")
+    place = F.when(F.col("split") == "reserved", 2).when(F.col("split") == "eval", 1).otherwise(0)
+    best = F.max(F.struct(place.alias("place"), F.col("split").alias("split"), F.col("reserved_reason").alias("why"))).over(own)
+    grouped = families.where("coalesce(counterfactual_group_id, '') != ''").withColumn("best", best)
+    moved, unsaid = F.col("best.split") != F.col("split"), F.coalesce("reserved_reason", F.lit("")) == ""
+    reason = F.when(moved & unsaid & (F.coalesce("best.why", F.lit("")) != ""), F.concat(F.lit("follows its counterfactual group: "), F.col("best.why"))).otherwise(F.col("reserved_reason"))
+    aligned = grouped.withColumn("reserved_reason", reason).withColumn("split", F.col("best.split")).drop("best")
+    return families.where("coalesce(counterfactual_group_id, '') = ''").unionByName(aligned)
+
+
+def complete_pairs(batch: DataFrame) -> DataFrame:
+    """`batch` (batch, pair) with the pair's label only where both of its slots are in the batch."""
+    both = F.count("*").over(Window.partitionBy("batch", "pair"))
+    return batch.withColumn("pair", F.when((F.coalesce("pair", F.lit("")) != "") & (both >= 2), F.col("pair")).otherwise(F.lit("")))
+
+
+def incomplete_groups(slots: DataFrame, families: DataFrame) -> DataFrame:
+    """(pair, missing) of the planned pairs of which a slot has no family."""
+    empty = slots.where("pair != ''").join(families.select("slot_index").distinct(), "slot_index", "left_anti")
+    return empty.groupBy("pair").agg(F.sort_array(F.collect_list("slot_index")).alias("missing"))
+
+
+def backfill(families: DataFrame, slots: DataFrame) -> DataFrame:
+    """`families` (family_id, slot_index, ordinal) with free slots, in order, for those of an older run without one (-1)."""
+    rank = lambda by: F.row_number().over(Window.orderBy(by))
+    unset = families.where("slot_index < 0").withColumn("k", rank("ordinal"))
+    free = slots.join(families.where("slot_index >= 0").select("slot_index"), "slot_index", "left_anti").select(F.col("slot_index").alias("free")).withColumn("k", rank("free"))
+    given = unset.join(free, "k", "left").withColumn("slot_index", F.coalesce("free", "slot_index")).drop("k", "free")
+    return families.where("slot_index >= 0").unionByName(given.select(families.columns))

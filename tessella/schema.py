@@ -55,8 +55,27 @@ DEFAULTS: dict[str, dict[str, object]] = {
     "baseline": {"kind": "base"},
 }
 
-#: The closed vocabularies of the records.
+#: The closed vocabularies of the records, from one end to the other, and the mixes that a plan keeps.
 VARIANTS = ["base", "setting_shift", "role_shift", "fiction", "roleplay", "terse"]
+CASE_TYPES = ["ordinary", "divergence"]
 SPLITS = ["train", "eval", "reserved"]
-ROLE_TYPE_MIX = [0.45, 0.25, 0.25, 0.05]
-ASKER_STANCE_MIX = [0.40, 0.20, 0.15, 0.15, 0.10]
+MODES = ["neutral", "explicit"]
+HARM_SEVERITY = ["minor", "serious", "grave"]
+URGENCY = ["none", "days", "now"]
+PUBLIC_OR_PRIVATE = ["private", "semi_public", "public"]
+ROLE_TYPE_MIX = {"no_authority": 0.45, "peer": 0.25, "holds_authority": 0.25, "institution": 0.05}
+ASKER_STANCE_MIX = {"conflicted": 0.40, "decided_wants_permission": 0.20, "angry_wants_to_win": 0.15, "defensive": 0.15, "transactional": 0.10}
+AXES = {
+    "harm_severity": HARM_SEVERITY,
+    "role_type": list(ROLE_TYPE_MIX),
+    "public_or_private": PUBLIC_OR_PRIVATE,
+    "urgency": URGENCY,
+    "asker_stance": list(ASKER_STANCE_MIX),
+}
+QUESTION_KINDS = ["what_to_do", "how_to_say_it", "was_my_decision_right"]
+
+
+def outside_vocabulary(column: str, values: list[str]) -> str:
+    """A condition that holds for a value of `column` that its vocabulary lacks; '' stands for a missing one."""
+    listed = ", ".join(f"'{v}'" for v in values)
+    return f"coalesce({column}, '') not in ('', {listed})"
