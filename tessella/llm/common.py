@@ -5,6 +5,7 @@ from __future__ import annotations
 import contextlib
 import ctypes
 import re
+import sys
 import tempfile
 import uuid
 
@@ -13,10 +14,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def tidy(function):
-    """`function` over batches, after which its worker gives back what its libraries hold: workers outlive their tasks."""
+def tidy(function, tokens: bool = False):
+    """`function` over batches, after which its worker gives back what its libraries hold: workers outlive their tasks.
+
+    Identifiers that an earlier task cached stay for functions that use `tokens` alone.
+    """
 
     def run(batches):
+        if not tokens and (own := sys.modules.get(f"{__package__}.tokens")):
+            own.TokenIds.forget()
         try:
             yield from function(batches)
         finally:

@@ -81,7 +81,7 @@ def token_pieces(docs: DataFrame, length: int = LENGTH, vocabulary: str | None =
             kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds)], ["doc_id", "piece", "start", "length", "ids_crc32"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(tidy(cut), PIECES)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(tidy(cut, tokens=True), PIECES)
 
 
 def pack(pieces: DataFrame, length: int = LENGTH, open_bins: int = OPEN_BINS, packer_tokens: int = PACKER_TOKENS) -> DataFrame:

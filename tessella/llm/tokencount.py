@@ -64,7 +64,7 @@ def token_blocks(docs: DataFrame, vocabulary: str | None = None, eod: int = END_
         if size:
             yield row(np.concatenate(held), [d for d, _ in ended])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(tidy(write), "file long, block long, payload binary, doc_ids array<long>"
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(tidy(write, tokens=True), "file long, block long, payload binary, doc_ids array<long>"
     )
 
 

@@ -59,6 +59,10 @@ class TokenIds:
             cls._by_path[path] = cls(path)
         return cls._by_path[path]
 
+    @classmethod
+    def forget(cls) -> None:
+        cls._by_path.clear()
+
     def _encode(self, pieces: list[str]) -> list[bytes]:
         """Identifiers of each piece, from one call: a marker that no piece contains stands between them."""
         whole = self._model.encode(MARKER.join(pieces), add_special_tokens=False)
