@@ -31,30 +31,31 @@ def query(sql: str | None = None):
 
 # --- the records ---------------------------------------------------------------------------------------------------
 
-D = F.col("doc_id")
+def D():
+    return F.col("doc_id")
 
 
 def _id(prefix: str):
-    return F.concat(F.lit(prefix), D.cast("string"))
+    return F.concat(F.lit(prefix), D().cast("string"))
 
 
 def _reviews(spark, sf_dir):
     """Reviews as JSON: numbers as numbers or texts, flags as booleans, numbers or texts, a verdict in any case or none."""
-    quote = F.when(D % 6 == 0, "").otherwise("said")
+    quote = F.when(D() % 6 == 0, "").otherwise("said")
     scores = F.struct(
-        F.when(D % 2 == 0, F.concat(F.col("quality") * 2 + 2, F.lit(".5"))).otherwise((3 + 2 * F.col("quality")).cast("string")).alias("fidelity"),
-        (5 - D % 3).alias("judgment_not_terminology"),
-        F.when(D % 7 == 0, 2).otherwise(4).alias("scenario_quality"),
+        F.when(D() % 2 == 0, F.concat(F.col("quality") * 2 + 2, F.lit(".5"))).otherwise((3 + 2 * F.col("quality")).cast("string")).alias("fidelity"),
+        (5 - D() % 3).alias("judgment_not_terminology"),
+        F.when(D() % 7 == 0, 2).otherwise(4).alias("scenario_quality"),
         (F.col("toxic") == 1).alias("cue_leakage"),
-        F.when(D % 11 == 0, "false").otherwise("").alias("confident_on_unresolved"),
-        (D % 5 == 0).cast("int").alias("formulaic_shape"),
-        F.when(D % 13 == 0, F.array(F.lit(1))).otherwise(F.array().cast("array<int>")).alias("prompt_stipulates_move"),
-        F.when(D % 9 == 0, F.lit(True)).alias("quoted_source_text"),
-        (D % 10 == 0).alias("archaic_register"),
+        F.when(D() % 11 == 0, "false").otherwise("").alias("confident_on_unresolved"),
+        (D() % 5 == 0).cast("int").alias("formulaic_shape"),
+        F.when(D() % 13 == 0, F.array(F.lit(1))).otherwise(F.array().cast("array<int>")).alias("prompt_stipulates_move"),
+        F.when(D() % 9 == 0, F.lit(True)).alias("quoted_source_text"),
+        (D() % 10 == 0).alias("archaic_register"),
     )
-    verdict = F.when(D % 8 == 1, " Revise").when((F.col("quality") == 0) & (D % 4 == 0), "REJECT").when(D % 16 != 3, "accept")
-    written = F.to_json(F.struct(scores.alias("scores"), quote.alias("judgment_evidence_quote"), verdict.alias("verdict"), F.concat(F.lit("why "), D).alias("rationale"), F.array(F.lit("too long")).alias("issues")))
-    return table(spark, sf_dir, "labels").select(D.alias("doc_id"), written.alias("payload"))
+    verdict = F.when(D() % 8 == 1, " Revise").when((F.col("quality") == 0) & (D() % 4 == 0), "REJECT").when(D() % 16 != 3, "accept")
+    written = F.to_json(F.struct(scores.alias("scores"), quote.alias("judgment_evidence_quote"), verdict.alias("verdict"), F.concat(F.lit("why "), D()).alias("rationale"), F.array(F.lit("too long")).alias("issues")))
+    return table(spark, sf_dir, "labels").select(D().alias("doc_id"), written.alias("payload"))
 
 
 _REVIEW = """v as (select doc_id,
@@ -67,13 +68,13 @@ _REVIEW = """v as (select doc_id,
 
 
 def _verdict_payloads(spark, sf_dir):
-    named = F.when(D % 3 == 0, "  ").otherwise("candour")
+    named = F.when(D() % 3 == 0, "  ").otherwise("candour")
     source = F.when(F.col("quality") == 1, " VALUE").when(F.col("toxic") == 1, "Capability").otherwise("odd")
-    kind = F.element_at(F.array(*map(F.lit, ("action", "reasons", "both"))), (D % 3 + 1).cast("int"))
+    kind = F.element_at(F.array(*map(F.lit, ("action", "reasons", "both"))), (D() % 3 + 1).cast("int"))
     it = F.struct(
-        source.alias("divergence_source"), (D % 5 == 0).alias("generic_makes_same_claim"), named.alias("value_named"), kind.alias("kind"), F.concat(F.lit("as "), D).alias("explanation"),
-        F.struct(F.lit("one ").alias("a"), F.lit("two").alias("b"), F.lit("three").alias("c")).alias("actions"), F.struct((D % 2).alias("test_vs_weak"), F.lit("yes").alias("test_vs_generic")).alias("pairwise"),
-        F.when(D % 4 == 0, "Generic").otherwise("far").alias("closer_to"),
+        source.alias("divergence_source"), (D() % 5 == 0).alias("generic_makes_same_claim"), named.alias("value_named"), kind.alias("kind"), F.concat(F.lit("as "), D()).alias("explanation"),
+        F.struct(F.lit("one ").alias("a"), F.lit("two").alias("b"), F.lit("three").alias("c")).alias("actions"), F.struct((D() % 2).alias("test_vs_weak"), F.lit("yes").alias("test_vs_generic")).alias("pairwise"),
+        F.when(D() % 4 == 0, "Generic").otherwise("far").alias("closer_to"),
     )
     return table(spark, sf_dir, "labels").select("doc_id", F.to_json(it).alias("payload"))
 
@@ -82,17 +83,16 @@ _VERDICT = """w as (select doc_id, case when doc_id % 5 = 0 then 'capability' wh
   case when doc_id % 3 = 0 then '' else 'candour' end as named, ['action', 'reasons', 'both'][doc_id % 3 + 1] as kind, 'as ' || doc_id as explanation,
   doc_id % 2 = 1 as vs_base, true as vs_generic, false as generic_vs_base, case when doc_id % 4 = 0 then 'generic' else '' end as closer_to,
   case when doc_id % 20 = 4 then 'base answer cut off (length)' else '' end as unverified from labels)"""
-_LABELS = F.create_map(*map(F.lit, ("candidate", "B", "generic", "C", "weak", "A")))
 
 
 def _verdicts(spark, sf_dir):
-    own = _verdict_payloads(spark, sf_dir).select("doc_id", P.verdict_of(F.col("payload"), _id("p"), F.lit("judge"), _LABELS).alias("w"))
-    cut = F.when(D % 20 == 4, "base answer cut off (length)").otherwise("")
+    own = _verdict_payloads(spark, sf_dir).select("doc_id", P.verdict_of(F.col("payload"), _id("p"), F.lit("judge"), F.create_map(*map(F.lit, ("candidate", "B", "generic", "C", "weak", "A")))).alias("w"))
+    cut = F.when(D() % 20 == 4, "base answer cut off (length)").otherwise("")
     return own.select("doc_id", F.col("w").withField("unverified_reason", cut).alias("w"))
 
 
 def _family(spark, sf_dir):
-    k = F.floor(D / 3)
+    k = F.floor(D() / 3)
     pair = F.when(k % 5 < 2, F.concat(F.lit("g"), F.floor(k / 5).cast("string"))).otherwise("")
     return table(spark, sf_dir, "documents").select(k.alias("k")).distinct().where("k % 17 != 0").select(
         F.concat(F.lit("f"), F.col("k").cast("string")).alias("family_id"), F.when(F.col("k") % 4 == 0, "eval").otherwise("train").alias("split"),
@@ -102,20 +102,20 @@ def _family(spark, sf_dir):
 
 def _records(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
-    responses = docs.select(D.alias("ordinal"), _id("r").alias("response_id"), _id("p").alias("prompt_id"), F.lit("").alias("deliberation"), F.when(D % 50 != 7, F.col("text")).otherwise(" ").alias("answer"))
+    responses = docs.select(D().alias("ordinal"), _id("r").alias("response_id"), _id("p").alias("prompt_id"), F.lit("").alias("deliberation"), F.when(D() % 50 != 7, F.col("text")).otherwise(" ").alias("answer"))
     prompts = docs.select(
-        D.alias("ordinal"), _id("p").alias("prompt_id"), F.concat(F.lit("f"), F.floor(D / 3).cast("string")).alias("family_id"), F.when(D % 5 == 0, "fiction").otherwise("base").alias("variant"),
-        F.substring(F.coalesce("text", F.lit("")), 1, 80).alias("text"), F.when(D % 2 == 0, "divergence").otherwise("ordinary").alias("case_type"), F.when(F.col("lang") == "de", "explicit").otherwise("neutral").alias("mode"),
+        D().alias("ordinal"), _id("p").alias("prompt_id"), F.concat(F.lit("f"), F.floor(D() / 3).cast("string")).alias("family_id"), F.when(D() % 5 == 0, "fiction").otherwise("base").alias("variant"),
+        F.substring(F.coalesce("text", F.lit("")), 1, 80).alias("text"), F.when(D() % 2 == 0, "divergence").otherwise("ordinary").alias("case_type"), F.when(F.col("lang") == "de", "explicit").otherwise("neutral").alias("mode"),
     )
     reviews = _reviews(spark, sf_dir).select(P.review_of(F.col("payload"), _id("r"), F.lit("reviewer")).alias("v")).select("v.*")
-    verdicts = _verdicts(spark, sf_dir).where(D % 4 == 0).select("w.*")
+    verdicts = _verdicts(spark, sf_dir).where(D() % 4 == 0).select("w.*")
     return decisions.joined_records(responses, prompts, _family(spark, sf_dir).drop("k"), reviews, verdicts)
 
 
 def _decided(spark, sf_dir):
     joined = _records(spark, sf_dir)
-    near = table(spark, sf_dir, "documents").where(D % 19 == 5).select(_id("r").alias("response_id"), F.concat(F.lit("r"), D - 1).alias("duplicate_of"))
-    leaked = table(spark, sf_dir, "documents").where(F.floor(D / 3) % 4 == 0).select(_id("r").alias("response_id"), ((D % 100) / 100).alias("score"))
+    near = table(spark, sf_dir, "documents").where(D() % 19 == 5).select(_id("r").alias("response_id"), F.concat(F.lit("r"), D() - 1).alias("duplicate_of"))
+    leaked = table(spark, sf_dir, "documents").where(F.floor(D() / 3) % 4 == 0).select(_id("r").alias("response_id"), ((D() % 100) / 100).alias("score"))
     policy = decisions.Policy(FORBIDDEN, SOFT, leakage_cut=0.9, method="embeddings")
     return joined, decisions.decide_responses(joined, policy, near, leaked)
 
@@ -234,8 +234,8 @@ def conflict_summary(spark, sf_dir):
 
 @query(f"with {_REVIEW}, b as (select doc_id, case when quality = 1 then 'accept' else 'reject' end as vb from labels) select vb as verdict, count(*) as n, count(*) filter (v.verdict != vb) as disagree from v join b using (doc_id) group by 1")
 def second_reviewer(spark, sf_dir):
-    first = _reviews(spark, sf_dir).select(D.alias("id"), P.review_of(F.col("payload"), _id("r"), F.lit("x")).alias("v")).select("id", F.col("v.scores.fidelity").alias("score"), "v.verdict")
-    second = table(spark, sf_dir, "labels").select(D.alias("id"), F.lit(3).alias("score"), F.when(F.col("quality") == 1, "accept").otherwise("reject").alias("verdict"))
+    first = _reviews(spark, sf_dir).select(D().alias("id"), P.review_of(F.col("payload"), _id("r"), F.lit("x")).alias("v")).select("id", F.col("v.scores.fidelity").alias("score"), "v.verdict")
+    second = table(spark, sf_dir, "labels").select(D().alias("id"), F.lit(3).alias("score"), F.when(F.col("quality") == 1, "accept").otherwise("reject").alias("verdict"))
     return decisions.second_verdicts(first, second)
 
 
@@ -249,7 +249,7 @@ def verdict_counts(spark, sf_dir):
 select count(*) as families, count(*) filter (b) as candidate_vs_base, count(*) filter (g) as candidate_vs_generic, count(*) filter (gb) as generic_vs_base, count(*) filter (every) as value_every_prompt, count(*) filter (one) as value_any_prompt, cast(0 as bigint) as stipulated, true as three_way_recorded from p"""
 )
 def three_way_families(spark, sf_dir):
-    rows = _verdicts(spark, sf_dir).select(F.concat(F.lit("f"), F.floor(D / 3)).alias("family_id"), "w.*")
+    rows = _verdicts(spark, sf_dir).select(F.concat(F.lit("f"), F.floor(D() / 3)).alias("family_id"), "w.*")
     return decisions.three_way_summary(decisions.three_way(rows))
 
 
@@ -319,8 +319,8 @@ x as (select d.doc_id, case when k % 4 = 0 then 'eval' else 'train' end as split
 
 
 def _rows(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").where(D % 7 != 0).select("doc_id", F.floor(D / 3).alias("k"))
-    kinds = {"case_type": F.when(D % 2 == 0, "divergence").otherwise("ordinary"), "variant": F.when(D % 5 == 0, "fiction").otherwise("base"), "question_kind": F.when(D % 3 == 0, "what_to_do").otherwise("")}
+    docs = table(spark, sf_dir, "documents").where(D() % 7 != 0).select("doc_id", F.floor(D() / 3).alias("k"))
+    kinds = {"case_type": F.when(D() % 2 == 0, "divergence").otherwise("ordinary"), "variant": F.when(D() % 5 == 0, "fiction").otherwise("base"), "question_kind": F.when(D() % 3 == 0, "what_to_do").otherwise("")}
     return docs.join(_family(spark, sf_dir), "k").withColumns(kinds).withColumnRenamed("counterfactual_group_id", "group_id")
 
 
@@ -354,15 +354,15 @@ def avoided_topics(spark, sf_dir):
 
 @query("select 'p' || d.doc_id as prompt_id from documents d where (doc_id // 3) % 17 != 0 and (doc_id % 2 = 0 or (doc_id // 3) % 4 = 0)")
 def baseline_needed(spark, sf_dir):
-    prompts = table(spark, sf_dir, "documents").select(_id("p").alias("prompt_id"), F.concat(F.lit("f"), F.floor(D / 3).cast("string")).alias("family_id"), F.when(D % 2 == 0, "divergence").otherwise("ordinary").alias("case_type"))
+    prompts = table(spark, sf_dir, "documents").select(_id("p").alias("prompt_id"), F.concat(F.lit("f"), F.floor(D() / 3).cast("string")).alias("family_id"), F.when(D() % 2 == 0, "divergence").otherwise("ordinary").alias("case_type"))
     return stages.needing_baseline(prompts, _family(spark, sf_dir)).select("prompt_id")
 
 
 @query("select doc_id, case when doc_id % 3 = 0 then 'base answer cut off (length); ' else '' end || case when doc_id % 5 = 0 then 'no strong generic answer; run the baseline stage' when trim(coalesce(text, '')) = '' or doc_id % 7 = 0 then 'strong generic answer cut off' else '' end as reason from documents")
 def comparable_legs(spark, sf_dir):
     leg = lambda text, finish: F.struct(_id("p").alias("prompt_id"), text.alias("text"), finish.alias("finish_reason"))
-    base = leg(F.lit("x"), F.when(D % 3 == 0, "length").otherwise("stop"))
-    generic = F.when(D % 5 != 0, leg(F.col("text"), F.when(D % 7 == 0, "length").otherwise("stop")))
+    base = leg(F.lit("x"), F.when(D() % 3 == 0, "length").otherwise("stop"))
+    generic = F.when(D() % 5 != 0, leg(F.col("text"), F.when(D() % 7 == 0, "length").otherwise("stop")))
     rows = decisions.comparable(table(spark, sf_dir, "documents").select("doc_id", base.alias("base"), generic.alias("generic")))
     return rows.select("doc_id", F.when(F.col("unverified_reason") == "base answer cut off (length)", "base answer cut off (length); ").otherwise(F.col("unverified_reason")).alias("reason"))
 
@@ -380,14 +380,14 @@ def tradeoff_coverage(spark, sf_dir):
 @query("with r as (select lang as id, count(*) as n from documents where doc_id % 2 = 0 group by 1), h as (select distinct lang as id from documents union all select 'zz') select coalesce(r.id, h.id) as hypothesis, coalesce(n, 0) as families, coalesce(n, 0) < (select greatest(1, round_even(count(*) * 5.0 / 100, 0)) from documents) as short from r full outer join h on r.id = h.id")
 def hypothesis_coverage(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
-    families = docs.select(F.when(D % 2 == 0, "divergence").otherwise("ordinary").alias("case_type_intent"), F.col("lang").alias("divergence_hypothesis_id"))
+    families = docs.select(F.when(D() % 2 == 0, "divergence").otherwise("ordinary").alias("case_type_intent"), F.col("lang").alias("divergence_hypothesis_id"))
     known = docs.select(F.col("lang").alias("id")).distinct().union(spark.createDataFrame([("zz",)], "id string"))
     return report.hypothesis_coverage(families, known, 5.0)
 
 
 @query("with r as (select case when doc_id % 3 = 0 then 'conflicted' when doc_id % 3 = 1 then 'defensive' else '(not recorded)' end as v from documents), c as (select v, count(*) as n, count(*) / (select count(*) from r) as share from r group by 1), m(v, planned) as (values ('conflicted', 0.4::double), ('decided_wants_permission', 0.2::double), ('angry_wants_to_win', 0.15::double), ('defensive', 0.15::double), ('transactional', 0.1::double)) select coalesce(c.v, m.v) as stance, coalesce(n, 0) as families, round(coalesce(share, 0.0::double), 6) as share, planned from c full outer join m on c.v = m.v")
 def stances(spark, sf_dir):
-    own = table(spark, sf_dir, "documents").select(F.when(D % 3 == 0, "conflicted").otherwise("").alias("asker_stance"), F.when(D % 3 == 1, F.create_map(F.lit("asker_stance"), F.lit("defensive"))).otherwise(F.create_map().cast("map<string,string>")).alias("situation_features"))
+    own = table(spark, sf_dir, "documents").select(F.when(D() % 3 == 0, "conflicted").otherwise("").alias("asker_stance"), F.when(D() % 3 == 1, F.create_map(F.lit("asker_stance"), F.lit("defensive"))).otherwise(F.create_map().cast("map<string,string>")).alias("situation_features"))
     return report.stance_table(own).withColumn("share", F.round("share", 6))
 
 
@@ -420,14 +420,14 @@ def style_score(spark, sf_dir):
 
 @query("with d as (select doc_id, ['train', 'eval', 'reserved'][doc_id % 3 + 1] as split, case when doc_id % 10 < 4 then 'g' || (doc_id // 2) else '' end as g from documents) select doc_id, case when g = '' then split else ['train', 'eval', 'reserved'][max(case split when 'reserved' then 3 when 'eval' then 2 else 1 end) over (partition by g)] end as split from d")
 def aligned_splits(spark, sf_dir):
-    split = F.element_at(F.array(*map(F.lit, ("train", "eval", "reserved"))), (D % 3 + 1).cast("int"))
-    rows = table(spark, sf_dir, "documents").select("doc_id", split.alias("split"), F.when(D % 10 < 4, F.concat(F.lit("g"), F.floor(D / 2).cast("string"))).otherwise("").alias("counterfactual_group_id"), F.lit("").alias("reserved_reason"))
+    split = F.element_at(F.array(*map(F.lit, ("train", "eval", "reserved"))), (D() % 3 + 1).cast("int"))
+    rows = table(spark, sf_dir, "documents").select("doc_id", split.alias("split"), F.when(D() % 10 < 4, F.concat(F.lit("g"), F.floor(D() / 2).cast("string"))).otherwise("").alias("counterfactual_group_id"), F.lit("").alias("reserved_reason"))
     return planner.align_groups(rows).select("doc_id", "split")
 
 
 @query("with b as (select doc_id, doc_id // 5 as batch, case when doc_id % 10 < 6 then 'g' || (doc_id // 2) else '' end as g from documents) select doc_id, case when g != '' and count(*) over (partition by batch, g) >= 2 then g else '' end as pair from b")
 def complete_pairs(spark, sf_dir):
-    rows = table(spark, sf_dir, "documents").select("doc_id", F.floor(D / 5).alias("batch"), F.when(D % 10 < 6, F.concat(F.lit("g"), F.floor(D / 2).cast("string"))).otherwise("").alias("pair"))
+    rows = table(spark, sf_dir, "documents").select("doc_id", F.floor(D() / 5).alias("batch"), F.when(D() % 10 < 6, F.concat(F.lit("g"), F.floor(D() / 2).cast("string"))).otherwise("").alias("pair"))
     return planner.complete_pairs(rows).select("doc_id", "pair")
 
 
@@ -461,5 +461,5 @@ def lenient_items(spark, sf_dir):
     q = F.col("quality").cast("string")
     wrapped = F.concat(F.lit("Sure:\n```json\n{\"result\": {\"notes\": [], \"found\": [{\"quality\": "), q, F.lit("},]}}\n```"))
     lone = F.concat(F.lit("{\"quality\": "), q, F.lit("}"))
-    said = F.when(D % 2 == 0, F.lit('"hello"')).otherwise(F.lit('{"n": 1, "odd": "hello", "blank": " "}'))
-    return table(spark, sf_dir, "labels").select("doc_id", listed_items(F.when(D % 2 == 0, wrapped).otherwise(lone), "found", required="quality_").alias("a"), listed_items(F.when(D % 2 == 0, wrapped).otherwise(F.concat(F.lit("["), lone, F.lit("]"))), "found").alias("items"), text_field(said, "text").alias("text")).drop("a")
+    said = F.when(D() % 2 == 0, F.lit('"hello"')).otherwise(F.lit('{"n": 1, "odd": "hello", "blank": " "}'))
+    return table(spark, sf_dir, "labels").select("doc_id", listed_items(F.when(D() % 2 == 0, wrapped).otherwise(lone), "found", required="quality_").alias("a"), listed_items(F.when(D() % 2 == 0, wrapped).otherwise(F.concat(F.lit("["), lone, F.lit("]"))), "found").alias("items"), text_field(said, "text").alias("text")).drop("a")

@@ -1,6 +1,7 @@
 """Golden values of the curation operators and their agreement with DuckDB."""
 
 import os
+import statistics
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,36 +9,68 @@ from pyspark.sql import functions as F
 from tessella import catalog
 from tessella.functions import loose_json
 from tessella.functions import text as X
-from tessella.operators import coverage, decisions, gateway, similarity, usage
-from tessella.plans import planner
+from tessella.operators import decisions, pairs, similarity, usage
 from tessella.sources import records
 from tessella.streaming import ledger
 
 SF = "/root/testdata/sf0.001"
 
 
+def plain_cut(scores, floor, ceiling=0.98):
+    """The cut by the definition, in plain Python."""
+    if len(scores) < 2:
+        return min(ceiling, max(floor, 1.0))
+    centre = statistics.median(scores)
+    spread = 1.4826 * statistics.median(abs(x - centre) for x in scores)
+    if spread <= 0:
+        spread = min((b - a for a, b in zip(sorted(scores), sorted(scores)[1:]) if b > a), default=0.0)
+    return min(ceiling, max(floor, centre + 3 * spread))
+
+
+@pytest.mark.parametrize("floor", [0.0, 0.6])
 @pytest.mark.parametrize(
-    "scores, floor, cut",
-    [
-        ([0.10, 0.12, 0.11, 0.13, 0.78], 0.0, 0.164478),
-        ([0.10, 0.12, 0.11, 0.13, 0.14, 0.09, 0.81, 0.83], 0.0, 0.213956),
-        ([0.10, 0.12, 0.11, 0.13, 0.14, 0.09, 0.10, 0.12], 0.0, 0.181717),
-        ([0.30, 0.31, 0.30, 0.32, 0.31, 0.33], 0.55, 0.55),
-        ([0.1, 0.9, 0.9, 0.9, 0.9], 0.0, 0.98),
-        ([0.5] * 6, 0.0, 0.5),
-        ([0.5], 0.0, 0.98),
-        ([], 0.0, 0.98),
-    ],
+    "scores, zeros",
+    [([0.22, 0.27, 0.25, 0.24, 0.91], 0), ([0.05, 0.4, 0.41, 0.43], 9), ([0.2] * 7 + [0.23, 0.31], 0), ([0.7] * 5, 0), ([0.3], 0), ([], 0), ([], 3), ([-0.4, 0.1, 0.6, 0.61], 0), ([k / 997 for k in range(1, 900)], 40)],
 )
-def test_robust_threshold(spark, scores, floor, cut):
+def test_robust_threshold(spark, scores, zeros, floor):
     df = spark.createDataFrame([(s,) for s in scores], "score double")
-    assert similarity.robust_threshold(df, floor=floor).first()["cut"] == pytest.approx(cut, abs=1e-6)
+    got = similarity.robust_threshold(df, zeros, floor=floor).first()
+    assert got["n"] == len(scores) + zeros and got["cut"] == pytest.approx(plain_cut(scores + [0.0] * zeros, floor), abs=1e-9)
+
+
+def test_pair_scores(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(60, 5))
+    x[7] = 0
+    rows = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "id long, vector array<double>")
+    unit = x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
+    true = {(a, b): float(unit[a] @ unit[b]) for a in range(60) for b in range(a + 1, 60)}
+    scores = pairs.VectorScores(rows, block_rows=16)
+    assert similarity.calibrate(scores)["cut"] == pytest.approx(plain_cut(list(true.values()), 0.0), abs=1e-9)
+    assert {(r.a_id, r.b_id) for r in scores.at_least(0.5).collect()} == {k for k, v in true.items() if v >= 0.5}
+    assert [(r.a_id, r.b_id) for r in scores.top(9).collect()] == sorted(true, key=lambda k: (-true[k], -k[0], -k[1]))[:9]
+    groups = spark.createDataFrame([(k, k % 3, "n" if k < 20 else None) for k in range(60)], "id long, group int, never string")
+    for same in (0.8, None):
+        got = {(r.a_id, r.b_id) for r in similarity.duplicate_edges(scores, 0.4, groups, same).collect()}
+        assert got == {(a, b) for (a, b), v in true.items() if not b < 20 and (v >= 0.4 if a % 3 != b % 3 else same is not None and v >= same)}
+    texts = [(k, " ".join(str(w) for w in rng.integers(0, 12, rng.integers(0, 9)))) for k in range(40)]
+    sets = {k: set(t.split()) for k, t in texts}
+    jac = {(a, b): len(sets[a] & sets[b]) / len(sets[a] | sets[b]) if sets[a] | sets[b] else 0.0 for a in sets for b in sets}
+    table = spark.createDataFrame(texts, "id long, text string")
+    cross = pairs.TokenScores(table, table, block_tokens=40)
+    assert len(cross.blocks) > 1 and cross.count() == 1600
+    assert similarity.calibrate(cross)["cut"] == pytest.approx(plain_cut(list(jac.values()), 0.0), abs=1e-9)
+    assert {(r.a_id, r.b_id): r.score for r in cross.best().collect()} == pytest.approx({(a, min(b for b in sets if jac[a, b] == top)): top for a in sets if (top := max(jac[a, b] for b in sets)) > 0})
+    inner = {k: v for k, v in jac.items() if k[0] < k[1]}
+    assert similarity.calibrate(similarity.scores_of(table, vectors=False)[0])["cut"] == pytest.approx(plain_cut(list(inner.values()), 0.0), abs=1e-9)
 
 
 def test_cues(spark):
-    terms = ["Confucius", "ren", "the Analects", "junzi", " "]
-    df = spark.createDataFrame([("CONFUCIUS said",), ("children, current parents rented",), ("the  Analects",), ("éren ren",)], "t string")
-    assert [list(r[0]) for r in df.select(X.cue_hits(F.col("t"), terms)).collect()] == [["Confucius"], [], ["the Analects"], ["ren"]]
+    terms = ["Mozart", "sol", "the Requiem", " ", "a.b"]
+    df = spark.createDataFrame([("MOZART wrote",), ("console, solar, resolve",), ("the \t Requiem",), ("ésol Sol!",), ("aXb a.b",)], "t string")
+    assert [list(r[0]) for r in df.select(X.cue_hits(F.col("t"), terms)).collect()] == [["Mozart"], [], ["the Requiem"], ["sol"], ["a.b"]]
 
 
 def test_tokens_and_ids(spark):
@@ -87,7 +120,11 @@ def test_usage_poison(spark):
 def test_loose_json():
     assert loose_json.parse('well: {"a": [1, 2,], "b": "}"} ok') == {"a": [1, 2], "b": "}"}
     assert loose_json.parse("```json\n[1]\n```") == [1] and loose_json.parse("none") is None
-    assert loose_json.items({"x": {"families": [1]}}, "families") == [1] and loose_json.items({"a": 1}, "k") == [{"a": 1}]
+    assert loose_json.items({"x": {"families": [1]}}, "families") == [1] and loose_json.items({"a": 1}, "k") == []
+    fits = lambda x: isinstance(x, dict) and bool(x.get("text"))
+    assert loose_json.items({"n": [1], "p": [{"text": "a"}]}, "q", fits=fits) == [{"text": "a"}] and loose_json.items({"text": "a"}, "q", fits=fits) == [{"text": "a"}]
+    assert loose_json.items({"r": {"text": "a"}, "n": 1}, "q", fits=fits) == [{"text": "a"}] and loose_json.items({"a": [1], "b": [2]}, "q") == []
+    assert loose_json.one_text({"text": " ", "prompt": "x", "more": "y"}, "text", "prompt") == "x" and loose_json.one_text({"a": "x", "b": "y"}) == ""
 
 
 def test_records(spark, tmp_path):
@@ -102,30 +139,6 @@ def test_records(spark, tmp_path):
     assert [(r.passage_id, r.title, r.body) for r in records.parse_passages(text).orderBy("place").collect()] == [("HCP 1.1", "On rest", "body one"), ("2.2", "", "more")]
 
 
-def test_plan(spark):
-    for n in (1, 2, 12, 97, 240):
-        slots = planner.plan({"work": 0.5, "home": 0.3, "law": 0.2}, ["a", "b"], planner.Settings(families=n, reserved_share=0.05))
-        assert len(slots) == n and planner.check(planner.as_table(spark, slots)).collect() == []
-    broken = [planner.Slot(0, "a", pair="g1"), planner.Slot(2, "b", pair="g1", split="eval")]
-    assert planner.check(planner.as_table(spark, broken)).count() == 3
-    shares = spark.createDataFrame([("x", 1.0, 0), ("y", 1.0, 1), ("z", 1.0, 2)], "key string, weight double, place int")
-    assert {r.key: r.quota for r in coverage.largest_remainder(shares, 10).collect()} == {"x": 4, "y": 3, "z": 3}
-
-
-def test_gateway():
-    calls = []
-
-    def flaky():
-        calls.append(1)
-        if len(calls) < 3:
-            raise gateway.ModelError("busy", 429)
-        return {"text": "[]"}
-
-    assert gateway.with_retries(flaky, sleep=lambda s: None) == {"text": "[]"} and len(calls) == 3
-    with pytest.raises(gateway.ModelError):
-        gateway.with_retries(lambda: (_ for _ in ()).throw(gateway.ModelError("no", 400)), sleep=lambda s: None)
-
-
 def test_streaming_ledger(spark, tmp_path):
     rows = [("2024-01-01 00:10:00", "a", 1.0), ("2024-01-01 00:20:00", "a", 2.0), ("2024-01-01 03:00:00", "b", 5.0)]
     spark.createDataFrame(rows, "ts string, stage string, amount double").select(F.col("ts").cast("timestamp").alias("ts"), "stage", "amount").write.json(str(tmp_path / "in"))
