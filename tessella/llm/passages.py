@@ -235,8 +235,10 @@ def repeated_spans(rows: DataFrame) -> DataFrame:
     found.destroy()
     # Only grams with different spans need their bytes compared.
     discard(docs, counted)
-    content = F.struct("span_hash", "span_check")
-    several = materialise(spans.groupBy("gram").agg(F.min(content).alias("low"), F.max(content).alias("high")).where("low != high").select("gram"), "mixed-grams")
+    # Least and greatest of numbers are kept in a hash table; those of structs would sort every span.
+    ends = [f(c).alias(f"{name}_{c}") for c in SPAN[1:] for f, name in ((F.min, "least"), (F.max, "most"))]
+    mixed = spans.groupBy("gram").agg(*ends).where(" or ".join(f"least_{c} != most_{c}" for c in SPAN[1:]))
+    several = materialise(mixed.select("gram"), "mixed-grams")
     bits = bits_for(several.count())
     at = slot(F.col("gram"), bits=bits)
     compared = spans.select(*SPAN, "doc_id", "start", "span").where(maybe_in(spark, at, several.select(at.alias("slot")), bits))
