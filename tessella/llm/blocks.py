@@ -11,7 +11,10 @@ _KINDS = [np.uint8, np.uint16, np.uint32, np.uint64]
 
 
 def pack(columns: list[np.ndarray]) -> bytes:
-    """The columns, of equal length; signed ones as differences from their least value, in as few bytes as it takes."""
+    """The columns, of equal length; signed ones as differences from their least value, in as few bytes as it takes.
+
+    A column's lowest bytes come first, then the next: high bytes are mostly alike, so the shuffle compresses them.
+    """
     parts, head = [], [len(columns[0]), len(columns)]
     for x in columns:
         base, signed = 0, x.dtype.kind == "i"
@@ -19,7 +22,7 @@ def pack(columns: list[np.ndarray]) -> bytes:
             base = int(x.min())
             x = (x.astype(np.int64) - base).view(np.uint64)
         kind = next(k for k, t in enumerate(_KINDS) if not len(x) or int(x.max()) <= np.iinfo(t).max)
-        parts.append(x.astype(_KINDS[kind]).tobytes())
+        parts.append(x.astype(_KINDS[kind]).view(np.uint8).reshape(len(x), 1 << kind).T.tobytes())
         head += [kind, int(signed), base]
     return np.array(head, "<i8").tobytes() + b"".join(parts)
 
@@ -29,8 +32,8 @@ def unpack(raw) -> list[np.ndarray]:
     n, width = np.frombuffer(raw, "<i8", 2).tolist()
     head, at, columns = np.frombuffer(raw, "<i8", 3 * width, 16).tolist(), 8 * (2 + 3 * width), []
     for kind, signed, base in zip(head[::3], head[1::3], head[2::3]):
-        x = np.frombuffer(raw, _KINDS[kind], n, at)
-        at += x.nbytes
-        x = x.astype(np.uint64)
+        planes = np.frombuffer(raw, np.uint8, n << kind, at).reshape(1 << kind, n)
+        at += planes.nbytes
+        x = np.ascontiguousarray(planes.T).view(_KINDS[kind])[:, 0].astype(np.uint64)
         columns.append(x.view(np.int64) + base if signed else x)
     return columns

@@ -42,12 +42,24 @@ WORD_BITS = BITS
 HELD_POSTINGS = 1 << 18  # in a task before it packs them
 PARTITION_POSTINGS = 500_000  # that one task pairs, about
 COPY = -1
+NARROW, WIDE = 32, 96  # sets of fewer words keep 32 parities, of fewer 64, and others 128
 CLOSE_PARTNERS, FIRST_PARTNERS = 2, 32  # tried first under a key; a line that none of them removes is then held against all
 _WORDS = U((1 << WORD_BITS) - 1)
 PLACES = ["p_doc", "p_line", "q_doc", "q_line"]
 PAIR = "p_doc long, p_line long, q_doc long, q_line long, q_set long, more boolean, sure boolean"
 
 
+def _folded(parity: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """64 parities, or 32 where `size` is below NARROW; what is folded already stays as it is."""
+    return np.where(size < NARROW, (parity ^ parity >> U(32)) & U(0xFFFFFFFF), parity)
+
+
+def _differences(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray], size: np.ndarray) -> np.ndarray:
+    """In how many parities sets differ, the smaller of each two having `size` words."""
+    few = np.bitwise_count(_folded(a[0] ^ a[1] ^ b[0] ^ b[1], size))
+    return np.where(size < WIDE, few, np.bitwise_count(a[0] ^ b[0]) + np.bitwise_count(a[1] ^ b[1])).astype(np.int64)
+
+
 class LineWords:
     """The distinct words of each line of a chunk that has any, by line and then rarest first.
 
@@ -86,9 +98,14 @@ class LineWords:
         return np.add.reduceat(mix(self.word), self.head) if len(self.head) else np.zeros(0, np.uint64)
 
     def parities(self) -> tuple[np.ndarray, np.ndarray]:
-        """128 bits a set, each the parity of its words there: two sets differ in at least as many words as bits."""
+        """Bits of each set, each the parity of its words there: two sets differ in at least as many words as bits.
+
+        Smaller sets have fewer, those of larger ones folded: zeros take no room in a compressed block.
+        """
         bit, side = U(1) << (self.word >> U(5) & U(63)), (self.word >> U(11) & U(1)).astype(bool)
-        return np.bitwise_xor.reduceat(np.where(side, U(0), bit), self.head), np.bitwise_xor.reduceat(np.where(side, bit, U(0)), self.head)
+        p0, p1 = (np.bitwise_xor.reduceat(np.where(side == k, bit, U(0)), self.head) for k in (False, True))
+        wide = self.size >= WIDE
+        return np.where(wide, p0, _folded(p0 ^ p1, self.size)), np.where(wide, p1, U(0))
 
     def postings(self, own_set: np.ndarray, frequent: int = FREQUENT, long: int = LONG) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(line, key, left): what each line is posted under, and how many words it can share with a line that it
@@ -146,7 +163,9 @@ def _posted(levels, buckets: int, frequent: int, only=None):
         key = np.concatenate([key, mix(own[copy] ^ mix(doc[copy].view(np.uint64) + place[copy].view(np.uint64)))])
         mark = np.concatenate([mark, np.full(len(copy), COPY)])
         bucket = (key >> U(40)) % U(buckets)
-        order = np.argsort(bucket.astype(np.uint16 if buckets <= 1 << 16 else np.int64), kind="stable")
+        # Lines of like sizes stand together, for their columns have like bytes.
+        order = np.argsort(np.minimum(size[of], 0xFFFF).astype(np.uint16), kind="stable")
+        order = order[np.argsort(bucket[order].astype(np.uint16 if buckets <= 1 << 16 else np.int64), kind="stable")]
         columns = [x[order] for x in (key & U(0xFFFFFFFF), doc[of], place[of], own[of], p0[of], p1[of], size[of], mark)]
         bucket = bucket[order].astype(np.int64)
         cuts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]][: len(bucket)])
@@ -251,7 +270,7 @@ def _paired(blocks: list[list[np.ndarray]], wanted=None, most: int = FIRST_PARTN
             p, need = q + step, -(-num * (size[q] + size[q + step]) // (num + den))
             fits = np.minimum(left[q], left[p]) >= need
             q, p, allowed = q[fits], p[fits], (size[q] + size[p] - 2 * need)[fits]
-            differ = np.bitwise_count(p0[q] ^ p0[p]).astype(np.int64) + np.bitwise_count(p1[q] ^ p1[p])
+            differ = _differences((p0[q], p1[q]), (p0[p], p1[p]), np.minimum(size[q], size[p]))
             fits = differ <= allowed
             q, p, differ, allowed = q[fits], p[fits], differ[fits], allowed[fits]
             found[q] += 1

@@ -330,6 +330,25 @@ def test_similar_lines_meet(frequent, long):
         seen.add(s)
 
 
+def test_parities_differ_in_no_more_than_the_words():
+    """Sets about the sizes at which fewer parities are kept, each against one with a few words changed."""
+    rng = random.Random(5)
+    sizes = [k + d for k in (linededup.NARROW, linededup.WIDE) for d in range(-8, 9)] + [4, 20, 60, 200]
+    sets = []
+    for n in sizes:
+        own = [f"w{rng.randrange(10**6)}" for _ in range(n)]
+        sets += [own, own[rng.randrange(3) :] + [f"v{rng.randrange(10**6)}" for _ in range(rng.randrange(4))]]
+    own = linededup.LineWords(next(words.chunks(pa.array([" ".join(x) for x in sets]))), np.zeros(sketch.SLOTS, np.uint8))
+    p0, p1 = own.parities()
+    for k in range(len(sets)):
+        other = np.arange(len(sets))
+        fewer = np.minimum(own.size[k], own.size)
+        found = linededup._differences((p0[[k]], p1[[k]]), (p0, p1), fewer)
+        words_apart = np.array([len(set(sets[k]) ^ set(sets[j])) for j in other])
+        assert (found <= words_apart).all() and (found % 2 == words_apart % 2).all()
+    assert (p1[own.size < linededup.WIDE] == 0).all() and (p0[own.size < linededup.NARROW] >> np.uint64(32) == 0).all()
+
+
 def test_overlaps_of_sets():
     rng = np.random.default_rng(6)
     sets = [[np.unique(rng.integers(0, 400, rng.integers(0, 300), dtype=np.uint64) << np.uint64(40)) for _ in range(500)] for _ in range(2)]
