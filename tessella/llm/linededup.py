@@ -42,21 +42,16 @@ WORD_BITS = BITS
 HELD_POSTINGS = 1 << 18  # in a task before it packs them
 PARTITION_POSTINGS = 500_000  # that one task pairs, about
 COPY = -1
-NARROW, WIDE = 32, 96  # sets of fewer words keep 32 parities, of fewer 64, and others 128
+WIDE = 96  # sets of fewer words keep 64 parities, others 128
 CLOSE_PARTNERS, FIRST_PARTNERS = 2, 32  # tried first under a key; a line that none of them removes is then held against all
 _WORDS = U((1 << WORD_BITS) - 1)
 PLACES = ["p_doc", "p_line", "q_doc", "q_line"]
 PAIR = "p_doc long, p_line long, q_doc long, q_line long, q_set long, more boolean, sure boolean"
 
 
-def _folded(parity: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """64 parities, or 32 where `size` is below NARROW; what is folded already stays as it is."""
-    return np.where(size < NARROW, (parity ^ parity >> U(32)) & U(0xFFFFFFFF), parity)
-
-
 def _differences(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray], size: np.ndarray) -> np.ndarray:
     """In how many parities sets differ, the smaller of each two having `size` words."""
-    few = np.bitwise_count(_folded(a[0] ^ a[1] ^ b[0] ^ b[1], size))
+    few = np.bitwise_count(a[0] ^ a[1] ^ b[0] ^ b[1])
     return np.where(size < WIDE, few, np.bitwise_count(a[0] ^ b[0]) + np.bitwise_count(a[1] ^ b[1])).astype(np.int64)
 
 
@@ -100,12 +95,12 @@ class LineWords:
     def parities(self) -> tuple[np.ndarray, np.ndarray]:
         """Bits of each set, each the parity of its words there: two sets differ in at least as many words as bits.
 
-        Smaller sets have fewer, those of larger ones folded: zeros take no room in a compressed block.
+        Smaller sets have half as many, folded: zeros take no room in a compressed block.
         """
         bit, side = U(1) << (self.word >> U(5) & U(63)), (self.word >> U(11) & U(1)).astype(bool)
         p0, p1 = (np.bitwise_xor.reduceat(np.where(side == k, bit, U(0)), self.head) for k in (False, True))
         wide = self.size >= WIDE
-        return np.where(wide, p0, _folded(p0 ^ p1, self.size)), np.where(wide, p1, U(0))
+        return np.where(wide, p0, p0 ^ p1), np.where(wide, p1, U(0))
 
     def postings(self, own_set: np.ndarray, frequent: int = FREQUENT, long: int = LONG) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(line, key, left): what each line is posted under, and how many words it can share with a line that it
