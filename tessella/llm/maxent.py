@@ -1,10 +1,10 @@
 """Language-model scoring by a hashed maximum-entropy model with a class-factored softmax (operator 1).
 
-P(word | history) = P(class | history) * P(word | class, history).  The most frequent words fill CLOSED classes
-of CLASS_WORDS each, in which a second softmax picks the word; every other word, known or not, is in one of OPEN
-classes chosen by its ending, where its share is that of its count.  Both softmaxes add, to the logarithm of the
-corpus counts, weights of hashed features of the history: the word before, the two before, and, skipping, the
-second and the third before.  Without weights the model is the unigram model with 0.1 added to every count.
+P(word | history) = P(class | history) * P(place | class, history) * P(word | place).  The most frequent words fill
+CLOSED classes of CLASS_WORDS places, a word to a place; every other word, known or not, is in one of OPEN classes
+chosen by its ending, at a place chosen by its hash, where its share is that of its count.  Both softmaxes add, to the
+logarithm of the corpus counts, weights of hashed features of the history: the word before, the two before, and,
+skipping, the second and the third before.  Without weights the model is the unigram model with 0.1 added to every count.
 
 Classes gather words that follow the same words: k-means over what precedes them, counted in one pass.  Weights are
 trained by distributed gradient updates: every task makes AdaGrad steps over its share of the training tokens,
@@ -27,9 +27,10 @@ from .words import U, Chunk, chunks, mix
 
 CLOSED, CLASS_WORDS, OPEN = 16, 32, 16
 CLASSES = CLOSED + OPEN
+PLACE_SHIFT = 40
 HEAD_WORDS = CLOSED * CLASS_WORDS
 SHAPES, SHAPE_BYTES = 2048, 3
-ROWS = 1 << 15
+ROWS = 1 << 16
 FEATURES = 4
 TABLE_WORDS = 1 << 18
 PROFILE_WORDS = 64
@@ -159,16 +160,16 @@ class Model:
         self.head_class[order] = np.arange(len(order)) // CLASS_WORDS
         self.head_place[order] = np.arange(len(order)) % CLASS_WORDS
         self.class_of_shape = CLOSED + class_of_shape
-        self.place_bias = np.full((CLOSED, CLASS_WORDS), -1e9, np.float32)
-        self.place_bias[self.head_class, self.head_place] = np.log((head_counts + ADD) / (head_counts + ADD).sum())
-        mass = np.zeros(CLASSES)
-        np.add.at(mass, self.head_class, head_counts + ADD)
-        mass[CLOSED:] = open_mass + ADD
-        self.mass = mass
-        with np.errstate(divide="ignore"):
-            self.class_bias = np.where(mass > 0, np.log(mass / mass.sum()), -1e9).astype(np.float32)
+        #: counts, with what is added, of each place; those of open classes keep room for words never seen
+        self.mass = np.zeros((CLASSES, CLASS_WORDS))
+        self.mass[self.head_class, self.head_place] = head_counts + ADD
+        self.mass[CLOSED:] = open_mass + ADD
+        whole = self.mass.sum(1)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            self.place_bias = np.where(self.mass > 0, np.log(self.mass / whole[:, None]), -1e9).astype(np.float32)
+            self.class_bias = np.where(whole > 0, np.log(whole / whole.sum()), -1e9).astype(np.float32)
         self.class_weights = np.zeros((ROWS, CLASSES), np.float32)
-        self.word_weights = np.zeros((ROWS, CLASS_WORDS), np.float32)
+        self.place_weights = np.zeros((ROWS, CLASS_WORDS), np.float32)
 
     def history(self, s: np.ndarray, first: np.ndarray) -> np.ndarray:
         """Feature rows of each token, from the symbols before it in its text."""
@@ -179,16 +180,15 @@ class Model:
         keys = (b[0] * U(4), (b[0] * U(4096) + b[1]) * U(4) + U(1), b[1] * U(4) + U(2), b[2] * U(4) + U(3))
         return np.stack([(mix(k + U(77)) & U(ROWS - 1)).astype(np.uint16) for k in keys], 1)
 
-    def places(self, s: np.ndarray, shape: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(class, place in it or -1) of each token."""
-        closed = s < HEAD_WORDS
-        at = np.where(closed, s, 0)
-        if not len(self.head_class):
-            return self.class_of_shape[shape], np.full(len(s), -1)
-        return np.where(closed, self.head_class[at], self.class_of_shape[shape]), np.where(closed, self.head_place[at], -1)
+    def places(self, h: np.ndarray, s: np.ndarray, shape: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(class, place in it) of each token."""
+        cls, place = self.class_of_shape[shape], ((h >> U(PLACE_SHIFT)) & U(CLASS_WORDS - 1)).astype(np.int64)
+        closed = np.flatnonzero(s < HEAD_WORDS)
+        cls[closed], place[closed] = self.head_class[s[closed]], self.head_place[s[closed]]
+        return cls, place
 
     @staticmethod
-    def word_rows(features: np.ndarray, cls: np.ndarray) -> np.ndarray:
+    def place_rows(features: np.ndarray, cls: np.ndarray) -> np.ndarray:
         return (features * np.uint16(31) + (cls * 1009).astype(np.uint16)[:, None]) & np.uint16(ROWS - 1)
 
 
@@ -209,7 +209,7 @@ class Trainer:
 
     def __init__(self, model: Model):
         self.model = model
-        self.weights = [model.class_weights.copy(), model.word_weights.copy()]
+        self.weights = [model.class_weights.copy(), model.place_weights.copy()]
         self.squares = [np.full(ROWS, 1.0, np.float32) for _ in self.weights]
         self.touched = [np.zeros(ROWS, np.int64) for _ in self.weights]
 
@@ -232,13 +232,11 @@ class Trainer:
     def learn(self, h: np.ndarray, shape: np.ndarray, first: np.ndarray, head: WordTable) -> None:
         m = self.model
         s = _symbols(h, shape, head)
-        rows, (cls, place) = m.history(s, first), m.places(s, shape)
+        rows, (cls, place) = m.history(s, first), m.places(h, s, shape)
         for b in range(0, len(s), BATCH):
             r, c, p = rows[b : b + BATCH], cls[b : b + BATCH], place[b : b + BATCH]
             self._step(0, r, m.class_bias, c)
-            inner = np.flatnonzero(p >= 0)
-            if len(inner):
-                self._step(1, m.word_rows(r[inner], c[inner]), m.place_bias[c[inner]], p[inner])
+            self._step(1, m.place_rows(r, c), m.place_bias[c], p)
 
 
 def _train(shared):
@@ -250,7 +248,7 @@ def _train(shared):
         for batch in batches:
             for c in chunks(batch.column(0)):
                 trainer.learn(*tokens_of(c), head)
-        for k, start in enumerate((model.class_weights, model.word_weights)):
+        for k, start in enumerate((model.class_weights, model.place_weights)):
             at = np.flatnonzero(trainer.touched[k])
             change = (trainer.weights[k] - start)[at].astype(np.float64) * trainer.touched[k][at, None]
             yield pa.RecordBatch.from_arrays(
@@ -282,18 +280,23 @@ def train(texts: DataFrame, counts: DataFrame, rounds: int = ROUNDS) -> Model:
     points = np.sqrt(profile / np.maximum(weight, 1)[:, None])
     label_of_head = _clusters(points[:HEAD_WORDS], weight[:HEAD_WORDS], CLOSED)[: len(hashes)]
     class_of_shape = _clusters(points[HEAD_WORDS:], weight[HEAD_WORDS:], OPEN)
-    shapes = counts.join(F.broadcast(counts.sparkSession.createDataFrame(head[["word"]], "word long")), "word", "left_anti").groupBy("shape").agg(F.sum(F.col("n") + ADD).alias("mass")).toPandas()
-    mass = np.zeros(OPEN)
-    np.add.at(mass, class_of_shape[shapes["shape"].to_numpy(np.int64)], shapes["mass"].to_numpy(float))
+    others = counts.join(F.broadcast(counts.sparkSession.createDataFrame(head[["word"]], "word long")), "word", "left_anti")
+    place = F.shiftrightunsigned("word", PLACE_SHIFT).bitwiseAND(F.lit(CLASS_WORDS - 1)).alias("place")
+    # One row a shape and place, at most SHAPES * CLASS_WORDS.
+    places = others.groupBy("shape", place).agg(F.sum(F.col("n") + ADD).alias("mass")).toArrow()
+    shape, place, added = (places[c].to_numpy() for c in ("shape", "place", "mass"))
+    mass = np.zeros((OPEN, CLASS_WORDS))
+    np.add.at(mass, (class_of_shape[shape], place), added)
     model = Model(hashes, head_counts, label_of_head, class_of_shape, mass, int(total), int(vocabulary))
     for _ in range(rounds):
         shared = texts.sparkSession.sparkContext.broadcast(model)
         schema = "at long, n long, " + ", ".join(f"w{k} double" for k in range(CLASSES))
-        changes = texts.mapInArrow(tidy(_train(shared)), schema).groupBy("at").agg(F.sum("n").alias("n"), *(F.sum(f"w{k}").alias(f"w{k}") for k in range(CLASSES))).toPandas()
+        means = ((F.sum(f"w{k}") / F.sum("n")).cast("float").alias(f"w{k}") for k in range(CLASSES))
+        changes = texts.mapInArrow(tidy(_train(shared)), schema).groupBy("at").agg(*means).toArrow()
         shared.unpersist()
-        at, change = changes["at"].to_numpy(np.int64), (changes.iloc[:, 2:].to_numpy() / changes[["n"]].to_numpy()).astype(np.float32)
+        at, change = changes["at"].to_numpy(), np.stack([changes[f"w{k}"].to_numpy() for k in range(CLASSES)], 1)
         model.class_weights[at[at < ROWS]] += change[at < ROWS]
-        model.word_weights[at[at >= ROWS] - ROWS] += change[at >= ROWS]
+        model.place_weights[at[at >= ROWS] - ROWS] += change[at >= ROWS]
     return model
 
 
@@ -312,20 +315,16 @@ def _score(shared):
             for c in chunks(batch.column(1)):
                 h, shape, first = tokens_of(c)
                 s = _symbols(h, shape, head)
-                rows, (cls, place) = model.history(s, first), model.places(s, shape)
+                rows, (cls, place) = model.history(s, first), model.places(h, s, shape)
                 log_p = np.empty(len(s))
                 for b in range(0, len(s), BATCH):
                     r, k, p = rows[b : b + BATCH], cls[b : b + BATCH], place[b : b + BATCH]
-                    own = _log_softmax_at(_scores(model.class_weights, r, model.class_bias), k).astype(float)
-                    inner = np.flatnonzero(p >= 0)
-                    if len(inner):
-                        z = _scores(model.word_weights, model.word_rows(r[inner], k[inner]), model.place_bias[k[inner]])
-                        own[inner] += _log_softmax_at(z, p[inner])
-                    log_p[b : b + BATCH] = own
+                    log_p[b : b + BATCH] = _log_softmax_at(_scores(model.class_weights, r, model.class_bias), k)
+                    log_p[b : b + BATCH] += _log_softmax_at(_scores(model.place_weights, model.place_rows(r, k), model.place_bias[k]), p)
                 index = known.of(h)
                 frequent = index >= 0
                 log_count = np.where(frequent, np.log10(table_counts[np.maximum(index, 0)] + ADD) if len(table_counts) else 0.0, 0.0)
-                log10_p = log_p / np.log(10) + np.where(place >= 0, 0.0, log_count - log_mass[cls])
+                log10_p = log_p / np.log(10) + np.where(cls < CLOSED, 0.0, log_count - log_mass[cls, place])
                 owner = np.repeat(np.arange(c.n), np.diff(first))
                 sums = [np.bincount(owner, x, c.n) for x in (frequent, log_count - whole, log10_p)]
                 at = np.flatnonzero(~frequent)

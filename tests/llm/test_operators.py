@@ -506,17 +506,53 @@ def test_lm_scores(spark, rows):
 
 
 def test_lm_is_a_distribution():
+    """Over every known word and one unknown of each open place, after training, whatever the history."""
     rng = np.random.default_rng(0)
-    counts = np.sort(rng.integers(1, 500, maxent.HEAD_WORDS))[::-1].astype(float)
-    hashes = words.mix(np.arange(1, maxent.HEAD_WORDS + 1, dtype=np.uint64))
-    m = maxent.Model(hashes, counts, rng.integers(0, maxent.CLOSED, maxent.HEAD_WORDS), rng.integers(0, maxent.OPEN, maxent.SHAPES), np.full(maxent.OPEN, 50.0), 1000, 900)
-    m.class_weights[:] = rng.normal(size=m.class_weights.shape)
-    rows = rng.integers(0, maxent.ROWS, (4, maxent.FEATURES)).astype(np.uint16)
-    z = maxent._scores(m.class_weights, rows, m.class_bias)
-    p = [np.exp(maxent._log_softmax_at(z.copy(), np.full(4, k))) for k in range(maxent.CLASSES)]
-    assert np.allclose(np.sum(p, 0), 1, atol=1e-4)
+    n = maxent.HEAD_WORDS + 900
+    hashes, shape = words.mix(np.arange(1, n + 1, dtype=np.uint64)), rng.integers(0, maxent.SHAPES, n)
+    counts = np.sort(rng.integers(1, 500, n))[::-1].astype(float)
+    head = hashes[: maxent.HEAD_WORDS]
+    of_head, of_shape = rng.integers(0, maxent.CLOSED, maxent.HEAD_WORDS), rng.integers(0, maxent.OPEN, maxent.SHAPES)
+    place = ((hashes >> np.uint64(maxent.PLACE_SHIFT)) & np.uint64(maxent.CLASS_WORDS - 1)).astype(int)
+    mass = np.zeros((maxent.OPEN, maxent.CLASS_WORDS))
+    rest = np.arange(maxent.HEAD_WORDS, n)
+    np.add.at(mass, (of_shape[shape[rest]], place[rest]), counts[rest] + maxent.ADD)
+    m = maxent.Model(head, counts[: maxent.HEAD_WORDS], of_head, of_shape, mass, int(counts.sum()), n)
+    at = rng.integers(0, n, 5000)
+    table, trainer = maxent.WordTable(head), maxent.Trainer(m)
+    trainer.learn(hashes[at], shape[at], np.array([0, 2500, 5000]), table)
+    m.class_weights, m.place_weights = trainer.weights
+    assert np.abs(m.class_weights).max() > 0 and np.abs(m.place_weights).max() > 0
+    s = maxent._symbols(hashes, shape, table)
+    cls, own = m.places(hashes, s, shape)
+    assert (s[rest] >= maxent.HEAD_WORDS).all() and (cls[rest] >= maxent.CLOSED).all() and (cls[: maxent.HEAD_WORDS] < maxent.CLOSED).all()
+    assert len(set(zip(cls[: maxent.HEAD_WORDS], own[: maxent.HEAD_WORDS]))) == maxent.HEAD_WORDS
+    for history in ([], [3], [700, 5], [1200, 4, 1]):
+        before = np.array([*history, 0], int)
+        row = m.history(maxent._symbols(hashes[before], shape[before], table), np.array([0, len(before)]))[-1:]
+        classes = np.exp([maxent._log_softmax_at(maxent._scores(m.class_weights, row, m.class_bias), [k])[0] for k in range(maxent.CLASSES)])
+        inner = np.stack([maxent._scores(m.place_weights, m.place_rows(row, np.array([k])), m.place_bias[[k]])[0] for k in range(maxent.CLASSES)])
+        places = classes[:, None] * inner / inner.sum(1, keepdims=True)
+        share = np.where(cls < maxent.CLOSED, 1.0, (counts + maxent.ADD) / m.mass[cls, own])
+        unseen = (places / m.mass)[maxent.CLOSED :].sum() * maxent.ADD
+        assert (places[cls, own] * share).sum() + unseen == pytest.approx(1, abs=1e-4)
     t = maxent.WordTable(hashes)
-    assert (t.of(hashes) == np.arange(len(hashes))).all() and (t.of(hashes + np.uint64(1)) == -1).all()
+    assert (t.of(hashes) == np.arange(n)).all() and (t.of(hashes + np.uint64(1)) == -1).all()
+
+
+def test_lm_learns_what_follows_rare_words(spark):
+    """Held-out texts whose words are all but unpredictable alone, and known after the word before."""
+    rng = random.Random(5)
+    names = [f"{rng.randrange(1 << 30):x}{e}" for e in ("ing", "ed", "ly", "ness") for _ in range(300)]
+    after = {w: rng.sample(names, 2) for w in names}
+    rows = []
+    for k in range(400):
+        own = [rng.choice(names)]
+        while len(own) < 120:
+            own.append(rng.choice(after[own[-1]]))
+        rows.append((k, " ".join(own)))
+    got = [r for r in maxent.score_corpus(frame(spark, rows)).collect() if r.held_out]
+    assert len(got) > 20 and sum(r.score for r in got) > sum(r.base_score for r in got) * 0.97
 
 
 def test_url_rules(spark):
