@@ -34,6 +34,7 @@ ROWS = 1 << 16
 FEATURES = 4
 TABLE_WORDS = 1 << 18
 PROFILE_WORDS = 64
+COUNT_ROWS, SENT_ROWS = 1 << 17, 1 << 13
 BATCH = 2048
 RATE = 0.15
 ROUNDS = 1
@@ -86,16 +87,28 @@ class WordTable:
         return found
 
 
+def _combined(word: np.ndarray, shape: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each distinct word once, its counts summed."""
+    order = np.argsort(word)
+    word = word[order]
+    first = np.flatnonzero(np.r_[True, word[1:] != word[:-1]]) if len(word) else np.zeros(0, np.int64)
+    return word[first], shape[order[first]], np.add.reduceat(n[order], first) if len(first) else n
+
+
 def _count(batches):
+    """The words of each batch; beside what is distinct in it, only a chunk's tokens are held at once."""
     for batch in batches:
-        found, shapes = [], []
+        found = []
         for c in chunks(batch.column(0)):
             h, shape, _ = tokens_of(c)
-            found.append(h)
-            shapes.append(shape)
-        word, first, n = np.unique(np.concatenate(found) if found else np.zeros(0, np.uint64), return_index=True, return_counts=True)
-        shape = (np.concatenate(shapes) if shapes else np.zeros(0, np.int64))[first]
-        yield pa.RecordBatch.from_arrays([pa.array(word.view(np.int64)), pa.array(shape.astype(np.int32)), pa.array(n)], ["word", "shape", "n"])
+            found.append(_combined(h, shape.astype(np.int32), np.ones(len(h), np.int64)))
+            if sum(len(x[0]) for x in found[1:]) > COUNT_ROWS + len(found[0][0]):
+                found = [_combined(*map(np.concatenate, zip(*found)))]
+        if found:
+            word, shape, n = _combined(*map(np.concatenate, zip(*found)))
+            for at in range(0, len(word), COUNT_ROWS):
+                part = slice(at, at + COUNT_ROWS)
+                yield pa.RecordBatch.from_arrays([pa.array(word[part].view(np.int64)), pa.array(shape[part]), pa.array(n[part])], ["word", "shape", "n"])
 
 
 def _summed(values: np.ndarray, width: int):
@@ -249,11 +262,13 @@ def _train(shared):
             for c in chunks(batch.column(0)):
                 trainer.learn(*tokens_of(c), head)
         for k, start in enumerate((model.class_weights, model.place_weights)):
-            at = np.flatnonzero(trainer.touched[k])
-            change = (trainer.weights[k] - start)[at].astype(np.float64) * trainer.touched[k][at, None]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(at + k * ROWS), pa.array(trainer.touched[k][at]), *(pa.array(change[:, j]) for j in range(CLASSES))], names
-            )
+            touched = np.flatnonzero(trainer.touched[k])
+            for b in range(0, len(touched), SENT_ROWS):
+                at = touched[b : b + SENT_ROWS]
+                change = (trainer.weights[k][at] - start[at]) * trainer.touched[k][at, None].astype(np.float64)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(at + k * ROWS), pa.array(trainer.touched[k][at]), *(pa.array(change[:, j]) for j in range(CLASSES))], names
+                )
 
     return train
 
