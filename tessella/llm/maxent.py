@@ -4,7 +4,8 @@ P(word | history) = P(class | history) * P(place | class, history) * P(word | pl
 CLOSED classes of CLASS_WORDS places, a word to a place; every other word, known or not, is in one of OPEN classes
 chosen by its ending, at a place chosen by its hash, where its share is that of its count.  Both softmaxes add, to the
 logarithm of the corpus counts, weights of hashed features of the history: the word before, the two before, and,
-skipping, the second and the third before.  Without weights the model is the unigram model with 0.1 added to every count.
+skipping, the second and the third before (for a place, the word before and the second).  Without weights the model is
+the unigram model with 0.1 added to every count.
 
 Classes gather words that follow the same words: k-means over what precedes them, counted in one pass.  Weights are
 trained by distributed gradient updates: every task makes AdaGrad steps over its share of the training tokens,
@@ -32,6 +33,8 @@ HEAD_WORDS = CLOSED * CLASS_WORDS
 SHAPES, SHAPE_BYTES = 2048, 3
 ROWS = 1 << 16
 FEATURES = 4
+#: of which the place within a class takes the word before and, skipping, the second before
+PLACE_FEATURES = slice(0, 4, 2)
 TABLE_WORDS = 1 << 18
 PROFILE_WORDS = 64
 COUNT_ROWS, SENT_ROWS = 1 << 17, 1 << 13
@@ -202,7 +205,7 @@ class Model:
 
     @staticmethod
     def place_rows(features: np.ndarray, cls: np.ndarray) -> np.ndarray:
-        return (features * np.uint16(31) + (cls * 1009).astype(np.uint16)[:, None]) & np.uint16(ROWS - 1)
+        return (features[:, PLACE_FEATURES] * np.uint16(31) + (cls * 1009).astype(np.uint16)[:, None]) & np.uint16(ROWS - 1)
 
 
 def _scores(weights: np.ndarray, rows: np.ndarray, bias: np.ndarray) -> np.ndarray:
@@ -235,7 +238,7 @@ class Trainer:
         order = np.argsort(flat, kind="stable")
         ordered = flat[order]
         head = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]])
-        gradient = np.add.reduceat(z.take(order // FEATURES, 0), head, axis=0)
+        gradient = np.add.reduceat(z.take(order // rows.shape[1], 0), head, axis=0)
         at = ordered[head]
         h[at] += np.einsum("ij,ij->i", gradient, gradient) / gradient.shape[1]
         gradient *= (RATE / np.sqrt(h[at]))[:, None]
@@ -265,7 +268,7 @@ def _train(shared):
             touched = np.flatnonzero(trainer.touched[k])
             for b in range(0, len(touched), SENT_ROWS):
                 at = touched[b : b + SENT_ROWS]
-                change = (trainer.weights[k][at] - start[at]) * trainer.touched[k][at, None].astype(np.float64)
+                change = (trainer.weights[k][at] - start[at]) * trainer.touched[k][at, None].astype(np.float32)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(at + k * ROWS), pa.array(trainer.touched[k][at]), *(pa.array(change[:, j]) for j in range(CLASSES))], names
                 )
@@ -305,9 +308,10 @@ def train(texts: DataFrame, counts: DataFrame, rounds: int = ROUNDS) -> Model:
     model = Model(hashes, head_counts, label_of_head, class_of_shape, mass, int(total), int(vocabulary))
     for _ in range(rounds):
         shared = texts.sparkSession.sparkContext.broadcast(model)
-        schema = "at long, n long, " + ", ".join(f"w{k} double" for k in range(CLASSES))
+        schema = "at long, n long, " + ", ".join(f"w{k} float" for k in range(CLASSES))
         means = ((F.sum(f"w{k}") / F.sum("n")).cast("float").alias(f"w{k}") for k in range(CLASSES))
-        changes = texts.mapInArrow(tidy(_train(shared)), schema).groupBy("at").agg(*means).toArrow()
+        # Dealt before they are summed: a task has each row once, so sums ahead of the shuffle would only widen it.
+        changes = texts.mapInArrow(tidy(_train(shared)), schema).repartition("at").groupBy("at").agg(*means).toArrow()
         shared.unpersist()
         at, change = changes["at"].to_numpy(), np.stack([changes[f"w{k}"].to_numpy() for k in range(CLASSES)], 1)
         model.class_weights[at[at < ROWS]] += change[at < ROWS]
