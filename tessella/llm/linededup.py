@@ -6,7 +6,8 @@ filter), have near sizes (the length filter), and have enough words left after t
 filter).  Parities of the sets, which bound their difference from below, drop most of what is left, and the
 rest is verified on the full sets.  A line is removed if an earlier line, by document and place, is similar
 enough: one such line is enough, so each line is first held against the nearest few that pass the filters
-under every word, and only a line that none of those removes is held against all.
+under every word, and only a line that none of those removes is held against all, for which the texts are read again
+and posted under such lines' keys alone.
 
 No word gathers a large group.  Lines post their words one by one, but of the most frequent they post the pairs among
 one word more of the prefix, of which two similar lines share one too.  Lines of many words, which would post too many
@@ -39,8 +40,11 @@ WHOLE = 3  # lines of so many words have no similar line but equal ones
 FREQUENT, FREQUENT_SHARE = 128, 1 << 18  # words that occur so often, and make up more than one in so many, are posted in pairs
 LONG = 96  # lines of so many words post frequent words alone; those of up to a quarter more post pairs too
 WORD_BITS = BITS
+SET_BITS = 40  # of a set's hash; a copy must have the key, size and parities too
 HELD_POSTINGS = 1 << 18  # in a task before it packs them
 PARTITION_POSTINGS = 500_000  # that one task pairs, about
+BUCKETS = 2  # in a task's keys: each is a block of every batch, and small blocks are mostly head
+FEW_DOCUMENTS = 100_000  # that are picked by a broadcast join, before their texts go to Python
 COPY = -1
 WIDE = 96  # sets of fewer words keep 64 parities, others 128
 CLOSE_PARTNERS, FIRST_PARTNERS = 2, 32  # tried first under a key; a line that none of them removes is then held against all
@@ -58,7 +62,8 @@ def _differences(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarr
 class LineWords:
     """The distinct words of each line of a chunk that has any, by line and then rarest first.
 
-    With `only`, a bitmap of words, of the lines that have one of those.
+    With `only`, a weight from 0 to 2 for each slot of a word, of the lines whose words weigh 2 at least, and of those of
+    LONG words that weigh anything: no others are posted under the keys that `_asked_words` finds.
     """
 
     def __init__(self, c: Chunk, levels: np.ndarray, only: np.ndarray | None = None):
@@ -68,9 +73,10 @@ class LineWords:
         line = np.repeat(np.arange(len(begin)), count)
         word = c.span_hash(start, end) >> U(64 - WORD_BITS)
         if only is not None:
-            some = np.zeros(len(begin), bool)
-            some[line[held(only, word.view(np.int64))]] = True
-            word, line = word[some[line]], line[some[line]]
+            met = np.flatnonzero(only[(word & U(sketch.SLOTS - 1)).astype(np.int64)])
+            weight = np.bincount(line[met], only[(word[met] & U(sketch.SLOTS - 1)).astype(np.int64)], len(begin))
+            some = ((weight >= 2) | ((weight > 0) & (count >= LONG)))[line]
+            word, line = word[some], line[some]
         packed = levels[(word & U(sketch.SLOTS - 1)).astype(np.int64)].astype(np.uint64) << U(WORD_BITS)
         packed |= word | (line & 255).astype(np.uint64) << U(56)
         # 256 lines are sorted together: a plain sort of numbers is many times faster than one of places.
@@ -80,17 +86,30 @@ class LineWords:
         fresh = np.ones(len(packed), bool)
         fresh[1:] = (packed[1:] != packed[:-1]) | (line[1:] != line[:-1])
         packed, line = packed[fresh], line[fresh]
-        self.word, self.level = packed & _WORDS, (packed >> U(WORD_BITS) & U(63)).astype(np.int64)
-        self.head = np.flatnonzero(np.r_[True, line[1:] != line[:-1]][: len(line)])
-        self.size = np.diff(np.r_[self.head, len(line)])
+        self._fill(packed, line)
         own = line[self.head]
         self.text = np.searchsorted(first_line, own, side="right") - 1
         self.place = own - first_line[self.text]
-        self.owner = np.repeat(np.arange(len(own)), self.size)
+
+    def _fill(self, packed: np.ndarray, line: np.ndarray) -> None:
+        self.word, self.level = packed & _WORDS, (packed >> U(WORD_BITS) & U(63)).astype(np.int64)
+        self.head = np.flatnonzero(np.r_[True, line[1:] != line[:-1]][: len(line)])
+        self.size = np.diff(np.r_[self.head, len(line)])
+        self.owner = np.repeat(np.arange(len(self.head)), self.size)
         self.rank = np.arange(len(line)) - np.repeat(self.head, self.size)
 
+    @classmethod
+    def of_sets(cls, sets: pa.Array, levels: np.ndarray) -> LineWords:
+        """Lines that are known by their words alone, each the bytes of distinct numbers."""
+        made, own = cls.__new__(cls), [np.frombuffer(x.as_buffer(), np.uint64) for x in sets]
+        word, line = np.concatenate([np.zeros(0, np.uint64), *own]), np.repeat(np.arange(len(own)), [len(x) for x in own])
+        packed = levels[(word & U(sketch.SLOTS - 1)).astype(np.int64)].astype(np.uint64) << U(WORD_BITS) | word
+        order = np.lexsort((packed, line))
+        made._fill(packed[order], line[order])
+        return made
+
     def set_hashes(self) -> np.ndarray:
-        return np.add.reduceat(mix(self.word), self.head) if len(self.head) else np.zeros(0, np.uint64)
+        return np.add.reduceat(mix(self.word), self.head) >> U(64 - SET_BITS) if len(self.head) else np.zeros(0, np.uint64)
 
     def parities(self) -> tuple[np.ndarray, np.ndarray]:
         """Bits of each set, each the parity of its words there: two sets differ in at least as many words as bits.
@@ -129,11 +148,12 @@ class LineWords:
         return np.concatenate(lines), np.concatenate(keys), np.concatenate(left)
 
 
-def _posted(levels, buckets: int, frequent: int, only=None):
+def _posted(levels, buckets: int, frequent: int, only=None, keys=None):
     """Rows (bucket, block) of a block's columns: key, document, line, set, two parities, size and mark.
 
     mark is COPY for a line whose set an earlier line of the same batch has, which is posted nowhere; else twice
-    `left`, and one more at the line's least key.  With `only`, a bitmap, lines without a word in it are left out.
+    `left`, and one more at the line's least key.  With `only`, weights of words, and `keys`, a bitmap, lines that weigh
+    too little are left out, and what is posted under other keys.
     """
 
     def flush(made):
@@ -177,8 +197,15 @@ def _posted(levels, buckets: int, frequent: int, only=None):
                 if not len(lines.size):
                     continue
                 own = lines.set_hashes()
-                made.append((ids[c.first + lines.text], lines.place, own, *lines.parities(), lines.size, *lines.postings(own, frequent)))
-                n += len(made[-1][6])
+                of, key, left = lines.postings(own, frequent)
+                made_of = (ids[c.first + lines.text], lines.place, own, *lines.parities(), lines.size)
+                if keys is not None:
+                    met = held(keys.value, key.view(np.int64))
+                    some, of = np.unique(of[met], return_inverse=True)
+                    key, left, made_of = key[met], left[met], tuple(x[some] for x in made_of)
+                if len(of):
+                    made.append((*made_of, of, key, left))
+                    n += len(of)
                 if n >= HELD_POSTINGS:
                     yield flush(made)
                     made, n = [], 0
@@ -231,7 +258,7 @@ def _paired(blocks: list[list[np.ndarray]], wanted=None, most: int = FIRST_PARTN
     copies = [x[copy] for x in columns[1:4]]
     columns = [x[~copy] for x in columns]
     place = _in_order(columns[1], columns[2])
-    order = np.lexsort((place, (columns[0] << U(32)) ^ (columns[3] >> U(32))))
+    order = np.lexsort((place, (columns[0] << U(32)) ^ (columns[3] >> U(SET_BITS - 32))))
     key, doc, line, own, p0, p1, size, mark = columns
     before, after = order[:-1], order[1:]
     equal = np.ones(len(before), bool)
@@ -323,29 +350,36 @@ def _similar(texts: DataFrame, pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
     lines = bitmap(places.select(slot(F.col("doc_id"), F.col("line"), bits=(bits := bits_for(places.count()))).alias("slot")), bits)
     documents = bitmap(places.select(slot(F.col("doc_id"), bits=bits).alias("slot")), bits)
     found = spark.sparkContext.broadcast((documents, lines))
-    some = texts.mapInArrow(tidy(_wanted_sets(found)), "doc_id long, line long, set_a long, words binary")
-    some = materialise(some.join(places, ["doc_id", "line"], "left_semi"), "line-sets")
+    own = materialise(places.select("doc_id").distinct(), "documents")
+    if own.count() <= FEW_DOCUMENTS:
+        texts = texts.join(F.broadcast(own), "doc_id", "left_semi")
+    # The few other lines that the bitmaps let through meet no pair.
+    some = materialise(texts.mapInArrow(tidy(_wanted_sets(found)), "doc_id long, line long, set_a long, words binary"), "line-sets")
     found.destroy()
     left = some.select(F.col("doc_id").alias("p_doc"), F.col("line").alias("p_line"), F.col("words").alias("p_words"))
     right = some.select(F.col("doc_id").alias("q_doc"), F.col("line").alias("q_line"), "set_a", F.col("words").alias("q_words"))
     both = pairs.join(left, ["p_doc", "p_line"]).join(right, ["q_doc", "q_line"]).select("q_doc", "q_line", "set_a", "p_words", "q_words")
     similar = materialise(both.mapInArrow(tidy(_verify), "doc_id long, line long, set_a long").distinct(), "similar-lines")
-    discard(places)
+    discard(places, own)
     return similar, some
 
 
-def _prefix_words(levels):
-    """The words of each set that it is posted under, or may be."""
+def _asked_words(levels, frequent: int):
+    """(slot, weight, key): the slots of the words of each set that it is posted under, or may be, and the keys; each row
+    has one of them.  A word that alone makes a key weighs 2, one that is posted in pairs, or alone in long lines, 1."""
     num, den = SIMILARITY
 
     def pick(batches):
         for batch in batches:
-            found = [np.zeros(0, np.uint64)]
-            for x in batch.column(0):
-                own = np.frombuffer(x.as_buffer(), np.uint64)
-                own = own[np.argsort(levels.value[(own & U(sketch.SLOTS - 1)).astype(np.int64)], kind="stable")]
-                found.append(own[: len(own) - -(-num * len(own) // den) + 2])
-            yield pa.RecordBatch.from_arrays([pa.array(np.unique(np.concatenate(found)).view(np.int64))], ["word"])
+            lines = LineWords.of_sets(batch.column(0), levels.value)
+            size = lines.size[lines.owner]
+            prefix = (lines.rank < size - -(-num * size // den) + 2) | (size <= WHOLE)
+            weight = np.where((lines.level < int(sketch.level_of(frequent))) | (size <= WHOLE), 2, 1)
+            weighed = np.unique(((lines.word & U(sketch.SLOTS - 1)).astype(np.int64) << 2 | weight)[prefix])
+            key = np.unique(lines.postings(lines.set_hashes(), frequent)[1]).view(np.int64)
+            none = [pa.nulls(len(x), pa.int64()) for x in (key, weighed)]
+            columns = [pa.concat_arrays([pa.array(x), none[0]]) for x in (weighed >> 2, weighed & 3)]
+            yield pa.RecordBatch.from_arrays([*columns, pa.concat_arrays([none[1], pa.array(key)])], ["slot", "weight", "key"])
 
     return pick
 
@@ -358,8 +392,8 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     levels, frequent = spark.sparkContext.broadcast(found), max(FREQUENT, total // FREQUENT_SHARE)
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), total // (5 * PARTITION_POSTINGS))
 
-    def pairs_of(wanted=None, only=None) -> DataFrame:
-        blocks = texts.mapInArrow(tidy(_posted(levels, 8 * parts, frequent, only)), "bucket long, block binary")
+    def pairs_of(wanted=None, only=None, keys=None) -> DataFrame:
+        blocks = texts.mapInArrow(tidy(_posted(levels, BUCKETS * parts, frequent, only, keys)), "bucket long, block binary")
         return blocks.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(tidy(_partners(wanted)), PAIR)
 
     pairs = materialise(pairs_of().groupBy(*PLACES, "q_set", "sure").agg(F.max("more").alias("more")), "line-pairs")
@@ -371,15 +405,22 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     open_lines = materialise(crowded.join(similar.union(copies), ["doc_id", "line", "set_a"], "left_anti").select("doc_id", "line").distinct(), "open-lines")
     if n := open_lines.count():
         wanted = spark.sparkContext.broadcast(bitmap(open_lines.select(slot(F.col("doc_id"), F.col("line"), bits=bits_for(n)).alias("slot")), bits_for(n)))
-        words = sets.join(open_lines, ["doc_id", "line"], "left_semi").select("words").mapInArrow(tidy(_prefix_words(levels)), "word long").distinct()
-        words = materialise(words, "open-words")
-        bits = bits_for(words.count())
-        only = spark.sparkContext.broadcast(bitmap(words.select(slot(F.col("word"), bits=bits).alias("slot")), bits))
-        rest = materialise(pairs_of(wanted, only).where("not sure").select(PLACES).distinct(), "line-pairs")
+        words = sets.join(open_lines, ["doc_id", "line"], "left_semi").select("words").mapInArrow(tidy(_asked_words(levels, frequent)), "slot long, weight long, key long")
+        words = materialise(words.distinct(), "open-words")
+        own = words.where("key is not null")
+        bits = bits_for(own.count())
+        keys = spark.sparkContext.broadcast(bitmap(own.select(slot(F.col("key"), bits=bits).alias("slot")), bits))
+        weights = np.zeros(sketch.SLOTS, np.uint8)
+        for k in (1, 2):
+            marks = bitmap(words.where(F.col("weight") == k).select("slot"), sketch.SLOTS)
+            weights[np.unpackbits(marks.view(np.uint8), bitorder="little").astype(bool)] = k
+        only = spark.sparkContext.broadcast(weights)
+        rest = materialise(pairs_of(wanted, only, keys).where("not sure").select(PLACES).distinct(), "line-pairs")
         more, more_sets = _similar(texts, rest)
         similar = similar.union(more)
         wanted.destroy()
         only.destroy()
+        keys.destroy()
         discard(words, rest, more_sets)
     levels.destroy()
     discard(open_lines, sets)
@@ -457,8 +498,10 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
 def op7_line_dedup(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     gone = removed_lines(docs).groupBy("doc_id").agg(F.sort_array(F.collect_set("line")).alias("removed"))
+    # A split at newlines would run a pattern over every text.
+    n_lines = F.coalesce(F.octet_length("text") - F.octet_length(F.replace("text", F.lit("\n"), F.lit(""))) + 1, F.lit(0)).cast("long")
     return (
-        docs.select("doc_id", F.coalesce(F.size(F.split("text", "\n", -1)), F.lit(0)).cast("long").alias("n_lines"))
+        docs.select("doc_id", n_lines.alias("n_lines"))
         .join(gone, "doc_id", "left")
         .select("doc_id", "n_lines", F.coalesce(F.size("removed"), F.lit(0)).cast("long").alias("n_removed"), F.coalesce(F.array_join("removed", ","), F.lit("")).alias("removed_lines"))
     )

@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from tessella.llm import blocks, decontaminate, linededup, maxent, neardup, packing, passages, quality, sharding, sketch, tokencount, urlrules, words
+from tessella.llm import blocks, decontaminate, idfilter, linededup, maxent, neardup, packing, passages, quality, sharding, sketch, tokencount, urlrules, words
 from tessella.llm import sets as sets_module
 from tessella.llm.common import connected_components
 from tessella.llm.tokens import TokenIds
@@ -330,6 +330,56 @@ def test_similar_lines_meet(frequent, long):
         seen.add(s)
 
 
+def test_open_lines_are_met_under_their_keys_alone():
+    """What the second pass posts is what the first does under the open lines' keys, whether words are rare or not and lines
+    short or long; lines are open here that the first pass can't settle."""
+    rng = random.Random(11)
+    lines = []
+    for _ in range(400):
+        names = [f"w{k}" for k in range(rng.choice([30, 400, 4000]))]
+        own = [rng.choice(names) for _ in range(rng.choice([2, 3, 8, 30, 150]))]
+        if lines and rng.random() < 0.4:
+            own = rng.choice(lines).split()
+            own[rng.randrange(len(own))] = rng.choice(names)
+        lines.append(" ".join(own))
+    table = pa.RecordBatch.from_arrays([pa.array(range(400)), pa.array(lines)], ["doc_id", "text"])
+    c = next(words.chunks(table.column(1)))
+    start, end, _ = c.words()
+    counts = np.bincount((c.span_hash(start, end) >> np.uint64(14) & np.uint64(sketch.SLOTS - 1)).astype(np.int64), minlength=sketch.SLOTS)
+
+    class Sent:
+        def __init__(self, value):
+            self.value = value
+
+    levels, frequent = Sent(sketch.level_of(counts)), 16
+    every = linededup.LineWords(c, levels.value)
+    cuts = np.r_[every.head, len(every.word)]
+    asked = [k for k in range(400) if k % 40 == 0]
+    sets = pa.array([np.sort(every.word[cuts[k] : cuts[k + 1]]).tobytes() for k in asked], pa.binary())
+    made = linededup.LineWords.of_sets(sets, levels.value)
+    assert (made.set_hashes() == every.set_hashes()[asked]).all()
+    (found,) = linededup._asked_words(levels, frequent)([pa.RecordBatch.from_arrays([sets], ["words"])])
+    of, key, left = every.postings(every.set_hashes(), frequent)
+    wanted = set(found.column("key").drop_null().to_numpy().view(np.uint64).tolist())
+    assert wanted == set(key[np.isin(of, asked)].tolist()) and len(wanted) < len(set(key.tolist())) / 4
+    weights = np.zeros(sketch.SLOTS, np.uint8)
+    for slot, weight in sorted(zip(found.column("slot").drop_null().to_pylist(), found.column("weight").drop_null().to_pylist()), key=lambda x: x[1]):
+        weights[slot] = weight
+    keys = np.zeros(1 << 17, np.uint32)
+    at = idfilter.slots(np.array(sorted(wanted), np.uint64).view(np.int64), 0, 32 * len(keys))
+    np.bitwise_or.at(keys, at // 32, np.uint32(1) << (at % 32).astype(np.uint32))
+
+    def posted(*filters):
+        rows = [blocks.unpack(x.as_buffer()) for batch in linededup._posted(levels, 1, frequent, *filters)([table]) for x in batch.column(1)]
+        key, doc, place, own, _, _, size, mark = (np.concatenate(x) for x in zip(*rows))
+        some = (mark != linededup.COPY) & np.isin(key, np.array(sorted(wanted), np.uint64) & np.uint64(0xFFFFFFFF))
+        return len(key), set(zip(*(x[some].tolist() for x in (key, doc, place, own, size, mark >> 1))))
+
+    n, whole = posted()
+    few, part = posted(Sent(weights), Sent(keys))
+    assert part == whole and few < n / 2
+
+
 def test_parities_differ_in_no_more_than_the_words():
     """Sets about the size under which fewer parities are kept, each against one with a few words changed."""
     rng = random.Random(5)
