@@ -14,21 +14,29 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def give_back() -> None:
+    """Return what this process's libraries hold and don't use."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # where there is no glibc
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def tidy(function, tokens: bool = False):
     """`function` over batches, after which its worker gives back what its libraries hold: workers outlive their tasks.
 
-    Identifiers that an earlier task cached stay for functions that use `tokens` alone.
+    Identifiers that a task cached stay for functions that use `tokens` alone, and only while such tasks follow each
+    other: an executor may have more workers than tasks run at once, and those that wait would hold a full cache each.
     """
 
     def run(batches):
-        if not tokens and (own := sys.modules.get(f"{__package__}.tokens")):
-            own.TokenIds.forget()
+        if own := sys.modules.get(f"{__package__}.tokens"):
+            own.TokenIds.keep() if tokens else own.TokenIds.forget()
         try:
             yield from function(batches)
         finally:
-            pa.default_memory_pool().release_unused()
-            with contextlib.suppress(OSError, AttributeError):  # where there is no glibc
-                ctypes.CDLL("libc.so.6").malloc_trim(0)
+            if tokens and (own := sys.modules.get(f"{__package__}.tokens")):
+                own.TokenIds.forget_soon(give_back)
+            give_back()
 
     return run
 
@@ -61,6 +69,18 @@ def materialise(df: DataFrame, what: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextlib.contextmanager
+def batches_of(spark: SparkSession, rows: int):
+    """Python functions of the jobs inside take `rows` rows at once at most, for those that need no more."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def discard(*tables: DataFrame) -> None:
     """Delete tables written by `materialise` that no later plan reads."""
     spark = tables[0].sparkSession

@@ -16,12 +16,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, table, tidy
+from .common import batches_of, materialise, table, tidy
 from .tokens import END, TokenIds, in_slices
 
 LENGTH = 4096
 OPEN_BINS = 512
 PACKER_TOKENS = 64_000_000
+BATCH = 1000  # texts that a task takes at once
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -69,9 +70,8 @@ def token_pieces(docs: DataFrame, length: int = LENGTH, vocabulary: str | None =
         ids_of = TokenIds.open(vocabulary)
         for batch in batches:
             ids = batch.column(0).to_pylist()
-            texts = batch.column(1).to_pylist()
             out = [[], [], [], [], []]
-            for first, own in in_slices(texts):
+            for first, own in in_slices(x.as_py() for x in batch.column(1)):
                 for k, tokens in enumerate(ids_of.of_all(own), first):
                     tokens += END.to_bytes(4, "little")
                     for piece, at in enumerate(range(0, len(tokens), 4 * length)):
@@ -110,7 +110,9 @@ def pack_documents(docs: DataFrame, length: int = LENGTH, vocabulary: str | None
     is cut, whatever its length; repeated rows are packed each; an empty table gives an empty one; other
     columns are ignored.
     """
-    return pack(materialise(token_pieces(docs, length, vocabulary), "pieces"), length, **bins)
+    with batches_of(docs.sparkSession, BATCH):
+        pieces = materialise(token_pieces(docs, length, vocabulary), "pieces")
+    return pack(pieces, length, **bins)
 
 
 def op3_packing(spark, sf_dir):

@@ -8,7 +8,9 @@ from __future__ import annotations
 
 import json
 import os
+import threading
 from array import array
+from collections.abc import Iterable
 
 import numpy as np
 import regex
@@ -16,6 +18,7 @@ import regex
 VOCABULARY = "word_bpe_49k.json"
 CACHE_ENTRIES = 300_000
 CACHED_PIECE = 200
+IDLE_SECONDS = 0.5  # that a worker keeps its caches for the next task
 END = 1
 MARKER = "<|startoftext|>"
 #: Fixed value: the vocabulary's own pattern for the runs that it encodes apart.
@@ -36,6 +39,7 @@ class TokenIds:
     """`of(text)` gives a text's identifiers as little-endian unsigned 32-bit bytes."""
 
     _by_path: dict = {}
+    _timer: threading.Timer | None = None
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -48,7 +52,7 @@ class TokenIds:
             self._mark = self._model.token_to_id(MARKER)
         self._cache: dict[str, bytes] = {"": b""}
         self._runs: dict[str, bytes] = {}
-        pattern = json.loads(self._model.to_str())["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
+        pattern = json.loads(self._model.pre_tokenizer.__getstate__())["pretokenizers"][0]["pattern"]["Regex"]
         if pattern != _RUN.pattern:
             raise ValueError("this vocabulary splits texts by another pattern")
 
@@ -61,8 +65,29 @@ class TokenIds:
 
     @classmethod
     def forget(cls) -> None:
+        cls.keep()
         cls._by_path.clear()
 
+    @classmethod
+    def keep(cls) -> None:
+        """Call off `forget_soon`."""
+        if cls._timer:
+            cls._timer.cancel()
+            cls._timer = None
+
+    @classmethod
+    def forget_soon(cls, then, seconds: float = IDLE_SECONDS) -> None:
+        """Forget all caches and call `then`, unless `keep` comes before.  A text in work goes on with what it has."""
+
+        def idle():
+            cls._by_path.clear()
+            then()
+
+        cls.keep()
+        cls._timer = threading.Timer(seconds, idle)
+        cls._timer.daemon = True
+        cls._timer.start()
+
     def _encode(self, pieces: list[str]) -> list[bytes]:
         """Identifiers of each piece, from one call: a marker that no piece contains stands between them."""
         whole = self._model.encode(MARKER.join(pieces), add_special_tokens=False)
@@ -96,16 +121,19 @@ class TokenIds:
                 cache[p] = np.asarray(self._model.encode(p, add_special_tokens=False).ids, "<u4").tobytes()
         made = [b"".join(map(cache.__getitem__, own)) for own in pieces]
         # Full caches hold what came first, and so nearly all frequent entries; later ones are for this call only.
-        for held, new, most in ((cache, missing, CACHE_ENTRIES), (runs, fresh, 2 * CACHE_ENTRIES)):
-            full = len(held) > most
+        for held, new in ((cache, missing), (runs, fresh)):
+            full = len(held) > CACHE_ENTRIES
             for p in new:
                 if full or len(p) > CACHED_PIECE:
                     del held[p]
         return made
 
 
-def in_slices(texts: list, size: int = 1 << 20):
-    """(first row, some texts) such that a slice holds about `size` characters, or one text; a null is empty."""
+def in_slices(texts: Iterable, size: int = 1 << 19):
+    """(first row, some texts) such that a slice holds about `size` characters, or one text; a null is empty.
+
+    Texts are taken as they are needed: a batch of them needn't become strings at once.
+    """
     own, first, held = [], 0, 0
     for k, t in enumerate(texts):
         own.append(t or "")

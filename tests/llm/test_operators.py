@@ -4,13 +4,15 @@ import collections
 import hashlib
 import math
 import random
+import threading
+import time
 import zlib
 
 import numpy as np
 import pyarrow as pa
 import pytest
 
-from tessella.llm import blocks, decontaminate, idfilter, linededup, maxent, neardup, packing, passages, quality, sharding, sketch, tokencount, urlrules, words
+from tessella.llm import blocks, common, decontaminate, idfilter, linededup, maxent, neardup, packing, passages, quality, sharding, sketch, tokencount, tokens, urlrules, words
 from tessella.llm import sets as sets_module
 from tessella.llm.common import connected_components
 from tessella.llm.tokens import TokenIds
@@ -246,6 +248,21 @@ def test_trees_learn_and_stay_monotone():
             last = m
 
 
+def test_token_caches_are_bounded_and_texts_read_as_needed(monkeypatch):
+    """Both caches of a worker hold CACHE_ENTRIES at most, and a slice takes no texts beyond its own out of a batch."""
+    monkeypatch.setattr(tokens, "CACHE_ENTRIES", 100)
+    ids = TokenIds(tokens.vocabulary_path())
+    for k in range(40):
+        ids.of_all([" ".join(f"{a}{a}{chr(97 + k % 26)}{chr(97 + k // 26)}{b}-zz" for a in "abcdef" for b in "xyz")])
+        assert len(ids._cache) <= 101 and len(ids._runs) <= 100
+    assert len(ids._runs) > 50
+    taken = []
+    source = (taken.append(k) or x for k, x in enumerate(["a" * 600_000, None, "b", "c" * 600_000, "d"]))
+    slices = tokens.in_slices(source)
+    assert next(slices) == (0, ["a" * 600_000]) and taken == [0]
+    assert [(first, len(own)) for first, own in slices] == [(1, 3), (4, 1)]
+
+
 def test_token_counts(spark, rows, tmp_path):
     ids = TokenIds.open()
     expected = {d: len(ids.of_all([t or ""])[0]) // 4 for d, t in rows}
@@ -330,6 +347,21 @@ def test_similar_lines_meet(frequent, long):
         seen.add(s)
 
 
+def test_a_worker_that_waits_forgets_its_token_caches():
+    """The caches stay for a task that follows at once, and go when none does."""
+    went = threading.Event()
+    own = TokenIds.open()
+    TokenIds.forget_soon(went.set, 0.2)
+    TokenIds.keep()
+    assert not went.wait(0.5) and TokenIds.open() is own
+    assert list(common.tidy(iter, tokens=True)([1, 2])) == [1, 2] and TokenIds.open() is own
+    TokenIds.forget_soon(went.set, 0.05)
+    assert went.wait(5) and TokenIds.open() is not own
+    assert list(common.tidy(iter, tokens=True)([3])) == [3]
+    time.sleep(4 * tokens.IDLE_SECONDS)
+    assert not TokenIds._by_path
+
+
 def test_open_lines_are_met_under_their_keys_alone():
     """What the second pass posts is what the first does under the open lines' keys, whether words are rare or not and lines
     short or long; lines are open here that the first pass can't settle."""
