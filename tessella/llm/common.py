@@ -21,6 +21,16 @@ def give_back() -> None:
         ctypes.CDLL("libc.so.6").malloc_trim(0)
 
 
+def relieve(spark: SparkSession) -> None:
+    """Have the executors' JVMs collect their garbage and return the heap that they don't use.
+
+    A heap that a shuffle has grown stays so, beside Python workers that need the memory later.  One short task a core
+    reaches every executor that is idle, as between the stages of a pipeline; results don't depend on it.
+    """
+    n = spark.sparkContext.defaultParallelism
+    spark.range(0, n, 1, n).select(F.expr("reflect('java.lang.System', 'gc')")).collect()
+
+
 def tidy(function, tokens: bool = False):
     """`function` over batches, after which its worker gives back what its libraries hold: workers outlive their tasks.
 

@@ -767,3 +767,20 @@ def test_pipeline(spark, tmp_path):
     assert {"doc_id", "sequence_id", "offset"} <= set(got[0].asDict())
     assert {r.doc_id for r in got} <= {d for d, _ in rows} and all(r.doc_id != 1 for r in got)
     assert hashlib and len(corpus_pipeline.STAGES) == 5
+
+
+def test_a_stage_begins_with_a_collected_heap(spark, tmp_path):
+    """Heap that the stage before has grown is given back: a full collection, which small tables don't cause."""
+    import corpus_pipeline
+
+    def collections_of():
+        beans = spark.sparkContext._jvm.java.lang.management.ManagementFactory.getGarbageCollectorMXBeans()
+        return sum(b.getCollectionCount() for b in beans if "Old" in b.getName() or "MarkSweep" in b.getName())
+
+    docs = frame(spark, corpus(5, 5)).select("doc_id", "text")
+    spark.createDataFrame([(1, 1)], "doc_id long, quality int").write.parquet(str(tmp_path / "labels.parquet"))
+    spark.createDataFrame([(1, "no such words here")], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    for name, stage in corpus_pipeline.STAGES:
+        before = collections_of()
+        stage(spark, docs, str(tmp_path)).count()
+        assert collections_of() > before, name
