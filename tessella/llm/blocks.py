@@ -22,7 +22,9 @@ def pack(columns: list[np.ndarray]) -> bytes:
             base = int(x.min())
             x = (x.astype(np.int64) - base).view(np.uint64)
         kind = next(k for k, t in enumerate(_KINDS) if not len(x) or int(x.max()) <= np.iinfo(t).max)
-        parts.append(x.astype(_KINDS[kind]).view(np.uint8).reshape(len(x), 1 << kind).T.tobytes())
+        x = x.astype(_KINDS[kind])
+        # Shifts byte by byte are several times faster than a transposed copy.
+        parts += [(x >> _KINDS[kind](8 * k)).astype(np.uint8).tobytes() for k in range(1 << kind)]
         head += [kind, int(signed), base]
     return np.array(head, "<i8").tobytes() + b"".join(parts)
 
@@ -34,6 +36,8 @@ def unpack(raw) -> list[np.ndarray]:
     for kind, signed, base in zip(head[::3], head[1::3], head[2::3]):
         planes = np.frombuffer(raw, np.uint8, n << kind, at).reshape(1 << kind, n)
         at += planes.nbytes
-        x = np.ascontiguousarray(planes.T).view(_KINDS[kind])[:, 0].astype(np.uint64)
+        x = planes[0].astype(np.uint64)
+        for k in range(1, 1 << kind):
+            x |= planes[k].astype(np.uint64) << np.uint64(8 * k)
         columns.append(x.view(np.int64) + base if signed else x)
     return columns

@@ -33,7 +33,7 @@ from .blocks import pack, unpack
 from .common import discard, materialise, table, tidy, unused
 from .idfilter import bitmap, bits_for, held, maybe_in, slot
 from .sets import BITS, pair_overlaps
-from .words import U, Chunk, chunks, mix, word_hashes
+from .words import SMALL_CHUNK, U, Chunk, chunks, mix, word_hashes
 
 SIMILARITY = (4, 5)  # at least 4/5
 WHOLE = 3  # lines of so many words have no similar line but equal ones
@@ -73,12 +73,14 @@ class LineWords:
         line = np.repeat(np.arange(len(begin)), count)
         word = c.span_hash(start, end) >> U(64 - WORD_BITS)
         if only is not None:
-            met = np.flatnonzero(only[(word & U(sketch.SLOTS - 1)).astype(np.int64)])
-            weight = np.bincount(line[met], only[(word[met] & U(sketch.SLOTS - 1)).astype(np.int64)], len(begin))
-            some = ((weight >= 2) | ((weight > 0) & (count >= LONG)))[line]
-            word, line = word[some], line[some]
-        packed = levels[(word & U(sketch.SLOTS - 1)).astype(np.int64)].astype(np.uint64) << U(WORD_BITS)
-        packed |= word | (line & 255).astype(np.uint64) << U(56)
+            slots = (word & U(sketch.SLOTS - 1)).view(np.int64)
+            met = np.flatnonzero(only.take(slots))
+            weight = np.bincount(line[met], only.take(slots[met]), len(begin))
+            some = np.flatnonzero(np.repeat((weight >= 2) | ((weight > 0) & (count >= LONG)), count))
+            word, line = word.take(some), line.take(some)
+        packed = levels.take((word & U(sketch.SLOTS - 1)).view(np.int64)).astype(np.uint64) << U(WORD_BITS)
+        packed |= word
+        packed |= (line & 255).view(np.uint64) << U(56)
         # 256 lines are sorted together: a plain sort of numbers is many times faster than one of places.
         cuts = np.r_[np.searchsorted(line, np.arange(0, len(begin), 256)), len(line)].tolist()
         for low, high in zip(cuts, cuts[1:]):
@@ -125,26 +127,28 @@ class LineWords:
         """(line, key, left): what each line is posted under, and how many words it can share with a line that it
         meets there first."""
         num, den = SIMILARITY
-        size = self.size[self.owner]
-        prefix = size - -(-num * size // den) + 1
         frequent = int(sketch.level_of(frequent))
-        many = (size > WHOLE) & (self.level >= frequent)
-        single = (size > WHOLE) & (self.level > 0) & (self.level < frequent) & (self.rank < prefix)
-        alone = many & (size >= long) & (self.rank < prefix)
         whole = np.flatnonzero((self.size <= WHOLE) & (self.level[self.head] > 0))
-        lines = [whole, self.owner[single], self.owner[alone]]
-        keys = [mix(own_set[whole] + U(3)), mix(self.word[single]), mix(self.word[alone] ^ U(0x51ED270B35AE3D1B))]
-        left = [self.size[whole], (size - self.rank)[single], (size - self.rank)[alone]]
+        # Only the words up to one after the prefix matter, and none of a line that posts its whole set.
+        length = np.where(self.size > WHOLE, self.size - -(-num * self.size // den) + 1, -1)
+        near = np.flatnonzero(self.rank <= np.repeat(length, self.size))
+        owner, word, level, rank = (x.take(near) for x in (self.owner, self.word, self.level, self.rank))
+        size, inside = self.size.take(owner), rank < length.take(owner)
+        room, many = size - rank, level >= frequent
+        single, alone = np.flatnonzero(inside & ~many & (level > 0)), np.flatnonzero(inside & many & (size >= long))
+        lines = [whole, owner[single], owner[alone]]
+        keys = [mix(own_set[whole] + U(3)), mix(word[single]), mix(word[alone] ^ U(0x51ED270B35AE3D1B))]
+        left = [self.size[whole], room[single], room[alone]]
         # The frequent words of a line's prefix stand together at its end.
-        at = np.flatnonzero(many & (4 * size < 5 * long) & (self.rank <= prefix))
+        at = np.flatnonzero(many & (4 * size < 5 * long))
+        owner, word, room = owner.take(at), word.take(at), room.take(at)
         for far in range(1, len(at)):
-            both = self.owner[at[:-far]] == self.owner[at[far:]]
-            if not both.any():
+            a = np.flatnonzero(owner[:-far] == owner[far:])
+            if not len(a):
                 break
-            a, b = at[:-far][both], at[far:][both]
-            lines.append(self.owner[a])
-            keys.append(mix(self.word[a] * U(0x9E3779B97F4A7C15) + self.word[b]))
-            left.append((size - self.rank)[b] + 1)
+            lines.append(owner.take(a))
+            keys.append(mix(word.take(a) * U(0x9E3779B97F4A7C15) + word.take(a + far)))
+            left.append(room.take(a + far) + 1)
         return np.concatenate(lines), np.concatenate(keys), np.concatenate(left)
 
 
@@ -192,7 +196,7 @@ def _posted(levels, buckets: int, frequent: int, only=None, keys=None):
         made, n = [], 0
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
-            for c in chunks(batch.column(1)):
+            for c in chunks(batch.column(1), size=SMALL_CHUNK):
                 lines = LineWords(c, levels.value, only and only.value)
                 if not len(lines.size):
                     continue
@@ -251,6 +255,14 @@ def _in_order(doc: np.ndarray, line: np.ndarray) -> np.ndarray:
     return place
 
 
+def _sorted(key: np.ndarray) -> np.ndarray:
+    """The stable order of unsigned numbers, by plain sorts, which are several times faster than a stable one."""
+    order = np.argsort(key)
+    key = key.take(order)
+    group = np.cumsum(np.r_[False, key[1:] != key[:-1]][: len(key)], dtype=np.uint64)
+    return (np.sort(group << U(32) | order.view(np.uint64)) & U(0xFFFFFFFF)).view(np.int64)
+
+
 def _paired(blocks: list[list[np.ndarray]], wanted=None, most: int = FIRST_PARTNERS) -> pa.RecordBatch:
     num, den = SIMILARITY
     columns = [np.concatenate(x) for x in zip(*blocks)]
@@ -258,7 +270,8 @@ def _paired(blocks: list[list[np.ndarray]], wanted=None, most: int = FIRST_PARTN
     copies = [x[copy] for x in columns[1:4]]
     columns = [x[~copy] for x in columns]
     place = _in_order(columns[1], columns[2])
-    order = np.lexsort((place, (columns[0] << U(32)) ^ (columns[3] >> U(SET_BITS - 32))))
+    order = np.argsort(place)
+    order = order[_sorted((columns[0] << U(32) ^ columns[3] >> U(SET_BITS - 32)).take(order))]
     key, doc, line, own, p0, p1, size, mark = columns
     before, after = order[:-1], order[1:]
     equal = np.ones(len(before), bool)
@@ -267,8 +280,8 @@ def _paired(blocks: list[list[np.ndarray]], wanted=None, most: int = FIRST_PARTN
     repeated = after[equal & (place[before] != place[after]) & (mark[after] & 1 == 1)]
     copies = [np.concatenate([x, y[repeated]]) for x, y in zip(copies, (doc, line, own))]
     order = order[~np.r_[False, equal][: len(order)]]
-    order = order[np.argsort(key[order] << U(32) | size[order].astype(np.uint64), kind="stable")]
-    key, doc, line, own, p0, p1, size, mark, place = (x[order] for x in (key, doc, line, own, p0, p1, size, mark, place))
+    order = order[_sorted(key.take(order) << U(32) | size.take(order).view(np.uint64))]
+    key, doc, line, own, p0, p1, size, mark, place = (x.take(order) for x in (key, doc, line, own, p0, p1, size, mark, place))
     left = mark >> 1
 
     head = np.flatnonzero(np.r_[True, key[1:] != key[:-1]][: len(key)])
@@ -286,12 +299,16 @@ def _paired(blocks: list[list[np.ndarray]], wanted=None, most: int = FIRST_PARTN
         far += 1
         for k, step in enumerate((-far, far)):
             q = sides[k]
-            q = q[(q + step >= low[q]) & (q + step < high[q])]
-            sides[k] = q = q[(den * size[q + step] >= num * size[q]) & (num * size[q + step] <= den * size[q])]
-            q = q[place[q + step] < place[q]]
-            p, need = q + step, -(-num * (size[q] + size[q + step]) // (num + den))
-            fits = np.minimum(left[q], left[p]) >= need
-            q, p, allowed = q[fits], p[fits], (size[q] + size[p] - 2 * need)[fits]
+            q = q[q + step >= low.take(q)] if k == 0 else q[q + step < high.take(q)]
+            # Sizes grow under a key: the earlier is no larger before, and no smaller after.
+            other, own_size = size.take(q + step), size.take(q)
+            sides[k] = q = q[den * other >= num * own_size] if k == 0 else q[num * other <= den * own_size]
+            q = q[place.take(q + step) < place.take(q)]
+            p = q + step
+            sizes = size.take(q) + size.take(p)
+            need = -(-num * sizes // (num + den))
+            fits = np.flatnonzero(np.minimum(left.take(q), left.take(p)) >= need)
+            q, p, allowed = q.take(fits), p.take(fits), (sizes - 2 * need).take(fits)
             differ = _differences((p0[q], p1[q]), (p0[p], p1[p]), np.minimum(size[q], size[p]))
             fits = differ <= allowed
             q, p, differ, allowed = q[fits], p[fits], differ[fits], allowed[fits]

@@ -17,12 +17,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import tidy
-from .words import U, Chunk, chunks
+from .words import SMALL_CHUNK, U, Chunk, chunks
 
 SLOTS = 1 << 22
 PIECE = 1 << 18
 TASKS = 256  # whose counts are summed together at first
-HELD = 1 << 20
 _VALUES = np.array([k if k < 16 else round(16 * 2 ** ((k - 16) / 8)) for k in range(256)], np.uint64)
 _SCHEMA = "piece int, part long, counts binary"
 
@@ -37,16 +36,10 @@ def _row(piece: int, part: int, counts: np.ndarray) -> pa.RecordBatch:
 
 def _counted(hashes_of: Callable[[Chunk], np.ndarray]):
     def count(batches):
-        sums, held, n = np.zeros(SLOTS, np.uint32), [], 0
+        sums = np.zeros(SLOTS, np.uint32)
         for batch in batches:
-            for c in chunks(batch.column(0)):
-                held.append((hashes_of(c) & U(SLOTS - 1)).astype(np.int32))
-                n += len(held[-1])
-                if n >= HELD:
-                    sums += np.bincount(np.concatenate(held), minlength=SLOTS).astype(np.uint32)
-                    held, n = [], 0
-        if n:
-            sums += np.bincount(np.concatenate(held), minlength=SLOTS).astype(np.uint32)
+            for c in chunks(batch.column(0), size=SMALL_CHUNK):
+                np.add.at(sums, (hashes_of(c) & U(SLOTS - 1)).view(np.int64), np.uint32(1))
         part = TaskContext.get().partitionId() // TASKS
         for piece, own in enumerate(sums.reshape(-1, PIECE)):
             if own.any():

@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 
 CHUNK_BYTES = 1 << 20
+SMALL_CHUNK = 1 << 18  # whose running sums stay in a core's cache
 U = np.uint64
 _P = 0x9E3779B97F4A7C15 | 1
 _PINV = pow(_P, -1, 1 << 64)
@@ -26,9 +27,12 @@ LOWER[65:91] += 32
 
 def mix(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser: every input bit reaches every output bit."""
-    x = (x ^ (x >> U(30))) * U(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> U(27))) * U(0x94D049BB133111EB)
-    return x ^ (x >> U(31))
+    x = x ^ (x >> U(30))
+    x *= U(0xBF58476D1CE4E5B9)
+    x ^= x >> U(27)
+    x *= U(0x94D049BB133111EB)
+    x ^= x >> U(31)
+    return x
 
 
 _RAW = mix(np.arange(1, 257, dtype=np.uint64) * U(0x9E3779B97F4A7C15))
@@ -67,12 +71,18 @@ class Chunk:
         if self._sums is None:
             power, self._inverse = _upto(len(self.data) + 1)
             self._sums = np.zeros(len(self.data) + 1, np.uint64)
-            np.cumsum((_FOLDED if self._fold else _RAW)[self.data] * power[: len(self.data)], out=self._sums[1:])
+            # `take` is twice as fast as places by bytes.
+            weighed = (_FOLDED if self._fold else _RAW).take(self.data)
+            weighed *= power[: len(self.data)]
+            np.cumsum(weighed, out=self._sums[1:])
 
     def span_hash(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         self._sum()
-        h = (self._sums[end] - self._sums[start]) * self._inverse[start]
-        return mix(h ^ ((end - start).astype(np.uint64) * U(0xD6E8FEB86659FD93)))
+        h = self._sums.take(end)
+        h -= self._sums.take(start)
+        h *= self._inverse.take(start)
+        h ^= (end - start).astype(np.uint64) * U(0xD6E8FEB86659FD93)
+        return mix(h)
 
     def windows(self, width: int) -> np.ndarray:
         """Raw hash of every `width` bytes; those across texts are the caller's to drop."""
@@ -85,7 +95,10 @@ class Chunk:
         n = len(self.data)
         if not n:
             return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(self.n + 1, np.int64)
-        word = ~separators[self.data]
+        if separators is SPACE:
+            word = (self.data != 32) & (self.data - np.uint8(9) > 4)
+        else:
+            word = ~separators.take(self.data)
         begins = word.copy()
         begins[1:] &= ~word[:-1]
         edge = self.at[(self.at < n)]

@@ -72,6 +72,21 @@ def test_words_lines_and_spans():
     assert words.word_hashes(a)[0][1] == words.word_hashes(b)[0][0]
 
 
+def test_sorted_and_packed_columns():
+    rng = np.random.default_rng(7)
+    for n, top in ((0, 1), (1, 1), (5000, 40), (5000, 1 << 63)):
+        key = rng.integers(0, top, n, dtype=np.uint64)
+        assert (linededup._sorted(key) == np.argsort(key, kind="stable")).all()
+        columns = [key, rng.integers(-(1 << 40), 1 << 40, n), rng.integers(0, 300, n, dtype=np.uint64)]
+        raw = blocks.pack(columns)
+        assert all((a == b).all() and a.dtype == b.dtype for a, b in zip(blocks.unpack(raw), columns))
+
+
+def test_words_by_arithmetic_or_table():
+    (c,) = words.chunks(pa.array(["".join(map(chr, range(128))), "\x00\x08a\x0e \xa0\u2003b", "", "\t\n"]))
+    assert all((a == b).all() for a, b in zip(c.words(), c.words(words.SPACE.copy())))
+
+
 def test_components(spark):
     rng = random.Random(1)
     edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(220)] + [(k, k + 1) for k in range(1000, 1100)] + [(5, 5), (None, 3)]
