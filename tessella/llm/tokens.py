@@ -13,6 +13,8 @@ from array import array
 from collections.abc import Iterable
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 
 VOCABULARY = "word_bpe_49k.json"
@@ -98,36 +100,63 @@ class TokenIds:
         raw, begin, end = ids.tobytes(), np.r_[0, cuts + 1] * 4, np.r_[cuts, len(ids)] * 4
         return [raw[a:b] for a, b in zip(begin.tolist(), end.tolist())]
 
-    def _learn(self, missing: list[str]) -> None:
-        for k in range(0, len(missing), 4000):
-            some = missing[k : k + 4000]
-            self._cache.update(zip(some, self._encode(some)))
-
-    def of_all(self, texts: list[str]) -> list[bytes]:
-        pieces = [t.replace("\n", " ").split(" ") if t else [] for t in texts]
-        cache, runs = self._cache, self._runs
-        missing = list(set().union(*pieces).difference(cache))
+    def _of_missing(self, missing: list[str]) -> list[bytes]:
+        """Identifiers of distinct pieces that aren't cached."""
+        made: list = [None] * len(missing)
         # Plain Latin pieces fall into the tokenizer's own runs, which recur more often; others go to it whole.
-        plain = {p: _RUN.findall(p.lower()) for p in missing if p.isprintable() and max(p) < _LATIN and "<|" not in p}
-        fresh = list({r for own in plain.values() for r in own if r not in runs})
-        merge = self._model.model.tokenize
+        single, several, whole = {}, {}, []
+        for k, p in enumerate(missing):
+            if p.isalpha() and p.isascii():
+                single[k] = p.lower()
+            elif "<|" in p:
+                made[k] = np.asarray(self._model.encode(p, add_special_tokens=False).ids, "<u4").tobytes()
+            elif p.isprintable() and (p.isascii() or max(p) < _LATIN):
+                several[k] = _RUN.findall(p.lower())
+            else:
+                whole.append(k)
+        held, merge = self._runs, self._model.model.tokenize
+        distinct = list(set(single.values()).union(*several.values()))
+        runs = dict(zip(distinct, map(held.get, distinct)))
+        fresh = [r for r, ids in runs.items() if ids is None]
         for r in fresh:
-            runs[r] = array("I", [t.id for t in merge(r.encode().decode("latin-1").translate(_BYTE_LEVEL))]).tobytes()
-        for p, own in plain.items():
-            cache[p] = b"".join(map(runs.__getitem__, own))
-        self._learn([p for p in missing if p not in plain and "<|" not in p])
-        for p in missing:
-            if p not in plain and "<|" in p:
-                cache[p] = np.asarray(self._model.encode(p, add_special_tokens=False).ids, "<u4").tobytes()
-        made = [b"".join(map(cache.__getitem__, own)) for own in pieces]
-        # Full caches hold what came first, and so nearly all frequent entries; later ones are for this call only.
-        for held, new in ((cache, missing), (runs, fresh)):
-            full = len(held) > CACHE_ENTRIES
-            for p in new:
-                if full or len(p) > CACHED_PIECE:
-                    del held[p]
+            shown = r if r.isascii() else r.encode().decode("latin-1").translate(_BYTE_LEVEL)
+            runs[r] = array("I", [t.id for t in merge(shown)]).tobytes()
+        for k, r in single.items():
+            made[k] = runs[r]
+        for k, own in several.items():
+            made[k] = b"".join(map(runs.__getitem__, own))
+        for at in range(0, len(whole), 4000):
+            some = whole[at : at + 4000]
+            for k, ids in zip(some, self._encode([missing[k] for k in some])):
+                made[k] = ids
+        self._hold(self._cache, missing, made)
+        self._hold(held, fresh, [runs[r] for r in fresh])
         return made
 
+    @staticmethod
+    def _hold(cache: dict[str, bytes], keys: list[str], ids: list[bytes]) -> None:
+        """Full caches hold what came first, and so nearly all frequent entries; later ones are for one call only."""
+        if len(cache) + len(keys) <= CACHE_ENTRIES:
+            cache.update((p, x) for p, x in zip(keys, ids) if len(p) <= CACHED_PIECE)
+
+    def of_all(self, texts: list[str]) -> list[bytes]:
+        """Identifiers of each text.  Only its distinct pieces become strings; the rest is arithmetic on their numbers."""
+        split = pc.split_pattern(pc.replace_substring(pa.array(texts, pa.large_string()), "\n", " "), " ")
+        coded = split.flatten().dictionary_encode()
+        pieces, number = coded.dictionary.to_numpy(zero_copy_only=False).tolist(), coded.indices.to_numpy()
+        found = list(map(self._cache.get, pieces))
+        missing = [k for k, ids in enumerate(found) if ids is None]
+        for k, ids in zip(missing, self._of_missing([pieces[k] for k in missing])):
+            found[k] = ids
+        flat, size = np.frombuffer(b"".join(found), "<u4"), np.fromiter(map(len, found), np.int64, len(found)) // 4
+        each = size.take(number)
+        upto = np.cumsum(np.r_[0, each])
+        # Where each identifier stands among those of the distinct pieces.
+        place = np.repeat((np.cumsum(size) - size).take(number) - upto[:-1], each)
+        place += np.arange(len(place))
+        raw, cuts = flat.take(place).tobytes(), (4 * upto[split.offsets.to_numpy()]).tolist()
+        return [raw[a:b] for a, b in zip(cuts, cuts[1:])]
+
 
 def in_slices(texts: Iterable, size: int = 1 << 19):
     """(first row, some texts) such that a slice holds about `size` characters, or one text; a null is empty.

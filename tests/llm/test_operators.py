@@ -278,6 +278,17 @@ def test_token_caches_are_bounded_and_texts_read_as_needed(monkeypatch):
     assert [(first, len(own)) for first, own in slices] == [(1, 3), (4, 1)]
 
 
+def test_distinct_pieces_are_encoded_once(monkeypatch):
+    texts = ["Don't WE'LL 12ab a", "", "a a\n\na  b!?", "\x00 \u0130x \u01c5 e\u0301 \u00aa\u00ba <|x|> \u65e5\u672c", "b!? " * 50, "\n"]
+    ids, asked = TokenIds(tokens.vocabulary_path()), []
+    of_missing = ids._of_missing
+    monkeypatch.setattr(ids, "_of_missing", lambda missing: asked.extend(missing) or of_missing(missing))
+    first = ids.of_all(texts)
+    assert sorted(asked) == sorted({p for t in texts for p in t.replace("\n", " ").split(" ")} - {""})
+    assert ids.of_all(texts) == first and len(asked) == len(set(asked)) and ids.of_all([]) == []
+    assert [np.frombuffer(x, "<u4").tolist() for x in first] == [ids._model.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def test_token_counts(spark, rows, tmp_path):
     ids = TokenIds.open()
     expected = {d: len(ids.of_all([t or ""])[0]) // 4 for d, t in rows}
